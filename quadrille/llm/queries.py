@@ -6,16 +6,34 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import quality
-from .common import table
+from . import bpe, pii, quality
+from .common import stage, table
 
 
 def op6_quality_llr(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op1_pii_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cands = stage(pii.candidates(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text"))
+    return pii.digest(pii.spans(cands, pii.fit(cands)))
+
+
+def tokenizer() -> tuple[str, str]:
+    """Path of the ranks and the pattern of the pieces."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
+
+
+def op10_bpe_merge_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digest(table(spark, sf_dir, "documents"), *tokenizer())
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_pii_weak_supervision": op1_pii_weak_supervision,
     "op6_quality_llr": op6_quality_llr,
+    "op10_bpe_merge_replay": op10_bpe_merge_replay,
 }
 
 ORACLE_SQL: dict[str, str] = {}
