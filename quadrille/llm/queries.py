@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, pii, quality, urls, warc
+from . import bpe, neardup, pii, quality, urls, warc
 from .common import stage, table
 
 
@@ -39,11 +39,16 @@ def op5_warc_normaliser(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read(archives, payloads=False).drop("url", "payload")
 
 
+def op8_minhash_hamming(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii_weak_supervision": op1_pii_weak_supervision,
     "op3_url_equivalence": op3_url_equivalence,
     "op5_warc_normaliser": op5_warc_normaliser,
     "op6_quality_llr": op6_quality_llr,
+    "op8_minhash_hamming": op8_minhash_hamming,
     "op10_bpe_merge_replay": op10_bpe_merge_replay,
 }
 
