@@ -12,6 +12,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+_CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 WHITE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -33,7 +34,12 @@ def stage(df: DataFrame) -> DataFrame:
     """Cuts the lineage: writes df as a table in the shared folder and reads it again."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/stage-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(_CLEAN)
+    spark.conf.set(_CLEAN, "true")  # this plan runs once: its shuffle files can go when it ends
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEAN, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
