@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, debruijn, neardup, pii, quality, urls, warc
+from . import bpe, debruijn, neardup, pii, quality, suffixes, urls, warc
 from .common import stage, table
 
 
@@ -47,12 +47,17 @@ def op2_debruijn_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return debruijn.digest(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op7_suffix_grouping(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.digest(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii_weak_supervision": op1_pii_weak_supervision,
     "op2_debruijn_substring": op2_debruijn_substring,
     "op3_url_equivalence": op3_url_equivalence,
     "op5_warc_normaliser": op5_warc_normaliser,
     "op6_quality_llr": op6_quality_llr,
+    "op7_suffix_grouping": op7_suffix_grouping,
     "op8_minhash_hamming": op8_minhash_hamming,
     "op10_bpe_merge_replay": op10_bpe_merge_replay,
 }
