@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, debruijn, neardup, pii, quality, suffixes, urls, warc
+from . import attention, bpe, debruijn, neardup, pii, quality, suffixes, urls, warc
 from .common import stage, table
 
 
@@ -51,6 +51,10 @@ def op7_suffix_grouping(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.digest(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op9_attention_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return attention.scored(table(spark, sf_dir, "documents").select("doc_id", "text"), *tokenizer())
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii_weak_supervision": op1_pii_weak_supervision,
     "op2_debruijn_substring": op2_debruijn_substring,
@@ -59,6 +63,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_quality_llr": op6_quality_llr,
     "op7_suffix_grouping": op7_suffix_grouping,
     "op8_minhash_hamming": op8_minhash_hamming,
+    "op9_attention_scoring": op9_attention_scoring,
     "op10_bpe_merge_replay": op10_bpe_merge_replay,
 }
 
