@@ -76,9 +76,8 @@ def repeat_words(df: DataFrame) -> DataFrame:
     return df.withColumn("n_repeat_words", n.cast("long")).drop("h", "s", "p")
 
 
-def judge(docs: DataFrame, labels: DataFrame | None, threshold: float = THRESHOLD) -> DataFrame:
-    worded = with_words(docs)
-    table = weights(worded, labels)
+def judged(worded: DataFrame, table: list[float], threshold: float = THRESHOLD) -> DataFrame:
+    """worded (text and words) with the counts, the ratio and the verdict."""
     text = F.col("text")
     # the folded literal has BUCKETS doubles
     per = F.split(F.lit(",".join(f"{x:.6f}" for x in table)), ",").cast("array<double>")
@@ -94,4 +93,18 @@ def judge(docs: DataFrame, labels: DataFrame | None, threshold: float = THRESHOL
     total = F.aggregate("grams", F.lit(0.0), lambda a, g: a + F.get(per, g))
     out = out.withColumn("llr", F.when(F.size("grams") > 0, total / F.size("grams")).otherwise(F.lit(0.0)))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
-    return out.withColumn("base_failed", failed).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", (~failed & (F.col("llr") >= threshold)).alias("kept"), "llr")
+    return out.withColumn("base_failed", failed).withColumn("kept", ~failed & (F.col("llr") >= threshold))
+
+
+def judge(docs: DataFrame, labels: DataFrame | None, threshold: float = THRESHOLD) -> DataFrame:
+    worded = with_words(docs)
+    out = judged(worded, weights(worded, labels), threshold)
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "llr")
+
+
+def kept(docs: DataFrame, table: list[float], threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of docs, whole, that stay; no join is needed."""
+    own = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
+    text = F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
+    worded = docs.select(own, text).withColumn("words", F.filter(F.split("text", WHITE), lambda w: w != ""))
+    return judged(worded, table, threshold).where("kept").select("_row.*")

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import attention, bpe, debruijn, neardup, pii, quality, suffixes, urls, warc
+from . import attention, bpe, debruijn, neardup, pii, quality, suffixes, templates, urls, warc
 from .common import stage, table
 
 
@@ -55,10 +55,15 @@ def op9_attention_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return attention.scored(table(spark, sf_dir, "documents").select("doc_id", "text"), *tokenizer())
 
 
+def op4_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return templates.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii_weak_supervision": op1_pii_weak_supervision,
     "op2_debruijn_substring": op2_debruijn_substring,
     "op3_url_equivalence": op3_url_equivalence,
+    "op4_template_decontamination": op4_template_decontamination,
     "op5_warc_normaliser": op5_warc_normaliser,
     "op6_quality_llr": op6_quality_llr,
     "op7_suffix_grouping": op7_suffix_grouping,
