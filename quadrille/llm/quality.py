@@ -107,4 +107,5 @@ def kept(docs: DataFrame, table: list[float], threshold: float = THRESHOLD) -> D
     own = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
     text = F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
     worded = docs.select(own, text).withColumn("words", F.filter(F.split("text", WHITE), lambda w: w != ""))
-    return judged(worded, table, threshold).where("kept").select("_row.*")
+    # without the row number the filter would be pushed down, and with it a copy of every expression that it needs
+    return judged(worded, table, threshold).select("_row", "kept", F.monotonically_increasing_id().alias("_n")).where("kept and _n >= 0").select("_row.*")
