@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import aabb, addresses, kernels, transforms
-from ..operators import boxjoin, catalog, octree, search, voxels
+from ..operators import boxjoin, catalog, octree, render, search, voxels
+from ..sources import textproto, yamlcache
 from . import views
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -408,3 +409,110 @@ def decimate(spark, d):
 @query(f"with {VOXELS} select vol_id, x // 2 as x, y // 2 as y, z // 2 as z, round(avg(v), 6) as v from voxels group by 1, 2, 3, 4")
 def pyramid_level(spark, d):
     return voxels.halve(views.voxels(views.volumes(spark, d))).withColumn("v", F.round("v", 6))
+
+
+# --- volumes, trees and files: no SQL form; tests compare with numpy and round trips ----------------------
+
+
+@query()
+def points_numpy(spark, d):
+    """Detected points by the Arrow path, for volumes that are too large for row-local expressions."""
+    vols = views.volumes(spark, d).select("vol_id", F.array(*[F.lit(4)] * 3).alias("dims"), F.col("v").alias("values"))
+    return render.points(vols, 0.01)
+
+
+@query()
+def xcorr_pair(spark, d):
+    """The best shift between each volume and the next."""
+    v = views.volumes(spark, d)
+    pairs = v.alias("a").join(v.alias("b"), F.col("b.vol_id") == F.col("a.vol_id") + 1)
+    pairs = pairs.select(F.col("a.vol_id").alias("id"), F.array(*[F.lit(4)] * 3).alias("dims"), F.col("a.v").alias("a"), F.col("b.v").alias("b"))
+    return render.correlate(pairs, -9.0).withColumn("peak", F.round("peak", 6))
+
+
+def _pyramid_parts(spark, d):
+    """Every volume as a tile of 4 x 4 x 4 voxels of 1000 nm, on a 16-wide grid, and the tree over them."""
+    k = F.col("vol_id")
+    ori = [F.pmod(k, F.lit(16)) * 4000, F.pmod(F.floor(k / 16), F.lit(16)) * 4000, F.floor(k / 256) * 4000]
+    t = views.volumes(spark, d).select(k.alias("id"), *[o.cast("long").alias(f"o{i}") for i, o in enumerate(ori)], *[F.lit(4000).cast("long").alias(f"s{i}") for i in range(3)], "v")
+    t = t.withColumns({f"e{i}": F.col(f"o{i}") + F.col(f"s{i}") for i in range(3)})
+    matrix = [F.lit(1000.0 if r == c else 0.0) if c < 3 else (F.col(f"o{r}").cast("double") if r < 3 else F.lit(1.0)) for r in range(4) for c in range(4)]
+    t = t.withColumn("transform", F.array(*matrix))
+    # the path carries the values, so that a loader needs no file
+    t = t.withColumn("path", F.array_join(F.transform("v", lambda x: x.cast("string")), ","))
+    b = catalog.bounds(t).head()
+    voxel, most = (2000.0, 2000.0, 2000.0), 4096
+    n = octree.nodes(spark, [b[f"o{i}"] for i in range(3)], [b[f"s{i}"] for i in range(3)], voxel, most, 8, t)
+    return t, n, voxel
+
+
+def _load(path: str):
+    import numpy as np
+
+    return np.array(path.split(","), float).reshape(4, 4, 4)
+
+
+def _summary(nodes):
+    v = F.transform("values", lambda x: x.cast("double"))
+    return nodes.select("addr", "depth", F.array_join(F.col("dims").cast("array<string>"), "x").alias("dims"), F.round(F.aggregate(v, F.lit(0.0), lambda a, x: a + x), 3).alias("total"), F.round(F.array_max(v), 4).alias("top"))
+
+
+@query()
+def render_leaf(spark, d):
+    t, n, voxel = _pyramid_parts(spark, d)
+    return _summary(render.render_leaves(n, t, _load, voxel))
+
+
+@query()
+def render_pyramid(spark, d):
+    t, n, voxel = _pyramid_parts(spark, d)
+    return _summary(render.pyramid(n, t, _load, voxel))
+
+
+def _records(spark, d):
+    dims = F.array(*[F.lit(x).cast("long") for x in views.DIMS])
+    t = views.boxed(views.tiles(spark, d))
+    matrix = F.array(*[F.lit(float(i)).cast("float") for i in range(25)])
+    return t.select("path", F.col("box.ori").alias("ori"), F.col("box.shape").alias("shape"), F.lit("u16").alias("dtype"), dims.alias("dims"), F.lit(None).cast("array<bigint>").alias("crop"), matrix.alias("transform"))
+
+
+@query(f"with {TILES} select path, array_to_string([o0, o1, o2, s0, s1, s2], ',') as box, '754,1035,199,2' as dims from tiles")
+def yaml_cache_roundtrip(spark, d):
+    """The tiles, written as YAML catalogues and read again."""
+    rows = _records(spark, d)
+
+    def back(batches):
+        import pandas as pd
+
+        for b in batches:
+            docs = [yamlcache.parse(t) for t in b["value"]]
+            out = [(r[0], ",".join(map(str, [*r[2], *r[3]])), ",".join(map(str, r[5]))) for rs in docs for r in rs]
+            yield pd.DataFrame(out, columns=["path", "box", "dims"])
+
+    def text(batches):
+        import pandas as pd
+
+        for b in batches:
+            rows = [{k: list(v) if hasattr(v, "__len__") and not isinstance(v, str) else v for k, v in r.items()} for r in b.to_dict("records")]
+            yield pd.DataFrame({"value": [yamlcache.dump(rows, "/data/")]})
+
+    return rows.mapInPandas(text, "value string").mapInPandas(back, "path string, box string, dims string")
+
+
+@query(f"with {TILES} select path, 'v6' as format, o0, s0 from (select path, cast(trunc(cast(cast(cast(o0 as double) / 1e6 as float) * cast(1e6 as float) as double)) as bigint) as o0, cast(trunc(cast(cast(cast(s0 as double) / 1e3 as float) * cast(1e3 as float) as double)) as bigint) as s0 from tiles)")
+def catalog_ingest(spark, d):
+    """Metadata texts made from the tiles, detected and parsed back; units go through single precision."""
+
+    def run(batches):
+        import pandas as pd
+
+        for b in batches:
+            out = []
+            for r in b.itertuples():
+                scope = f'fov {{ x_size_um: {r.s0 / 1e3!r} y_size_um: 517.5 z_size_um: 398 rotation_radians: 0 }} file_prefix: "ngc" stack_extension: ".tif" autotile {{ }} surface_scan {{ }} pockels {{ laser: Chameleon }} trip_detect {{ ichan: 0 }}'
+                stack = f"x_mm: {r.o0 / 1e6!r}\ny_mm: {r.o1 / 1e6!r}\nz_mm: {r.o2 / 1e6!r}\n"
+                m = textproto.tile(scope, stack, r.path)
+                out.append((m["path"], m["format"], m["ori"][0], m["shape"][0]))
+            yield pd.DataFrame(out, columns=["path", "format", "o0", "s0"])
+
+    return views.tiles(spark, d).select("path", "o0", "o1", "o2", "s0").mapInPandas(run, "path string, format string, o0 bigint, s0 bigint")
