@@ -8,8 +8,8 @@ At a similarity of 0.85 a position differs with probability 0.15; of 48 more tha
 of a million pairs.
 
 Buckets are not expanded into pairs. First every member meets the least member of its bucket; verified links give
-components. Only buckets that still hold several components are searched for pairs across components, in
-blocks, each pair in the first bucket that it shares. Links are confirmed on the full sets.
+components. Only buckets that still hold several components are searched for links between those, in blocks and on
+the full sets; a bucket gives the links that connect its components, at most one fewer than there are.
 
 Defined cases: null or empty texts have an empty set and no link; rows that share an id are one node with several
 texts; a null id is no node: such a row gets the component of its equal texts, null if they have none; ties do not
@@ -113,65 +113,66 @@ def keys(classes: DataFrame) -> DataFrame:
                             x = mix(x * np.uint64(0x9E3779B97F4A7C15) + sig[:, i])
                     found.append(x.view(np.int64))
                 cid = np.tile(part.column(0).to_numpy(), len(KEYS))
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found)), pa.array(cid), pa.array(np.repeat(np.arange(len(KEYS), dtype=np.int32), len(sig)))], names=["key", "cid", "k"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found)), pa.array(cid)], names=["key", "cid"])
 
-    return classes.select("cid", *[f"g{i}" for i in range(LONGS)]).mapInArrow(run, "key long, cid long, k int")
+    return classes.select("cid", *[f"g{i}" for i in range(LONGS)]).mapInArrow(run, "key long, cid long")
 
 
 def across(members: DataFrame) -> DataFrame:
-    """a, b: pairs of a bucket that lie in different components, within the distance, in the first bucket they share."""
+    """a, b: links between components of a bucket, enough to connect all that are linked there, and no more.
 
-    def pairs(k: int, cid: np.ndarray, comp: np.ndarray, n: np.ndarray, sig: np.ndarray):
-        if len(cid) < 2 or (comp == comp[0]).all():
+    A bucket's sets are numbered once; each set then meets those of a block by one gather and one sum. A pair whose
+    components are joined already, by an earlier link, is passed over, so a bucket of m components gives fewer than m links.
+    """
+
+    def links(cid: np.ndarray, comp: np.ndarray, sets: list[np.ndarray]):
+        names, group = np.unique(comp, return_inverse=True)
+        if len(names) < 2:
             return
-        for lo in range(0, len(cid), BLOCK):
-            hi = min(len(cid), lo + BLOCK)
-            for at in range(0, hi, BLOCK):
-                to = min(hi, at + BLOCK)
-                if (comp[lo:hi] == comp[lo]).all() and (comp[at:to] == comp[lo]).all():
-                    continue
-                differ = np.zeros((hi - lo, to - at), np.int16)
-                first = np.full((hi - lo, to - at), len(KEYS), np.int16)
-                for c, part in enumerate(PARTS):
-                    miss = [sig[lo:hi, None, i] != sig[None, at:to, i] for i in part]
-                    of_chunk = np.sum(miss, 0, dtype=np.int16)
-                    differ += of_chunk
-                    for j, m in zip(part, miss):
-                        shared = (of_chunk - m == 0) & (first == len(KEYS))
-                        first[shared] = KEYS.index((c, j))
-                x, y = np.nonzero((differ <= MOST) & (first == k) & (comp[lo:hi, None] != comp[None, at:to]) & (100 * np.minimum(n[lo:hi, None], n[None, at:to]) >= SIMILAR * np.maximum(n[lo:hi, None], n[None, at:to])) & (cid[lo:hi, None] > cid[None, at:to]))
-                u, v = np.nonzero((differ <= MOST) & (first == k) & (comp[lo:hi, None] != comp[None, at:to]) & (100 * np.minimum(n[lo:hi, None], n[None, at:to]) >= SIMILAR * np.maximum(n[lo:hi, None], n[None, at:to])) & (cid[lo:hi, None] < cid[None, at:to])) if at != lo else (x[:0], y[:0])
-                yield np.concatenate([cid[lo:hi][x], cid[at:to][v]]), np.concatenate([cid[at:to][y], cid[lo:hi][u]])
+        size = np.array([len(x) for x in sets])
+        off = np.concatenate([[0], np.cumsum(size)])
+        _, number = np.unique(np.concatenate(sets), return_inverse=True)
+        flag = np.zeros(number.max() + 1, np.int32)
+        for x in range(1, len(cid)):
+            if (group == group[0]).all():
+                return
+            mine = number[off[x] : off[x + 1]]
+            flag[mine] = 1
+            for at in range(0, x, BLOCK):
+                to = min(x, at + BLOCK)
+                common = np.add.reduceat(flag[number[off[at] : off[to]]], off[at:to] - off[at])
+                near = np.flatnonzero((100 * common >= SIMILAR * (size[x] + size[at:to] - common)) & (group[at:to] != group[x])) + at
+                for y in near.tolist():
+                    if group[y] != group[x]:
+                        group[group == group[y]] = group[x]
+                        yield int(cid[x]), int(cid[y])
+            flag[mine] = 0
 
     def run(batches):
         held = None
 
-        def flush(b, last):
+        def solve(b, last):
             """Whole buckets of b; what may go on in the next batch is given back."""
             key = b.column(0).to_numpy()
             cut = np.concatenate([[0], np.flatnonzero(key[1:] != key[:-1]) + 1, [len(key)]])
             done = cut if last else cut[:-1]
-            cid, k, comp, n, sig = b.column(1).to_numpy(), b.column(2).to_numpy(), b.column(3).to_numpy(), b.column(4).to_numpy(), _matrix(b, 5)
+            cid, comp = b.column(1).to_numpy(), b.column(2).to_numpy()
             out = []
-            for s, e in zip(done[:-1], done[1:]):
-                out += pairs(int(k[s]), cid[s:e], comp[s:e], n[s:e], sig[s:e])
-            return out, (None if last else b.slice(cut[-2]))
-
-        def shaped(out):
-            a, b = (np.concatenate([x[i] for x in out]) for i in (0, 1)) if out else (np.zeros(0, np.int64),) * 2
-            return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+            for s, e in zip(done[:-1].tolist(), done[1:].tolist()):
+                out += links(cid[s:e], comp[s:e], [np.frombuffer(x.as_buffer(), np.uint64) for x in b.column(3).slice(s, e - s)])
+            pairs = pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], pa.int64()) for i in (0, 1)], names=["a", "b"])
+            return pairs, (None if last else b.slice(cut[-2]))
 
         for b in batches:
             if not b.num_rows:
                 continue
             b = b if held is None else pa.Table.from_batches([held, b]).combine_chunks().to_batches()[0]
-            out, held = flush(b, False)
-            yield shaped(out)
+            out, held = solve(b, False)
+            yield out
         if held is not None:
-            yield shaped(flush(held, True)[0])
+            yield solve(held, True)[0]
 
-    columns = ["key", "cid", "k", "comp", "n", *[f"g{i}" for i in range(LONGS)]]
-    return members.select(*columns).repartition("key").sortWithinPartitions("key", "cid").mapInArrow(run, "a long, b long")
+    return members.select("key", "cid", "comp", "set").repartition("key").sortWithinPartitions("key", "cid").mapInArrow(run, "a long, b long")
 
 
 def full_sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
@@ -223,11 +224,12 @@ def dedup(docs: DataFrame) -> DataFrame:
     star = star.where(f"100 * least(na, nb) >= {SIMILAR} * greatest(na, nb)").select("a", "b").distinct()
     links = stage(verified(star, sets).distinct())
     comps = components(links)
-    labelled = members.join(comps.withColumnRenamed("node", "cid"), "cid", "left").withColumn("comp", F.coalesce("component", "cid")).select("key", "cid", "k", "comp")
-    open_ = labelled.groupBy("key").agg(F.min("comp").alias("l"), F.max("comp").alias("m")).where("l < m").select("key")
-    rest = labelled.join(open_, "key").join(nodes.select("cid", "n", *sig), "cid")
-    more = verified(stage(across(rest).distinct()), sets).distinct()
-    comps = components(comps.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
+    labelled = members.join(comps.withColumnRenamed("node", "cid"), "cid", "left").withColumn("comp", F.coalesce("component", "cid")).select("key", "cid", "comp")
+    # buckets of several components; of those with the same members one is enough
+    buckets = labelled.groupBy("key").agg(F.min("comp").alias("l"), F.max("comp").alias("m"), F.count(F.lit(1)).alias("c"), F.sum(F.xxhash64("cid").cast("decimal(20,0)")).alias("s")).where("l < m")
+    open_ = buckets.groupBy("c", "s").agg(F.min("key").alias("key")).select("key")
+    rest = labelled.join(open_, "key").join(sets, "cid")
+    comps = components(comps.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(across(rest).distinct()))
     named = classes.select("s1", "s2", "n", "cid").join(comps.withColumnRenamed("node", "cid"), "cid", "left").select("s1", "s2", "n", F.coalesce("component", "cid").alias("component"))
     # rows that share an id may lie in several classes: the class's node names the component all the same
     out = every.select("doc_id", "n", "s1", "s2").join(named, ["s1", "s2", "n"], "left")
