@@ -1,7 +1,8 @@
 """The corpus pipeline: each stage reads what the one before kept, as documents, and writes what it keeps.
 
 The last stage returns the encoded documents: their columns, the number of ids and the digests of ids and of
-the decoded bytes. A null or extra column goes through unchanged, but for `n_chars`, which follows a redacted text.
+the decoded bytes. A null or extra column goes through unchanged, but for `n_chars`, which follows
+a redacted text, and for a column named like one that the last stage makes, which gives way to it.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quadrille.llm import bpe, neardup, pii, quality, queries, templates
-from quadrille.llm.common import row_key, shared_dir, stage, table
+from quadrille.llm.common import row_key, shared_dir, stage, table, whole_row
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -24,10 +25,9 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies the document with the least id stays; of rows that repeat wholly, one."""
-    every = docs.withColumn("_rk", row_key())
-    kept = neardup.dedup(docs).where("kept").select(F.col("doc_id").alias("_id")).distinct()
-    one = every.dropDuplicates(["doc_id", "_rk"])
-    return one.join(kept, one["doc_id"].cast("long").eqNullSafe(kept["_id"]), "left_semi").select(docs.columns)
+    rows = docs.select(whole_row(docs), F.col("doc_id").cast("long").alias("_id"), row_key().alias("_rk")).dropDuplicates(["_id", "_rk"])
+    kept = neardup.dedup(docs).where("kept").select(F.col("doc_id").alias("_kept")).distinct()
+    return rows.join(kept, F.col("_id").eqNullSafe(F.col("_kept")), "left_semi").select("_row.*")
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,15 +38,18 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Spans of personal data become their kind in angle brackets."""
     model = pii.fit(stage(pii.candidates(docs.select("doc_id", "text")).select("cands")))
-    found = pii.redact(pii.spans(pii.candidates(docs), model))
+    found = pii.redact(pii.spans(pii.candidates(docs.select(whole_row(docs), "text")), model))
+    row = F.col("_row").withField("text", F.col("text"))
     if "n_chars" in docs.columns:
-        found = found.withColumn("n_chars", F.when(F.size("spans") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-    return found.select(docs.columns)
+        counted = F.when(F.size("spans") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("_row.n_chars"))
+        row = row.withField("n_chars", counted)
+    return found.select(row.alias("_row")).select("_row.*")
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of every text, as digests."""
-    return bpe.digest(docs, *queries.tokenizer(), extra=tuple(c for c in docs.columns if c not in ("doc_id", "text")))
+    own = {"doc_id", "text", "n_tokens", "ids_sha256", "decoded_sha256"}
+    return bpe.digest(docs, *queries.tokenizer(), extra=tuple(c for c in docs.columns if c not in own))
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

@@ -48,6 +48,11 @@ def row_key(id_col: str = "doc_id", text_col: str = "text") -> Column:
     return F.xxhash64(F.col(id_col), F.col(text_col))
 
 
+def whole_row(df: DataFrame) -> Column:
+    """All columns in one, `_row`, so that their names meet no other."""
+    return F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row")
+
+
 # --- words of whole texts, in numpy -------------------------------------------------------------
 
 _WS = np.zeros(256, bool)

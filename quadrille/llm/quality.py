@@ -17,7 +17,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WHITE, WORD
+from .common import WHITE, WORD, whole_row
 
 BUCKETS = 1 << 14
 TRUSTED = 20_000
@@ -104,8 +104,7 @@ def judge(docs: DataFrame, labels: DataFrame | None, threshold: float = THRESHOL
 
 def kept(docs: DataFrame, table: list[float], threshold: float = THRESHOLD) -> DataFrame:
     """The rows of docs, whole, that stay; no join is needed."""
-    own = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
     text = F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
-    worded = docs.select(own, text).withColumn("words", F.filter(F.split("text", WHITE), lambda w: w != ""))
+    worded = docs.select(whole_row(docs), text).withColumn("words", F.filter(F.split("text", WHITE), lambda w: w != ""))
     # without the row number the filter would be pushed down, and with it a copy of every expression that it needs
     return judged(worded, table, threshold).select("_row", "kept", F.monotonically_increasing_id().alias("_n")).where("kept and _n >= 0").select("_row.*")

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import row_key, stage
+from .common import row_key, stage, whole_row
 
 WINDOW = 8
 SHARE = 0.5
@@ -78,6 +78,7 @@ def report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """docs without those that hold a leak."""
+    """docs without those that hold a leak; other columns go through, whatever their names."""
     bad = leaks(docs, benchmark).select("rk").distinct()
-    return docs.withColumn("rk", row_key()).join(bad, "rk", "left_anti").drop("rk")
+    rows = docs.select(whole_row(docs), row_key().alias("rk"))
+    return rows.join(bad, "rk", "left_anti").select("_row.*")
