@@ -113,9 +113,9 @@ def affine(src: np.ndarray, matrix: np.ndarray, shape: tuple[int, int, int], fil
 def masked_ncc(a: np.ndarray, ma: np.ndarray, b: np.ndarray, mb: np.ndarray, min_overlap: int = 10) -> np.ndarray:
     """Masked normalised cross-correlation of two arrays over all shifts, by FFT (Padfield 2012)."""
     size = [x + y - 1 for x, y in zip(a.shape, b.shape)]
-    flip = tuple(slice(None, None, -1) for _ in b.shape)
-    fwd = lambda v: np.fft.rfftn(v, size)
-    inv = lambda v: np.fft.irfftn(v, size)
+    axes, flip = tuple(range(a.ndim)), tuple(slice(None, None, -1) for _ in b.shape)
+    fwd = lambda v: np.fft.rfftn(v, size, axes=axes)
+    inv = lambda v: np.fft.irfftn(v, size, axes=axes)
     a, b = a * ma, (b * mb)[flip]
     mb = mb[flip].astype(float)
     fa, fb, fma, fmb = fwd(a), fwd(b), fwd(ma.astype(float)), fwd(mb)
