@@ -186,7 +186,7 @@ def export(normalised: DataFrame, folder: str) -> DataFrame:
                 store.create_dir(base, recursive=True)
                 lines = "".join(f"{e['record_id']} {e['type']} {e['offset']} {e['length']} {e['uri']}\n" for e in index)
                 for end, content in (("warc.gz", data), ("cdx", lines.encode())):
-                    with store.open_output_stream(f"{base}/{name}.{end}") as f:
+                    with store.open_output_stream(f"{base}/{name}.{end}", compression=None) as f:
                         f.write(content)
                 yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([len(data)], pa.int64())], names=["archive", "bytes"])
 
