@@ -58,22 +58,20 @@ def contexts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             where = [np.arange(f, l + 1) for f, l in zip(first.tolist(), last.tolist())]
             flat = np.concatenate(where) if where else first
             edges = w.hashes(flat).view(np.int64)
-            s = w.start[flat]
-            nodes = w.roll.slices(s, s + WINDOW - 1).view(np.int64)
-            end = w.start[last]
+            begins, end = w.start[first], w.start[last]
+            in_node = w.roll.slices(begins, begins + WINDOW - 1).view(np.int64)
             out_node = w.roll.slices(end + 1, end + WINDOW).view(np.int64)
             m = last - first + 1
             bounds = np.concatenate([[0], np.cumsum(m)])
             begin = w.first_symbol(b.num_rows)[w.doc[first]]
             yield pa.RecordBatch.from_arrays([
                 pa.array(b.column(0).to_numpy()[w.doc[first]]), pa.array(w.anchor[first].view(np.int64)), pa.array(w.start[first] - begin), pa.array(m),
-                pa.array(edges[bounds[:-1]]), pa.array(edges[bounds[1:] - 1]),
-                pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(edges)),
-                pa.ListArray.from_arrays(pa.array((bounds + np.arange(len(bounds))).astype(np.int32)), pa.array(np.insert(nodes, bounds[1:], out_node)))],
-                names=["rk", "anchor", "at", "m", "f", "l", "edges", "nodes"])
+                pa.array(edges[bounds[:-1]]), pa.array(edges[bounds[1:] - 1]), pa.array(in_node), pa.array(out_node),
+                pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(edges))],
+                names=["rk", "anchor", "at", "m", "f", "l", "enters", "leaves", "edges"])
 
     asked = docs.select("rk", "text").join(wanted, "rk").select("rk", "text", "anchors")
-    return asked.mapInArrow(run, "rk long, anchor long, at long, m long, f long, l long, edges array<long>, nodes array<long>")
+    return asked.mapInArrow(run, "rk long, anchor long, at long, m long, f long, l long, enters long, leaves long, edges array<long>")
 
 
 def repeated_units(docs: DataFrame) -> DataFrame:
@@ -81,19 +79,22 @@ def repeated_units(docs: DataFrame) -> DataFrame:
     counted, placed = anchors(docs)
     found = stage(contexts(docs, wanted_anchors(counted, placed)))
     ctx = ["anchor", "f", "l", "m"]
-    kinds = stage(found.groupBy(*ctx).agg(F.count(F.lit(1)).alias("n"), F.first("rk").alias("rk"), F.first("at").alias("at")))
+    kinds = stage(found.groupBy(*ctx).agg(F.count(F.lit(1)).alias("n"), F.first("rk").alias("rk"), F.first("at").alias("at"), F.first("enters").alias("enters"), F.first("leaves").alias("leaves")))
     # the edges of a context that stands once must be met in another context of the anchor, or again in itself
     single = kinds.where("n = 1").select("anchor").distinct()
-    sources = found.join(kinds.join(single, "anchor").select(*ctx, "n", "rk", "at"), [*ctx, "rk", "at"])
+    sources = kinds.join(single, "anchor").join(found.select(*ctx, "rk", "at", "edges"), [*ctx, "rk", "at"])
     edges = sources.select("anchor", "n", F.explode("edges").alias("edge"))
     twice = edges.groupBy("anchor", "edge").agg(F.sum("n").alias("n")).where("n > 1").select("anchor", "edge")
-    alone = sources.where("n = 1").select(*ctx, F.posexplode("edges").alias("i", "edge")).join(twice, ["anchor", "edge"])
+    alone = sources.where("n = 1").select(*ctx, "enters", "leaves", F.posexplode("edges").alias("i", "edge")).join(twice, ["anchor", "edge"])
     island = F.col("i") - F.row_number().over(Window.partitionBy(*ctx).orderBy("i"))
-    islands = alone.select(*ctx, "i", island.alias("k")).groupBy(*ctx, "k").agg(F.min("i").alias("s"), (F.max("i") + 1).alias("e")).drop("k")
-    some = islands.unionByName(kinds.where("n > 1").select(*ctx, F.lit(0).alias("s"), F.col("m").cast("int").alias("e")))
-    return found.join(some, ctx).select(
-        "rk", (F.col("at") + F.col("s")).alias("s"), (F.col("at") + F.col("e")).alias("e"), F.get("edges", F.col("s")).alias("first"), F.get("edges", F.col("e") - 1).alias("last"),
-        F.get("nodes", F.col("s")).alias("enters"), F.get("nodes", F.col("e")).alias("leaves"), F.xxhash64("anchor", F.get("edges", F.col("s")), F.get("edges", F.col("e") - 1), F.col("e") - F.col("s")).alias("unit"))
+    ends = [F.min("i").alias("s"), (F.max("i") + 1).alias("e"), F.min_by("edge", "i").alias("first"), F.max_by("edge", "i").alias("last"), F.first("enters").alias("enters"), F.first("leaves").alias("leaves")]
+    islands = alone.withColumn("k", island).groupBy(*ctx, "k").agg(*ends).drop("k")
+    # an island that ends inside its context meets no repeated edge there, so that end has a node of its own
+    islands = islands.withColumns({"enters": F.when(F.col("s") == 0, F.col("enters")).otherwise(F.xxhash64("first", F.lit(0))), "leaves": F.when(F.col("e") == F.col("m"), F.col("leaves")).otherwise(F.xxhash64("last", F.lit(1)))})
+    whole = kinds.where("n > 1").select(*ctx, F.lit(0).alias("s"), F.col("m").cast("int").alias("e"), F.col("f").alias("first"), F.col("l").alias("last"), "enters", "leaves")
+    some = islands.unionByName(whole).withColumn("unit", F.xxhash64("anchor", "first", "last", F.col("e") - F.col("s")))
+    placed = found.select("rk", "at", *ctx).join(some, ctx)
+    return placed.select("rk", (F.col("at") + F.col("s")).alias("s"), (F.col("at") + F.col("e")).alias("e"), "first", "last", "enters", "leaves", "unit")
 
 
 def compacted(units: DataFrame) -> DataFrame:
