@@ -509,7 +509,7 @@ def catalog_ingest(spark, d):
         for b in batches:
             out = []
             for r in b.itertuples():
-                scope = f'fov {{ x_size_um: {r.s0 / 1e3!r} y_size_um: 517.5 z_size_um: 398 rotation_radians: 0 }} file_prefix: "ngc" stack_extension: ".tif" autotile {{ }} surface_scan {{ }} pockels {{ laser: Chameleon }} trip_detect {{ ichan: 0 }}'
+                scope = f'fov {{ x_size_um: {r.s0 / 1e3!r} y_size_um: 517.5 z_size_um: 398 rotation_radians: 0 }} file_prefix: "vol" stack_extension: ".tif" autotile {{ }} surface_scan {{ }} pockels {{ laser: Chameleon }} trip_detect {{ ichan: 0 }}'
                 stack = f"x_mm: {r.o0 / 1e6!r}\ny_mm: {r.o1 / 1e6!r}\nz_mm: {r.o2 / 1e6!r}\n"
                 m = textproto.tile(scope, stack, r.path)
                 out.append((m["path"], m["format"], m["ori"][0], m["shape"][0]))

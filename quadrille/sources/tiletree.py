@@ -61,7 +61,7 @@ def scan(spark: SparkSession, path: str, version: str | None = None, dims: list[
 def catalogue(spark: SparkSession, path: str, cache: str = "auto", **options) -> DataFrame:
     """The tree's YAML catalogue if it has one (cache: auto), else a scan; the source is never written to."""
     if cache == "auto":
-        files = spark.read.format("binaryFile").option("pathGlobFilter", yamlcache.NAME).load(path).limit(1)
-        if files.select("path").count():
-            return yamlcache.usable(yamlcache.read(spark, f"{path}/{yamlcache.NAME}"))
+        files = spark.read.format("binaryFile").option("pathGlobFilter", yamlcache.NAME).load(path).select("path").limit(1).collect()
+        if files:
+            return yamlcache.usable(yamlcache.read(spark, files[0].path))
     return scan(spark, path, **options).where("error is null")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 SCHEMA = "path string, ndim int, ori array<bigint>, shape array<bigint>, dtype string, dims array<bigint>, crop array<bigint>, transform array<float>, error string"
 KEYS = {"path", "aabb", "shape", "transform"}
-NAME = "tilebase.cache.yml"
+NAME = "*.cache.yml"
 
 
 def parse(text: str, mode: str = "PERMISSIVE") -> list[tuple]:

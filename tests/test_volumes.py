@@ -6,7 +6,7 @@ from quadrille.operators import render
 from quadrille.sources import textproto, tiletree, volumes, yamlcache
 from quadrille.streaming import ingest
 
-SCOPE = 'fov {{ x_size_um: {0} y_size_um: {1} z_size_um: {2} rotation_radians: 0 }} file_prefix: "ngc" stack_extension: ".npy" {3} # end\n'
+SCOPE = 'fov {{ x_size_um: {0} y_size_um: {1} z_size_um: {2} rotation_radians: 0 }} file_prefix: "vol" stack_extension: ".npy" {3} # end\n'
 STACK = "x_mm: {0}\ny_mm: {1}\nz_mm: {2}\n"
 #: Metadata values and what they are in nm, by single-precision products.
 BOXES = [
@@ -24,7 +24,7 @@ V2 = "daq { nidaq { flyback_scans: 4 } } autotile { }"
 @pytest.mark.parametrize("mm, um, ori, shape", BOXES)
 def test_metadata_boxes(mm, um, ori, shape):
     m = textproto.tile(SCOPE.format(*um, V2), STACK.format(*mm), "/x/00095/")
-    assert (tuple(m["ori"]), tuple(m["shape"]), m["format"], m["volume"]) == (ori, shape, "v2", "/x/00095/00095-ngc.%.npy")
+    assert (tuple(m["ori"]), tuple(m["shape"]), m["format"], m["volume"]) == (ori, shape, "v2", "/x/00095/00095-vol.%.npy")
 
 
 @pytest.mark.parametrize("extra, version", [
@@ -76,7 +76,7 @@ def test_scan(spark, tmp_path):
         d.mkdir(parents=True)
         (d / "x.acquisition").write_text(STACK.format(1, 2, 3))
         (d / "x.microscope").write_text(SCOPE.format(10, 20, 30, V2) if name != "b" else "fov {")
-        np.save(d / f"{d.name}-ngc.0.npy", np.zeros((4, 5, 6), np.uint16))
+        np.save(d / f"{d.name}-vol.0.npy", np.zeros((4, 5, 6), np.uint16))
     (tmp_path / "a" / "x.acquisition").write_text(STACK.format(9, 9, 9))  # a folder with folders is no tile
     rows = {r.path.rsplit("/", 1)[1]: r for r in tiletree.scan(spark, str(tmp_path)).collect()}
     assert set(rows) == {"00001", "00002", "b"} and rows["b"].error and rows["00001"].dims == [6, 5, 4] and rows["00001"].dtype == "u16"
