@@ -32,9 +32,9 @@ from .repeats import asked_windows, covered, places_of, wanted_anchors, windows
 WINDOW, GRAM = 200, 32
 #: A phrase ends where the hash of 8 bytes is a multiple of this power of two.
 PHRASE_BITS, PHRASE_GRAM = 5, 8
-#: Contexts of one anchor in one block, about.
-SALT = 1000
+#: A block's bytes, and contexts of one anchor in one block: about as many bytes.
 BLOCK_BYTES = 1 << 21
+SALT = 8192
 
 
 def suffix_array(s: list[int]) -> list[int]:
@@ -214,7 +214,8 @@ def contexts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def sorted_blocks(sources: DataFrame) -> DataFrame:
-    """anchor, f, l, m, s, e, edge: islands of windows that stand twice in a block (edge null), and of salted anchors every window's hash."""
+    """anchor, f, l, m, s, e, edge: islands of windows that stand twice in a block (edge null); of salted anchors
+    the hash of every other window, and each hash of those that do stand twice (settled) once."""
 
     def solve(rows: pa.Table):
         bodies = [x.as_buffer().to_pybytes() for x in rows.column("body").combine_chunks()]
@@ -225,10 +226,14 @@ def sorted_blocks(sources: DataFrame) -> DataFrame:
         cut[1:] = (who[k[1:]] != who[k[:-1]]) | (start[k[1:]] != start[k[:-1]] + 1)
         first = np.flatnonzero(cut)
         a, z = k[first], k[np.append(first[1:], len(k)) - 1] if len(first) else k
-        open_ = np.flatnonzero(col["salts"][who] > 1)
+        # of a salted anchor: windows that are not settled, and of the settled ones one for each hash
+        salted = np.flatnonzero(col["salts"][who] > 1)
+        settled = salted[twice[salted]]
+        settled = settled[np.unique(mix(hashes[settled] + mix(col["anchor"][who[settled]].view(np.uint64))), return_index=True)[1]]
+        open_ = np.concatenate([salted[~twice[salted]], settled])
         i = np.concatenate([who[a], who[open_]])
         edge = pa.array(np.concatenate([np.zeros(len(a), np.int64), hashes[open_].view(np.int64)]), mask=np.arange(len(i)) < len(a))
-        return pa.RecordBatch.from_arrays([*[pa.array(col[c][i]) for c in ("anchor", "f", "l", "m")], pa.array(np.concatenate([start[a], start[open_]])), pa.array(np.concatenate([start[z], start[open_]]) + 1), edge], names=["anchor", "f", "l", "m", "s", "e", "edge"])
+        return pa.RecordBatch.from_arrays([*[pa.array(col[c][i]) for c in ("anchor", "f", "l", "m")], pa.array(np.concatenate([start[a], start[open_]])), pa.array(np.concatenate([start[z], start[open_]]) + 1), edge, pa.array(np.concatenate([np.ones(len(a), bool), twice[open_]]))], names=["anchor", "f", "l", "m", "s", "e", "edge", "settled"])
 
     def run(batches):
         held, size = [], 0
@@ -256,7 +261,7 @@ def sorted_blocks(sources: DataFrame) -> DataFrame:
             yield solve(pa.Table.from_batches(held))
 
     columns = ["anchor", "salt", "f", "l", "m", "n", "salts", "body"]
-    return sources.select(*columns).repartition("anchor", "salt").sortWithinPartitions("anchor", "salt").mapInArrow(run, "anchor long, f long, l long, m long, s long, e long, edge long")
+    return sources.select(*columns).repartition("anchor", "salt").sortWithinPartitions("anchor", "salt").mapInArrow(run, "anchor long, f long, l long, m long, s long, e long, edge long, settled boolean")
 
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
@@ -269,7 +274,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     solved = stage(sorted_blocks(sources))
     opened = solved.where("edge is not null")
     twice = opened.groupBy("anchor", "edge").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("anchor", "edge")
-    more = opened.join(twice, ["anchor", "edge"]).select(*ctx, "s", "e")
+    more = opened.where("not settled").join(twice, ["anchor", "edge"]).select(*ctx, "s", "e")
     islands = solved.where("edge is null").select(*ctx, "s", "e").unionByName(more)
     return found.select("rk", "at", *ctx).join(islands, ctx).select("rk", (F.col("at") + F.col("s")).alias("s"), (F.col("at") + F.col("e") + (WINDOW - 1)).alias("e"))
 
