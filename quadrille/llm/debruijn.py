@@ -2,7 +2,7 @@
 
 Token k-mers (WINDOW successive words) are edges from the node of their first WINDOW - 1 words to the node of their
 last. Edges that stand at two places or more are kept. Within a context (see `repeats`) successive repeated edges
-form a unit; units that meet at a node which no other unit enters or leaves are joined, and the chains of joins
+form a unit; contexts are equal if all their edges are. Units that meet at a node which no other unit enters or leaves are joined, and the chains of joins
 compact to paths (Spark joins on the node, connected components over the joints). Paths keep the coordinates of
 their units in the sources: row, first word, last word. A path's spans are verified there: each
 must be whole windows, and each edge must have a second place. The words that verified spans cover are removed.
@@ -21,9 +21,10 @@ from pyspark.sql import functions as F
 
 from .common import mix, pieces, row_key, stage, texts_of, words_of
 from .components import components
-from .repeats import asked_windows, covered, places_of, wanted_anchors, windows
+from .repeats import MOST_WINDOWS, asked_windows, covered, places_of, wanted_anchors, windows
 
 WINDOW, GRAM = 35, 8
+TOTAL_BITS = MOST_WINDOWS.bit_length() - 1
 
 
 def _cut(column: pa.Array):
@@ -48,8 +49,13 @@ def anchors(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     return docs.mapInArrow(counts, "anchor long, n long"), docs.mapInArrow(places, "anchor long, rk long")
 
 
+def _total(edges: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Of each context, the sum of its edges without their lowest TOTAL_BITS bits (no overflow over MOST_WINDOWS edges)."""
+    return np.add.reduceat(edges >> TOTAL_BITS, bounds[:-1]) if len(edges) else edges
+
+
 def contexts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """The runs of windows of each text whose anchor is wanted: rk, place of the first word, edges and nodes."""
+    """The runs of windows of each text whose anchor is wanted: rk, place of the first word, edges, their sum and nodes."""
 
     def run(batches):
         for b in pieces(batches):
@@ -66,19 +72,20 @@ def contexts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             begin = w.first_symbol(b.num_rows)[w.doc[first]]
             yield pa.RecordBatch.from_arrays([
                 pa.array(b.column(0).to_numpy()[w.doc[first]]), pa.array(w.anchor[first].view(np.int64)), pa.array(w.start[first] - begin), pa.array(m),
-                pa.array(edges[bounds[:-1]]), pa.array(edges[bounds[1:] - 1]), pa.array(in_node), pa.array(out_node),
+                pa.array(edges[bounds[:-1]]), pa.array(edges[bounds[1:] - 1]), pa.array(_total(edges, bounds)), pa.array(in_node), pa.array(out_node),
                 pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(edges))],
-                names=["rk", "anchor", "at", "m", "f", "l", "enters", "leaves", "edges"])
+                names=["rk", "anchor", "at", "m", "f", "l", "total", "enters", "leaves", "edges"])
 
     asked = docs.select("rk", "text").join(wanted, "rk").select("rk", "text", "anchors")
-    return asked.mapInArrow(run, "rk long, anchor long, at long, m long, f long, l long, enters long, leaves long, edges array<long>")
+    return asked.mapInArrow(run, "rk long, anchor long, at long, m long, f long, l long, total long, enters long, leaves long, edges array<long>")
 
 
 def repeated_units(docs: DataFrame) -> DataFrame:
     """Successive repeated edges of one context: rk, s, e (first edge and end), first and last edge, and their nodes."""
     counted, placed = anchors(docs)
     found = stage(contexts(docs, wanted_anchors(counted, placed)))
-    ctx = ["anchor", "f", "l", "m"]
+    # the end windows say nothing of what lies between two places of one anchor: the sum of all edges is part of the key
+    ctx = ["anchor", "f", "l", "m", "total"]
     kinds = stage(found.groupBy(*ctx).agg(F.count(F.lit(1)).alias("n"), F.first("rk").alias("rk"), F.first("at").alias("at"), F.first("enters").alias("enters"), F.first("leaves").alias("leaves")))
     # the edges of a context that stands once must be met in another context of the anchor, or again in itself
     single = kinds.where("n = 1").select("anchor").distinct()
@@ -87,12 +94,12 @@ def repeated_units(docs: DataFrame) -> DataFrame:
     twice = edges.groupBy("anchor", "edge").agg(F.sum("n").alias("n")).where("n > 1").select("anchor", "edge")
     alone = sources.where("n = 1").select(*ctx, "enters", "leaves", F.posexplode("edges").alias("i", "edge")).join(twice, ["anchor", "edge"])
     island = F.col("i") - F.row_number().over(Window.partitionBy(*ctx).orderBy("i"))
-    ends = [F.min("i").alias("s"), (F.max("i") + 1).alias("e"), F.min_by("edge", "i").alias("first"), F.max_by("edge", "i").alias("last"), F.first("enters").alias("enters"), F.first("leaves").alias("leaves")]
+    ends = [F.min("i").alias("s"), (F.max("i") + 1).alias("e"), F.min_by("edge", "i").alias("first"), F.max_by("edge", "i").alias("last"), F.sum(F.shiftright("edge", TOTAL_BITS)).alias("sum"), F.first("enters").alias("enters"), F.first("leaves").alias("leaves")]
     islands = alone.withColumn("k", island).groupBy(*ctx, "k").agg(*ends).drop("k")
     # an island that ends inside its context meets no repeated edge there, so that end has a node of its own
     islands = islands.withColumns({"enters": F.when(F.col("s") == 0, F.col("enters")).otherwise(F.xxhash64("first", F.lit(0))), "leaves": F.when(F.col("e") == F.col("m"), F.col("leaves")).otherwise(F.xxhash64("last", F.lit(1)))})
-    whole = kinds.where("n > 1").select(*ctx, F.lit(0).alias("s"), F.col("m").cast("int").alias("e"), F.col("f").alias("first"), F.col("l").alias("last"), "enters", "leaves")
-    some = islands.unionByName(whole).withColumn("unit", F.xxhash64("anchor", "first", "last", F.col("e") - F.col("s")))
+    whole = kinds.where("n > 1").select(*ctx, F.lit(0).alias("s"), F.col("m").cast("int").alias("e"), F.col("f").alias("first"), F.col("l").alias("last"), F.col("total").alias("sum"), "enters", "leaves")
+    some = islands.unionByName(whole).withColumn("unit", F.xxhash64("anchor", "first", "last", "sum", F.col("e") - F.col("s")))
     placed = found.select("rk", "at", *ctx).join(some, ctx)
     return placed.select("rk", (F.col("at") + F.col("s")).alias("s"), (F.col("at") + F.col("e")).alias("e"), "first", "last", "enters", "leaves", "unit")
 

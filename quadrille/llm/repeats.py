@@ -3,8 +3,8 @@
 A sequence of symbols (words or bytes) is cut by window minima. Of every window of LENGTH symbols the least hash
 of its GRAM-symbol grams is the anchor, so equal windows have equal anchors. A run of successive windows with
 one anchor is a context. Only anchors that stand at two places or more can belong to a repeated window; their
-contexts are small and are what is shuffled, keyed by (anchor, hashes of the first and the last window, number of
-windows). Two windows are taken as equal when both the anchor and the window's hash agree (2 x 64 bits).
+contexts are small and are what is shuffled, keyed by the anchor, hashes of the first and the last window, a hash of all that
+they hold and the number of windows. Two windows are taken as equal when both the anchor and the window's hash agree (2 x 64 bits).
 """
 
 from __future__ import annotations

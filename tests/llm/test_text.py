@@ -119,6 +119,32 @@ def test_repeated_bytes(spark, docs, rows, salt, monkeypatch):
     assert collections.Counter(tuple(r) for r in suffixes.digest(d).collect()) == want
 
 
+def repeated_line(words, module):
+    """Of a text of these words, the gram with the least hash: it is the anchor of every window that holds it."""
+    import pyarrow as pa
+
+    text = " ".join(words)
+    grams = module._cut(pa.array([text]))[-1].grams
+    at = int(grams.argmin())
+    return words[at : at + module.GRAM] if module is debruijn else text[at : at + module.GRAM]
+
+
+def test_changed_word_within_a_repeated_line(spark):
+    """A context that holds its anchor twice: its end windows agree in both copies, what lies between does not."""
+    rnd = random.Random(12)
+    w = lambda n: [f"w{rnd.randrange(10**6)}" for _ in range(n)]
+    q = repeated_line(w(6000), debruijn)
+    d = []
+    for k in range(6):
+        a, b, m = w(40), w(40), w(15)
+        for x in ("one", "two", "two")[: 2 + k % 2]:
+            d.append((len(d), " ".join(a + q + m[:7] + [x] + m[8:] + q + b)))
+    words = [tuple(t.split()) for _, t in d]
+    want = [(i, len(w), sum(m), hashlib.sha256(" ".join(x for x, y in zip(w, m) if not y).encode()).hexdigest()) for (i, _), w, m in zip(d, words, covered(words, debruijn.WINDOW))]
+    assert any(0 < n - gone for _, n, gone, _ in want)
+    assert sorted(tuple(r) for r in debruijn.digest(spark.createDataFrame(d, "doc_id long, text string")).collect()) == want
+
+
 def test_suffix_array():
     rnd = random.Random(6)
     for _ in range(400):
