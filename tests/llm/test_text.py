@@ -310,6 +310,19 @@ def test_scores(spark, docs, rows):
     assert all(r.score < 0 for r in got)
 
 
+def test_pairs_of_the_corpus(spark, monkeypatch):
+    """Which word follows which is learned from every training text, not only from the head's sample."""
+    monkeypatch.setattr(attention, "SAMPLE_TEXTS", 2)
+    monkeypatch.setattr(attention, "STEPS", 5)
+    out = [i for i in range(20000, 21000) if zlib.crc32(str(i).encode()) % 10 == 0][:2]
+    rows = [(i, ("red house blue river ", "green stone white cloud ")[i % 2] * 5) for i in range(400)]
+    rows += [(out[0], "red house blue river " * 5), (out[1], "red river blue house " * 5)]
+    got = {r.doc_id: r for r in attention.scored(spark.createDataFrame(rows, "doc_id long, text string"), *queries.tokenizer()).collect()}
+    good, bad = got[out[0]], got[out[1]]
+    assert good.held_out and bad.held_out and abs(good.base_score - bad.base_score) < 1e-9
+    assert good.score > bad.score + 15
+
+
 def test_attention_windows():
     """Overlapping windows give each id the score of its own window, computed alone; training beats even odds."""
     import numpy as np
