@@ -323,6 +323,22 @@ def test_pairs_of_the_corpus(spark, monkeypatch):
     assert good.score > bad.score + 15
 
 
+def test_probabilities_of_ids():
+    """Given what stands before, the ids' probabilities sum to one; equal classes do not make equal inputs."""
+    import numpy as np
+
+    r = np.random.default_rng(2)
+    text = r.integers(0, 40, 4000)
+    kind, share = attention.classes_of(np.bincount(text, minlength=60).astype(np.float64))
+    head = attention.train([text[i : i + 100] for i in range(0, 4000, 100)], steps=30, kind=kind)
+    assert head.w["e"].shape == (61, attention.WIDTH) and len(np.unique(head.w["e"][:40], axis=0)) == 40
+    start = text[:20]
+    prior = np.array([attention.score(head, kind[np.append(start, k)], np.array([21]), ids=np.append(start, k))[-1] + share[k] for k in range(60)])
+    assert abs((10.0**prior).sum() - 1) < 1e-4
+    pair = np.bincount(text[1:][text[:-1] == start[-1]], minlength=60)
+    assert abs((10.0 ** attention.mixed(prior, pair, np.full(60, pair.sum()))).sum() - 1) < 1e-4
+
+
 def test_attention_windows():
     """Overlapping windows give each id the score of its own window, computed alone; training beats even odds."""
     import numpy as np
