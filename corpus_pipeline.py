@@ -24,9 +24,9 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document with the least id stays; of rows that repeat wholly, one."""
+    """Of each group of near copies (similarity 0.8 or more) the document with the least id stays; of rows that repeat wholly, one."""
     rows = docs.select(whole_row(docs), F.col("doc_id").cast("long").alias("_id"), row_key().alias("_rk")).dropDuplicates(["_id", "_rk"])
-    kept = neardup.dedup(docs).where("kept").select(F.col("doc_id").alias("_kept")).distinct()
+    kept = neardup.dedup(docs, **neardup.AT_80).where("kept").select(F.col("doc_id").alias("_kept")).distinct()
     return rows.join(kept, F.col("_id").eqNullSafe(F.col("_kept")), "left_semi").select("_row.*")
 
 

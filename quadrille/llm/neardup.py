@@ -4,8 +4,8 @@ A document's set holds its distinct 5-word shingles (64-bit hashes of the words,
 are one class from the start. A class has POSITIONS minima of BITS bits. Two signatures that differ in at most
 MOST positions agree, by pigeonhole, in one of CHUNKS chunks up to one position (MOST // CHUNKS = 1), so each
 class is entered once for every chunk and every position of it left out: no pair under the distance is missed.
-At a similarity of 0.85 a position differs with probability 0.15; of 48 more than 20 do so in fewer than two
-of a million pairs.
+`dedup` has the similarity, MOST and CHUNKS as parameters. At a similarity of 0.85 a position differs with probability 0.15; of 48 more than 20 do so in fewer than two
+of a million pairs. For 0.80 (AT_80) the bound is 25 positions in 13 chunks: more differ in fewer than one of a million pairs.
 
 Buckets are not expanded into pairs. First every member meets the least member of its bucket; verified links give
 components. Only buckets that still hold several components are searched for links between those, in blocks and on
@@ -35,8 +35,17 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _TIMES = mix(np.arange(1, POSITIONS + 1, dtype=np.uint64)) | np.uint64(1)
 _PLUS = mix(np.arange(1001, POSITIONS + 1001, dtype=np.uint64))
-PARTS = [p.tolist() for p in np.array_split(np.arange(POSITIONS), CHUNKS)]
-KEYS = [(c, j) for c, part in enumerate(PARTS) for j in part]
+#: Similarity and number of chunks of signatures that differ in at most 2 * chunks - 1 positions.
+AT_80 = {"similar": 80, "chunks": 13}
+
+
+def chunked(chunks: int) -> tuple[list[list[int]], list[tuple[int, int]]]:
+    """Positions of each chunk; and every chunk with each of its positions."""
+    parts = [p.tolist() for p in np.array_split(np.arange(POSITIONS), chunks)]
+    return parts, [(c, j) for c, part in enumerate(parts) for j in part]
+
+
+PARTS, KEYS = chunked(CHUNKS)
 
 
 def sets_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -97,8 +106,9 @@ def _matrix(b: pa.RecordBatch, at: int) -> np.ndarray:
     return np.ascontiguousarray(np.stack([b.column(at + i).to_numpy() for i in range(LONGS)], 1)).view(np.uint16)
 
 
-def keys(classes: DataFrame) -> DataFrame:
+def keys(classes: DataFrame, chunks: int = CHUNKS) -> DataFrame:
     """key, cid: a class under every chunk with one of its positions left out."""
+    parts, places = chunked(chunks)
 
     def run(batches):
         for b in batches:
@@ -106,19 +116,19 @@ def keys(classes: DataFrame) -> DataFrame:
                 part = b.slice(at, 5000)
                 sig = _matrix(part, 1).astype(np.uint64)
                 found = []
-                for k, (c, j) in enumerate(KEYS):
+                for k, (c, j) in enumerate(places):
                     x = np.full(len(sig), k + 1, np.uint64)
-                    for i in PARTS[c]:
+                    for i in parts[c]:
                         if i != j:
                             x = mix(x * np.uint64(0x9E3779B97F4A7C15) + sig[:, i])
                     found.append(x.view(np.int64))
-                cid = np.tile(part.column(0).to_numpy(), len(KEYS))
+                cid = np.tile(part.column(0).to_numpy(), len(places))
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found)), pa.array(cid)], names=["key", "cid"])
 
     return classes.select("cid", *[f"g{i}" for i in range(LONGS)]).mapInArrow(run, "key long, cid long")
 
 
-def across(members: DataFrame) -> DataFrame:
+def across(members: DataFrame, similar: int = SIMILAR) -> DataFrame:
     """a, b: links between components of a bucket, enough to connect all that are linked there, and no more.
 
     A bucket's sets are numbered once; each set then meets those of a block by one gather and one sum. A pair whose
@@ -141,7 +151,7 @@ def across(members: DataFrame) -> DataFrame:
             for at in range(0, x, BLOCK):
                 to = min(x, at + BLOCK)
                 common = np.add.reduceat(flag[number[off[at] : off[to]]], off[at:to] - off[at])
-                near = np.flatnonzero((100 * common >= SIMILAR * (size[x] + size[at:to] - common)) & (group[at:to] != group[x])) + at
+                near = np.flatnonzero((100 * common >= similar * (size[x] + size[at:to] - common)) & (group[at:to] != group[x])) + at
                 for y in near.tolist():
                     if group[y] != group[x]:
                         group[group == group[y]] = group[x]
@@ -188,7 +198,7 @@ def full_sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
     return docs.join(ids, "cid", "left_semi").mapInArrow(run, "cid long, set binary")
 
 
-def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def verified(pairs: DataFrame, sets: DataFrame, similar: int = SIMILAR) -> DataFrame:
     """The pairs whose full sets are similar enough."""
 
     def run(batches):
@@ -196,11 +206,11 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             keep = np.zeros(b.num_rows, bool)
             for i, (x, y) in enumerate(zip(b.column(2), b.column(3))):
                 x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                if 100 * min(len(x), len(y)) >= SIMILAR * max(len(x), len(y)):
+                if 100 * min(len(x), len(y)) >= similar * max(len(x), len(y)):
                     both = np.concatenate([x, y])
                     both.sort()
                     common = int((both[1:] == both[:-1]).sum())
-                    keep[i] = 100 * common >= SIMILAR * (len(x) + len(y) - common)
+                    keep[i] = 100 * common >= similar * (len(x) + len(y) - common)
             yield pa.RecordBatch.from_arrays([b.column(0).filter(pa.array(keep)), b.column(1).filter(pa.array(keep))], names=["a", "b"])
 
     one = sets.select(F.col("cid").alias("a"), F.col("set").alias("x"))
@@ -208,28 +218,28 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(one, "a").join(two, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
-def dedup(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept for every row of docs."""
+def dedup(docs: DataFrame, similar: int = SIMILAR, chunks: int = CHUNKS) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept for every row of docs; links have a similarity of `similar` in a hundred or more."""
     every = stage(describe(docs))
     sig = [f"g{i}" for i in range(LONGS)]
     classes = stage(every.where("n > 0").groupBy("s1", "s2", "n").agg(F.min("doc_id").alias("cid"), *[F.first(g).alias(g) for g in sig]))
     nodes = classes.where("cid is not null")
-    entered = keys(nodes)
+    entered = keys(nodes, chunks)
     shared = entered.groupBy("key").agg(F.min("cid").alias("least"), F.max("cid").alias("most")).where("least < most").drop("most")
     members = stage(entered.join(shared, "key"))
     sets = stage(full_sets(docs, members.select("cid").distinct()))
     sizes = nodes.select("cid", "n")
     star = members.where("cid > least").select(F.col("cid").alias("a"), F.col("least").alias("b")).distinct()
     star = star.join(sizes.select(F.col("cid").alias("a"), F.col("n").alias("na")), "a").join(sizes.select(F.col("cid").alias("b"), F.col("n").alias("nb")), "b")
-    star = star.where(f"100 * least(na, nb) >= {SIMILAR} * greatest(na, nb)").select("a", "b").distinct()
-    links = stage(verified(star, sets).distinct())
+    star = star.where(f"100 * least(na, nb) >= {similar} * greatest(na, nb)").select("a", "b").distinct()
+    links = stage(verified(star, sets, similar).distinct())
     comps = components(links)
     labelled = members.join(comps.withColumnRenamed("node", "cid"), "cid", "left").withColumn("comp", F.coalesce("component", "cid")).select("key", "cid", "comp")
     # buckets of several components; of those with the same members one is enough
     buckets = labelled.groupBy("key").agg(F.min("comp").alias("l"), F.max("comp").alias("m"), F.count(F.lit(1)).alias("c"), F.sum(F.xxhash64("cid").cast("decimal(20,0)")).alias("s")).where("l < m")
     open_ = buckets.groupBy("c", "s").agg(F.min("key").alias("key")).select("key")
     rest = labelled.join(open_, "key").join(sets, "cid")
-    comps = components(comps.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(across(rest).distinct()))
+    comps = components(comps.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(across(rest, similar).distinct()))
     named = classes.select("s1", "s2", "n", "cid").join(comps.withColumnRenamed("node", "cid"), "cid", "left").select("s1", "s2", "n", F.coalesce("component", "cid").alias("component"))
     # rows that share an id may lie in several classes: the class's node names the component all the same
     out = every.select("doc_id", "n", "s1", "s2").join(named, ["s1", "s2", "n"], "left")

@@ -58,6 +58,27 @@ def test_archives(spark, tmp_path, monkeypatch):
     assert heads == len(rows)
 
 
+def test_near_duplicates_of_the_pipeline(spark):
+    """Copies at 0.80 to 0.85 go, those below 0.80 stay: the stage's rows against all pairs of sets."""
+    import random
+
+    import corpus_pipeline as pipeline
+
+    rnd, rows = random.Random(14), []
+    for k in range(30):
+        w = [f"b{rnd.randrange(10**6)}" for _ in range(154)]
+        copy = list(w)
+        for i in range(1 + k % 6):
+            copy[10 + 20 * i] = f"e{k}"
+        rows += [(2 * k, " ".join(w)), (2 * k + 1, " ".join(copy))]
+    sets = [{tuple(t.split()[i : i + 5]) for i in range(150)} for _, t in rows]
+    share = [len(sets[i] & sets[i + 1]) / len(sets[i] | sets[i + 1]) for i in range(0, 60, 2)]
+    assert any(0.8 <= x < 0.85 for x in share) and any(0.7 < x < 0.8 for x in share)
+    assert all(not sets[i] & sets[j] for i in range(60) for j in range(i) if i // 2 != j // 2)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id for r in pipeline.near_duplicates(spark, docs, SF).collect()} == {2 * k for k in range(30)} | {2 * k + 1 for k in range(30) if share[k] < 0.8}
+
+
 def test_pipeline(spark, tmp_path):
     import corpus_pipeline as pipeline
 
