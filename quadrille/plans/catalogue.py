@@ -231,6 +231,13 @@ def any_tiles_semi(spark, d):
     return boxjoin.any_hit(t, t.where("id % 40 = 0 and s0 > 377200")).select("id")
 
 
+@query()
+def any_tiles_whole(spark, d):
+    """The same against every tile of the table; tests hold it against brute force."""
+    t = views.tiles(spark, d)
+    return boxjoin.any_hit(t, t).select("id")
+
+
 # --- addresses and trees -----------------------------------------------------------------------------
 
 ADDR = "a as (select o_orderkey as id, cast(list_aggregate(list_transform(range(1 + o_orderkey % 7), lambda k: cast(1 + (o_orderkey // (k + 1) + k) % 8 as varchar)), 'string_agg', '') as bigint) as addr from orders)"

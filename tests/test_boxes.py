@@ -101,3 +101,14 @@ def test_roots_and_bounds(spark):
     assert (b.ori, b.shape) == ([-11, 20, -13], [121, 200, 343])
     with pytest.raises(Exception):
         catalog.bounds_nd(spark.createDataFrame([(A,), (B,)], "box " + aabb.BOX)).collect()
+
+
+def test_any_tiles_of_the_whole_table(spark):
+    """No tile of the table is left out as a box to hit; a tile without extent hits nothing."""
+    from quadrille.plans import catalogue, views
+
+    d = "/root/testdata/sf0.001"
+    t = views.tiles(spark, d).collect()
+    box = [[(r[f"o{k}"], r[f"e{k}"]) for k in range(3)] for r in t]
+    hit = lambda a, b: all(x[0] < y[1] and y[0] < x[1] for x, y in zip(a, b))
+    assert sorted(r.id for r in catalogue.QUERIES["any_tiles_whole"](spark, d).collect()) == sorted(r.id for r, a in zip(t, box) if any(hit(a, b) for b in box))
