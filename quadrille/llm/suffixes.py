@@ -199,27 +199,28 @@ def contexts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             data, off, w = _cut(b.column(1))
             first, last = w.runs(asked_windows(w, b.column(2)))
             m = last - first + 1
-            f, l = w.hashes(first), w.hashes(last)
-            key = mix(f + mix(l + mix(m.astype(np.uint64) + w.anchor[first])))
+            s, e = w.start[first], w.start[last] + WINDOW
+            # the end windows say nothing of what lies between two places of one anchor: the whole body is hashed too
+            ends, whole = mix(w.hashes(first) + mix(w.hashes(last))), w.roll.slices(s, e)
+            key = mix(ends + mix(whole + mix(m.astype(np.uint64) + w.anchor[first])))
             lead = np.zeros(len(first), bool)
             lead[np.unique(key, return_index=True)[1]] = True
-            s, e = w.start[first], w.start[last] + WINDOW
             raw = data.tobytes()
             body = [raw[x:y] if k else None for x, y, k in zip(s.tolist(), e.tolist(), lead.tolist())]
             d = w.doc[first]
-            yield pa.RecordBatch.from_arrays([pa.array(b.column(0).to_numpy()[d]), pa.array(w.anchor[first].view(np.int64)), pa.array(s - off[d]), pa.array(m), pa.array(f.view(np.int64)), pa.array(l.view(np.int64)), pa.array(body, pa.binary())], names=["rk", "anchor", "at", "m", "f", "l", "body"])
+            yield pa.RecordBatch.from_arrays([pa.array(b.column(0).to_numpy()[d]), pa.array(w.anchor[first].view(np.int64)), pa.array(s - off[d]), pa.array(m), pa.array(ends.view(np.int64)), pa.array(whole.view(np.int64)), pa.array(body, pa.binary())], names=["rk", "anchor", "at", "m", "ends", "whole", "body"])
 
     asked = docs.select("rk", "text").join(wanted, "rk").select("rk", "text", "anchors")
-    return asked.mapInArrow(run, "rk long, anchor long, at long, m long, f long, l long, body binary")
+    return asked.mapInArrow(run, "rk long, anchor long, at long, m long, ends long, whole long, body binary")
 
 
 def sorted_blocks(sources: DataFrame) -> DataFrame:
-    """anchor, f, l, m, s, e, edge: islands of windows that stand twice in a block (edge null); of salted anchors
+    """anchor, ends, whole, m, s, e, edge: islands of windows that stand twice in a block (edge null); of salted anchors
     the hash of every other window, and each hash of those that do stand twice (settled) once."""
 
     def solve(rows: pa.Table):
         bodies = [x.as_buffer().to_pybytes() for x in rows.column("body").combine_chunks()]
-        col = {c: rows.column(c).to_numpy() for c in ("anchor", "f", "l", "m", "n", "salts")}
+        col = {c: rows.column(c).to_numpy() for c in ("anchor", "ends", "whole", "m", "n", "salts")}
         who, start, hashes, twice = repeated_windows(bodies, col["n"], col["anchor"])
         k = np.flatnonzero(twice)
         cut = np.ones(len(k), bool)
@@ -233,7 +234,7 @@ def sorted_blocks(sources: DataFrame) -> DataFrame:
         open_ = np.concatenate([salted[~twice[salted]], settled])
         i = np.concatenate([who[a], who[open_]])
         edge = pa.array(np.concatenate([np.zeros(len(a), np.int64), hashes[open_].view(np.int64)]), mask=np.arange(len(i)) < len(a))
-        return pa.RecordBatch.from_arrays([*[pa.array(col[c][i]) for c in ("anchor", "f", "l", "m")], pa.array(np.concatenate([start[a], start[open_]])), pa.array(np.concatenate([start[z], start[open_]]) + 1), edge, pa.array(np.concatenate([np.ones(len(a), bool), twice[open_]]))], names=["anchor", "f", "l", "m", "s", "e", "edge", "settled"])
+        return pa.RecordBatch.from_arrays([*[pa.array(col[c][i]) for c in ("anchor", "ends", "whole", "m")], pa.array(np.concatenate([start[a], start[open_]])), pa.array(np.concatenate([start[z], start[open_]]) + 1), edge, pa.array(np.concatenate([np.ones(len(a), bool), twice[open_]]))], names=["anchor", "ends", "whole", "m", "s", "e", "edge", "settled"])
 
     def run(batches):
         held, size = [], 0
@@ -260,17 +261,17 @@ def sorted_blocks(sources: DataFrame) -> DataFrame:
         if held:
             yield solve(pa.Table.from_batches(held))
 
-    columns = ["anchor", "salt", "f", "l", "m", "n", "salts", "body"]
-    return sources.select(*columns).repartition("anchor", "salt").sortWithinPartitions("anchor", "salt").mapInArrow(run, "anchor long, f long, l long, m long, s long, e long, edge long, settled boolean")
+    columns = ["anchor", "salt", "ends", "whole", "m", "n", "salts", "body"]
+    return sources.select(*columns).repartition("anchor", "salt").sortWithinPartitions("anchor", "salt").mapInArrow(run, "anchor long, ends long, whole long, m long, s long, e long, edge long, settled boolean")
 
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
     """rk, s, e: the bytes that repeated windows cover; docs has rk and text."""
     found = stage(contexts(docs, wanted_anchors(*anchors(docs))))
-    ctx = ["anchor", "f", "l", "m"]
+    ctx = ["anchor", "ends", "whole", "m"]
     kinds = found.groupBy(*ctx).agg(F.count(F.lit(1)).alias("n"), F.max("body").alias("body"))
     per = found.select(*ctx).distinct().groupBy("anchor").agg(F.count(F.lit(1)).alias("c")).select("anchor", F.ceil(F.col("c") / SALT).cast("long").alias("salts"))
-    sources = kinds.join(per, "anchor").withColumn("salt", F.pmod(F.xxhash64("f", "l", "m"), F.col("salts")))
+    sources = kinds.join(per, "anchor").withColumn("salt", F.pmod(F.xxhash64("ends", "whole", "m"), F.col("salts")))
     solved = stage(sorted_blocks(sources))
     opened = solved.where("edge is not null")
     twice = opened.groupBy("anchor", "edge").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("anchor", "edge")

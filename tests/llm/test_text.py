@@ -145,6 +145,21 @@ def test_changed_word_within_a_repeated_line(spark):
     assert sorted(tuple(r) for r in debruijn.digest(spark.createDataFrame(d, "doc_id long, text string")).collect()) == want
 
 
+def test_changed_byte_within_a_repeated_line(spark):
+    rnd = random.Random(13)
+    s = lambda n: "".join(rnd.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(n))
+    q = repeated_line([s(30000)], suffixes)
+    d = []
+    for k in range(6):
+        a, b, m = s(300), s(300), s(60)
+        for x in "122"[: 2 + k % 2]:
+            d.append((len(d), a + q + m[:30] + x + m[31:] + q + b))
+    raw = [t.encode() for _, t in d]
+    want = [(i, len(t), sum(m), hashlib.sha256(bytes(x for x, y in zip(t, m) if not y)).hexdigest()) for (i, _), t, m in zip(d, raw, covered(raw, suffixes.WINDOW))]
+    assert any(0 < n - gone for _, n, gone, _ in want)
+    assert sorted((r.doc_id, r.n_bytes, r.n_removed, r.kept_sha256) for r in suffixes.digest(spark.createDataFrame(d, "doc_id long, text string")).collect()) == want
+
+
 def test_suffix_array():
     rnd = random.Random(6)
     for _ in range(400):
