@@ -30,7 +30,7 @@ BASE = {
 #: The weak patterns.
 WEAK = {
     "email": r"[A-Za-z0-9._%+-]{1,64}+ ?(?:\[at\]|\(at\)) ?[A-Za-z0-9-]{1,63}+(?: ?(?:\[dot\]|\(dot\)|\.) ?[A-Za-z0-9-]{1,63}+){1,4}+",
-    "phone": r"(?<![0-9.+\x20)-])\x20(?:\([0-9]{3}\)\x20?|[0-9]{3}[\x20.-])[0-9]{3}[\x20.-][0-9]{4}(?![0-9.-]?[0-9])",
+    "phone": r"(?<![0-9+])(?<![0-9][.-])(?:\([0-9]{3}\)\x20?|[0-9]{3}[\x20.-])[0-9]{3}[\x20.-][0-9]{4}(?![0-9.-]?[0-9])",
 }
 #: Words of the gazetteer and context labelers.
 ENDINGS = "com|org|net|edu|gov|io|de|fr|es|uk|info|eu"
@@ -110,11 +110,10 @@ def candidates(docs: DataFrame) -> DataFrame:
 
     def built(kind: str, base: bool) -> Column:
         def one(x):
-            lead = F.lit(0) if base or kind != "phone" else F.lit(1)  # the weak pattern begins with the space before
-            m = F.ltrim(x["match"])
+            m = x["match"]
             before = F.substring(t, F.greatest(x["start"] + 1 - REACH, F.lit(1)), F.least(x["start"], F.lit(REACH)))
             v = _votes(kind, base, m, before)
-            return F.struct(F.lit(kind).alias("kind"), F.lit(base).alias("base"), (x["start"] + lead).alias("start"), x["end"].alias("end"), *[c.cast("int").alias(f"v{i}") for i, c in enumerate(v)])
+            return F.struct(F.lit(kind).alias("kind"), F.lit(base).alias("base"), x["start"].alias("start"), x["end"].alias("end"), *[c.cast("int").alias(f"v{i}") for i, c in enumerate(v)])
 
         col = F.col(f"_{'b' if base else 'w'}{kind}")
         return F.transform(F.filter(col, lambda x: valid(kind, x["match"])) if base else col, one)

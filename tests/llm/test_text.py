@@ -79,6 +79,20 @@ def test_personal_data(spark, docs):
     assert red == "<EMAIL><EMAIL> +1-2-3 tel <PHONE> and x"
 
 
+def test_places_of_weak_numbers(spark):
+    """A number without a plus is found wherever it stands, but not within another number."""
+    places = ["555-123-4567 is my phone", "Call me. 555-123-4567", "tel:555-123-4567", "phone\t(555) 123-4567", "phone [555-123-4567]", "call\n555 123 4567", "phone  555-123-4567"]
+    not_ = ["phone 7555-123-4567", "phone 1.555-123-4567", "phone 555-123-45678", "phone +1 555-123-4567"]
+    found = {r.doc_id: [(c.start, c.end) for c in r.cands if c.kind == "phone" and not c.base] for r in pii.candidates(spark.createDataFrame(list(enumerate(places + not_)), "doc_id long, text string")).collect()}
+    for i, t in enumerate(places):
+        m = re.search(r"\(?555\)?[ -]123[ -]4567", t)
+        assert found[i] == [m.span()], t
+    assert [found[len(places) + k] for k in range(3)] == [[], [], []]
+    cands = pii.candidates(spark.createDataFrame([(0, not_[3])], "doc_id long, text string"))
+    yes = {("phone", False, a, b, c): 0.9 for a in (-1, 0, 1) for b in (-1, 0, 1) for c in (-1, 0, 1)}
+    assert pii.digest(pii.spans(cands, yes)).head().spans == "phone:6:21"
+
+
 # --- 2 and 7 ------------------------------------------------------------------------------------------
 
 
