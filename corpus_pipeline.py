@@ -60,7 +60,7 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
     ("bpe", encoding),
 ]
 
-#: Hashing, EM, MinHash and BPE have no SQL form; tests/llm compares run() with brute force.
+#: Hashing, EM, MinHash and BPE have no SQL form; tests/llm compares the near-duplicate stage with brute force, run() with its stages.
 ORACLE_SQL = None
 
 
