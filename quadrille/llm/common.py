@@ -22,25 +22,49 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a temporary one only where none is set (tests)."""
+    """The folder that driver and executors share; where none is set, a temporary one in local mode (tests), else an error."""
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set: it must name a folder that driver and executors share")
         d = tempfile.mkdtemp(prefix="quadrille-")
         spark.conf.set("spark.checkpoint.dir", d)
     return d
 
 
-def stage(df: DataFrame) -> DataFrame:
+def work_dir(spark: SparkSession) -> str:
+    """The application's own folder in the shared one."""
+    return f"{shared_dir(spark)}/quadrille-{spark.sparkContext.applicationId}"
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def sweep(spark: SparkSession) -> None:
+    """Deletes all tables that the application's operators wrote on their way: results must have been written before."""
+    remove(spark, work_dir(spark))
+
+
+def stage(df: DataFrame, **options) -> DataFrame:
     """Cuts the lineage: writes df as a table in the shared folder and reads it again."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/stage-{uuid.uuid4().hex}"
+    path = f"{work_dir(spark)}/stage-{uuid.uuid4().hex}"
     before = spark.conf.get(_CLEAN)
     spark.conf.set(_CLEAN, "true")  # this plan runs once: its shuffle files can go when it ends
     try:
-        df.write.parquet(path)
+        df.write.options(**options).parquet(path)
     finally:
         spark.conf.set(_CLEAN, before)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._stage_path = path
+    return out
+
+
+def drop(staged: DataFrame) -> None:
+    """Deletes a staged table that nothing reads any more."""
+    remove(staged.sparkSession, staged._stage_path)
 
 
 def row_key(id_col: str = "doc_id", text_col: str = "text") -> Column:
@@ -48,6 +72,11 @@ def row_key(id_col: str = "doc_id", text_col: str = "text") -> Column:
     return F.xxhash64(F.col(id_col), F.col(text_col))
 
 
+def row_key2(id_col: str = "doc_id", text_col: str = "text") -> Column:
+    """Another 64 bits of a row's key. Where row_key alone decides which texts are read, both decide what is done to them."""
+    return F.xxhash64(F.lit(0x51ED270B), F.col(text_col), F.col(id_col))
+
+
 def whole_row(df: DataFrame) -> Column:
     """All columns in one, `_row`, so that their names meet no other."""
     return F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row")

@@ -5,9 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stage
-
-MOST_ROUNDS = 60
+from .common import drop, stage
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -26,17 +24,18 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """node, component (its least node) for every node of an edge. Nulls and loops are left out.
 
-    Each round is written to the shared folder; a round costs two joins that AQE can split at a hot node.
+    Each round is written to the shared folder and replaces the one before; a round costs two joins that AQE can split at a
+    hot node. Rounds go on until nothing changes: each hands some node a lesser neighbour, and the steps settle after about
+    the squared logarithm of the number of nodes.
     """
     e = edges.select(F.col(a).alias("x"), F.col(b).alias("y")).where("x <> y")
     e = stage(e.select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct())
     before = None
-    for _ in range(MOST_ROUNDS):
-        now = tuple(e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).head())
+    while True:
+        now = tuple(e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")), F.sum(F.xxhash64("b", "a", "b").cast("decimal(38,0)"))).head())
         if now == before or not now[0]:
             break
-        before = now
+        before, last = now, e
         e = stage(_star(_star(e, True), False))
-    else:
-        raise RuntimeError(f"components did not settle in {MOST_ROUNDS} rounds")
+        drop(last)
     return e.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(e.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())

@@ -339,56 +339,103 @@ def test_scores(spark, docs, rows):
     assert all(r.score < 0 for r in got)
 
 
-def test_pairs_of_the_corpus(spark, monkeypatch):
-    """Which word follows which is learned from every training text, not only from the head's sample."""
-    monkeypatch.setattr(attention, "SAMPLE_TEXTS", 2)
-    monkeypatch.setattr(attention, "STEPS", 5)
-    out = [i for i in range(20000, 21000) if zlib.crc32(str(i).encode()) % 10 == 0][:2]
+def test_every_training_text_counts(spark, monkeypatch):
+    """Which word follows which is learned from all training texts, whichever block they fall in, and from no held-out one."""
+    monkeypatch.setattr(attention, "BLOCK_BYTES", 4000)
+    out = [i for i in range(20000, 21000) if zlib.crc32(str(i).encode()) % 10 == 0][:3]
     rows = [(i, ("red house blue river ", "green stone white cloud ")[i % 2] * 5) for i in range(400)]
     rows += [(out[0], "red house blue river " * 5), (out[1], "red river blue house " * 5)]
-    got = {r.doc_id: r for r in attention.scored(spark.createDataFrame(rows, "doc_id long, text string"), *queries.tokenizer()).collect()}
+    score = lambda r: {x.doc_id: x for x in attention.scored(spark.createDataFrame(r, "doc_id long, text string"), *queries.tokenizer()).collect()}
+    got = score(rows)
     good, bad = got[out[0]], got[out[1]]
     assert good.held_out and bad.held_out and abs(good.base_score - bad.base_score) < 1e-9
     assert good.score > bad.score + 15
+    last = next(i for i in range(9000, 9100) if zlib.crc32(str(i).encode()) % 10)
+    more = score([*rows, (last, "red river blue house " * 40)])  # one more training text moves the score
+    assert more[out[1]].score > bad.score + 1
+    same = score([*rows, (out[2], "red river blue house " * 40)])
+    assert abs(same[out[1]].score - bad.score) < 0.5
+
+
+def small_tables(r, n=60, size=4000):
+    """Ids of texts of 100 (the last id their end) in which the next id depends on the one before, and their tables."""
+    import numpy as np
+
+    size = np.full(size // 100, 100)
+    ids = (np.cumsum(r.integers(1, 4, size.sum())) * 7 % (n - 20)).astype(np.int64)
+    ids[np.cumsum(size) - 1] = n - 1
+    counts = np.bincount(ids, minlength=n).astype(float)
+    kind, _ = attention.classes_of(counts)
+    x = attention.before(ids, size, n - 1)
+    flat = lambda a, b: np.bincount(a * attention.CLASSES + kind[b], minlength=n * attention.CLASSES).reshape(n, -1).astype(float)
+    return ids, size, attention.tables_of(counts, flat(x, ids), flat(ids, x))
 
 
 def test_probabilities_of_ids():
-    """Given what stands before, the ids' probabilities sum to one; equal classes do not make equal inputs."""
+    """Given what stands before, the ids' probabilities sum to one; training beats the counts of single ids."""
+    import numpy as np
+
+    ids, size, tables = small_tables(np.random.default_rng(2))
+    head = attention.Head(tables)
+    loss = [np.mean(attention.fit(head, ids, size, state, 0.01)) for state in [{}] for _ in range(20)]
+    assert loss[-1] < loss[0]
+    start = ids[:45]
+    last = np.array([attention.score(head, np.append(start, k), np.array([46]))[-1] for k in range(60)])
+    assert abs((10.0**last).sum() - 1) < 1e-4
+    counts = np.bincount(ids, minlength=60)
+    assert attention.score(head, ids, size).mean() > np.log10(counts[ids] / len(ids)).mean() + 0.5
+    assert len(np.unique(tables.near[:40], axis=0)) == 40
+
+
+def test_gradient():
+    """The step's gradient is the slope of the loss."""
     import numpy as np
 
-    r = np.random.default_rng(2)
-    text = r.integers(0, 40, 4000)
-    kind, share = attention.classes_of(np.bincount(text, minlength=60).astype(np.float64))
-    head = attention.train([text[i : i + 100] for i in range(0, 4000, 100)], steps=30, kind=kind)
-    assert head.w["e"].shape == (61, attention.WIDTH) and len(np.unique(head.w["e"][:40], axis=0)) == 40
-    start = text[:20]
-    prior = np.array([attention.score(head, kind[np.append(start, k)], np.array([21]), ids=np.append(start, k))[-1] + share[k] for k in range(60)])
-    assert abs((10.0**prior).sum() - 1) < 1e-4
-    pair = np.bincount(text[1:][text[:-1] == start[-1]], minlength=60)
-    assert abs((10.0 ** attention.mixed(prior, pair, np.full(60, pair.sum()))).sum() - 1) < 1e-4
+    r = np.random.default_rng(3)
+    ids, size, tables = small_tables(r)
+    head = attention.Head(tables)
+    head.w = {k: (v + r.normal(size=v.shape) * 0.2).astype(np.float64) for k, v in head.w.items()}
+    x, y = attention.before(ids, size, 59)[:160].reshape(10, 16), tables.kind[ids][:160].reshape(10, 16)[:, 8:].copy()
+    y[3, 5:] = -1
+    loss = lambda w: -attention.Head(tables, w).log_class(x, np.maximum(y, 0), 8)[y >= 0].mean()
+    was = {k: v.copy() for k, v in head.w.items()}
+    state = {}
+    head.step(x, y, 8, state, 0.0)
+    for name, w in was.items():
+        for _ in range(6):
+            at = tuple(int(r.integers(0, 16 if name == "p" and d == 0 else n)) for d, n in enumerate(w.shape))
+            up, down = ({k: v.copy() for k, v in was.items()} for _ in range(2))
+            up[name][at] += 1e-3
+            down[name][at] -= 1e-3
+            assert abs((loss(up) - loss(down)) / 2e-3 - state[name][0][at] * 10) < 2e-3, name
 
 
 def test_attention_windows():
-    """Overlapping windows give each id the score of its own window, computed alone; training beats even odds."""
+    """Overlapping windows give each id the score of its own window, computed alone and one place after the other."""
     import numpy as np
 
     r = np.random.default_rng(1)
-    chain = [np.cumsum(r.integers(0, 2, n)) % 4 for n in (1, 7, 32, 33, 56, 57, 200)]
-    head = attention.train([c.astype(np.int64) for c in chain] * 8, steps=150)
-    size = np.array([len(c) for c in chain])
-    got = attention.score(head, np.concatenate(chain).astype(np.int64), size, batch=3)
-    text, first, window, column = attention.laid_out(size)
-    assert (np.bincount(window, minlength=len(first)) > 0).all() and len(got) == size.sum()
-    at = 0
-    for c in chain:
-        x = np.concatenate([[attention.CLASSES], c[:-1]])
-        for k in range(len(c)):
-            start = 0 if k < attention.CONTEXT else (k - attention.LEAD) // (attention.CONTEXT - attention.LEAD) * (attention.CONTEXT - attention.LEAD)
-            one = head.log10(x[None, start : k + 1], np.array([0]), np.array([k - start]), np.array([c[k]]))
-            assert abs(one[0] - got[at + k]) < 1e-4 and k - start < attention.CONTEXT
-        at += len(c)
-    held = np.cumsum(r.integers(0, 2, 500)) % 4
-    assert attention.score(head, held.astype(np.int64), np.array([500])).mean() > -0.5
+    ids, size, tables = small_tables(r)
+    head = attention.Head(tables)
+    attention.fit(head, ids, size, {}, 0.01)
+    size = np.array([1, 7, 32, 33, 56, 57, 200])
+    ids = ids[: size.sum()]
+    got = attention.score(head, ids, size, batch=3)
+    at, w, t = 0, head.w, tables
+    for n in size.tolist():
+        c = ids[at : at + n]
+        x = np.concatenate([[59], c[:-1]])
+        for k in range(n):
+            step = attention.CONTEXT - attention.LEAD
+            start = 0 if k < attention.CONTEXT else (k - attention.LEAD) // step * step
+            assert k - start < attention.CONTEXT and (k - start >= attention.LEAD or not start)
+            h = t.near[x[start : k + 1]] + w["p"][: k + 1 - start]
+            q, keys, v = h[-1] @ w["w"][:, :16], h @ w["w"][:, 16:32], h @ w["w"][:, 32:]
+            a = np.exp(keys @ q)
+            z = (h[-1] + a @ v / a.sum()) @ w["o"] + w["b"] + t.prior[x[k]]
+            want = z[t.kind[c[k]]] - np.log(np.exp(z).sum()) + t.inside[c[k], t.kind[x[k]]]
+            assert abs(want / np.log(10) - got[at + k]) < 1e-3
+        at += n
 
 
 # --- 10 -----------------------------------------------------------------------------------------------
