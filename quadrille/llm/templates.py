@@ -1,13 +1,19 @@
 """Benchmark decontamination [native] by template canonicalisation.
 
-Numbers, names (capitalised words inside a sentence) and units become typed placeholders, punctuation goes, the
-rest is lower-cased. Every WINDOW successive tokens of a document are hash-joined with those of the benchmark items and
-compared as strings. Along one alignment of a document with an item the slots must be consistent: equal values in the
-item stand for equal values in the document. A pair counts as a leak if its consistent windows make up SHARE of
-the item's windows, so an item whose numbers or names were changed is found too.
-
-Defined cases: null and empty texts have no window; items of fewer than WINDOW tokens are not looked for; null ids
-are kept (as null); repeated rows of an item or a document give one pair; an empty table gives an empty result; other
+Numbers, names (capitalised words inside a sentence, not those in capitals throughout) and units become typed placeholders,
+punctuation goes, the rest is lower-cased. Every WINDOW successive tokens of a document are hash-joined with those of the
+benchmark items; an item of fewer tokens is one window of its own length. A window has two keys: its template, if at least
+LITERALS of its tokens are no slots, and its plain words, so that a copy in other letter case or one made of numbers alone is
+found as well (windows of slots alone meet by their values only, so tables of numbers do not meet each other).
+
+Matches are compared as tokens, not only by hash. Along one alignment of a document with an item the slots must be consistent
+both ways: within a type, equal values in the item stand for equal values in the document and different ones for different ones.
+A pair counts as a leak if its consistent windows make up SHARE of the item's windows, so an item whose numbers or names were
+changed is found too. Items of fewer than SHORT tokens leak into documents that consist of them, since in a longer text they are
+no evidence.
+
+Defined cases: null and empty texts have no window; null ids are kept (as null); repeated rows of an item or a document give one
+pair; ties do not arise; a very long text costs time in proportion to its length; an empty table gives an empty result; other
 columns are not read.
 """
 
@@ -16,20 +22,22 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import row_key, stage, whole_row
+from .common import row_key, row_key2, stage, whole_row
 
-WINDOW = 8
+WINDOW, LITERALS, SHORT = 8, 3, 3
 SHARE = 0.5
-#: More benchmark windows than these are not broadcast (28 bytes and one window's text each).
-BROADCAST_ROWS = 1_000_000
+#: More bytes of benchmark keys than these are not broadcast.
+BROADCAST_BYTES = 32 << 20
 #: Units that follow a number.
 UNITS = "kg|g|mg|lb|oz|km|m|cm|mm|mi|ft|l|ml|s|ms|min|h|hours|hour|minutes|minute|seconds|second|days|day|weeks|years|usd|eur|dollars|euros|percent|degrees|meters|metres|miles|pounds|grams"
+ROW = ["rk", "rk2", "doc_id"]
+LINE = [*ROW, "item_id", "shift"]
 
 
 def marked(text: Column) -> Column:
     """Tokens joined by single spaces; a slot is its placeholder, an equals sign and its value."""
     t = F.translate(F.coalesce(text, F.lit("")), "<>=", "   ")
-    t = F.regexp_replace(t, r"(?<=[^.!?:;\s]\s)(\p{Lu}[\p{L}'’-]*+)", "<name>=$1")
+    t = F.regexp_replace(t, r"(?<=[^.!?:;\s]\s)(\p{Lu}[\p{L}'’-]*+)(?<=\p{Ll}|\P{L}\p{Lu})", "<name>=$1")
     t = F.lower(t)
     digits = F.regexp_replace(t, rf"([0-9])\s?({UNITS})(?![\p{{L}}\p{{N}}])", "$1 <unit>=$2")
     digits = F.regexp_replace(digits, r"(?<![\p{L}\p{N}=.,:/-])([0-9]++(?:[.,:/-][0-9]++)*+)(?![\p{L}\p{N}])", "<num>=$1")
@@ -37,39 +45,88 @@ def marked(text: Column) -> Column:
     return F.trim(F.regexp_replace(t, r"(?:[^\p{L}\p{N}<>=.,:/-]|[.,:/-](?![0-9])|(?<![0-9])[.,:/-])++", " "))
 
 
-def template(window: Column) -> Column:
-    return F.when(F.contains(window, F.lit("=")), F.regexp_replace(window, "=[^ ]*", "")).otherwise(window)
+def tokenised(rows: DataFrame) -> DataFrame:
+    """rows with `tokens`, as marked, and of each token two hashes: of its type or word (t), and of its value or word (p)."""
+    df = rows.withColumn("tokens", F.filter(F.split(marked(F.col("text").cast("string")), " "), lambda w: w != "")).drop("text")
+    is_slot = lambda w: w.startswith("<") & F.contains(w, F.lit("="))
+    df = df.withColumn("t", F.transform("tokens", lambda w: F.xxhash64(F.when(is_slot(w), F.substring_index(w, "=", 1)).otherwise(w))))
+    df = df.withColumn("p", F.transform("tokens", lambda w: F.xxhash64(F.when(is_slot(w), F.substring_index(w, "=", -1)).otherwise(w))))
+    df = df.withColumn("s", F.transform("tokens", lambda w: F.when(is_slot(w), 1).otherwise(0)))
+    return df.withColumn("n_slots", F.aggregate("s", F.lit(0), lambda a, x: a + x))
 
 
-def windows(rows: DataFrame, ids: list[str]) -> DataFrame:
-    """ids, pos, marked window, template and its hash, for every window of `text`."""
-    pattern = rf"(?<![^ ])(?=([^ ]++(?: [^ ]++){{{WINDOW - 1}}}))[^ ]"
-    found = rows.select(*ids, F.posexplode(F.regexp_extract_all(marked(F.col("text").cast("string")), F.lit(pattern), F.lit(1))).alias("pos", "window"))
-    return found.withColumn("template", template(F.col("window"))).withColumn("h", F.xxhash64("template"))
+def keys_of(sizes: list[int]) -> Column:
+    """For every window of so many tokens: size, place and keys, the hash of its words and that of its template (if it has
+    enough words; the two are one where it has no slot)."""
+
+    def chain(column: str, i: Column, size: int) -> Column:
+        return F.xxhash64(F.lit(size), *[F.get(F.col(column), i + k) for k in range(size)])
+
+    def every(size: int) -> Column:
+        last, none = F.size("tokens") - size, F.array().cast("array<int>")
+        places = F.when(last >= 0, F.sequence(F.lit(0), F.greatest(last, F.lit(0)))).otherwise(none)
+        if size < SHORT:
+            places = F.when(last == 0, F.array(F.lit(0))).otherwise(none)
+        slots = lambda i: sum((F.get(F.col("s"), i + k) for k in range(1, size)), F.get(F.col("s"), i))
+        plain = lambda i: F.array(chain("p", i, size))
+        both = lambda i: F.when((F.col("n_slots") == 0) | (slots(i) == 0), plain(i)).when(size - slots(i) >= min(LITERALS, max(1, size - 1)), F.array(chain("t", i, size), chain("p", i, size))).otherwise(plain(i))
+        return F.transform(places, lambda i: F.struct(F.lit(size).alias("size"), i.cast("int").alias("pos"), both(i).alias("keys")))
+
+    return F.concat(*[every(s) for s in sizes]) if len(sizes) > 1 else every(sizes[0])
+
+
+def windows(tokened: DataFrame, ids: list[str], sizes: list[int]) -> DataFrame:
+    """ids, size, pos and key: a row for each key of each window."""
+    part = tokened.select(*ids, F.explode(keys_of(sizes)).alias("w"))
+    return part.select(*ids, "w.size", "w.pos", F.explode("w.keys").alias("key"))
+
+
+def _of_items(benchmark: DataFrame) -> DataFrame:
+    """item_id, size of the windows, n tokens, the tokens; one row for each different text of an item."""
+    rows = tokenised(benchmark.select("item_id", "text").distinct()).where("size(tokens) > 0")
+    return rows.withColumn("size", F.least(F.size("tokens"), F.lit(WINDOW))).withColumn("of", F.size("tokens") - F.col("size") + 1)
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, share: float = SHARE) -> DataFrame:
-    """rk, doc_id, item_id, matched windows, share of the item's windows, slots compared."""
-    items = stage(windows(benchmark.select("item_id", "text"), ["item_id"]))
-    sizes = items.groupBy("item_id").agg(F.countDistinct("pos").alias("of"))
-    small = items.count() <= BROADCAST_ROWS
-    items = items.select("item_id", F.col("pos").alias("at"), F.col("window").alias("asked"), F.col("template").alias("t"), "h").distinct()
-    found = windows(docs.select("doc_id", "text", row_key().alias("rk")), ["doc_id", "rk"])
-    met = found.join(F.broadcast(items) if small else items, "h").where("template = t")
-    met = stage(met.select("rk", "doc_id", "item_id", "pos", "at", "window", "asked").distinct())
-    line = ["rk", "doc_id", "item_id", "shift"]
-    met = met.withColumn("shift", F.col("pos") - F.col("at"))
-    value = lambda t: F.substring_index(t, "=", -1)
-    pairs = F.filter(F.arrays_zip(F.split("asked", " ").alias("a"), F.split("window", " ").alias("d")), lambda x: F.contains(x["a"], F.lit("=")))
-    slots = met.where(F.contains("asked", F.lit("="))).select(*line, F.explode(pairs).alias("x")).select(*line, value(F.col("x.a")).alias("a"), value(F.col("x.d")).alias("d"))
-    per = slots.groupBy(*line, "a").agg(F.countDistinct("d").alias("values"))
-    checked = per.groupBy(*line).agg(F.max("values").alias("values"), F.count(F.lit(1)).alias("slots"))
-    on = [F.col(f"m.{c}").eqNullSafe(F.col(f"c.{c}")) for c in line]
-    count = met.groupBy(*line).agg(F.countDistinct("at").alias("n"))
-    good = count.alias("m").join(checked.alias("c"), on, "left").where("coalesce(c.values, 1) = 1").select(*[f"m.{c}" for c in line], "m.n", F.coalesce("c.slots", F.lit(0)).alias("slots"))
-    covers = met.alias("m").join(good.select(*line, "slots").alias("c"), on).select("m.rk", "m.doc_id", "m.item_id", "m.at", "c.slots")
-    covers = covers.groupBy("rk", "doc_id", "item_id").agg(F.countDistinct("at").alias("n_windows"), F.max("slots").alias("n_slots"))
-    out = covers.alias("m").join(sizes.alias("s"), F.col("m.item_id").eqNullSafe(F.col("s.item_id"))).select("m.*", (F.col("n_windows") / F.col("of")).alias("share"))
+    """rk, rk2, doc_id, item_id, matched windows, slots compared, share of the item's windows.
+
+    First the documents' keys meet the different keys of all items; what they meet is small, and only then do documents
+    meet items, tokens by tokens.
+    """
+    items = stage(_of_items(benchmark))
+    sizes = sorted(r[0] for r in items.select("size").distinct().collect())  # WINDOW values at most
+    parts = [windows(items.where(F.col("size") == size).drop("size"), ["item_id", "tokens"], [size]) for size in sizes or [WINDOW]]
+    own = parts[0]
+    for part in parts[1:]:
+        own = own.unionByName(part)
+    own = stage(own.select("item_id", "size", F.col("pos").alias("at"), F.slice("tokens", F.col("pos") + 1, F.col("size")).alias("asked"), "key").distinct())
+    keys = own.select("key").distinct()
+    small = 16 * keys.count() <= BROADCAST_BYTES
+    rows = docs.select("doc_id", "text", row_key().alias("rk"), row_key2().alias("rk2"))
+    found = windows(tokenised(rows.select("rk", "text")), ["rk"], sizes or [WINDOW])
+    places = stage(found.join(F.broadcast(keys) if small else keys, "key", "left_semi").select("rk", "size", "pos", "key").distinct())
+    # the rows that hold such windows, read once more; rk may stand for two rows, rk2 tells them apart
+    hit = places.select("rk").distinct()
+    texts = tokenised(rows.join(hit, "rk").dropDuplicates(ROW)).select(*ROW, "tokens")
+    held = texts.join(places, "rk").select(*ROW, "size", "pos", "key", F.slice("tokens", F.col("pos") + 1, F.col("size")).alias("window")).where("size(window) = size")
+    met = held.join(own, ["key", "size"])
+    pairs = F.arrays_zip(F.col("asked").alias("a"), F.col("window").alias("d"))
+    kind = lambda w: F.when(F.contains(w, F.lit("=")), F.substring_index(w, "=", 1)).otherwise(w)
+    value = lambda w: F.substring_index(w, "=", -1)
+    same = F.forall(pairs, lambda x: kind(x["a"]) == kind(x["d"])) | F.forall(pairs, lambda x: value(x["a"]) == value(x["d"]))
+    met = met.where(same).withColumn("shift", F.col("pos") - F.col("at")).select(*LINE, "at", "asked", "window").distinct()
+    met = stage(met)
+    slot = F.filter(pairs, lambda x: F.contains(x["a"], F.lit("=")) & F.contains(x["d"], F.lit("=")))
+    slots = met.select(*LINE, F.explode(slot).alias("x")).select(*LINE, kind(F.col("x.a")).alias("k"), value(F.col("x.a")).alias("a"), value(F.col("x.d")).alias("d"))
+    per = slots.groupBy(*LINE, "k").agg(F.countDistinct("a").alias("a"), F.countDistinct("d").alias("d"), F.countDistinct("a", "d").alias("both"))
+    checked = per.groupBy(*LINE).agg(F.max((F.greatest("a", "d", "both") > F.least("a", "d", "both")).cast("int")).alias("mixed"), F.sum("a").alias("slots"))
+    on = [F.col(f"m.{c}").eqNullSafe(F.col(f"c.{c}")) for c in LINE]
+    good = met.select(*LINE, "at").distinct().alias("m").join(checked.alias("c"), on, "left").where("coalesce(c.mixed, 0) = 0")
+    covers = good.select(*[f"m.{c}" for c in (*ROW, "item_id", "at")], F.coalesce("c.slots", F.lit(0)).alias("slots"))
+    covers = covers.groupBy(*ROW, "item_id").agg(F.countDistinct("at").alias("n_windows"), F.max("slots").alias("n_slots"))
+    # an item with several texts counts with the shortest of them
+    of = items.groupBy("item_id").agg(F.min("of").alias("of"))
+    out = covers.alias("m").join(of.alias("s"), F.col("m.item_id").eqNullSafe(F.col("s.item_id"))).select("m.*", F.least(F.col("n_windows") / F.col("of"), F.lit(1.0)).alias("share"))
     return out.where(F.col("share") >= share)
 
 
@@ -79,6 +136,6 @@ def report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """docs without those that hold a leak; other columns go through, whatever their names."""
-    bad = leaks(docs, benchmark).select("rk").distinct()
-    rows = docs.select(whole_row(docs), row_key().alias("rk"))
-    return rows.join(bad, "rk", "left_anti").select("_row.*")
+    bad = leaks(docs, benchmark).select("rk", "rk2").distinct()
+    rows = docs.select(whole_row(docs), row_key().alias("rk"), row_key2().alias("rk2"))
+    return rows.join(bad, ["rk", "rk2"], "left_anti").select("_row.*")

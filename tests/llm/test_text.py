@@ -193,30 +193,92 @@ def test_compaction(spark):
 # --- 4 ------------------------------------------------------------------------------------------------
 
 
+UNITS = "kg g mg lb oz km m cm mm mi ft l ml s ms min h hours hour minutes minute seconds second days day weeks years usd eur dollars euros percent degrees meters metres miles pounds grams".split()
+
+
+def slotted(text):
+    """Tokens of a plain text as (type or None, lower-case value); for words parted by single spaces and , ; ? . behind them."""
+    out, before = [], "."
+    for w in (text or "").split():
+        bare = w.rstrip(",;?.:!")
+        if not bare:
+            before = w
+            continue
+        kind = None
+        if re.fullmatch(r"[0-9]+(?:[.,:/-][0-9]+)*", bare):
+            kind = "num"
+        elif bare in UNITS and out and out[-1][0] == "num" and before[-1] not in ",;?.:!":
+            kind = "unit"
+        elif bare[0].isupper() and before[-1] not in ".!?:;" and (bare[-1].islower() or len(bare) == 1):
+            kind = "name"
+        out.append((kind, bare.lower()))
+        before = w
+    return out
+
+
+def leaked(text, item):
+    """Brute force over all alignments of an item with a text."""
+    d, a = slotted(text), slotted(item)
+    n = min(len(a), templates.WINDOW)
+    if not n or n < templates.SHORT and len(d) != n:
+        return False
+    of, seen = len(a) - n + 1, set()
+    for shift in range(-len(a), len(d)):
+        ats, slots = [], set()
+        for at in range(of):
+            x, y = a[at : at + n], d[at + shift : at + shift + n] if at + shift >= 0 else []
+            words = sum(k is None for k, _ in x)
+            if len(y) == n and (all(p[1] == q[1] for p, q in zip(x, y)) or (words >= min(templates.LITERALS, max(1, n - 1)) and all(p[0] == q[0] and (p[0] or p[1] == q[1]) for p, q in zip(x, y)))):
+                ats.append(at)
+                slots |= {(p[0], p[1], q[1]) for p, q in zip(x, y) if p[0] and q[0]}
+        if all(len({s[:2] for s in slots if s[0] == k}) == len({(s[0], s[2]) for s in slots if s[0] == k}) == len({s for s in slots if s[0] == k}) for k in ("num", "unit", "name")):
+            seen |= set(ats)
+    return len(seen) >= templates.SHARE * of
+
+
 def test_templates(spark, docs):
     item = "A train leaves Berlin at 10:30 and travels 120 km to Hamburg with 12 cars; how long does Anna wait in Berlin for 12 more minutes of rest?"
     good = item.replace("Berlin", "Madrid").replace("12 ", "7 ").replace("10:30", "9:15").replace("120", "80").replace("Anna", "Maria")
-    bad = good.replace("in Madrid", "in Lisbon").replace("for 7", "for 9")
-    bench = table(spark, SF, "benchmark").select("item_id", "text").unionByName(spark.createDataFrame([(9001, item), (9002, "too short"), (9003, None), (9001, item)], "item_id long, text string"))
-    d = docs.select("doc_id", "text").unionByName(spark.createDataFrame([(5 * 10**9, "so. " + good + " end"), (5 * 10**9 + 1, "so. " + bad), (None, item)], "doc_id long, text string"))
-    got = {(r.doc_id, r.item_id) for r in templates.report(d, bench).collect()}
-    assert {g for g in got if g[1] == 9001} == {(5 * 10**9, 9001), (None, 9001)}
-    windows = collections.defaultdict(set)
-    size = {}
-    for r in table(spark, SF, "benchmark").collect():
+    bench = [(9001, item), (9002, "too short"), (9003, None), (9001, item), (9004, "What is the capital of France?"), (9005, "yes"), (9006, ""), (9007, "If Anna has 12 and Bert has 15 apples, who has more apples then?"), (9008, "1 2 3 4 5 6 7 8 9 10 11 12"), (9009, "Is it 5 km from here?")]
+    texts = [
+        "so. " + good + " end", "so. " + good.replace("in Madrid", "in Lisbon").replace("for 7", "for 9"), item.upper(), "Well. What is the capital of France? Paris.", "WHAT IS THE CAPITAL OF FRANCE", "What is the capital of Spain then",
+        "yes", "yes it is", "too short", "it is too short for this", "if Max has 7 and Max has 7 apples, who has more apples then?", "if Max has 7 and Moritz has 9 apples, who has more apples then?", "if Max has 12 and Anna has 15 apples, who has more apples then?",
+        "9 8 7 6 5 4 3 2 1 0 11 12", "x 1 2 3 4 5 6 7 8 9 10 11 12 y", "Oh, is it 9 miles from here?", "is it 5 g from here", None, "", "7 " * 3000 + item, "is it far from here",
+    ]
+    rows = [(5 * 10**9 + i, t) for i, t in enumerate(texts)] + [(5 * 10**9, texts[0]), (None, item), (5 * 10**9 + 4, "another text of that id")]
+    clash = {c: F.lit("other") for c in ("tokens", "t", "p", "s", "rk", "key", "size", "window")}
+    d = spark.createDataFrame(rows, "doc_id long, text string").withColumns(clash)
+    b = spark.createDataFrame(bench, "item_id long, text string").withColumns(clash)
+    want = {(i, k) for i, t in rows for k, x in bench if leaked(t, x)}
+    assert (5 * 10**9, 9001) in want and (5 * 10**9 + 1, 9001) not in want and (5 * 10**9 + 3, 9004) in want and (5 * 10**9 + 10, 9007) not in want and (5 * 10**9 + 11, 9007) in want and (5 * 10**9 + 13, 9008) not in want
+    got = {(r.doc_id, r.item_id) for r in templates.report(d, b).collect()}
+    assert got == want
+    kept = templates.clean(d, b)
+    bad = {(i, t) for i, t in rows if any(leaked(t, x) for _, x in bench)}
+    assert collections.Counter((r.doc_id, r.text, r.window) for r in kept.collect()) == collections.Counter((i, t, "other") for i, t in rows if (i, t) not in bad)
+
+
+def test_templates_of_the_table(spark, docs, rows):
+    """Every document that holds half of an item's windows word for word is found."""
+    bench = table(spark, SF, "benchmark")
+    got = {(r.doc_id, r.item_id) for r in templates.report(docs, bench).collect()}
+    windows, size = collections.defaultdict(set), {}
+    for r in bench.collect():
         w = r.text.split()
         size[r.item_id] = len(w) - 7
         for k in range(len(w) - 7):
             windows[" ".join(w[k : k + 8])].add((r.item_id, k))
     want = set()
-    for i, t in [(r.doc_id, r.text or "") for r in d.collect()]:
+    for i, t in rows:
         w, hit = t.split(), collections.defaultdict(set)
         for k in range(len(w) - 7):
             for item_, at in windows.get(" ".join(w[k : k + 8]), ()):
                 hit[item_].add(at)
         want |= {(i, x) for x, ats in hit.items() if len(ats) >= templates.SHARE * size[x]}
     assert want <= got and want
-    assert templates.clean(d, bench).count() == d.count() - len({g[0] for g in got}) - sum(c - 1 for i, c in collections.Counter(r.doc_id for r in d.collect()).items() if c > 1 and any(g[0] == i for g in got)) + (1 if (None, 9001) in got else 0) * 2
+    # of what is found beyond, every pair shares its alignment by the brute-force rule
+    text, items = dict(rows), {r.item_id: r.text for r in bench.collect()}
+    assert all(leaked(text[i], items[k]) for i, k in got - want)
 
 
 # --- 6 ------------------------------------------------------------------------------------------------
