@@ -26,7 +26,8 @@ from .common import row_key, row_key2, stage, whole_row
 
 WINDOW, LITERALS, SHORT = 8, 3, 3
 SHARE = 0.5
-#: More bytes of benchmark keys than these are not broadcast.
+#: More keys of a benchmark than these are not tested within the scan, more bytes of them are not broadcast.
+MOST_KEYS = 10_000
 BROADCAST_BYTES = 32 << 20
 #: Units that follow a number.
 UNITS = "kg|g|mg|lb|oz|km|m|cm|mm|mi|ft|l|ml|s|ms|min|h|hours|hour|minutes|minute|seconds|second|days|day|weeks|years|usd|eur|dollars|euros|percent|degrees|meters|metres|miles|pounds|grams"
@@ -55,9 +56,9 @@ def tokenised(rows: DataFrame) -> DataFrame:
     return df.withColumn("n_slots", F.aggregate("s", F.lit(0), lambda a, x: a + x))
 
 
-def keys_of(sizes: list[int]) -> Column:
-    """For every window of so many tokens: size, place and keys, the hash of its words and that of its template (if it has
-    enough words; the two are one where it has no slot)."""
+def keys_of(sizes: list[int], asked: list[int] | None = None) -> Column:
+    """For every window of so many tokens: size, place, tokens and keys, the hash of its words and that of its template (if it
+    has enough words; the two are one where it has no slot). With asked, only windows of which a key is asked for."""
 
     def chain(column: str, i: Column, size: int) -> Column:
         return F.xxhash64(F.lit(size), *[F.get(F.col(column), i + k) for k in range(size)])
@@ -68,17 +69,20 @@ def keys_of(sizes: list[int]) -> Column:
         if size < SHORT:
             places = F.when(last == 0, F.array(F.lit(0))).otherwise(none)
         slots = lambda i: sum((F.get(F.col("s"), i + k) for k in range(1, size)), F.get(F.col("s"), i))
-        plain = lambda i: F.array(chain("p", i, size))
-        both = lambda i: F.when((F.col("n_slots") == 0) | (slots(i) == 0), plain(i)).when(size - slots(i) >= min(LITERALS, max(1, size - 1)), F.array(chain("t", i, size), chain("p", i, size))).otherwise(plain(i))
-        return F.transform(places, lambda i: F.struct(F.lit(size).alias("size"), i.cast("int").alias("pos"), both(i).alias("keys")))
+        typed = lambda i: (F.col("n_slots") > 0) & slots(i).between(1, size - min(LITERALS, max(1, size - 1)))
+        if asked is not None:
+            places = F.filter(places, lambda i: chain("p", i, size).isin(asked) | (typed(i) & chain("t", i, size).isin(asked)))
+        keys = lambda i: F.when(typed(i), F.array(chain("t", i, size), chain("p", i, size))).otherwise(F.array(chain("p", i, size)))
+        return F.transform(places, lambda i: F.struct(F.lit(size).alias("size"), i.cast("int").alias("pos"), F.slice("tokens", i + 1, size).alias("window"), keys(i).alias("keys")))
 
     return F.concat(*[every(s) for s in sizes]) if len(sizes) > 1 else every(sizes[0])
 
 
-def windows(tokened: DataFrame, ids: list[str], sizes: list[int]) -> DataFrame:
-    """ids, size, pos and key: a row for each key of each window."""
-    part = tokened.select(*ids, F.explode(keys_of(sizes)).alias("w"))
-    return part.select(*ids, "w.size", "w.pos", F.explode("w.keys").alias("key"))
+def windows(tokened: DataFrame, ids: list[str], sizes: list[int], asked: list[int] | None = None) -> DataFrame:
+    """ids, size, pos, window and key: a row for each key of each window."""
+    # the outer forms spare a filter on the arrays' sizes, which would be pushed down with all that makes the arrays
+    part = tokened.select(*ids, F.explode_outer(keys_of(sizes, asked)).alias("w"))
+    return part.select(*ids, "w.size", "w.pos", "w.window", F.explode_outer("w.keys").alias("key")).where("key is not null")
 
 
 def _of_items(benchmark: DataFrame) -> DataFrame:
@@ -90,26 +94,26 @@ def _of_items(benchmark: DataFrame) -> DataFrame:
 def leaks(docs: DataFrame, benchmark: DataFrame, share: float = SHARE) -> DataFrame:
     """rk, rk2, doc_id, item_id, matched windows, slots compared, share of the item's windows.
 
-    First the documents' keys meet the different keys of all items; what they meet is small, and only then do documents
-    meet items, tokens by tokens.
+    First the documents' keys meet the different keys of all items: as a set within the scan while the benchmark has at most
+    MOST_KEYS keys, by a join beyond. What they meet is small, and only that meets the items, tokens by tokens.
     """
     items = stage(_of_items(benchmark))
-    sizes = sorted(r[0] for r in items.select("size").distinct().collect())  # WINDOW values at most
-    parts = [windows(items.where(F.col("size") == size).drop("size"), ["item_id", "tokens"], [size]) for size in sizes or [WINDOW]]
+    sizes = sorted(r[0] for r in items.select("size").distinct().collect()) or [WINDOW]  # WINDOW values at most
+    parts = [windows(items.where(F.col("size") == size).select("item_id", "tokens", "t", "p", "s", "n_slots"), ["item_id"], [size]) for size in sizes]
     own = parts[0]
     for part in parts[1:]:
         own = own.unionByName(part)
-    own = stage(own.select("item_id", "size", F.col("pos").alias("at"), F.slice("tokens", F.col("pos") + 1, F.col("size")).alias("asked"), "key").distinct())
+    own = stage(own.select("item_id", "size", F.col("pos").alias("at"), F.col("window").alias("asked"), "key").distinct())
     keys = own.select("key").distinct()
-    small = 16 * keys.count() <= BROADCAST_BYTES
-    rows = docs.select("doc_id", "text", row_key().alias("rk"), row_key2().alias("rk2"))
-    found = windows(tokenised(rows.select("rk", "text")), ["rk"], sizes or [WINDOW])
-    places = stage(found.join(F.broadcast(keys) if small else keys, "key", "left_semi").select("rk", "size", "pos", "key").distinct())
-    # the rows that hold such windows, read once more; rk may stand for two rows, rk2 tells them apart
-    hit = places.select("rk").distinct()
-    texts = tokenised(rows.join(hit, "rk").dropDuplicates(ROW)).select(*ROW, "tokens")
-    held = texts.join(places, "rk").select(*ROW, "size", "pos", "key", F.slice("tokens", F.col("pos") + 1, F.col("size")).alias("window")).where("size(window) = size")
-    met = held.join(own, ["key", "size"])
+    few = [r[0] for r in keys.limit(MOST_KEYS + 1).collect()]
+    rows = tokenised(docs.select("doc_id", "text", row_key().alias("rk"), row_key2().alias("rk2")))
+    if len(few) <= MOST_KEYS:
+        held = windows(rows, ROW, sizes, few)
+    else:
+        found = windows(rows, ROW, sizes)
+        small = 16 * keys.count() <= BROADCAST_BYTES
+        held = found.join(F.broadcast(keys) if small else keys, "key", "left_semi")
+    met = stage(held.distinct()).join(own, ["key", "size"])
     pairs = F.arrays_zip(F.col("asked").alias("a"), F.col("window").alias("d"))
     kind = lambda w: F.when(F.contains(w, F.lit("=")), F.substring_index(w, "=", 1)).otherwise(w)
     value = lambda w: F.substring_index(w, "=", -1)

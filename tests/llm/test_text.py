@@ -236,7 +236,9 @@ def leaked(text, item):
     return len(seen) >= templates.SHARE * of
 
 
-def test_templates(spark, docs):
+@pytest.mark.parametrize("most", [10_000, 2])
+def test_templates(spark, docs, most, monkeypatch):
+    monkeypatch.setattr(templates, "MOST_KEYS", most)
     item = "A train leaves Berlin at 10:30 and travels 120 km to Hamburg with 12 cars; how long does Anna wait in Berlin for 12 more minutes of rest?"
     good = item.replace("Berlin", "Madrid").replace("12 ", "7 ").replace("10:30", "9:15").replace("120", "80").replace("Anna", "Maria")
     bench = [(9001, item), (9002, "too short"), (9003, None), (9001, item), (9004, "What is the capital of France?"), (9005, "yes"), (9006, ""), (9007, "If Anna has 12 and Bert has 15 apples, who has more apples then?"), (9008, "1 2 3 4 5 6 7 8 9 10 11 12"), (9009, "Is it 5 km from here?")]
