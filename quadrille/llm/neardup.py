@@ -8,12 +8,14 @@ class is entered once for every chunk and every position of it left out: no pair
 of a million pairs. For 0.80 (AT_80) the bound is 25 positions in 13 chunks: more differ in fewer than one of a million pairs.
 
 Buckets are not expanded into pairs. First every member meets the least member of its bucket; verified links give
-components. Only buckets that still hold several components are searched for links between those, in blocks and on
-the full sets; a bucket gives the links that connect its components, at most one fewer than there are.
+components. Only buckets that still hold several components are searched for links between those, on the full sets; a bucket
+gives the links that connect its components, fewer than it has members. A bucket of more than BUCKET members is dealt into
+blocks, and every two blocks meet in a task of their own.
 
 Defined cases: null or empty texts have an empty set and no link; rows that share an id are one node with several
-texts; a null id is no node: such a row gets the component of its equal texts, null if they have none; ties do not
-arise, since a component is named by its least id; an empty table gives an empty result; other columns are not read.
+texts, so they and all that is linked with any of them have one component; a null id is no node: such a row gets the component of
+its equal texts, null if they have none; ties do not arise, since a component is named by its least id; the set of a very long
+text (8 bytes for each of its words) must fit in a task; an empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -30,7 +32,7 @@ SHINGLE = 5
 POSITIONS, BITS, MOST, CHUNKS = 48, 16, 20, 11
 SIMILAR = 85
 LONGS = POSITIONS * BITS // 64
-BLOCK = 512
+BLOCK, BUCKET = 512, 2048
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _TIMES = mix(np.arange(1, POSITIONS + 1, dtype=np.uint64)) | np.uint64(1)
@@ -129,16 +131,20 @@ def keys(classes: DataFrame, chunks: int = CHUNKS) -> DataFrame:
 
 
 def across(members: DataFrame, similar: int = SIMILAR) -> DataFrame:
-    """a, b: links between components of a bucket, enough to connect all that are linked there, and no more.
+    """a, b: links between components of a bucket (key, and two of its blocks i and j), enough to connect all that are linked there.
 
-    A bucket's sets are numbered once; each set then meets those of a block by one gather and one sum. A pair whose
-    components are joined already, by an earlier link, is passed over, so a bucket of m components gives fewer than m links.
+    A bucket's sets are numbered once; each set then meets those of other components by one gather and one sum. A pair whose
+    components are joined already, by an earlier link, is passed over, so m members give fewer than m links.
     """
 
-    def links(cid: np.ndarray, comp: np.ndarray, sets: list[np.ndarray]):
-        names, group = np.unique(comp, return_inverse=True)
+    def links(cid: np.ndarray, comp: np.ndarray, slot: np.ndarray, crossed: bool, sets: list[np.ndarray]):
+        names, own = np.unique(comp, return_inverse=True)
         if len(names) < 2:
             return
+        # sorted by component: what stands before the first member of one's own component is of another
+        order = np.argsort(own, kind="stable")
+        cid, own, slot, sets = cid[order], own[order], slot[order], [sets[k] for k in order.tolist()]
+        begin, group = np.searchsorted(own, own), own.copy()
         size = np.array([len(x) for x in sets])
         off = np.concatenate([[0], np.cumsum(size)])
         _, number = np.unique(np.concatenate(sets), return_inverse=True)
@@ -148,11 +154,13 @@ def across(members: DataFrame, similar: int = SIMILAR) -> DataFrame:
                 return
             mine = number[off[x] : off[x + 1]]
             flag[mine] = 1
-            for at in range(0, x, BLOCK):
-                to = min(x, at + BLOCK)
+            for at in range(0, int(begin[x]), BLOCK):
+                to = min(int(begin[x]), at + BLOCK)
                 common = np.add.reduceat(flag[number[off[at] : off[to]]], off[at:to] - off[at])
-                near = np.flatnonzero((100 * common >= similar * (size[x] + size[at:to] - common)) & (group[at:to] != group[x])) + at
-                for y in near.tolist():
+                near = (100 * common >= similar * (size[x] + size[at:to] - common)) & (group[at:to] != group[x])
+                if crossed:
+                    near &= slot[at:to] != slot[x]
+                for y in (np.flatnonzero(near) + at).tolist():
                     if group[y] != group[x]:
                         group[group == group[y]] = group[x]
                         yield int(cid[x]), int(cid[y])
@@ -163,13 +171,13 @@ def across(members: DataFrame, similar: int = SIMILAR) -> DataFrame:
 
         def solve(b, last):
             """Whole buckets of b; what may go on in the next batch is given back."""
-            key = b.column(0).to_numpy()
-            cut = np.concatenate([[0], np.flatnonzero(key[1:] != key[:-1]) + 1, [len(key)]])
+            key = np.stack([b.column(k).to_numpy() for k in range(3)])
+            cut = np.concatenate([[0], np.flatnonzero((key[:, 1:] != key[:, :-1]).any(0)) + 1, [b.num_rows]])
             done = cut if last else cut[:-1]
-            cid, comp = b.column(1).to_numpy(), b.column(2).to_numpy()
+            cid, comp, slot = (b.column(k).to_numpy() for k in (3, 4, 5))
             out = []
             for s, e in zip(done[:-1].tolist(), done[1:].tolist()):
-                out += links(cid[s:e], comp[s:e], [np.frombuffer(x.as_buffer(), np.uint64) for x in b.column(3).slice(s, e - s)])
+                out += links(cid[s:e], comp[s:e], slot[s:e], key[1, s] != key[2, s], [np.frombuffer(x.as_buffer(), np.uint64) for x in b.column(6).slice(s, e - s)])
             pairs = pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], pa.int64()) for i in (0, 1)], names=["a", "b"])
             return pairs, (None if last else b.slice(cut[-2]))
 
@@ -182,7 +190,16 @@ def across(members: DataFrame, similar: int = SIMILAR) -> DataFrame:
         if held is not None:
             yield solve(held, True)[0]
 
-    return members.select("key", "cid", "comp", "set").repartition("key").sortWithinPartitions("key", "cid").mapInArrow(run, "a long, b long")
+    pair = ["key", "i", "j"]
+    return members.select(*pair, "cid", "comp", "slot", "set").repartition(*pair).sortWithinPartitions(*pair, "cid").mapInArrow(run, "a long, b long")
+
+
+def dealt(members: DataFrame) -> DataFrame:
+    """members (key, c, cid, comp) with their block of the bucket's, once for every two blocks i <= j that hold it."""
+    blocks = F.ceil(F.col("c") / BUCKET).cast("int")
+    df = members.withColumn("slot", F.pmod(F.xxhash64("cid"), blocks).cast("int"))
+    df = df.select("key", "cid", "comp", "slot", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
+    return df.select("key", F.least("slot", "other").alias("i"), F.greatest("slot", "other").alias("j"), "cid", "comp", "slot")
 
 
 def full_sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
@@ -237,11 +254,23 @@ def dedup(docs: DataFrame, similar: int = SIMILAR, chunks: int = CHUNKS) -> Data
     labelled = members.join(comps.withColumnRenamed("node", "cid"), "cid", "left").withColumn("comp", F.coalesce("component", "cid")).select("key", "cid", "comp")
     # buckets of several components; of those with the same members one is enough
     buckets = labelled.groupBy("key").agg(F.min("comp").alias("l"), F.max("comp").alias("m"), F.count(F.lit(1)).alias("c"), F.sum(F.xxhash64("cid").cast("decimal(20,0)")).alias("s")).where("l < m")
-    open_ = buckets.groupBy("c", "s").agg(F.min("key").alias("key")).select("key")
-    rest = labelled.join(open_, "key").join(sets, "cid")
-    comps = components(comps.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(across(rest, similar).distinct()))
+    open_ = buckets.groupBy("c", "s").agg(F.min("key").alias("key")).select("key", "c")
+    rest = dealt(labelled.join(open_, "key")).join(sets, "cid")
+    every_link = comps.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(across(rest, similar).distinct())
+    comps = components(every_link.unionByName(_shared_ids(every, classes)))
     named = classes.select("s1", "s2", "n", "cid").join(comps.withColumnRenamed("node", "cid"), "cid", "left").select("s1", "s2", "n", F.coalesce("component", "cid").alias("component"))
-    # rows that share an id may lie in several classes: the class's node names the component all the same
-    out = every.select("doc_id", "n", "s1", "s2").join(named, ["s1", "s2", "n"], "left")
-    component = F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id"))
+    out = every.select("doc_id", "n", "s1", "s2").where("n > 0").join(named, ["s1", "s2", "n"], "left").select("doc_id", "n", "component")
+    # an empty text has the component of its id's other texts, if there are any
+    bare = every.where("n = 0").select("doc_id", "n")
+    theirs = comps.join(bare.select(F.col("doc_id").alias("node")).distinct(), "node", "left_semi").withColumnRenamed("node", "doc_id")
+    out = out.unionByName(bare.join(theirs, "doc_id", "left").select("doc_id", "n", F.coalesce("component", "doc_id").alias("component")))
+    component = F.col("component")
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
+
+
+def _shared_ids(every: DataFrame, classes: DataFrame) -> DataFrame:
+    """a, b: ids that name rows of several classes (or that are in a class under another's name and have an empty text), and their classes."""
+    key = F.struct("s1", "s2", "n")
+    several = every.where("doc_id is not null").groupBy("doc_id").agg(F.min(key).alias("x"), F.max(key).alias("y")).where("x <> y").select("doc_id")
+    rows = every.where("n > 0").select("doc_id", "s1", "s2", "n").join(several, "doc_id", "left_semi").distinct()
+    return rows.join(classes.select("s1", "s2", "n", "cid"), ["s1", "s2", "n"]).select(F.col("doc_id").alias("a"), F.col("cid").alias("b")).where("a <> b")

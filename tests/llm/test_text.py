@@ -330,36 +330,78 @@ def test_quality(spark, docs, rows):
 # --- 8 ------------------------------------------------------------------------------------------------
 
 
-def test_near_duplicates(spark, docs, rows):
-    rnd = random.Random(8)
-    base = [f"b{rnd.randrange(10**6)}" for _ in range(150)]
-    more = []
-    for k in range(40):
-        w = list(base)
-        for _ in range(rnd.randrange(1, 6)):
-            w[rnd.randrange(len(w))] = f"e{k}x{rnd.randrange(99)}"
-        more.append((7 * 10**9 + k, " ".join(w)))
-    d = docs.select("doc_id", "text").unionByName(spark.createDataFrame(more, "doc_id long, text string"))
-    sets = []
-    for i, t in rows + more:
-        w = WORD.findall(re.sub("[A-Z]", lambda m: m.group().lower(), t))
-        sets.append((i, frozenset(zip(*[w[k:] for k in range(5)])) if len(w) >= 5 else frozenset([tuple(w)] if w else [])))
-    up = {i: i for i, _ in sets if i is not None}
+def word_set(text):
+    w = WORD.findall(re.sub("[A-Z]", lambda m: m.group().lower(), text or ""))
+    return frozenset(zip(*[w[k:] for k in range(5)])) if len(w) >= 5 else frozenset([tuple(w)] if w else [])
+
+
+def components_of(rows, similar=85):
+    """The least id that each id reaches; rows with a null id take no part."""
+    up = {i: i for i, _ in rows if i is not None}
 
     def find(x):
         while up[x] != x:
             x = up[x]
         return x
 
+    sets = [(i, word_set(t)) for i, t in rows if i is not None]
     for k, (i, a) in enumerate(sets):
         for j, b in sets[:k]:
-            if i is not None and j is not None and a and b and 100 * len(a & b) >= 85 * len(a | b):
+            if a and b and 100 * len(a & b) >= similar * len(a | b):
                 x, y = find(i), find(j)
                 up[max(x, y)] = min(x, y)
-    for r in neardup.dedup(d).collect():
+    return {i: find(i) for i in up}
+
+
+@pytest.mark.parametrize("bucket", [2048, 3])
+def test_near_duplicates(spark, docs, rows, bucket, monkeypatch):
+    monkeypatch.setattr(neardup, "BUCKET", bucket)
+    rnd = random.Random(8)
+    base = [f"b{rnd.randrange(10**6)}" for _ in range(150)]
+    more = []
+    for k in range(40):
+        w = list(base)
+        for _ in range(rnd.randrange(1, 6)):
+            w[rnd.randrange(len(w))] = f"e{k}x{rnd.randrange(99)}"
+        more.append((7 * 10**9 + k, " ".join(w)))
+    other = [" ".join(f"{c}{k}" for k in range(40)) for c in "pqrs"]
+    at = 8 * 10**9
+    # ids that share texts, ids with several texts, an id with a text and an empty one, a null id with copies and without
+    more += [(at + 1, other[0]), (at + 5, other[0]), (at + 3, other[1]), (at + 5, other[1]), (at + 7, ""), (at + 7, other[0]), (at + 8, None), (at + 8, other[2]), (None, other[1]), (None, other[3]), (at + 9, "x"), (at + 9, "y"), (at + 10, "y")]
+    clash = {c: F.lit("other") for c in CLASH}
+    d = docs.unionByName(spark.createDataFrame(more, "doc_id long, text string").withColumns(clash))
+    got, want = neardup.dedup(d).collect(), components_of(rows + more)
+    assert want[at + 3] == want[at + 5] == want[at + 7] == at + 1 and want[at + 10] == at + 9
+    texts = collections.defaultdict(set)
+    for i, t in rows + more:
+        texts[i].add(word_set(t))
+    for r in got:
         if r.doc_id is not None:
-            assert (r.component_id, r.kept) == (find(r.doc_id), find(r.doc_id) == r.doc_id)
-    assert collections.Counter((r.doc_id, r.n_shingles) for r in neardup.dedup(d).collect()) == collections.Counter((i, len(s)) for i, s in sets)
+            assert (r.component_id, r.kept) == (want[r.doc_id], want[r.doc_id] == r.doc_id)
+    by_set = {word_set(t): i for i, t in sorted((r for r in rows + more if r[0] is not None), reverse=True, key=lambda r: r[0]) if word_set(t)}
+    nulls = collections.Counter((len(word_set(t)), want.get(by_set.get(word_set(t)))) for i, t in rows + more if i is None)
+    assert collections.Counter((r.n_shingles, r.component_id) for r in got if r.doc_id is None) == nulls
+    assert collections.Counter((r.doc_id, r.n_shingles) for r in got) == collections.Counter((i, len(word_set(t))) for i, t in rows + more)
+
+
+def test_open_buckets(spark):
+    """Blocks of a bucket link what one block would: all that is linked, in fewer links than members."""
+    import numpy as np
+
+    rnd, sets = random.Random(4), []
+    for k in range(60):
+        sets.append(sorted({*range(1000 * (k % 7), 1000 * (k % 7) + 100)} - set(rnd.sample(range(1000 * (k % 7), 1000 * (k % 7) + 100), 4))))
+    m = spark.createDataFrame([(1, 60, k, k, bytearray(np.array(x, np.uint64).tobytes())) for k, x in enumerate(sets)], "key long, c long, cid long, comp long, set binary")
+    want = [(a, b) for a in range(60) for b in range(a) if 100 * len({*sets[a]} & {*sets[b]}) >= 85 * len({*sets[a]} | {*sets[b]})]
+    for bucket in (2048, 5):
+        neardup.BUCKET, was = bucket, neardup.BUCKET
+        try:
+            links = [tuple(r) for r in neardup.across(neardup.dealt(m.drop("set")).join(m.select("cid", "set"), "cid")).collect()]
+        finally:
+            neardup.BUCKET = was
+        assert {(max(x), min(x)) for x in links} <= set(want)
+        groups = lambda e: {r.node: r.component for r in components.components(spark.createDataFrame(e, "a long, b long")).collect()}
+        assert groups(links) == groups(want)
 
 
 def test_pigeonhole():
