@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quadrille.llm import bpe, neardup, pii, quality, queries, templates
-from quadrille.llm.common import row_key, shared_dir, stage, table, whole_row
+from quadrille.llm.common import shared_dir, stage, table, whole_row
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -24,10 +24,16 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies (similarity 0.8 or more) the document with the least id stays; of rows that repeat wholly, one."""
-    rows = docs.select(whole_row(docs), F.col("doc_id").cast("long").alias("_id"), row_key().alias("_rk")).dropDuplicates(["_id", "_rk"])
-    kept = neardup.dedup(docs, **neardup.AT_80).where("kept").select(F.col("doc_id").alias("_kept")).distinct()
-    return rows.join(kept, F.col("_id").eqNullSafe(F.col("_kept")), "left_semi").select("_row.*")
+    """Of each group of near copies (similarity 0.8 or more) the row with the least id stays (null last); texts without words all stay.
+
+    Every row is a node of its own, whatever its id; rows that repeat are copies like any other.
+    """
+    rows = stage(docs.select(whole_row(docs), F.monotonically_increasing_id().alias("_n")))
+    nodes = neardup.dedup(rows.select(F.col("_n").alias("doc_id"), F.col("_row.text").alias("text")), **neardup.AT_80)
+    first = F.struct(F.col("_row.doc_id").isNull().alias("last"), F.col("_row.doc_id").alias("id"), F.col("_n").alias("n"))
+    named = nodes.select(F.col("doc_id").alias("_n"), F.col("component_id").alias("_c"))
+    kept = rows.select("_n", first.alias("_f")).join(named, "_n").groupBy("_c").agg(F.min("_f").alias("_f")).select(F.col("_f.n").alias("_n"))
+    return rows.join(kept, "_n", "left_semi").select("_row.*")
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
