@@ -2,12 +2,13 @@
 
 The distinct pieces of a block of texts are laid end to end as byte tokens. An inverted index holds, for every
 pair that a rank merges, the positions where that pair stands; a heap gives the ranks in order. Each step takes
-the lowest rank, merges its positions at once, and enters only the pairs of the touched neighbours anew. Within
-a piece only the leftmost position merges in a step, since the new token may form a pair of a lower rank, which
-goes first. A piece that is a token as a whole keeps that id.
+the lowest rank, merges its positions at once, and enters only the pairs of the touched neighbours anew. If the new
+token is part of a pair of a lower rank, which would go first, only the leftmost position within a piece merges in a step. Pieces of
+more than LONG bytes have an index of their own, a heap of (rank, position), so they take time in proportion to
+their length (and its logarithm). A piece that is a token as a whole keeps that id.
 
-Defined cases: a null text is an empty one (no id); null ids and repeated rows are kept, each row encoded alone;
-an empty table gives an empty result; columns other than the id and text are not read.
+Defined cases: a null text is an empty one (no id); null ids and repeated rows are kept, each row encoded alone; of positions of
+one rank the leftmost goes first; an empty table gives an empty result; columns other than the id and text are not read.
 """
 
 from __future__ import annotations
@@ -25,6 +26,7 @@ from pyspark.sql import DataFrame
 from .common import pieces
 
 BLOCK_BYTES = 24 << 20
+LONG = 256
 _KEPT: dict[str, "MergeTable"] = {}
 
 
@@ -47,6 +49,11 @@ class MergeTable:
         keys = np.array(keys, np.int64)
         order = np.argsort(keys)
         self.keys, self.to = keys[order], np.array(to, np.int64)[order]
+        least = np.full(self.size, np.iinfo(np.int64).max)
+        np.minimum.at(least, self.keys // self.size, self.to)
+        np.minimum.at(least, self.keys % self.size, self.to)
+        #: Whether every pair with this token has a higher rank than the token's own.
+        self.rising = least > np.arange(self.size)
 
     @classmethod
     def of(cls, path: str) -> "MergeTable":
@@ -65,6 +72,9 @@ class MergeTable:
     def encode(self, words: list[bytes]) -> list[list[int]]:
         """Token ids of every word."""
         out: list[list[int] | None] = [[self.ranks[w]] if w in self.ranks else None for w in words]
+        for i, w in enumerate(words):
+            if out[i] is None and len(w) > LONG:
+                out[i] = self._long(w)
         rest = [i for i, x in enumerate(out) if x is None and words[i]]
         data = np.frombuffer(b"".join(words[i] for i in rest), np.uint8)
         size = np.array([len(words[i]) for i in rest], np.int64)
@@ -75,6 +85,37 @@ class MergeTable:
             out[i] = kept[count[k] : count[k + 1]]
         return [x or [] for x in out]
 
+    def _long(self, word: bytes) -> list[int]:
+        """Ids of one long piece; the heap's numbers are a rank and a position."""
+        ranks, bytes_of = self.ranks, self.bytes_of
+        first = self.single[np.frombuffer(word, np.uint8)]
+        start = self.rank(first[:-1], first[1:])
+        token, pair, n = first.tolist(), start.tolist() + [-1], len(first)
+        nxt, prv = list(range(1, n + 1)), list(range(-1, n - 1))
+        heap = [(r << 40) + i for i, r in enumerate(pair) if r >= 0]
+        heapify(heap)
+        while heap:
+            r, i = divmod(heappop(heap), 1 << 40)
+            if pair[i] != r:
+                continue
+            gone = nxt[i]
+            after = nxt[gone]
+            token[i], token[gone], pair[gone], nxt[i] = r, -1, -1, after
+            pair[i] = -1
+            if after < n:
+                prv[after] = i
+                new = ranks.get(bytes_of[r] + bytes_of[token[after]])
+                if new is not None:
+                    pair[i] = new
+                    heappush(heap, (new << 40) + i)
+            before = prv[i]
+            if before >= 0:
+                new = ranks.get(bytes_of[token[before]] + bytes_of[r])
+                pair[before] = -1 if new is None else new
+                if new is not None:
+                    heappush(heap, (new << 40) + before)
+        return [t for t in token if t >= 0]
+
     def _replay(self, data: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         n = len(data)
         bounds = np.concatenate([[0], np.cumsum(size)])
@@ -120,8 +161,14 @@ class MergeTable:
             at = at[pair[at] == r]
             if len(at) > 1:
                 at = np.unique(at)
-                w = word[at]
-                lead = np.concatenate([[True], w[1:] != w[:-1]])
+                if self.rising[r]:  # all but those that share a token with one before
+                    touch = np.concatenate([[False], nxt[at[:-1]] == at[1:]])
+                    run = np.arange(len(at)) - np.maximum.accumulate(np.where(touch, 0, np.arange(len(at))))
+                    at = at[run % 2 == 0]
+                    lead = np.ones(len(at), bool)
+                else:
+                    w = word[at]
+                    lead = np.concatenate([[True], w[1:] != w[:-1]])
                 if not lead.all():
                     index[r] = [at[~lead]]
                     heappush(heap, r)
