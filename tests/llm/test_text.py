@@ -2,9 +2,11 @@
 
 import collections
 import hashlib
+import itertools
 import math
 import random
 import re
+import time
 import zlib
 
 import pytest
@@ -89,10 +91,53 @@ def test_places_of_weak_numbers(spark):
         assert found[i] == [m.span()], t
     assert [found[len(places) + k] for k in range(3)] == [[], [], []]
     cands = pii.candidates(spark.createDataFrame([(0, not_[3])], "doc_id long, text string"))
-    yes = {("phone", False, a, b, c): 0.9 for a in (-1, 0, 1) for b in (-1, 0, 1) for c in (-1, 0, 1)}
+    yes = {("phone", False, a, b, c, *f): 0.9 for a in (-1, 0, 1) for b in (-1, 0, 1) for c in (-1, 0, 1) for f in itertools.product(range(4), range(3), range(3))}
     assert pii.digest(pii.spans(cands, yes)).head().spans == "phone:6:21"
 
 
+def test_what_the_method_adds(spark):
+    """Candidates of every kind that only the method finds; the model keeps the likely ones, and words alike but empty of data stay."""
+    rnd = random.Random(21)
+    hexes = lambda n: "".join(rnd.choice("0123456789abcdef") for _ in range(n))
+    rows, want = [], {}
+    for k in range(60):
+        n = lambda d: "".join(rnd.choice("23456789") for _ in range(d))
+        card = n(15)
+        card += next(c for c in "0123456789" if luhn(card + c))
+        parts = [
+            f"mail me: joe{k}@mail.example.com or call +1 (2{n(2)}) {n(3)}-{n(4)}, host 10.{k}.7.9, card 4{n(3)}",
+            ("email", f"write to ann{k} (at) example (dot) com now"), ("phone", f"phone: (2{n(2)}) {n(3)}-{n(4)} today"), ("ip", f"the host 10[.]{k}[.]7[.]{k} answers"), ("card", f"visa card {card[:4]}.{card[4:8]}.{card[8:12]}.{card[12:]} ok"),
+            ("secret", f'token = "{hexes(40)}" in a file'), "an ordinary sentence of words, at noon.dot and 2020-10-10 or 12345, with anticonstitutionnellement",
+        ]
+        for x in parts:
+            rows.append((len(rows), x if isinstance(x, str) else x[1]))
+            want[len(rows) - 1] = None if isinstance(x, str) else x[0]
+    cands = stage(pii.candidates(spark.createDataFrame(rows, "doc_id long, text string")))
+    found = pii.spans(cands, pii.fit(cands.select("cands")))
+    red = {r.doc_id: r.text for r in pii.redact(found).collect()}
+    for r in pii.digest(found).collect():
+        kind = want[r.doc_id]
+        if kind:
+            assert [x.split(":")[0] for x in r.spans.split(",")] == [kind] and r.n_spans == 1 and f"<{kind.upper()}>" in red[r.doc_id], rows[r.doc_id]
+        elif r.doc_id % 7 == 6:
+            assert r.spans == "" and red[r.doc_id] == rows[r.doc_id][1]
+    assert all(x in red[5] for x in ('token = "<SECRET>" in a file',))
+
+
+def test_long_texts_of_personal_data(spark):
+    """A megabyte without breaks, or full of spans, takes seconds: nothing is quadratic."""
+    n = 1_000_000
+    spansful = "a@b.co 555-123-4567 +4930123456 é" * (n // 33)
+    texts = ["x" * n + " @ y", "1" * n, "x@" * (n // 2), "+" + "(" * n, "1." * (n // 2), "é" * n + "a@b.co", spansful]
+    began = time.time()
+    cands = stage(pii.candidates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")))
+    found = stage(pii.redact(pii.spans(cands, {("phone", False, a, b, c, *f): 0.9 for a in (-1, 0, 1) for b in (-1, 0, 1) for c in (-1, 0, 1) for f in itertools.product(range(4), range(3), range(3))})))
+    got = {r.doc_id: (r.n, r.text) for r in found.select("doc_id", F.size("spans").alias("n"), "text").collect()}
+    assert time.time() - began < 90
+    assert [got[i][0] for i in range(7)] == [0, 0, 0, 0, n // 8, 1, 3 * (n // 33)] and got[6][1] == "<EMAIL> <PHONE> <PHONE> é" * (n // 33)
+    assert got[5][1] == "é" * n + "<EMAIL>" and got[0][1] == texts[0]
+
+
 # --- 2 and 7 ------------------------------------------------------------------------------------------
 
 
@@ -547,6 +592,27 @@ def test_attention_windows():
 # --- 10 -----------------------------------------------------------------------------------------------
 
 
+def test_long_pieces():
+    """Long runs without breaks: equal to the library where it can answer, and in time about proportional to the length."""
+    import tiktoken
+
+    path, pattern = queries.tokenizer()
+    codec = bpe.Codec(path, pattern)
+    enc = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=codec.table.ranks, special_tokens={})
+    rnd = random.Random(5)
+    many = [x * 1500 for x in ("a", "ab", "the", "é", "abcab", "-", "日", "zq")] + ["".join(rnd.choice("ab") for _ in range(3000)), "".join(rnd.choice("aeinrst") for _ in range(3000)), "".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(3000))]
+    many += [x[: rnd.randrange(bpe.LONG - 9, bpe.LONG + 9)] for x in many]
+    assert codec.encode(many) == [enc.encode_ordinary(t) for t in many]
+    took = []
+    for n in (100_000, 1_000_000):
+        texts = ["a" * n, "".join(rnd.choice("aeinrst") for _ in range(n))]
+        began = time.time()
+        ids = codec.encode(texts)
+        took.append(time.time() - began)
+        assert [codec.decode(x) for x in ids] == [t.encode() for t in texts]
+    assert took[1] < 60 and took[1] < 25 * took[0] + 5
+
+
 def test_bpe(spark, docs, rows):
     import tiktoken
 
