@@ -4,12 +4,15 @@ Token k-mers (WINDOW successive words) are edges from the node of their first WI
 last. Edges that stand at two places or more are kept. Within a context (see `repeats`) successive repeated edges
 form a unit; contexts are equal if all their edges are. Units that meet at a node which no other unit enters or leaves are joined, and the chains of joins
 compact to paths (Spark joins on the node, connected components over the joints). Paths keep the coordinates of
-their units in the sources: row, first word, last word. A path's spans are verified there: each
-must be whole windows, and each edge must have a second place. The words that verified spans cover are removed.
+their units in the sources: row, first word, last word. A span of a path is verified there: it must consist of whole
+windows of that text, and its first and last edge must stand where it says. The words that verified spans cover are removed.
+
+Edges are told apart by 64-bit hashes of their words within the edges that share an anchor, and rows by 128 bits.
 
 Defined cases: null and empty texts have no word; repeated rows are copies like any other, so all their windows
-repeat; null ids are kept; texts shorter than a window lose nothing; an empty table gives an empty result; other
-columns are not read.
+repeat; null ids are kept; texts shorter than a window lose nothing; ties do not arise: every place of a repeated window is
+removed, the first as well; a very long text needs memory of about 100 bytes for each of its words in its task; an empty table
+gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -19,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import mix, pieces, row_key, stage, texts_of, words_of
+from .common import drop, mix, pieces, row_key, row_key2, stage, texts_of, words_of
 from .components import components
 from .repeats import MOST_WINDOWS, asked_windows, covered, places_of, wanted_anchors, windows
 
@@ -55,12 +58,12 @@ def _total(edges: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 
 
 def contexts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """The runs of windows of each text whose anchor is wanted: rk, place of the first word, edges, their sum and nodes."""
+    """The runs of windows of each text whose anchor is wanted: row keys, place of the first word, edges, their sum and nodes."""
 
     def run(batches):
         for b in pieces(batches):
-            *_, w = _cut(b.column(1))
-            first, last = w.runs(asked_windows(w, b.column(2)))
+            *_, w = _cut(b.column(2))
+            first, last = w.runs(asked_windows(w, b.column(3)))
             where = [np.arange(f, l + 1) for f, l in zip(first.tolist(), last.tolist())]
             flat = np.concatenate(where) if where else first
             edges = w.hashes(flat).view(np.int64)
@@ -71,25 +74,26 @@ def contexts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             bounds = np.concatenate([[0], np.cumsum(m)])
             begin = w.first_symbol(b.num_rows)[w.doc[first]]
             yield pa.RecordBatch.from_arrays([
-                pa.array(b.column(0).to_numpy()[w.doc[first]]), pa.array(w.anchor[first].view(np.int64)), pa.array(w.start[first] - begin), pa.array(m),
+                *[pa.array(b.column(k).to_numpy()[w.doc[first]]) for k in (0, 1)], pa.array(w.anchor[first].view(np.int64)), pa.array(w.start[first] - begin), pa.array(m),
                 pa.array(edges[bounds[:-1]]), pa.array(edges[bounds[1:] - 1]), pa.array(_total(edges, bounds)), pa.array(in_node), pa.array(out_node),
                 pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(edges))],
-                names=["rk", "anchor", "at", "m", "f", "l", "total", "enters", "leaves", "edges"])
+                names=["rk", "rk2", "anchor", "at", "m", "f", "l", "total", "enters", "leaves", "edges"])
 
-    asked = docs.select("rk", "text").join(wanted, "rk").select("rk", "text", "anchors")
-    return asked.mapInArrow(run, "rk long, anchor long, at long, m long, f long, l long, total long, enters long, leaves long, edges array<long>")
+    asked = docs.select("rk", "rk2", "text").join(wanted, "rk").select("rk", "rk2", "text", "anchors")
+    return asked.mapInArrow(run, "rk long, rk2 long, anchor long, at long, m long, f long, l long, total long, enters long, leaves long, edges array<long>")
 
 
 def repeated_units(docs: DataFrame) -> DataFrame:
-    """Successive repeated edges of one context: rk, s, e (first edge and end), first and last edge, and their nodes."""
+    """Successive repeated edges of one context: row keys, s, e (first edge and end), first and last edge, and their nodes."""
     counted, placed = anchors(docs)
     found = stage(contexts(docs, wanted_anchors(counted, placed)))
     # the end windows say nothing of what lies between two places of one anchor: the sum of all edges is part of the key
     ctx = ["anchor", "f", "l", "m", "total"]
-    kinds = stage(found.groupBy(*ctx).agg(F.count(F.lit(1)).alias("n"), F.first("rk").alias("rk"), F.first("at").alias("at"), F.first("enters").alias("enters"), F.first("leaves").alias("leaves")))
+    kinds = stage(found.groupBy(*ctx).agg(F.count(F.lit(1)).alias("n"), F.first("rk").alias("rk"), F.first("rk2").alias("rk2"), F.first("at").alias("at"), F.first("enters").alias("enters"), F.first("leaves").alias("leaves")))
     # the edges of a context that stands once must be met in another context of the anchor, or again in itself
     single = kinds.where("n = 1").select("anchor").distinct()
-    sources = kinds.join(single, "anchor").join(found.select(*ctx, "rk", "at", "edges"), [*ctx, "rk", "at"])
+    place = ["rk", "rk2", "at"]
+    sources = kinds.join(single, "anchor").join(found.select(*ctx, *place, "edges"), [*ctx, *place])
     edges = sources.select("anchor", "n", F.explode("edges").alias("edge"))
     twice = edges.groupBy("anchor", "edge").agg(F.sum("n").alias("n")).where("n > 1").select("anchor", "edge")
     alone = sources.where("n = 1").select(*ctx, "enters", "leaves", F.posexplode("edges").alias("i", "edge")).join(twice, ["anchor", "edge"])
@@ -100,8 +104,11 @@ def repeated_units(docs: DataFrame) -> DataFrame:
     islands = islands.withColumns({"enters": F.when(F.col("s") == 0, F.col("enters")).otherwise(F.xxhash64("first", F.lit(0))), "leaves": F.when(F.col("e") == F.col("m"), F.col("leaves")).otherwise(F.xxhash64("last", F.lit(1)))})
     whole = kinds.where("n > 1").select(*ctx, F.lit(0).alias("s"), F.col("m").cast("int").alias("e"), F.col("f").alias("first"), F.col("l").alias("last"), F.col("total").alias("sum"), "enters", "leaves")
     some = islands.unionByName(whole).withColumn("unit", F.xxhash64("anchor", "first", "last", "sum", F.col("e") - F.col("s")))
-    placed = found.select("rk", "at", *ctx).join(some, ctx)
-    return placed.select("rk", (F.col("at") + F.col("s")).alias("s"), (F.col("at") + F.col("e")).alias("e"), "first", "last", "enters", "leaves", "unit")
+    placed = found.select("rk", "rk2", "at", *ctx).join(some, ctx)
+    units = stage(placed.select("rk", "rk2", (F.col("at") + F.col("s")).alias("s"), (F.col("at") + F.col("e")).alias("e"), "first", "last", "enters", "leaves", "unit"))
+    drop(found)
+    drop(kinds)
+    return units
 
 
 def compacted(units: DataFrame) -> DataFrame:
@@ -113,19 +120,20 @@ def compacted(units: DataFrame) -> DataFrame:
 
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
-    """rk, path, s, e, first, last: the spans of every path in the sources, e the end of its last edge's start."""
-    units = stage(repeated_units(docs))
+    """Row keys, path, s, e, first, last: the spans of every path in the sources, e the end of its last edge's start."""
+    row = ["rk", "rk2"]
+    units = repeated_units(docs)
     named = units.join(compacted(units), "unit", "left").withColumn("path", F.coalesce("path", "unit"))
-    w = Window.partitionBy("rk").orderBy("s", "e")
+    w = Window.partitionBy(*row).orderBy("s", "e")
     joint = F.coalesce((F.lag("e").over(w) == F.col("s")) & (F.lag("path").over(w) == F.col("path")), F.lit(False))
     runs = named.distinct().withColumn("new", (~joint).cast("int")).withColumn("run", F.sum("new").over(w))
-    return runs.groupBy("rk", "path", "run").agg(F.min("s").alias("s"), F.max("e").alias("e"), F.min_by("first", "s").alias("first"), F.max_by("last", "e").alias("last")).drop("run")
+    return runs.groupBy(*row, "path", "run").agg(F.min("s").alias("s"), F.max("e").alias("e"), F.min_by("first", "s").alias("first"), F.max_by("last", "e").alias("last")).drop("run")
 
 
 def dedup(docs: DataFrame) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 and the kept words of every row of docs."""
-    docs = docs.select(F.col("doc_id"), F.col("text").cast("string").alias("text"), row_key().alias("rk"))
-    spans = repeated_spans(docs).groupBy("rk").agg(F.collect_list(F.struct("s", "e", "first", "last")).alias("spans"))
+    docs = docs.select(F.col("doc_id"), F.col("text").cast("string").alias("text"), row_key().alias("rk"), row_key2().alias("rk2"))
+    spans = repeated_spans(docs).groupBy("rk", "rk2").agg(F.collect_list(F.struct("s", "e", "first", "last")).alias("spans"))
 
     def run(batches):
         for b in pieces(batches):
@@ -143,8 +151,10 @@ def dedup(docs: DataFrame) -> DataFrame:
                 if i in place:
                     s, e, first, last = (np.array([x[k] for x in spans_[i].as_py()], np.int64) for k in ("s", "e", "first", "last"))
                     at = begin[place[i]]
-                    if e.max() + WINDOW - 1 > len(words) or (w.roll.slices(at + s, at + s + WINDOW).view(np.int64) != first).any() or (w.roll.slices(at + e - 1, at + e - 1 + WINDOW).view(np.int64) != last).any():
-                        raise ValueError("a span does not stand at its source coordinates")
+                    inside = e + WINDOW - 1 <= len(words)
+                    s, e, first, last = s[inside], e[inside], first[inside], last[inside]
+                    stands = (w.roll.slices(at + s, at + s + WINDOW).view(np.int64) == first) & (w.roll.slices(at + e - 1, at + e - 1 + WINDOW).view(np.int64) == last)
+                    s, e = s[stands], e[stands]
                     mask = covered(s, e + WINDOW - 1, len(words))
                     removed = int(mask.sum())
                     words = [words[k] for k in np.flatnonzero(~mask).tolist()]
@@ -153,7 +163,7 @@ def dedup(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(gone, pa.int64()), pa.array(kept, pa.string())], names=["doc_id", "n_words", "n_removed", "kept"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.join(spans, "rk", "left").select("doc_id", "text", "spans").mapInArrow(run, f"doc_id {kind}, n_words long, n_removed long, kept string")
+    return docs.join(spans, ["rk", "rk2"], "left").select("doc_id", "text", "spans").mapInArrow(run, f"doc_id {kind}, n_words long, n_removed long, kept string")
 
 
 def digest(docs: DataFrame) -> DataFrame:

@@ -270,7 +270,8 @@ def dedup(docs: DataFrame, similar: int = SIMILAR, chunks: int = CHUNKS) -> Data
 
 def _shared_ids(every: DataFrame, classes: DataFrame) -> DataFrame:
     """a, b: ids that name rows of several classes (or that are in a class under another's name and have an empty text), and their classes."""
-    key = F.struct("s1", "s2", "n")
-    several = every.where("doc_id is not null").groupBy("doc_id").agg(F.min(key).alias("x"), F.max(key).alias("y")).where("x <> y").select("doc_id")
+    key = ("s1", "s2", "n")
+    ends = every.where("doc_id is not null").groupBy("doc_id").agg(*[f(c).alias(f"{c}_{k}") for c in key for k, f in (("x", F.min), ("y", F.max))])
+    several = ends.where(" or ".join(f"{c}_x <> {c}_y" for c in key)).select("doc_id")
     rows = every.where("n > 0").select("doc_id", "s1", "s2", "n").join(several, "doc_id", "left_semi").distinct()
     return rows.join(classes.select("s1", "s2", "n", "cid"), ["s1", "s2", "n"]).select(F.col("doc_id").alias("a"), F.col("cid").alias("b")).where("a <> b")

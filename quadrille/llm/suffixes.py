@@ -12,9 +12,12 @@ An anchor with many contexts is spread over several blocks by a salt. What such
 hashes of their windows do, in one aggregation over all blocks of the anchor. Bytes that a repeated window
 covers are removed.
 
+Windows are told apart by 64-bit hashes within those that share an anchor, whole contexts by 192 bits, and rows by 128 bits.
+
 Defined cases: null and empty texts have no byte; repeated rows are copies like any other, so all their windows
-repeat; null ids are kept; texts shorter than a window lose nothing; an empty table gives an empty result; other
-columns are not read.
+repeat; null ids are kept; texts shorter than a window lose nothing; ties do not arise: every place of a repeated window is
+removed, the first as well; a very long text needs memory of about 100 times its size in its task; an empty table gives an empty
+result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -26,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import _BYTE, Rolling, mix, pieces, row_key, stage, texts_of
+from .common import _BYTE, Rolling, drop, mix, pieces, row_key, row_key2, stage, texts_of
 from .repeats import asked_windows, covered, places_of, wanted_anchors, windows
 
 WINDOW, GRAM = 200, 32
@@ -196,8 +199,8 @@ def contexts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
     def run(batches):
         for b in pieces(batches, most=1 << 21):
-            data, off, w = _cut(b.column(1))
-            first, last = w.runs(asked_windows(w, b.column(2)))
+            data, off, w = _cut(b.column(2))
+            first, last = w.runs(asked_windows(w, b.column(3)))
             m = last - first + 1
             s, e = w.start[first], w.start[last] + WINDOW
             # the end windows say nothing of what lies between two places of one anchor: the whole body is hashed too
@@ -208,10 +211,10 @@ def contexts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             raw = data.tobytes()
             body = [raw[x:y] if k else None for x, y, k in zip(s.tolist(), e.tolist(), lead.tolist())]
             d = w.doc[first]
-            yield pa.RecordBatch.from_arrays([pa.array(b.column(0).to_numpy()[d]), pa.array(w.anchor[first].view(np.int64)), pa.array(s - off[d]), pa.array(m), pa.array(ends.view(np.int64)), pa.array(whole.view(np.int64)), pa.array(body, pa.binary())], names=["rk", "anchor", "at", "m", "ends", "whole", "body"])
+            yield pa.RecordBatch.from_arrays([*[pa.array(b.column(k).to_numpy()[d]) for k in (0, 1)], pa.array(w.anchor[first].view(np.int64)), pa.array(s - off[d]), pa.array(m), pa.array(ends.view(np.int64)), pa.array(whole.view(np.int64)), pa.array(body, pa.binary())], names=["rk", "rk2", "anchor", "at", "m", "ends", "whole", "body"])
 
-    asked = docs.select("rk", "text").join(wanted, "rk").select("rk", "text", "anchors")
-    return asked.mapInArrow(run, "rk long, anchor long, at long, m long, ends long, whole long, body binary")
+    asked = docs.select("rk", "rk2", "text").join(wanted, "rk").select("rk", "rk2", "text", "anchors")
+    return asked.mapInArrow(run, "rk long, rk2 long, anchor long, at long, m long, ends long, whole long, body binary")
 
 
 def sorted_blocks(sources: DataFrame) -> DataFrame:
@@ -266,7 +269,7 @@ def sorted_blocks(sources: DataFrame) -> DataFrame:
 
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
-    """rk, s, e: the bytes that repeated windows cover; docs has rk and text."""
+    """Row keys, s, e: the bytes that repeated windows cover; docs has the row keys and text."""
     found = stage(contexts(docs, wanted_anchors(*anchors(docs))))
     ctx = ["anchor", "ends", "whole", "m"]
     kinds = found.groupBy(*ctx).agg(F.count(F.lit(1)).alias("n"), F.max("body").alias("body"))
@@ -277,13 +280,17 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     twice = opened.groupBy("anchor", "edge").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("anchor", "edge")
     more = opened.where("not settled").join(twice, ["anchor", "edge"]).select(*ctx, "s", "e")
     islands = solved.where("edge is null").select(*ctx, "s", "e").unionByName(more)
-    return found.select("rk", "at", *ctx).join(islands, ctx).select("rk", (F.col("at") + F.col("s")).alias("s"), (F.col("at") + F.col("e") + (WINDOW - 1)).alias("e"))
+    spans = found.select("rk", "rk2", "at", *ctx).join(islands, ctx).select("rk", "rk2", (F.col("at") + F.col("s")).alias("s"), (F.col("at") + F.col("e") + (WINDOW - 1)).alias("e"))
+    spans = stage(spans)
+    drop(found)
+    drop(solved)
+    return spans
 
 
 def dedup(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and the kept bytes of every row of docs."""
-    docs = docs.select(F.col("doc_id"), F.col("text").cast("string").alias("text"), row_key().alias("rk"))
-    spans = repeated_spans(docs).groupBy("rk").agg(F.collect_list(F.struct("s", "e")).alias("spans"))
+    docs = docs.select(F.col("doc_id"), F.col("text").cast("string").alias("text"), row_key().alias("rk"), row_key2().alias("rk2"))
+    spans = repeated_spans(docs).groupBy("rk", "rk2").agg(F.collect_list(F.struct("s", "e")).alias("spans"))
 
     def run(batches):
         for b in pieces(batches):
@@ -304,7 +311,7 @@ def dedup(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column(0), *[pa.array(x, pa.int64()) for x in (n, gone, runs)], pa.array(kept, pa.binary())], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.join(spans, "rk", "left").select("doc_id", "text", "spans").mapInArrow(run, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept binary")
+    return docs.join(spans, ["rk", "rk2"], "left").select("doc_id", "text", "spans").mapInArrow(run, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept binary")
 
 
 def digest(docs: DataFrame) -> DataFrame:
