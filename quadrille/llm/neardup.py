@@ -93,7 +93,7 @@ def describe(docs: DataFrame) -> DataFrame:
     names = [f"g{i}" for i in range(LONGS)]
 
     def run(batches):
-        for b in pieces(batches):
+        for b in pieces(batches, most=1 << 20):
             h, off = sets_of(b.column(1))
             sig = np.zeros((b.num_rows, POSITIONS), np.uint16)
             sig[off[1:] > off[:-1]] = signatures(h, off)
@@ -206,7 +206,7 @@ def full_sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """cid and the whole set, as bytes, of the documents with these ids."""
 
     def run(batches):
-        for b in pieces(batches):
+        for b in pieces(batches, most=1 << 20):
             h, off = sets_of(b.column(1))
             raw = h.view(np.int64)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([raw[s:e].tobytes() for s, e in zip(off[:-1], off[1:])], pa.binary())], names=["cid", "set"])
