@@ -170,7 +170,7 @@ def words_of(data: np.ndarray, off: np.ndarray, seed: int = 0) -> tuple[np.ndarr
     return start, end, np.searchsorted(off, start, "right") - 1, Rolling(_BYTE[seed][data]).slices(start, end)
 
 
-def pieces(batches: Iterator[pa.RecordBatch], column: str = "text", most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def pieces(batches: Iterator[pa.RecordBatch], column: str = "text", most: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """Slices of batches with at most so many bytes of text each (a longer text stands alone)."""
     for b in batches:
         c = b.column(b.schema.get_field_index(column))

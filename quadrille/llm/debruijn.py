@@ -74,25 +74,25 @@ def contexts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             bounds = np.concatenate([[0], np.cumsum(m)])
             begin = w.first_symbol(b.num_rows)[w.doc[first]]
             yield pa.RecordBatch.from_arrays([
-                *[pa.array(b.column(k).to_numpy()[w.doc[first]]) for k in (0, 1)], pa.array(w.anchor[first].view(np.int64)), pa.array(w.start[first] - begin), pa.array(m),
-                pa.array(edges[bounds[:-1]]), pa.array(edges[bounds[1:] - 1]), pa.array(_total(edges, bounds)), pa.array(in_node), pa.array(out_node),
+                *[pa.array(b.column(k).to_numpy()[w.doc[first]]) for k in (0, 1)], pa.array(w.anchor[first].view(np.int64)), pa.array(w.start[first] - begin), pa.array(m), pa.array(_total(edges, bounds)), pa.array(in_node), pa.array(out_node),
                 pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(edges))],
-                names=["rk", "rk2", "anchor", "at", "m", "f", "l", "total", "enters", "leaves", "edges"])
+                names=["rk", "rk2", "anchor", "at", "m", "total", "enters", "leaves", "edges"])
 
     asked = docs.select("rk", "rk2", "text").join(wanted, "rk").select("rk", "rk2", "text", "anchors")
-    return asked.mapInArrow(run, "rk long, rk2 long, anchor long, at long, m long, f long, l long, total long, enters long, leaves long, edges array<long>")
+    return asked.mapInArrow(run, "rk long, rk2 long, anchor long, at long, m long, total long, enters long, leaves long, edges array<long>")
 
 
 def repeated_units(docs: DataFrame) -> DataFrame:
     """Successive repeated edges of one context: row keys, s, e (first edge and end), first and last edge, and their nodes."""
     counted, placed = anchors(docs)
-    found = stage(contexts(docs, wanted_anchors(counted, placed)))
+    kept = stage(contexts(docs, wanted_anchors(counted, placed)))
+    found = kept.withColumns({"f": F.element_at("edges", 1), "l": F.element_at("edges", -1)})
     # the end windows say nothing of what lies between two places of one anchor: the sum of all edges is part of the key
     ctx = ["anchor", "f", "l", "m", "total"]
-    kinds = stage(found.groupBy(*ctx).agg(F.count(F.lit(1)).alias("n"), F.first("rk").alias("rk"), F.first("rk2").alias("rk2"), F.first("at").alias("at"), F.first("enters").alias("enters"), F.first("leaves").alias("leaves")))
+    kinds = stage(found.groupBy(*ctx).agg(F.count(F.lit(1)).alias("n"), F.first("rk").alias("rk"), F.first("at").alias("at"), F.first("enters").alias("enters"), F.first("leaves").alias("leaves")))
     # the edges of a context that stands once must be met in another context of the anchor, or again in itself
     single = kinds.where("n = 1").select("anchor").distinct()
-    place = ["rk", "rk2", "at"]
+    place = ["rk", "at"]
     sources = kinds.join(single, "anchor").join(found.select(*ctx, *place, "edges"), [*ctx, *place])
     edges = sources.select("anchor", "n", F.explode("edges").alias("edge"))
     twice = edges.groupBy("anchor", "edge").agg(F.sum("n").alias("n")).where("n > 1").select("anchor", "edge")
@@ -106,7 +106,7 @@ def repeated_units(docs: DataFrame) -> DataFrame:
     some = islands.unionByName(whole).withColumn("unit", F.xxhash64("anchor", "first", "last", "sum", F.col("e") - F.col("s")))
     placed = found.select("rk", "rk2", "at", *ctx).join(some, ctx)
     units = stage(placed.select("rk", "rk2", (F.col("at") + F.col("s")).alias("s"), (F.col("at") + F.col("e")).alias("e"), "first", "last", "enters", "leaves", "unit"))
-    drop(found)
+    drop(kept)
     drop(kinds)
     return units
 

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 from . import attention, bpe, debruijn, neardup, pii, quality, suffixes, templates, urls, warc
-from .common import stage, table
+from .common import remove, stage, table, work_dir
 
 
 def op6_quality_llr(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -35,7 +36,9 @@ def op3_url_equivalence(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_warc_normaliser(spark: SparkSession, sf_dir: str) -> DataFrame:
-    archives = warc.normalise(warc.write(warc.decide(table(spark, sf_dir, "pages"))))
+    folder = f"{work_dir(spark)}/warc-{uuid.uuid4().hex}"
+    archives = warc.normalise(warc.write(warc.decide(table(spark, sf_dir, "pages")), f"{folder}/raw"), folder)
+    remove(spark, f"{folder}/raw")
     return warc.read(archives, payloads=False).drop("url", "payload")
 
 
@@ -72,20 +75,54 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_bpe_merge_replay": op10_bpe_merge_replay,
 }
 
-#: Pages that no redirect or canonical link ties to another are judged by the rules alone, so the SQL states op3 for
-#: tables without such links; tests/llm compares linked pages with brute force.
+def _address(url: str) -> str:
+    """urls.address as SQL."""
+    bare = f"regexp_replace({url}, '#.*$', '')"
+    host = f"translate(regexp_extract({bare}, '://([^/?#]*)', 1), '{urls._UPPER}', '{urls._LOWER}')"
+    return f"case when {bare} like '%://%' then regexp_extract({bare}, '^(.*?://)', 1) || {host} || regexp_replace({bare}, '^.*?://[^/?]*', '') else {bare} end"
+
+
+_QUOTE = """["'']?"""
+_RULES = "rules(verdict, h, p) as (values " + ", ".join(f"('{v}', '{h}', '{p}')" for v, h, p in urls.RULES) + ")"
+
+#: The closure over redirects and canonical links is stated by a recursive union.
 ORACLE_SQL: dict[str, str] = {
-    "op3_url_equivalence": """
-        with parts as (
-            select page_id,
-                   translate(regexp_extract(coalesce(url, ''), '://([^/?#]*)([^?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+    "op3_url_equivalence": f"""
+        with recursive {_RULES},
+        parts as (
+            select page_id, url, translate(regexp_extract(coalesce(url, ''), '://([^/?#]*)([^?#]*)', 1), '{urls._UPPER}', '{urls._LOWER}') as host,
                    regexp_extract(coalesce(url, ''), '://([^/?#]*)([^?#]*)', 2) as path
             from pages),
-        rules(verdict, h, p) as (values ('block', 'net', '/'), ('allow', 'example.net', '/en/'), ('block', 'example.com', '/de/'), ('allow', 'org', '/fr/')),
+        tags as (
+            select url, unnest(list_concat(
+                list_transform(list_filter(regexp_extract_all(html, '(?is)<link\\b[^>]*>'), lambda t: regexp_matches(t, '(?i)\\brel\\s*=\\s*{_QUOTE}canonical\\b')),
+                    lambda t: regexp_extract(t, '(?i)\\bhref\\s*=\\s*{_QUOTE}([^"''\\s>]+)', 1)),
+                list_transform(list_filter(regexp_extract_all(html, '(?is)<meta\\b[^>]*>'), lambda t: regexp_matches(t, '(?i)\\bhttp-equiv\\s*=\\s*{_QUOTE}refresh\\b')),
+                    lambda t: regexp_extract(t, '(?i)\\burl\\s*=\\s*{_QUOTE}([^"''>\\s]+)', 1)))) as found
+            from pages where url is not null and html is not null),
+        refs as (
+            select url, trim(replace(found, '&amp;', '&'), ' ') as ref, regexp_extract(url, '^([^:]*:)', 1) as scheme, regexp_extract(url, '^(.*?://[^/?#]*)', 1) as origin,
+                   regexp_extract(regexp_replace(url, '[?#].*$', ''), '^(.*?://.*/)', 1) as folder
+            from tags where found <> ''),
+        goes as (
+            select url, case when regexp_matches(ref, '^[A-Za-z][A-Za-z0-9+.-]*://') then ref when starts_with(ref, '//') then scheme || ref when starts_with(ref, '/') then origin || ref
+                   when ref = '' or starts_with(ref, '#') then url else (case when folder = '' then origin || '/' else folder end) || ref end as goal
+            from refs),
+        edges as (select distinct {_address("url")} as a, {_address("goal")} as b from goes),
+        both_ways as (select a, b from edges where a <> b union select b, a from edges where a <> b),
+        reach(a, b) as (select a, a from both_ways union select r.a, e.b from reach r join both_ways e on r.b = e.a),
+        known as (
+            select b, translate(regexp_extract(b, '://([^/?#]*)([^?#]*)', 1), '{urls._UPPER}', '{urls._LOWER}') as host, regexp_extract(b, '://([^/?#]*)([^?#]*)', 2) as path
+            from (select distinct b from reach)),
+        ruled as (select b, arg_max(verdict, length(h || p)) as verdict from known join rules on (host = h or ends_with(host, '.' || h)) and starts_with(path, p) group by b),
+        classes as (
+            select r.a as address, case when bool_or(coalesce(verdict = 'allow', false)) then 'allow' when bool_or(coalesce(verdict = 'block', false)) then 'block' end as verdict
+            from reach r left join ruled x on x.b = r.b group by r.a),
         fits as (
-            select page_id, arg_max(h || p, length(h || p)) as rule, arg_max(verdict, length(h || p)) as verdict
-            from parts join rules on (host = h or ends_with(host, '.' || h)) and starts_with(path, p) group by page_id)
-        select page_id, host, path, rule, coalesce(verdict, 'allow') as verdict from parts left join fits using (page_id)""",
+            select page_id, url, arg_max(h || p, length(h || p)) as rule, arg_max(verdict, length(h || p)) as verdict
+            from parts join rules on (host = h or ends_with(host, '.' || h)) and starts_with(path, p) group by page_id, url)
+        select p.page_id, p.host, p.path, f.rule, coalesce(f.verdict, c.verdict, 'allow') as verdict
+        from parts p left join fits f on p.page_id is not distinct from f.page_id and p.url is not distinct from f.url left join classes c on c.address = {_address("p.url")}""",
     "op5_warc_normaliser": """
         with p as (
             select page_id, cast(strlen(coalesce(html, '')) as bigint) as payload_bytes, sha256(coalesce(html, '')) as payload_digest from pages),
