@@ -34,10 +34,12 @@ def tile_transform_columns(ori: list[Column], shape: list[Column], dims: list[Co
 
 
 def compose(src: np.ndarray, ori, size) -> np.ndarray:
-    """From pixels of a target (voxel size `size`, origin `ori`) to pixels of the source with transform src."""
-    dst = np.eye(len(src))
+    """From pixels of a target (voxel size `size`, origin `ori`) to pixels of the source with transform src; stacks give stacks."""
+    dst = np.zeros(src.shape)
+    dst[...] = np.eye(src.shape[-1])
+    ori, size = np.asarray(ori, float), np.asarray(size, float)
     for d in range(3):
-        dst[d, d], dst[d, -1] = size[d], ori[d]
+        dst[..., d, d], dst[..., d, -1] = size[..., d], ori[..., d]
     return np.linalg.inv(src) @ dst
 
 
@@ -99,6 +101,20 @@ def next_pow2(v: int) -> int:
     return 1 << max(0, (int(v) - 1).bit_length())
 
 
+def square_window(shape, at, extent, voxel_um) -> tuple[list[float], list[float]]:
+    """A fractional window of a box (nm) made square in x and y: both grow about their middle to a power of two of pixels, one number."""
+    if voxel_um[0] != voxel_um[1]:
+        raise ValueError("pixels must be square")
+    at, extent = list(at), list(extent)
+    pixels = [int(extent[d] * float(shape[d])) / 1000 / voxel_um[d] for d in (0, 1)]
+    side = next_pow2(int(max(pixels)))
+    for d in (0, 1):
+        f = side / pixels[d]
+        extent[d] *= f
+        at[d] += 0.5 * (1 - f)
+    return at, extent
+
+
 def parse_size(text: str) -> int:
     """A plain integer or one with k, M, G, T, P or E (powers of 1000)."""
     text = text.strip()

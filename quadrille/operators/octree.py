@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import addresses
 from ..functions.aabb import child
 from ..sources.tables import written
-from .boxjoin import any_hit, cell_size
 
 SCHEMA = "ids array<int>, addr bigint, depth int, o0 bigint, o1 bigint, o2 bigint, s0 bigint, s1 bigint, s2 bigint, e0 bigint, e1 bigint, e2 bigint, is_leaf boolean"
 
@@ -21,11 +20,11 @@ def leaf_test(shape: list[int], voxel: tuple[float, float, float], most: int) ->
 
 
 def height(shape: list[int], voxel, most: int, fan: int = 8) -> int:
-    """Levels down to leaves along child 0, which no other child exceeds by more than a unit an axis."""
-    h = 0
-    while not leaf_test(shape, voxel, most):
-        shape = [s // 2 if (fan - 1) >> d & 1 else s for d, s in enumerate(shape)]
+    """Levels down to where the largest node is a leaf: halves are rounded up for it."""
+    h, top = 0, list(shape)
+    while not leaf_test(top, voxel, most):
         h += 1
+        top = [-(-s // (1 << h)) if (fan - 1) >> d & 1 else s for d, s in enumerate(shape)]
     return h
 
 
@@ -49,22 +48,80 @@ def root(spark: SparkSession, ori: list[int], shape: list[int], voxel, most: int
 
 
 def nodes(spark: SparkSession, ori, shape, voxel, most: int, fan: int = 8, tiles: DataFrame | None = None) -> DataFrame:
-    """All nodes, root first; with tiles only those that some tile hits, a node's children only if the node is hit.
+    """All nodes; with tiles only those that some tile hits, a node's children only if the node is no leaf and is hit."""
+    if tiles is not None:
+        return hit_nodes(tiles, ori, shape, voxel, most, fan)
+    level = root(spark, ori, shape, voxel, most)
+    out = level
+    for _ in range(height(shape, voxel, most, fan)):
+        level = children(level, fan, voxel, most)
+        out = out.unionByName(level)
+    return out
+
 
-    The depth is known from the shape, so the plan has one step a level; the semi join of each level is a grid join,
-    and its result a table, so that a lost executor costs one level.
+def hit_nodes(tiles: DataFrame, ori, shape, voxel, most: int, fan: int = 8) -> DataFrame:
+    """The nodes that some tile hits, from the finest level up: one scan of the tiles and no join.
+
+    On each axis a tile's ends descend by halves to their cells of the finest level, as arithmetic within the scan; the cells that it
+    covers become addresses, and each level is the distinct parents of the one below. What lies below a leaf is left out.
+    A tile gives as many rows as it covers finest cells, which are all in the result (or below a leaf that is).
     """
-    level = root(spark, ori, shape, voxel, most)
-    out, size = None, [s + 1 for s in shape]
-    least = cell_size(tiles) if tiles is not None else None
-    for d in range(height(size, voxel, most, fan) + 1):
-        if d:
-            level = children(level, fan, voxel, most)
-        if tiles is not None:
-            # cells as large as this level's nodes or the usual tile: either covers few
-            now = tuple(max(c, -(-size[k] // (1 << d if (fan - 1) >> k & 1 else 1))) for k, c in enumerate(least))
-            level = written(any_hit(level.withColumn("id", F.col("addr")), tiles, "id", now, one_grid=True).drop("id"))
-        out = level if out is None else out.unionByName(level)
+    deep = height(shape, voxel, most, fan)
+    split = [bool((fan - 1) >> d & 1) for d in range(3)]
+    # first and last unit of the tile within the root; tiles outside or without extent drop out
+    df = tiles.where(" and ".join(f"e{d} > o{d}" for d in range(3)))
+    lo = {f"lo{d}": F.greatest(F.col(f"o{d}") - F.lit(ori[d]), F.lit(0)) for d in range(3)}
+    hi = {f"hi{d}": F.least(F.col(f"e{d}") - F.lit(ori[d]), F.lit(shape[d])) - 1 for d in range(3)}
+    df = df.select(*[c.alias(k) for k, c in (lo | hi).items()]).where(" and ".join(f"lo{d} <= hi{d}" for d in range(3)))
+    axes = [d for d in range(3) if split[d]]
+    state = {f"{x}{w}{d}": F.lit(0 if x == "i" else shape[d]).cast("long") for x in "is" for w in ("lo", "hi") for d in axes}
+    df = df.withColumns(state)
+    for _ in range(deep):  # the place within the cell, the cell's extent and its number
+        ups = {f"u{w}{d}": (F.col(f"{w}{d}") >= F.shiftright(F.col(f"s{w}{d}"), 1)).cast("long") for w in ("lo", "hi") for d in axes}
+        df = df.withColumns(ups)
+        half = lambda k: F.shiftright(F.col(f"s{k}"), 1)
+        ends = [f"{w}{d}" for w in ("lo", "hi") for d in axes]
+        df = df.withColumns({k: F.col(k) - F.col(f"u{k}") * half(k) for k in ends} | {f"s{k}": F.shiftright(F.col(f"s{k}") + F.col(f"u{k}"), 1) for k in ends} | {f"i{k}": F.col(f"i{k}") * 2 + F.col(f"u{k}") for k in ends})
+    for d in axes:
+        df = df.select("*", F.explode(F.sequence(F.col(f"ilo{d}"), F.col(f"ihi{d}"))).alias(f"c{d}"))
+    addr = F.lit(0).cast("long")
+    for level in range(deep - 1, -1, -1):
+        digit = F.lit(1).cast("long")
+        for d in axes:
+            digit = digit + F.shiftright(F.col(f"c{d}"), level).bitwiseAND(F.lit(1).cast("long")) * (1 << d)
+        addr = addr * 10 + digit
+    cells = written(df.select(addr.alias("addr")).distinct())
+    out = _kept(cells, deep, ori, shape, voxel, most, fan)
+    for depth in range(deep - 1, -1, -1):
+        cells = cells.select(F.expr("addr div 10").alias("addr")).distinct()
+        out = out.unionByName(_kept(cells, depth, ori, shape, voxel, most, fan))
+    return out
+
+
+def _kept(cells: DataFrame, depth: int, ori, shape, voxel, most: int, fan: int) -> DataFrame:
+    """The nodes with these addresses of one depth, without those below a leaf."""
+    digit = lambda j: F.pmod(F.expr(f"addr div {10 ** (depth - 1 - j)}L"), F.lit(10)).cast("int") - 1
+    ids = F.array(*[digit(j) for j in range(depth)]) if depth else F.array().cast("array<int>")
+    df = cells.select("addr", ids.alias("ids"), *[digit(j).alias(f"b{j}") for j in range(depth)])
+    size = lambda box: F.floor(box["s0"].cast("double") * box["s1"] * box["s2"] / float(voxel[0] * voxel[1] * voxel[2]))
+    if depth:
+        df = df.where(size(_box_of(depth - 1, ori, shape, fan)) >= most)
+    box = _box_of(depth, ori, shape, fan)
+    df = df.select("ids", "addr", F.lit(depth).alias("depth"), *[box[f"{c}{d}"].alias(f"{c}{d}") for c in "os" for d in range(3)])
+    return df.select("*", *[(F.col(f"o{d}") + F.col(f"s{d}")).alias(f"e{d}") for d in range(3)], (size({f"s{d}": F.col(f"s{d}") for d in range(3)}) < most).alias("is_leaf"))
+
+
+def _box_of(depth: int, ori, shape, fan: int) -> dict[str, Column]:
+    """Origin and shape of the node with child ids b0, b1, ..., in closed form: after the halves x0, x1, ... (1 the upper) an extent s
+    has become floor((s + x0 + 2 x1 + 4 x2 + ...) / 2^depth), and each upper half begins where the lower ends."""
+    out = {}
+    for d in range(3):
+        o, turned, halves = F.lit(ori[d]).cast("long"), F.lit(shape[d]).cast("long"), depth if (fan - 1) >> d & 1 else 0
+        for j in range(halves):
+            up = F.shiftright(F.col(f"b{j}"), d).bitwiseAND(1).cast("long")
+            o = o + up * F.shiftright(turned, j + 1)
+            turned = turned + up * (1 << j)
+        out[f"o{d}"], out[f"s{d}"] = o, F.shiftright(turned, halves)
     return out
 
 
@@ -89,13 +146,21 @@ def target_window(ids: list[int], at: list[float], extent: list[float]) -> tuple
 
 
 def schedule(addrs: DataFrame, batch: int = 7) -> DataFrame:
-    """addr, depth, parent and the batch of each address within its depth."""
+    """addr, depth, parent and the batch of each address within its depth.
+
+    Addresses are sorted by ranges; the rows of each depth in each range are counted, and a row's number is its place in its range
+    behind the counts before: no depth is sorted in one task.
+    """
     a = F.col("addr")
-    w = Window.partitionBy("depth").orderBy("addr")
-    df = addrs.select("addr", addresses.depth(a).alias("depth"))
-    least = addrs.agg(F.min("addr").alias("_least"))
-    df = df.join(F.broadcast(least), F.col("addr") >= F.col("_least"))  # one row
-    return df.select("addr", "depth", F.when(a != F.col("_least"), F.floor(a / 10).cast("long")).alias("parent"), F.floor((F.row_number().over(w) - 1) / batch).cast("long").alias("batch"))
+    ranged = addrs.select("addr", addresses.depth(a).alias("depth")).repartitionByRange("depth", "addr").select("depth", "addr", F.spark_partition_id().alias("part"))
+    ranged = written(ranged)
+    parts = ranged.groupBy("depth", "part").agg(F.count(F.lit(1)).alias("n"), F.min("addr").alias("least"))
+    starts = parts.withColumn("start", F.sum("n").over(Window.partitionBy("depth").orderBy("part")) - F.col("n"))  # a row for each range of a depth
+    least = starts.agg(F.min("least")).head()[0]
+    place = F.row_number().over(Window.partitionBy("depth", "part").orderBy("addr")) - 1
+    df = ranged.withColumn("place", place).join(starts.select("depth", "part", "start"), ["depth", "part"])
+    parent = F.when(a != F.lit(least), F.floor(a / 10).cast("long"))
+    return df.select("addr", "depth", parent.alias("parent"), F.floor((F.col("start") + F.col("place")) / batch).cast("long").alias("batch"))
 
 
 def holds(scheduled: DataFrame) -> DataFrame:

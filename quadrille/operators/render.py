@@ -3,21 +3,96 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import kernels
-from ..functions.transforms import box_to_box, compose
+from ..functions import addresses, kernels
+from ..functions.transforms import box_to_box, compose, parse_size, square_window
 from ..sources.tables import written
+from . import octree
 from .boxjoin import box_join
+from .catalog import bounds
 
 NODE = "addr bigint, parent bigint, depth int, ori array<bigint>, shape array<bigint>, dims array<int>, values array<float>"
 FILL = 0.0
 
 
+@dataclass(frozen=True)
+class Options:
+    """What a render run is told; lengths in um, fractions of the bounds, sizes in voxels."""
+
+    voxel_um: tuple[float, float, float] = (0.5, 0.5, 0.5)
+    at: tuple[float, float, float] = (0.0, 0.0, 0.0)
+    extent: tuple[float, float, float] = (1.0, 1.0, 1.0)
+    children: int = 8
+    leaf: str = "64M"
+    fov_um: tuple[float, float] = (-1.0, -1.0)
+    input_threshold: float = 0.25
+    output_threshold: float = 0.25
+    output_filter_um: tuple[float, float, float] = (0.0, 0.0, 0.0)
+    square: bool = False
+    target: int | None = None
+
+    def __post_init__(self):
+        if self.children not in (4, 8):
+            raise ValueError("children must be 4 or 8")
+        if any(not -1e-5 <= x <= 1 + 1e-5 for x in (*self.at, *self.extent)):
+            raise ValueError("the window must lie within 0 and 1")
+        if min(self.voxel_um) <= 0 or parse_size(self.leaf) < 0:
+            raise ValueError("sizes must be positive")
+        if self.target is not None and any(c in "09" for c in str(self.target).lstrip("0")):
+            raise ValueError(f"{self.target} is no address")
+
+    def voxel_nm(self) -> tuple[float, ...]:
+        return tuple(1000 * v for v in self.voxel_um)
+
+    def out_filter(self) -> list:
+        return output_filters([1000 * f for f in self.output_filter_um], self.voxel_nm(), self.output_threshold)
+
+
+def output_filters(filter_nm, voxel_nm, threshold: float = 0.25) -> list[list[float] | None]:
+    """A kernel for each axis, or none where the filter is small against the voxel."""
+    return [kernels.antialias(f / v, 1.0, threshold) for f, v in zip(filter_nm, voxel_nm)]
+
+
+def cropped(v: np.ndarray, crop) -> np.ndarray:
+    """The front part of a volume (crop x first); a crop of other dimensions leaves it alone."""
+    return v[tuple(slice(0, int(n)) for n in list(crop)[::-1])] if crop is not None and len(crop) == v.ndim else v
+
+
+def run(tiles: DataFrame, load: Callable[[str], np.ndarray], options: Options = Options()) -> DataFrame:
+    """The pyramid over a window of the tiles, or the one node that the options name."""
+    row = bounds(tiles).head()
+    at, extent = options.at, options.extent
+    if options.square:
+        at, extent = square_window([row[f"s{d}"] for d in range(3)], at, extent, options.voxel_um)
+    ori = [int(float(row[f"o{d}"]) + at[d] * float(row[f"s{d}"])) for d in range(3)]
+    shape = [int(extent[d] * float(row[f"s{d}"])) for d in range(3)]
+    tree = octree.nodes(tiles.sparkSession, ori, shape, options.voxel_nm(), parse_size(options.leaf), options.children, tiles)
+    if options.target is not None:
+        tree = octree.subtree(tree, options.target)
+    done = pyramid(tree, tiles, load, options.voxel_nm(), options.input_threshold, options.out_filter())
+    return done if options.target is None else done.where(F.col("addr") == options.target)
+
+
+def save(nodes: DataFrame, folder: str) -> None:
+    """Nodes as a table in folders by depth, each with its path and its transform: origin in nm, nm for each pixel."""
+    size = lambda d: F.get("shape", F.lit(d)).cast("double") / F.get("dims", F.lit(d))
+    where = [F.get("ori", F.lit(d)).cast("double").alias(f"{c}_nm") for d, c in enumerate(("ox", "oy", "oz"))]
+    path = F.when(F.col("addr") == 0, "").otherwise(addresses.to_path(addresses.from_int(F.col("addr"))))
+    nodes.select("*", path.alias("path"), *where, *[size(d).alias(f"{c}_nm") for d, c in enumerate(("sx", "sy", "sz"))]).write.partitionBy("depth").parquet(folder)
+
+
+def stored(spark: SparkSession, folder: str, addr: int | None = None) -> DataFrame:
+    """Saved nodes, or the one of an address; only its depth's folder is read."""
+    out = spark.read.parquet(folder)
+    return out if addr is None else out.where((F.col("depth") == (len(str(addr)) if addr else 0)) & (F.col("addr") == addr))
+
+
 def node_dims(shape, voxel) -> list[int]:
     return [max(1, int(round(s / v))) for s, v in zip(shape, voxel)]
 
@@ -49,20 +124,21 @@ def parent(shape, ori, children: list[tuple[list[int], list[int], np.ndarray]],
     return np.where(np.isfinite(out), out, FILL)
 
 
-def render_leaves(nodes: DataFrame, tiles: DataFrame, load: Callable[[str], np.ndarray], voxel, tile_cell=None) -> DataFrame:
+def render_leaves(nodes: DataFrame, tiles: DataFrame, load: Callable[[str], np.ndarray], voxel, threshold: float = 0.25, out_filter: list | None = None) -> DataFrame:
     """Volumes of the leaves among nodes; tiles has id, path, transform and flat boxes; load reads a path on the executor.
 
-    Nodes and tiles meet by a grid join; a group is a node and the tiles that hit it, which bounds its memory.
+    A column `crop` cuts the loaded volumes. Nodes and tiles meet by a grid join; a group is a node and the tiles that hit it, which bounds its memory.
     """
     leaves = nodes.where("is_leaf").withColumn("id", F.col("addr"))
     met = box_join(leaves, tiles).select(F.col("aid").alias("addr"), F.col("bid").alias("id"))
-    rows = met.join(tiles.select("id", "path", "transform"), "id").join(leaves.select("addr", "depth", *[f"{c}{d}" for c in "os" for d in range(3)]), "addr")
+    rows = met.join(tiles.select("id", "path", "transform", *[c for c in ("crop",) if c in tiles.columns]), "id").join(leaves.select("addr", "depth", *[f"{c}{d}" for c in "os" for d in range(3)]), "addr")
 
     def one(pdf: pd.DataFrame) -> pd.DataFrame:
         r = pdf.iloc[0]
         ori, shape = [int(r[f"o{d}"]) for d in range(3)], [int(r[f"s{d}"]) for d in range(3)]
-        got = [(load(p), np.array(t, float).reshape(4, 4) if len(t) == 16 else np.array(t, float).reshape(5, 5)[np.ix_([0, 1, 2, 4], [0, 1, 2, 4])]) for p, t in zip(pdf["path"], pdf["transform"])]
-        v = leaf(shape, ori, voxel, got)
+        crops = pdf["crop"] if "crop" in pdf else [None] * len(pdf)
+        got = [(cropped(load(p), c), np.array(t, float).reshape(4, 4) if len(t) == 16 else np.array(t, float).reshape(5, 5)[np.ix_([0, 1, 2, 4], [0, 1, 2, 4])]) for p, c, t in zip(pdf["path"], crops, pdf["transform"])]
+        v = leaf(shape, ori, voxel, got, threshold, out_filter)
         return _node(int(r["addr"]), int(r["depth"]), ori, shape, v)
 
     return rows.groupBy("addr").applyInPandas(one, NODE)
@@ -88,10 +164,10 @@ def merge(children: DataFrame, nodes: DataFrame) -> DataFrame:
     return children.join(boxes, "parent").groupBy("parent").applyInPandas(one, NODE)
 
 
-def pyramid(nodes: DataFrame, tiles: DataFrame, load, voxel) -> DataFrame:
+def pyramid(nodes: DataFrame, tiles: DataFrame, load, voxel, threshold: float = 0.25, out_filter: list | None = None) -> DataFrame:
     """All volumes, one written table for each depth from the leaves up to the root."""
     deepest = nodes.agg(F.max("depth")).head()[0]
-    leaves = written(render_leaves(nodes, tiles, load, voxel))
+    leaves = written(render_leaves(nodes, tiles, load, voxel, threshold, out_filter))
     level, out = None, leaves
     for d in range(deepest, 0, -1):
         here = leaves.where(F.col("depth") == d)
@@ -106,15 +182,6 @@ def target(stored: DataFrame, nodes: DataFrame, addr: int) -> DataFrame:
     return merge(stored.where(F.col("parent") == addr), nodes)
 
 
-def views3(v: np.ndarray) -> dict[str, np.ndarray]:
-    """The volume (z, y, x) and its two orthogonal views."""
-    return {"xy": v, "yz": v.transpose(2, 1, 0), "zx": v.transpose(1, 0, 2)}
-
-
-def contrast(v: np.ndarray, low: float = -24068, high: float = -14428) -> np.ndarray:
-    return np.clip((v.astype(float) - low) / (high - low) * 255, 0, 255).astype(np.uint8)
-
-
 def points(volumes: DataFrame, threshold: float, r1: float = 2.0, r2: float = 3.0, compat: bool = False) -> DataFrame:
     """x, y, z, intensity of local maxima of the difference of Gaussians of each volume (vol_id, dims, values)."""
 

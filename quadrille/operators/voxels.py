@@ -66,6 +66,21 @@ def mask(v: Column, threshold: float) -> Column:
     return F.transform(v, lambda x: (x > threshold).cast("int"))
 
 
+#: The bounds of the display range.
+LOW, HIGH = -24068.0, -14428.0
+
+
+def contrast(v: Column, low: float = LOW, high: float = HIGH) -> Column:
+    """Values between low and high spread over 0 to 255, cut off beyond, as integers."""
+    return F.transform(v, lambda x: F.floor(F.least(F.greatest((x - low) / (high - low) * 255, F.lit(0.0)), F.lit(255.0))).cast("int"))
+
+
+def view(v: Column, plane: str, side: int = 4) -> Column:
+    """A cube's values with its axes turned: xy as they are, yz with x and z exchanged, zx with y and z."""
+    to = {"xy": (0, 1, 2), "yz": (2, 1, 0), "zx": (0, 2, 1)}[plane]
+    return F.transform(v, lambda _x, i: F.get(v, sum((_axis(i, side, k) * side**d for k, d in enumerate(to)), F.lit(0)).cast("int")))
+
+
 def decimate(rows: DataFrame, k: int) -> DataFrame:
     """Every k-th voxel of each axis, renumbered."""
     kept = rows.where(" and ".join(f"{c} % {k} = 0" for c in "xyz"))

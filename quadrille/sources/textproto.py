@@ -13,7 +13,8 @@ _TOKEN = re.compile(r"""\s+|\#[^\n]*|(?P<string>"(?:[^"\\]|\\.)*"|'(?:[^'\\]|\\.
 FEATURES = {
     "zpiezo.nidaq.um_max": (0, 0, None), "zpiezo.um_max": (1, 9, None), "resonant_wrap": (0, 1, None), "autotile": (1, 9, 1), "flyback_scans": (2, 9, None),
     "surface_scan": (3, 9, 3), "surface_probe": (3, 9, None), "pockels.laser": (4, 9, 4), "surface_find.response": (4, 4, None), "surface_find.offset_um": (5, 9, None),
-    "trip_detect": (6, 9, None), "trip_detect.ichan": (6, 7, None), "autotile.use_explore": (7, 9, None),
+    "trip_detect": (6, 9, None), "trip_detect.ichan": (6, 7, None), "trip_detect.area_threshold": (6, 7, None), "autotile.use_explore": (7, 9, None),
+    "trip_detect.threshold": (8, 9, None), "trip_detect.max_reset_count": (9, 9, None), "pmt": (9, 9, None),
 }
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import textproto, volumes, yamlcache
+from .tables import written
 
 SCHEMA = "path string, format string, ndim int, ori array<bigint>, shape array<bigint>, dtype string, dims array<bigint>, crop array<bigint>, transform array<float>, volume string, error string"
 
@@ -34,18 +35,18 @@ def scan(spark: SparkSession, path: str, version: str | None = None, dims: list[
     pairs = ends.groupBy("dir").agg(*[F.min_by("text", F.when(F.col("kind") == k, F.col("path"))).alias(k) for k in ("microscope", "acquisition")])
     tiles = pairs.join(leaves(every), "dir", "left_semi")
     if dims is None:
+        # the first channel's file is opened for its header alone, where it lies on a file system that all executors reach
         first = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.0.{npy,tif,tiff}").load(path)
-        tiles = tiles.join(first.select(folder(F.col("path")).alias("dir"), "content", F.regexp_extract("path", r"\.(\w+)$", 1).alias("ext")), "dir", "left")
+        tiles = tiles.join(first.select(folder(F.col("path")).alias("dir"), F.col("path").alias("file"), F.regexp_extract("path", r"\.(\w+)$", 1).alias("ext")), "dir", "left")
     else:
-        tiles = tiles.withColumns({"content": F.lit(None).cast("binary"), "ext": F.lit(None).cast("string")})
+        tiles = tiles.withColumns({"file": F.lit(None).cast("string"), "ext": F.lit(None).cast("string")})
 
     def row(r) -> tuple:
         try:
             meta = textproto.tile(r.microscope, r.acquisition, r.dir, version)
             size, kind = dims, dtype
             if size is None:
-                v = volumes.decode(bytes(r.content), r.ext)
-                size, kind = list(v.shape[::-1]), volumes.type_name(v.dtype)
+                size, kind = volumes.header_of(r.file, r.ext)
             return (r.dir, meta["format"], 3, meta["ori"], meta["shape"], kind, size, size, textproto.transform(meta, size), meta["volume"], None)
         except Exception as e:
             return (r.dir, None, None, None, None, None, None, None, None, None, f"{type(e).__name__}: {e}")
@@ -59,9 +60,57 @@ def scan(spark: SparkSession, path: str, version: str | None = None, dims: list[
 
 
 def catalogue(spark: SparkSession, path: str, cache: str = "auto", **options) -> DataFrame:
-    """The tree's YAML catalogue if it has one (cache: auto), else a scan; the source is never written to."""
-    if cache == "auto":
-        files = spark.read.format("binaryFile").option("pathGlobFilter", yamlcache.NAME).load(path).select("path").limit(1).collect()
-        if files:
-            return yamlcache.usable(yamlcache.read(spark, files[0].path))
-    return scan(spark, path, **options).where("error is null")
+    """Tiles of the tree. With cache auto, a folder that holds a YAML catalogue is taken from it and not walked, at the root or below."""
+    scanned = scan(spark, path, **options).where("error is null")
+    if cache != "auto":
+        return scanned
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", yamlcache.NAME).load(path)
+    cached = files.select(folder(F.col("path")).alias("dir")).distinct()
+    if cached.isEmpty():
+        return scanned
+    known = yamlcache.usable(yamlcache.parsed(outermost(files)))
+    above = F.transform(F.sequence(F.lit(1), F.size(F.split("path", "/"))), lambda k: F.array_join(F.slice(F.split(F.col("path"), "/"), 1, k), "/"))
+    under = scanned.select("path", F.explode(above).alias("dir")).join(cached, "dir").select("path").distinct()
+    walked = scanned.join(under, "path", "left_anti")
+    shared = [c for c in walked.columns if c in known.columns]
+    return known.select(*shared).unionByName(walked.select(*shared))
+
+
+def outermost(files: DataFrame) -> DataFrame:
+    """Catalogue files that lie below no folder with another one."""
+    dirs = files.select(folder(F.col("path")).alias("dir")).distinct()
+    parts = F.split("dir", "/")
+    above = dirs.select("dir", F.explode(F.transform(F.sequence(F.lit(1), F.size(parts) - 1), lambda k: F.array_join(F.slice(parts, 1, k), "/"))).alias("up"))
+    inner = above.join(dirs.select(F.col("dir").alias("up")), "up").select("dir").distinct()
+    return files.withColumn("dir", folder(F.col("path"))).join(inner, "dir", "left_anti").drop("dir")
+
+
+def build(spark: SparkSession, path: str, into: str, **options) -> int:
+    """Scans a tree, writes its YAML catalogue to the folder `into`, and gives the number of tiles."""
+    tiles = written(catalogue(spark, path, **options))
+    yamlcache.write(tiles, into, path.rstrip("/") + "/")
+    return tiles.count()
+
+
+def copy(spark: SparkSession, source: str, target: str) -> DataFrame:
+    """Copies the files of all leaf folders to the same places below target, by tasks; gives file, size and where it went."""
+    import pandas as pd
+
+    every = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(source).select("path")
+    files = every.withColumn("dir", folder(F.col("path"))).join(leaves(every), "dir", "left_semi").select(F.regexp_replace("path", "^file:/+", "/").alias("path"))
+    root = source.removeprefix("file://").rstrip("/")
+
+    def run(batches):
+        from pyarrow import fs
+
+        for b in batches:
+            out = []
+            for p in b["path"]:
+                to = target.rstrip("/") + p[len(root) :]
+                (store, at), (other, there) = fs.FileSystem.from_uri(p), fs.FileSystem.from_uri(to)
+                other.create_dir(there.rsplit("/", 1)[0], recursive=True)
+                fs.copy_files(at, there, source_filesystem=store, destination_filesystem=other)
+                out.append((p, store.get_file_info(at).size, to))
+            yield pd.DataFrame(out, columns=["path", "bytes", "copy"])
+
+    return written(files.repartition("path").mapInPandas(run, "path string, bytes bigint, copy string"))

@@ -48,9 +48,12 @@ def dump(rows: list[dict], root: str) -> str:
 
 def read(spark: SparkSession, path: str, mode: str = "PERMISSIVE") -> DataFrame:
     """One file, or all catalogues below a folder, parsed where they lie."""
-    import pandas as pd
+    return parsed(spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.yml").load(path), mode)
+
 
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.yml").load(path)
+def parsed(files: DataFrame, mode: str = "PERMISSIVE") -> DataFrame:
+    """The rows of catalogue files (content)."""
+    import pandas as pd
 
     def run(batches):
         for b in batches:
