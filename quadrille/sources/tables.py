@@ -8,15 +8,20 @@ import uuid
 from pyspark.sql import DataFrame
 
 
-def written(df: DataFrame) -> DataFrame:
-    """df, written to the session's spark.checkpoint.dir and read again. Where none is set, local mode (tests) has a temporary one."""
-    spark = df.sparkSession
+def work_dir(spark) -> str:
+    """The application's own folder in the session's spark.checkpoint.dir. Where none is set, local mode (tests) has a temporary one."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir is not set: it must name a folder that driver and executors share")
         folder = tempfile.mkdtemp(prefix="quadrille-")
         spark.conf.set("spark.checkpoint.dir", folder)
-    path = f"{folder}/quadrille-{spark.sparkContext.applicationId}/table-{uuid.uuid4().hex}"
+    return f"{folder}/quadrille-{spark.sparkContext.applicationId}"
+
+
+def written(df: DataFrame) -> DataFrame:
+    """df, written as a table to the shared folder and read again."""
+    spark = df.sparkSession
+    path = f"{work_dir(spark)}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
