@@ -127,7 +127,10 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     w = Window.partitionBy(*row).orderBy("s", "e")
     joint = F.coalesce((F.lag("e").over(w) == F.col("s")) & (F.lag("path").over(w) == F.col("path")), F.lit(False))
     runs = named.distinct().withColumn("new", (~joint).cast("int")).withColumn("run", F.sum("new").over(w))
-    return runs.groupBy(*row, "path", "run").agg(F.min("s").alias("s"), F.max("e").alias("e"), F.min_by("first", "s").alias("first"), F.max_by("last", "e").alias("last")).drop("run")
+    spans = runs.groupBy(*row, "path", "run").agg(F.min("s").alias("s"), F.max("e").alias("e"), F.min_by("first", "s").alias("first"), F.max_by("last", "e").alias("last"))
+    spans = stage(spans.drop("run"))
+    drop(units)
+    return spans
 
 
 def dedup(docs: DataFrame) -> DataFrame:
