@@ -6,8 +6,9 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import attention, bpe, debruijn, neardup, pii, quality, suffixes, templates, urls, warc
+from . import attention, bpe, debruijn, hardneg, multiindex, neardup, phrases, pii, quality, suffixes, templates, urls, warc
 from .common import remove, stage, table, work_dir
 
 
@@ -62,6 +63,20 @@ def op4_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return templates.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_summa_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")).alias("label")
+    vectors = table(spark, sf_dir, "embeddings").where(hardneg.finite("embedding")).select("vec_id", label, hardneg.quantised("embedding").alias("q"))
+    return hardneg.mine(vectors, F.col("vec_id") % 100 == 0)
+
+
+def op12_multi_index_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return multiindex.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+def op13_suffix_automata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.mine(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii_weak_supervision": op1_pii_weak_supervision,
     "op2_debruijn_substring": op2_debruijn_substring,
@@ -73,6 +88,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_minhash_hamming": op8_minhash_hamming,
     "op9_attention_scoring": op9_attention_scoring,
     "op10_bpe_merge_replay": op10_bpe_merge_replay,
+    "op11_summa_negatives": op11_summa_negatives,
+    "op12_multi_index_hashing": op12_multi_index_hashing,
+    "op13_suffix_automata": op13_suffix_automata,
 }
 
 def _address(url: str) -> str:
@@ -131,4 +149,40 @@ ORACLE_SQL: dict[str, str] = {
                case when payload_bytes >= 100 and first <> page_id then 'revisit' else 'response' end as record_type,
                case when payload_bytes >= 100 and first <> page_id then first end as refers_to
         from f""",
+    "op11_summa_negatives": """
+        with v as (
+            select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+                   list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as q
+            from embeddings
+            where vec_id is not null and label is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0),
+        s as (
+            select a.vec_id as anchor, b.vec_id as id, a.label = b.label as same,
+                   cast(list_sum(list_transform(list_zip(a.q, b.q), lambda z: z[1] * z[2])) as bigint) as score
+            from v a join v b on a.vec_id <> b.vec_id where a.vec_id % 100 = 0),
+        p as (select anchor, id, score from s where same qualify row_number() over (partition by anchor order by score desc, id) <= 5)
+        select p.anchor as anchor_id, p.id as positive_id, cast(row_number() over (partition by p.anchor, p.id order by s.score desc, s.id) as int) as rank,
+               s.id as negative_id, p.score as positive_score, s.score as negative_score
+        from p join s on s.anchor = p.anchor and not s.same and 80 * p.score <= 100 * s.score and 100 * s.score <= 100 * p.score
+        qualify row_number() over (partition by p.anchor, p.id order by s.score desc, s.id) <= 5""",
+    "op13_suffix_automata": f"""
+        with d as (select coalesce(lang, 'und') as lang, translate(text, '{urls._UPPER}', '{urls._LOWER}') as t from documents where text is not null),
+        pieces as (select lang, unnest(regexp_split_to_array(t, '[.,;:!?\\x0A-\\x0D]')) as piece from d),
+        w as (select lang, list_filter(regexp_split_to_array(piece, '[\\x20\\x09]+'), lambda x: x <> '') as ws from pieces),
+        g as (
+            select lang, k, unnest(list_transform(range(1, len(ws) - k + 2), lambda i: array_to_string(ws[i : i + k - 1], ' '))) as phrase
+            from w, (values (1), (2), (3), (4), (5)) sizes(k) where len(ws) >= k),
+        f as (select lang, k, phrase, count(*) as f from g group by lang, k, phrase),
+        totals as (select lang, sum(f) as n from f where k = 1 group by lang),
+        c as (select *, string_split(phrase, ' ') as ws from f where k >= 2 and f >= 100),
+        whole as (
+            select * from c where not exists (
+                select 1 from c y where y.lang = c.lang and y.k > c.k and y.f >= c.f and contains(' ' || y.phrase || ' ', ' ' || c.phrase || ' '))),
+        parts as (select lang, phrase, f as a, unnest(range(1, k)) as cut, ws from whole),
+        scored as (
+            select p.lang, p.phrase, p.a, p.cut, x.f as l, y.f as r, t.n, cast((cast(1000 as hugeint) * p.a * t.n) // (cast(x.f as hugeint) * y.f) as bigint) as score
+            from parts p join f x on x.lang = p.lang and x.phrase = array_to_string(p.ws[1 : p.cut], ' ')
+            join f y on y.lang = p.lang and y.phrase = array_to_string(p.ws[p.cut + 1 :], ' ') join totals t on t.lang = p.lang),
+        best as (select * from scored qualify row_number() over (partition by lang, phrase order by score, cut) = 1)
+        select lang, row_number() over (partition by lang order by score desc, a desc, phrase) as rank, phrase, a, l, r, cast(n as bigint) as n, score
+        from best qualify row_number() over (partition by lang order by score desc, a desc, phrase) <= 2000""",
 }

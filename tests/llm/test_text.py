@@ -38,7 +38,7 @@ def rows(docs):
 
 def test_empty_tables(spark, docs, tmp_path):
     docs.limit(0).write.parquet(str(tmp_path / "documents.parquet"))
-    for name in ("labels", "benchmark", "pages"):
+    for name in ("labels", "benchmark", "pages", "embeddings"):
         table(spark, SF, name).limit(0).write.parquet(str(tmp_path / f"{name}.parquet"))
     for name, q in queries.QUERIES.items():
         assert q(spark, str(tmp_path)).count() == 0, name
