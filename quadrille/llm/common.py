@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -193,3 +194,70 @@ def sliding(values: np.ndarray, width: int, best=np.minimum) -> np.ndarray:
         cur = best(cur[:-have], cur[have:])
         have *= 2
     return best(cur[:n], cur[width - have : width - have + n])
+
+
+# --- counts of many keys, as packed arrays -----------------------------------------------------------
+
+MERGED = 2 << 20  # distinct keys that a task holds before it passes them on
+
+
+def summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted keys and the sums of their counts."""
+    keys, n = (np.concatenate([p[k] for p in parts]) for k in (0, 1))
+    order = np.argsort(keys, kind="stable")
+    keys, n = keys[order], n[order]
+    first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
+    return keys[first], np.add.reduceat(n, first) if len(first) else n
+
+
+def pressed(keys: np.ndarray, n: np.ndarray) -> tuple[bytes, bytes]:
+    """Sorted keys as differences, and counts, both compressed."""
+    squeeze = zstandard.ZstdCompressor(level=1).compress
+    small = n.astype(np.uint16 if not len(n) or n.max() < 1 << 16 else np.int64)
+    return squeeze(np.diff(keys, prepend=np.uint64(0)).tobytes()), bytes([small.itemsize]) + squeeze(small.tobytes())
+
+
+def opened(keys: bytes, n: bytes) -> tuple[np.ndarray, np.ndarray]:
+    loose = zstandard.ZstdDecompressor().decompress
+    counts = np.frombuffer(loose(n[1:]), np.uint16 if n[0] == 2 else np.int64).astype(np.int64)
+    return np.cumsum(np.frombuffer(loose(keys), np.uint64), dtype=np.uint64), counts
+
+
+def counted_keys(df: DataFrame, keys_of: Callable[[Iterator[pa.RecordBatch]], Iterator[np.ndarray]], buckets: int) -> DataFrame:
+    """How often each 64-bit key stands in df: a written table of keys (sorted) and n (counts) by bucket, packed (see `opened`).
+
+    keys_of gives the keys of a task's batches, array by array. A task sums what it holds, deals it by a hash of the key and ships each bucket's part as one
+    packed row; a task of the shuffle merges a bucket's parts. A frequent key has one entry in each part.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts: list[tuple[np.ndarray, np.ndarray]] = []
+        held = 0
+
+        def passed_on() -> pa.RecordBatch:
+            keys, n = summed(parts)
+            bucket = (mix(keys) % np.uint64(buckets)).astype(np.int64)
+            order = np.argsort(bucket, kind="stable")  # keys stay sorted within a bucket
+            keys, n, bucket = keys[order], n[order], bucket[order]
+            first = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])) if len(keys) else bucket
+            packs = [pressed(keys[a:z], n[a:z]) for a, z in zip(first.tolist(), np.append(first[1:], len(keys)).tolist())] if len(keys) else []
+            return pa.RecordBatch.from_arrays([pa.array(bucket[first], pa.int64()), *[pa.array([p[k] for p in packs], pa.binary()) for k in (0, 1)]], names=["bucket", "keys", "n"])
+
+        for keys in keys_of(batches):
+            if len(keys):
+                parts.append(np.unique(keys, return_counts=True))
+                held += len(parts[-1][0])
+            if held >= MERGED:
+                parts = [summed(parts)]
+                held = len(parts[0][0])
+                if held >= MERGED // 2:
+                    yield passed_on()
+                    parts, held = [], 0
+        if parts:
+            yield passed_on()
+
+    def merged(t: pa.Table) -> pa.Table:
+        keys, n = pressed(*summed([opened(a.as_py(), b.as_py()) for a, b in zip(t.column("keys"), t.column("n"))]))
+        return pa.table({"keys": pa.array([keys], pa.binary()), "n": pa.array([n], pa.binary())})
+
+    return stage(df.mapInArrow(run, "bucket long, keys binary, n binary").groupBy("bucket").applyInArrow(merged, "keys binary, n binary"))

@@ -1,25 +1,25 @@
 """Phrases whose words stand together more often than by chance.
 
-Three passes over whole texts, each counted over all documents:
+Four passes over whole texts, each counted over all documents:
 
 1. Words per language. Only words that are frequent enough can stand in a frequent phrase.
 2. Pairs of successive frequent words.
-3. Runs of words every successive pair of which is frequent enough hold every occurrence of every frequent phrase. Each
-   shard builds a generalised suffix automaton of its runs (equal runs once, with their number): the ends of a state's substrings
-   are counted along suffix links, and the substrings of up to the longest length are enumerated with their counts.
+3. Triples of words that make two frequent pairs.
+4. What is left of a shard's texts are runs of frequent pairs, and substrings of which all pairs and triples are frequent; they hold every occurrence of every
+   frequent phrase. Each shard builds their generalised suffix automaton, bounded to the longest phrase: a state is a set of substrings
+   that end at the same places, and its suffix link leads to their longest suffix that ends at more. The shard's substrings go out with their
+   numbers of ends, and the numbers are summed over all shards.
 
-What the first two passes find goes back to the tasks as bits of a filter of fixed size, by a hash. A word or pair that passes it
-by chance only makes runs longer: counts stay exact, as words and phrases are themselves the keys of the final counts.
+What the first three passes find goes back to the tasks as bits of filters of fixed size, by a hash. A word, pair or triple that passes
+by chance only makes substrings longer or more: counts stay exact, as words and phrases are themselves the keys of the final counts.
 
-Subsumption comes from the automata too. A substring q of a state leads to q without its first word either in the same state or in
-the state's suffix link; if both end at equally many places, every occurrence of the shorter one is preceded by that word.
-Each shard says so for its substrings (and likewise for the word that follows), and a phrase is part of a longer one with equally
+Subsumption comes from the automata too. If a substring w p is in the state of p, every occurrence of p follows w; if it has as many ends as
+its stem, every occurrence of the stem goes on with its last word. Each shard says so for its substrings, and a phrase is part of a longer one with equally
 many occurrences if all its shards name the same word on one side. Intermediate phrases have counts between the two, so
 looking one word further is enough.
 
-Null texts and texts without words give nothing, a null language is `und`. Very long texts stand alone in a shard, and runs
-beyond TOKENS words are cut with an overlap whose ends do not count twice. Ties go by count, then by the phrase's bytes.
-Rows that repeat count each. Other columns are not read; an empty table gives an empty result.
+Null texts and texts without words give nothing, a null language is `und`. A very long text is a shard of its own (about 100 bytes of memory for each of
+its bytes). Ties go by count, then by the phrase's bytes. Rows that repeat count each. Other columns are not read; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -29,15 +29,17 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import _BYTE, Rolling, drop, mix, pieces, stage, texts_of
+from .common import _BYTE, Rolling, counted_keys, drop, mix, opened, pieces, stage, texts_of
 
 LONGEST, LEAST = 5, 100  # words of a phrase at most, occurrences at least
 FILTER_BITS = 26  # 2^26 bits, 8 MB, whatever the input
-SLICE = 4 << 20  # bytes of text at a time
-TOKENS = 100_000  # words in one automaton, before the next one begins
+SLICE = 2 << 20  # bytes of text at a time
+HELD = 1 << 19  # phrases that a task holds before it passes them on
+BUCKET_WORDS = 20_000_000  # words of all texts for each bucket of keys and phrases
 
 _KIND = np.zeros(256, np.uint8)  # 0: part of a word
 _KIND[[0x20, 0x09]] = 1
@@ -46,7 +48,6 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _PAIR = np.uint64(0x9E6C63D0876A9A35)
 _BLOCK = 15  # bits of a position within a block of the filter
-_COUNTS = "lang string, phrase string, n bigint, before string, after string"
 
 
 @dataclass
@@ -137,149 +138,171 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([langs, pa.nulls(len(langs), pa.string()), pa.array(total.astype(np.int64))], names=["lang", "word", "n"])
 
 
-def _count_pairs(frequent) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+class Automaton:
+    """A generalised suffix automaton of sequences laid end to end, bounded to substrings of `longest` symbols.
+
+    reach: how long the longest substring from each place on may be (1 at least; never less than the one before less 1). Substrings of each length
+    are named by the name of their stem and their last symbol; the name of a substring's suffix gives its state (the suffix's, if it has as
+    many ends) or, where a state begins, its suffix link.
+    """
+
+    def __init__(self, symbols: np.ndarray, reach: np.ndarray, longest: int):
+        self.first, self.count, self.state, self.stem, self.suffix = [], [], [], [], []  # by length, then by name
+        link, length = [np.full(1, -1, np.int64)], 1  # state 0 is the empty one
+        base = name = None
+        for d in range(1, longest + 1):
+            at = np.flatnonzero(reach >= d)
+            key = symbols[at] if d == 1 else name[at] * many + base[at + d - 1]
+            _, first, inverse, count = np.unique(key, return_index=True, return_inverse=True, return_counts=True)
+            first = at[first]
+            if d == 1:
+                many, stem, suffix, up, same = len(first), np.zeros(len(first), np.int64), np.zeros(len(first), np.int64), np.zeros(len(first), np.int64), np.zeros(len(first), bool)
+            else:
+                stem, suffix = name[first], name[first + 1]
+                up, same = self.state[-1][suffix], count == self.count[-1][suffix]
+            state = up.copy()
+            state[~same] = length + np.arange(np.count_nonzero(~same))
+            link.append(up[~same])
+            length += np.count_nonzero(~same)
+            new = np.full(len(symbols), -1, np.int64)
+            new[at] = inverse.ravel()
+            base, name = (new if d == 1 else base), new
+            for held, v in zip((self.first, self.count, self.state, self.stem, self.suffix), (first, count, state, stem, suffix)):
+                held.append(v)
+        self.link = np.concatenate(link)
+
+    def substrings(self, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Of each substring of a length: a place where it stands, its number of ends, and the places of the symbols that always precede and follow it (-1: none)."""
+        first, count, state = (v[size - 1] for v in (self.first, self.count, self.state))
+        before, after = np.full(len(first), -1, np.int64), np.full(len(first), -1, np.int64)
+        if size < len(self.first):
+            suffix, stem, longer = self.suffix[size], self.stem[size], self.first[size]
+            on = self.state[size] == state[suffix]
+            before[suffix[on]] = longer[on]
+            on = self.count[size] == count[stem]
+            after[stem[on]] = longer[on] + size
+        return first, count, before, after
+
+
+def _pair_keys(frequent) -> Callable[[Iterator[pa.RecordBatch]], Iterator[np.ndarray]]:
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
         bits = np.frombuffer(frequent.value, np.uint8)
         for b in pieces(batches, most=SLICE):
-            key, n = np.unique(_pairs(split(b), bits)[1], return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(n.astype(np.int64))], names=["key", "n"])
+            yield _pairs(split(b), bits)[1]
 
-    return task
+    return keys
 
 
-class Automaton:
-    """A generalised suffix automaton: states are sets of substrings with the same ends."""
-
-    def __init__(self) -> None:
-        self.next: list[dict[int, int]] = [{}]
-        self.link, self.length = [-1], [0]
-        self.count, self.follow = [0], [0]  # ends that count, and ends one symbol behind these
-
-    def _state(self, length: int, following: dict[int, int], link: int) -> int:
-        self.next.append(following)
-        self.link.append(link)
-        self.length.append(length)
-        self.count.append(0)
-        self.follow.append(0)
-        return len(self.link) - 1
-
-    def _divide(self, p: int, c: int, q: int) -> int:
-        """The part of state q that stays reachable from p by c becomes a state of its own."""
-        new = self._state(self.length[p] + 1, dict(self.next[q]), self.link[q])
-        self.link[q] = new
-        while p >= 0 and self.next[p].get(c) == q:
-            self.next[p][c] = new
-            p = self.link[p]
-        return new
-
-    def _extend(self, last: int, c: int) -> int:
-        q = self.next[last].get(c)
-        if q is not None:
-            return q if self.length[q] == self.length[last] + 1 else self._divide(last, c, q)
-        new, p = self._state(self.length[last] + 1, {}, 0), last
-        while p >= 0 and c not in self.next[p]:
-            self.next[p][c] = new
-            p = self.link[p]
-        if p >= 0:
-            q = self.next[p][c]
-            self.link[new] = q if self.length[q] == self.length[p] + 1 else self._divide(p, c, q)
-        return new
-
-    def add(self, sequence: list[int], times: int, silent: int = 0, stop: int | None = None) -> None:
-        """A sequence that occurs so many times; only ends from the symbol `silent` on and before the symbol `stop` count."""
-        last, stop = 0, len(sequence) if stop is None else stop
-        for at, c in enumerate(sequence):
-            last = self._extend(last, c)
-            if silent <= at < stop:
-                self.count[last] += times
-            if silent < at <= stop:
-                self.follow[last] += times
-
-    def settle(self) -> None:
-        """Ends of a state are ends of its suffix link too."""
-        for v in sorted(range(1, len(self.link)), key=self.length.__getitem__, reverse=True):
-            self.count[self.link[v]] += self.count[v]
-            self.follow[self.link[v]] += self.follow[v]
-
-    def substrings(self, longest: int, shortest: int = 2) -> Iterator[tuple[tuple[int, ...], int, int | None, int | None]]:
-        """Each substring of these lengths with its count, the symbol that always precedes it and the one that always follows (within the sequences)."""
-        found: list[tuple[tuple[int, ...], int, int | None]] = []
-        before: dict[tuple[int, int], int] = {}  # (state, length) of a substring: what always precedes it
-        todo: list[tuple[int, tuple[int, ...]]] = [(0, ())]
-        while todo:
-            v, s = todo.pop()
-            n, size, after = self.count[v], len(s), None
-            if size < longest:
-                for c, u in self.next[v].items():
-                    todo.append((u, (*s, c)))
-                    if n and self.follow[u] == n:
-                        after = c
-            if not n:
-                continue
-            if size > shortest:
-                rest = v if size - 1 > self.length[self.link[v]] else self.link[v]
-                if self.count[rest] == n:
-                    before[rest, size - 1] = s[0]
-            if size >= shortest:
-                found.append((s, v, after))
-        for s, v, after in found:
-            yield s, self.count[v], before.get((v, len(s))), after
-
-
-def _runs(w: Words, frequent: np.ndarray, paired: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Words that stand in runs of frequent pairs, and where the runs begin and end among them."""
+def _triples(w: Words, frequent: np.ndarray, paired: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each word whether it begins a frequent pair; first words of triples of two such pairs, and the triples' keys."""
     at, key = _pairs(w, frequent)
     at = at[_passes(paired, key)]
-    member = np.zeros(len(w.start), bool)
-    member[at] = True
-    member[at + 1] = True
+    pair = np.zeros(len(w.start) + 1, bool)
+    pair[at] = True
+    at = at[pair[at + 1]]
+    return pair[:-1], at, mix((w.key[at] * _PAIR + w.key[at + 1]) * _PAIR + w.key[at + 2]) if len(at) else np.zeros(0, np.uint64)
+
+
+def _triple_keys(frequent, paired) -> Callable[[Iterator[pa.RecordBatch]], Iterator[np.ndarray]]:
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
+        bits = [np.frombuffer(x.value, np.uint8) for x in (frequent, paired)]
+        for b in pieces(batches, most=SLICE):
+            yield _triples(split(b), *bits)[2]
+
+    return keys
+
+
+def _reach(pair: np.ndarray, triple: np.ndarray, longest: int) -> np.ndarray:
+    """How many words from each one on make a substring of frequent pairs and triples."""
+    reach = 1 + pair.astype(np.int64)
+    on = triple.copy()
+    for d in range(3, longest + 1):
+        reach[on] = d
+        on = on & np.append(on[1:], False) if d > 3 else triple & np.append(triple[1:], False)
+    return np.minimum(reach, longest)
+
+
+_FOUND = [("n", "sum"), ("k", "sum"), ("bk", "sum"), ("b0", "min"), ("b1", "max"), ("ak", "sum"), ("a0", "min"), ("a1", "max")]
+_TYPES = {"lang": "string", "phrase": "string", "n": "bigint", "k": "bigint", "bk": "bigint", "b0": "string", "b1": "string", "ak": "bigint", "a0": "string", "a1": "string"}
+
+
+def _merged(t: pa.Table) -> pa.Table:
+    """Rows of one phrase as one: ends, shards, and in how many shards which words always precede and follow."""
+    out = t.group_by(["lang", "phrase"]).aggregate(_FOUND)
+    return out.rename_columns({f"{c}_{how}": c for c, how in _FOUND}).select(list(_TYPES))
+
+
+def _shard_phrases(w: Words, bits: list[np.ndarray], longest: int) -> pa.Table | None:
+    """The substrings of a shard's automaton, two words and longer."""
+    pair, at, key = _triples(w, *bits[:2])
+    triple = np.zeros(len(pair), bool)
+    triple[at[_passes(bits[2], key)]] = True
+    member = pair.copy()
+    member[1:] |= pair[:-1]
     which = np.flatnonzero(member)
-    linked = np.zeros(len(w.start), bool)
-    linked[at] = True  # this word goes on to the next one
-    first = np.flatnonzero(np.append(True, ~linked[which[:-1]])) if len(which) else which
-    return which, first, np.append(first[1:], len(which)) if len(which) else which
-
-
-def automata(sequences: dict[bytes, int], longest: int) -> Iterator[Automaton]:
-    """Automata of about TOKENS symbols each of sequences (int32 as bytes) and their numbers; longer ones are cut with an overlap."""
-    now, size = Automaton(), 0
-    for raw, times in sequences.items():
-        s = np.frombuffer(raw, np.int32).tolist()
-        for a in range(0, len(s), TOKENS):
-            silent = min(a, longest - 1)
-            part = s[a - silent : a + TOKENS + 1]
-            now.add(part, times, silent, min(len(part), silent + TOKENS))
-            size += min(TOKENS, len(s) - a) + silent
-            if size >= TOKENS:
-                now.settle()
-                yield now
-                now, size = Automaton(), 0
-    if size:
-        now.settle()
-        yield now
-
-
-def _count_phrases(frequent, paired, longest: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    if not len(which):
+        return None
+    kinds, name = w.named(which)
+    machine = Automaton(name, _reach(pair, triple, longest)[which], longest)
+    words = w.texts(kinds).take(pa.array(name))
+    langs = pa.array(w.langs, pa.string()).take(pa.array(w.lang[which]))
+    out = []
+    maybe = lambda at: words.take(pa.array(at, mask=at < 0))
+    for size in range(2, longest + 1):
+        first, n, before, after = machine.substrings(size)
+        if len(first):
+            text = pc.binary_join_element_wise(*[words.take(pa.array(first + k)) for k in range(size)], " ")
+            b, a, one = maybe(before), maybe(after), pa.array(np.ones(len(first), np.int64))
+            columns = [langs.take(pa.array(first)), text, pa.array(n.astype(np.int64)), one, pa.array((before >= 0).astype(np.int64)), b, b, pa.array((after >= 0).astype(np.int64)), a, a]
+            out.append(pa.table(columns, names=list(_TYPES)))
+    return pa.concat_tables(out) if out else None
+
+
+def _shard_rows(filters: list, longest: int, buckets: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """A task's phrases, those of its shards summed, as one row of lists for each bucket of phrases."""
+
+    def dealt(t: pa.Table) -> pa.RecordBatch:
+        bucket = (_hashes(t["phrase"].combine_chunks(), 0) % np.uint64(buckets)).astype(np.int64)
+        order = np.argsort(bucket, kind="stable")
+        t, bucket = t.take(pa.array(order)).combine_chunks(), bucket[order]
+        first = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
+        off = pa.array(np.append(first, len(bucket)).astype(np.int32))
+        columns = [t[c].chunk(0) for c in _TYPES]
+        return pa.RecordBatch.from_arrays([pa.array(bucket[first]), *[pa.ListArray.from_arrays(off, c) for c in columns]], names=["bucket", *_TYPES])
+
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits, bits2 = np.frombuffer(frequent.value, np.uint8), np.frombuffer(paired.value, np.uint8)
+        bits = [np.frombuffer(x.value, np.uint8) for x in filters]
+        held: list[pa.Table] = []
+        size = 0
         for b in pieces(batches, most=SLICE):
-            w = split(b)
-            which, first, end = _runs(w, bits, bits2)
-            if not len(which):
+            found = _shard_phrases(split(b), bits, longest)
+            if found is None:
                 continue
-            kinds, name = w.named(which)
-            word, lang, name = w.texts(kinds).to_pylist(), w.lang[kinds].tolist(), name.astype(np.int32)
-            sequences: dict[bytes, int] = {}
-            for a, z in zip(first.tolist(), end.tolist()):
-                raw = name[a:z].tobytes()
-                sequences[raw] = sequences.get(raw, 0) + 1
-            for machine in automata(sequences, longest):
-                out: list[list] = [[], [], [], [], []]
-                for s, n, before, after in machine.substrings(longest):
-                    row = w.langs[lang[s[0]]], " ".join([word[c] for c in s]), n, None if before is None else word[before], None if after is None else word[after]
-                    for column, v in zip(out, row):
-                        column.append(v)
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, [pa.string(), pa.string(), pa.int64(), pa.string(), pa.string()])], names=["lang", "phrase", "n", "before", "after"])
+            held.append(found)
+            size += len(found)
+            if size >= HELD:
+                held = [_merged(pa.concat_tables(held))]
+                size = len(held[0])
+                if size >= HELD // 2:
+                    yield dealt(held[0])
+                    held, size = [], 0
+        if held:
+            yield dealt(_merged(pa.concat_tables(held)))
+
+    return task
+
+
+def _frequent_phrases(least: int, longest: int) -> Callable[[pa.Table], pa.Table]:
+    """Sums a bucket's phrases over all tasks; keeps the frequent ones, with whether a longer one holds each as often."""
+
+    def task(t: pa.Table) -> pa.Table:
+        flat = pa.table({c: t[c].combine_chunks().flatten() for c in _TYPES})
+        flat = _merged(flat)
+        flat = flat.filter(pc.greater_equal(flat["n"], least))
+        always = lambda c: pc.fill_null(pc.and_(pc.equal(flat[f"{c}k"], flat["k"]), pc.equal(flat[f"{c}0"], flat[f"{c}1"])), False)
+        full = pc.greater_equal(pc.count_substring(flat["phrase"], " "), longest - 1)  # nothing longer is a candidate
+        part = pc.and_(pc.invert(full), pc.or_(always("b"), always("a")))
+        return pa.table({"lang": flat["lang"], "phrase": flat["phrase"], "n": flat["n"], "part": part})
 
     return task
 
@@ -300,6 +323,16 @@ def _filter(spark: SparkSession, positions: DataFrame):
     return spark.sparkContext.broadcast(whole.tobytes())
 
 
+def _frequent_positions(least: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for keys, n in zip(b.column("keys"), b.column("n")):
+                k, c = opened(keys.as_py(), n.as_py())
+                yield pa.RecordBatch.from_arrays([pa.array((k[c >= least] >> np.uint64(64 - FILTER_BITS)).astype(np.int32))], names=["at"])
+
+    return task
+
+
 def _positions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         key = word_keys(b.column("word"), b.column("lang"))
@@ -313,16 +346,23 @@ def counted(docs: DataFrame, least: int = LEAST, longest: int = LONGEST) -> tupl
     words = texts.mapInArrow(_count_words, "lang string, word string, n bigint").groupBy("lang", "word").agg(F.sum("n").alias("n"))
     words = stage(words.where(F.col("word").isNull() | (F.col("n") >= least)))
     frequent = _filter(spark, words.where("word is not null").mapInArrow(_positions, "at int"))
-    pairs = texts.mapInArrow(_count_pairs(frequent), "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
-    paired = _filter(spark, pairs.select(F.shiftrightunsigned("key", 64 - FILTER_BITS).cast("int").alias("at")))
-    always = lambda c: (F.count(c) == F.count(F.lit(1))) & (F.min(c) == F.max(c))
-    found = texts.mapInArrow(_count_phrases(frequent, paired, longest), _COUNTS).groupBy("lang", "phrase").agg(
-        F.sum("n").alias("n"), F.coalesce(always("before"), F.lit(False)).alias("b"), F.coalesce(always("after"), F.lit(False)).alias("a")
-    )
-    full = F.size(F.split("phrase", " ", -1)) >= longest  # nothing longer is a candidate
-    found = stage(found.where(F.col("n") >= least).select("lang", "phrase", "n", (~full & (F.col("b") | F.col("a"))).alias("part")))
-    frequent.unpersist()
-    paired.unpersist()
+    total = words.where("word is null").agg(F.coalesce(F.sum("n"), F.lit(0))).head()[0]
+    buckets = max(16, total // BUCKET_WORDS)
+
+    def passing(keys) -> object:
+        """The filter of keys that are frequent enough."""
+        counted = counted_keys(texts, keys, buckets)
+        bits = _filter(spark, counted.mapInArrow(_frequent_positions(least), "at int"))
+        drop(counted)
+        return bits
+
+    filters = [frequent]
+    filters.append(passing(_pair_keys(*filters)))
+    filters.append(passing(_triple_keys(*filters)))
+    shards = texts.mapInArrow(_shard_rows(filters, longest, buckets), "bucket bigint, " + ", ".join(f"{c} array<{t}>" for c, t in _TYPES.items()))
+    found = stage(shards.groupBy("bucket").applyInArrow(_frequent_phrases(least, longest), "lang string, phrase string, n bigint, part boolean"))
+    for bits in filters:
+        bits.unpersist()
     return words, found
 
 

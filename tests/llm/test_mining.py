@@ -195,61 +195,52 @@ def test_collocations(spark, monkeypatch, seed, least, longest):
     assert sorted(map(tuple, short)) == collocations(rows, least, longest, 3)
 
 
-def counts_of(sequences, longest=5):
-    f = collections.Counter()
-    for s, times in sequences:
-        for k in range(1, longest + 1):
-            for i in range(len(s) - k + 1):
-                f[tuple(s[i : i + k])] += times
-    return f
-
-
-@pytest.mark.parametrize("tokens", [100_000, 40, 7])
-def test_automata(monkeypatch, tokens):
-    """Counts of all substrings, and what always precedes or follows, with cuts of long sequences."""
-    monkeypatch.setattr(phrases, "TOKENS", tokens)
-    rnd = random.Random(tokens)
-    made = [([rnd.randrange(3 + k % 3) for _ in range(rnd.randrange(1, 90))], rnd.randrange(1, 4)) for k in range(30)]
-    given = {}
-    for s, times in made:
-        raw = np.array(s, np.int32).tobytes()
-        given[raw] = given.get(raw, 0) + times
-    got, sides = collections.Counter(), collections.defaultdict(list)
-    for machine in phrases.automata(given, 5):
-        for s, n, before, after in machine.substrings(5):
-            got[s] += n
-            sides[s].append((before, after))
-    f = counts_of(made)
-    assert got == {s: n for s, n in f.items() if len(s) > 1}
-    for s, found in sides.items():
-        if len(s) < 5:
-            one = lambda c: len(set(c)) == 1 and None not in c
-            assert one([b for b, _ in found]) == any(f[(x, *s)] == f[s] for x in range(6)), s
-            assert one([a for _, a in found]) == any(f[(*s, x)] == f[s] for x in range(6)), s
-
-
-def test_one_automaton_is_a_suffix_automaton():
-    """States are substrings with the same ends; links lead to the longest suffix with other ends."""
-    s = [0, 1, 0, 1, 2, 0, 1, 1, 0]
-    m = phrases.Automaton()
-    m.add(s, 1)
-    ends = collections.defaultdict(set)
-    for i, j in itertools.combinations(range(len(s) + 1), 2):
-        ends[tuple(s[i:j])].add(j)
-    m.settle()
-    state = {}
-    for t in ends:
-        v = 0
-        for c in t:
-            v = m.next[v][c]
-        state[t] = v
-    assert all((state[t] == state[u]) == (ends[t] == ends[u]) for t in ends for u in ends)
-    assert all(m.count[state[t]] == len(ends[t]) for t in ends)
+@pytest.mark.parametrize("longest", [5, 3, 1])
+def test_automaton(longest):
+    """States are substrings with the same ends; links lead to the longest suffix with other ends; what always precedes or follows."""
+    rnd = random.Random(longest)
+    made = [[rnd.randrange(2 + k % 4) for _ in range(rnd.randrange(1, 30))] for k in range(40)] + [[9, 8, 7, 6, 5, 4]] * 3
+    flat = np.array([c for s in made for c in s])
+    reach = np.concatenate([np.minimum(longest, np.arange(len(s), 0, -1)) for s in made])
+    m = phrases.Automaton(flat, reach, longest)
+    ends, state, at = collections.defaultdict(set), {}, 0
+    for s in made:
+        for i, j in itertools.combinations(range(len(s) + 1), 2):
+            if j - i <= longest:
+                ends[tuple(s[i:j])].add(at + j)
+        at += len(s)
+    for size in range(1, longest + 1):
+        first, n, before, after = m.substrings(size)
+        own = [tuple(flat[f : f + size].tolist()) for f in first]
+        assert len(set(own)) == len(own) and {t: int(c) for t, c in zip(own, n)} == {t: len(e) for t, e in ends.items() if len(t) == size}
+        state |= dict(zip(own, m.state[size - 1].tolist()))
+        if size < longest:
+            for t, b, a in zip(own, before, after):
+                one = lambda found: found[0] if found else None
+                assert (int(flat[b]) if b >= 0 else None) == one([x for x in range(10) if len(ends.get((x, *t), ())) == len(ends[t])])
+                assert (int(flat[a]) if a >= 0 else None) == one([x for x in range(10) if len(ends.get((*t, x), ())) == len(ends[t])])
     for t in ends:
+        assert all((state[t] == state[u]) == (ends[t] == ends[u]) for u in list(ends)[:60])
         suffixes = [t[k:] for k in range(1, len(t)) if ends[t[k:]] != ends[t]]
         assert m.link[state[t]] == (state[suffixes[0]] if suffixes else 0)
 
 
+def test_counted_keys(spark, monkeypatch):
+    """Sums over tasks and over what a task passes on before its end."""
+    from quadrille.llm import common
+
+    monkeypatch.setattr(common, "MERGED", 50)
+    values = [k * k % 997 for k in range(6000)] + [2**64 - 1] * 70_000 + [0]
+    df = spark.createDataFrame([(i, v - 2**63) for i, v in enumerate(values)], "i long, v long").repartition(3)
+    keys = lambda batches: (b.column(1).to_numpy().astype(np.int64).view(np.uint64) ^ np.uint64(1 << 63) for b in batches)
+    got = collections.Counter()
+    for r in common.counted_keys(df, keys, 5).collect():
+        k, n = common.opened(bytes(r.keys), bytes(r.n))
+        assert (np.diff(k.astype(object)) > 0).all()
+        got.update(dict(zip(k.tolist(), n.tolist())))
+    assert got == collections.Counter(values)
+
+
 def test_exact_scores(spark, monkeypatch):
     """Products beyond 64 bits: counts as a corpus of many terabytes would have."""
     words = spark.createDataFrame([("en", None, 9 * 10**14), ("en", "a", 7 * 10**12 + 1), ("en", "b", 5 * 10**12 + 3)], "lang string, word string, n long")
