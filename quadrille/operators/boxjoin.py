@@ -72,6 +72,32 @@ def box_join(left: DataFrame, right: DataFrame, key: str = "id", cell: tuple[int
 
 
 def any_hit(left: DataFrame, right: DataFrame, key: str = "id", cell: tuple[int, ...] | None = None, one_grid: bool = False) -> DataFrame:
-    """Rows of left that hit some box of right."""
-    keys = box_join(left, right, key, cell, one_grid).select(F.col(f"a{key}").alias(key)).distinct()
-    return left.join(keys, key, "left_semi")
+    """Rows of left that hit some box of right.
+
+    No pair is made: in each cell the right boxes are cut to the cell and those that become one are kept once, and a left box
+    stays in a cell by a semi-join, which ends at its first hit. A left box gives a row for each of its cells at most (see MOST_CELLS).
+    """
+    cell = cell or cell_size(left)
+    level = F.lit(0) if one_grid else _level(cell)
+    a, b = left.withColumn("level", level), right.withColumn("level", level)
+    used = [0] if one_grid else sorted({r[0] for r in a.select("level").distinct().unionByName(b.select("level").distinct()).collect()})  # LEVELS + 1 values at most
+    keys = None
+    for k in used:  # a pair is tested on the coarser of its two levels
+        parts = [(a.where(F.col("level") == k), b.where(F.col("level") <= k))]
+        if k != used[0]:
+            parts.append((a.where(F.col("level") < k), b.where(F.col("level") == k)))
+        for x, y in parts:
+            x, y = _celled(x, cell, [k], "a", key), _cut_to_cells(_celled(y, cell, [k], "b", key), cell)
+            same = [x[c] == y[c] for c in ("grid", "c0", "c1", "c2")]
+            meets = [(F.col(f"ae{d}") > F.col(f"bo{d}")) & (F.col(f"be{d}") > F.col(f"ao{d}")) for d in range(3)]
+            met = x.join(y, [*same, *meets], "left_semi").select(F.col(f"a{key}").alias(key))
+            keys = met if keys is None else keys.unionByName(met)
+    return left.join(keys.distinct(), key, "left_semi")
+
+
+def _cut_to_cells(celled: DataFrame, cell: tuple[int, ...]) -> DataFrame:
+    """What the right boxes cover of each cell, once."""
+    for d in range(3):
+        size = F.lit(cell[d]) * F.pow(F.lit(4), F.col("grid")).cast("long")
+        celled = celled.withColumns({f"bo{d}": F.greatest(F.col(f"bo{d}"), F.col(f"c{d}") * size), f"be{d}": F.least(F.col(f"be{d}"), (F.col(f"c{d}") + 1) * size)})
+    return celled.select("grid", "c0", "c1", "c2", *[f"b{c}{d}" for c in "oe" for d in range(3)]).distinct()

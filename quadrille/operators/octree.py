@@ -11,6 +11,9 @@ from ..sources.tables import written
 
 SCHEMA = "ids array<int>, addr bigint, depth int, o0 bigint, o1 bigint, o2 bigint, s0 bigint, s1 bigint, s2 bigint, e0 bigint, e1 bigint, e2 bigint, is_leaf boolean"
 
+#: Digits of an address, each 8 at most, that fit 64 bits.
+DEEPEST = 19
+
 
 def leaf_test(shape: list[int], voxel: tuple[float, float, float], most: int) -> bool:
     n = 1.0
@@ -51,6 +54,8 @@ def nodes(spark: SparkSession, ori, shape, voxel, most: int, fan: int = 8, tiles
     """All nodes; with tiles only those that some tile hits, a node's children only if the node is no leaf and is hit."""
     if tiles is not None:
         return hit_nodes(tiles, ori, shape, voxel, most, fan)
+    if height(shape, voxel, most, fan) > DEEPEST:
+        raise ValueError(f"the tree has more than {DEEPEST} levels, which an address cannot hold: choose larger leaves or voxels")
     level = root(spark, ori, shape, voxel, most)
     out = level
     for _ in range(height(shape, voxel, most, fan)):
@@ -67,6 +72,8 @@ def hit_nodes(tiles: DataFrame, ori, shape, voxel, most: int, fan: int = 8) -> D
     A tile gives as many rows as it covers finest cells, which are all in the result (or below a leaf that is).
     """
     deep = height(shape, voxel, most, fan)
+    if deep > DEEPEST:
+        raise ValueError(f"the tree has {deep} levels, and an address holds {DEEPEST} at most: choose larger leaves or voxels")
     split = [bool((fan - 1) >> d & 1) for d in range(3)]
     # first and last unit of the tile within the root; tiles outside or without extent drop out
     df = tiles.where(" and ".join(f"e{d} > o{d}" for d in range(3)))
@@ -82,6 +89,7 @@ def hit_nodes(tiles: DataFrame, ori, shape, voxel, most: int, fan: int = 8) -> D
         half = lambda k: F.shiftright(F.col(f"s{k}"), 1)
         ends = [f"{w}{d}" for w in ("lo", "hi") for d in axes]
         df = df.withColumns({k: F.col(k) - F.col(f"u{k}") * half(k) for k in ends} | {f"s{k}": F.shiftright(F.col(f"s{k}") + F.col(f"u{k}"), 1) for k in ends} | {f"i{k}": F.col(f"i{k}") * 2 + F.col(f"u{k}") for k in ends})
+    df = df.select(*[f"i{w}{d}" for w in ("lo", "hi") for d in axes]).distinct()  # tiles that cover the same cells are one
     for d in axes:
         df = df.select("*", F.explode(F.sequence(F.col(f"ilo{d}"), F.col(f"ihi{d}"))).alias(f"c{d}"))
     addr = F.lit(0).cast("long")

@@ -2,71 +2,56 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import approx
 from ..functions.aabb import hit_literal
+from ..sources.tables import written
 
 NO_MATCH = 99999
 
 
-def basic_to_extended(pattern: str) -> str:
-    r"""A POSIX basic expression as an extended one: \( \) \{ \} group and count, bare ( ) { } + ? | are themselves."""
-    out, i, start = [], 0, True
-    while i < len(pattern):
-        c = pattern[i]
-        if c == "\\" and i + 1 < len(pattern):
-            n = pattern[i + 1]
-            out.append(n if n in "(){}" else "|" if n == "|" else "\\" + n)
-            start = n in "(|"
-            i += 2
-            continue
-        if c == "[":
-            j = i + 1
-            j += pattern[j : j + 1] == "^"
-            j += pattern[j : j + 1] == "]"
-            j = pattern.find("]", j)
-            j = len(pattern) - 1 if j < 0 else j
-            body = pattern[i + 1 : j].replace("\\", "\\\\").replace("[:alpha:", "a-zA-Z").replace("[:digit:", "0-9")
-            out.append("[" + body + "]")
-            i, start = j + 1, False
-            continue
-        if c in "(){}+?|" or (c == "*" and start):
-            out.append("\\" + c)
-        else:
-            out.append(c)
-        start = c == "^" and i == 0
-        i += 1
-    return "".join(out)
+def possible(path: Column, pattern: str, ins: int, delete: int, subst: int, most: int) -> Column:
+    """False only for paths that cannot match: of the pieces of the pattern one must stand unchanged."""
+    if min(ins, delete, subst) < 1:
+        raise ValueError("an edit costs 1 at least")
+    found = approx.pieces(pattern, most // min(ins, delete, subst))
+    out = None
+    for p in found:
+        out = path.contains(p) if out is None else out | path.contains(p)
+    return F.lit(True) if out is None else out
 
 
 def name_cost(path: Column, pattern: str, ins: int = 10, delete: int = 10, subst: int = 10, most: int = 2) -> Column:
-    """The least cost at which pattern matches somewhere in path; null above `most`.
+    """The least cost at which pattern (a POSIX basic expression) matches somewhere in path; null above `most`.
 
-    If no edit is affordable that is a plain regular expression and stays in the JVM; else an Arrow UDF tries each
-    cost in turn with a weighted fuzzy expression.
+    If no edit is affordable that is a plain regular expression of the same tree and stays in the JVM; else paths that hold
+    none of the pieces drop out there, and batches of the others go through the weighted automaton.
     """
-    ere = basic_to_extended(pattern)
     if min(ins, delete, subst) > most:
-        return F.when(path.rlike(ere), 0)
+        return F.when(path.rlike(approx.java(pattern)), 0)
 
     @F.pandas_udf("int")
     def cost(paths: pd.Series) -> pd.Series:
-        import regex
-
-        tests = [(0, regex.compile(f"(?:{ere})"))]
-        for c in range(1, most + 1):
-            limits = ",".join(f"{k}<={c // max(1, w)}" for k, w in (("i", ins), ("d", delete), ("s", subst)))
-            tests.append((c, regex.compile(f"(?:{ere}){{{limits},{ins}i+{delete}d+{subst}s<={c}}}")))
-        return paths.map(lambda p: next((c for c, r in tests if p is not None and r.search(p)), None)).astype("Int32")
-
-    return cost(path)
-
-
-def best_matches(tiles: DataFrame, pattern: str, path: str = "path", **costs) -> DataFrame:
-    """All rows at the least cost, with that cost; none if nothing matches."""
-    scored = tiles.withColumn("cost", name_cost(F.col(path), pattern, **costs)).where("cost is not null")
+        machine = approx.Matcher(pattern, ins, delete, subst, most)
+        there = np.flatnonzero(paths.notna())
+        found = np.full(len(paths), -1)
+        for at in range(0, len(there), 4096):
+            some = there[at : at + 4096]
+            found[some] = machine.costs_of(paths.iloc[some].tolist())
+        return pd.Series(pd.array(found, "Int32")).mask(found < 0)
+
+    return cost(F.when(possible(path, pattern, ins, delete, subst, most), path))
+
+
+def best_matches(tiles: DataFrame, pattern: str, path: str = "path", ins: int = 10, delete: int = 10, subst: int = 10, most: int = 2) -> DataFrame:
+    """All rows at the least cost, with that cost; none if nothing matches. Rows are scored once."""
+    costs = (ins, delete, subst, most)
+    near = tiles if min(ins, delete, subst) > most else tiles.where(possible(F.col(path), pattern, *costs))
+    scored = written(near.withColumn("cost", name_cost(F.col(path), pattern, *costs)).where("cost is not null"))
     least = scored.agg(F.min("cost").alias("cost"))
     return scored.join(F.broadcast(least), "cost", "left_semi")  # one row
 

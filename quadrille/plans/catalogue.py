@@ -221,13 +221,25 @@ def name_edit_cost(spark, d):
     return views.read(spark, d, "part").select(F.col("p_partkey").alias("id"), search.edit_distance(F.col("p_name"), "red bolt").alias("cost"))
 
 
-@query()
+#: The least edit distance of a string to any part of a name.
+_PARTS = """parts as (select p_partkey as id, p_name as path, unnest(flatten(list_transform(range(1, len(p_name) + 2), lambda i: list_transform(range(0, 13), lambda n: substr(p_name, i, n))))) as part from part)"""
+
+
+@query(f"with {_PARTS}, d as (select id, path, min(levenshtein(part, 'rde bolt')) as cost from parts group by id, path) select id, cast(case when cost <= 2 then cost end as integer) as cost from d")
 def name_fuzzy(spark, d):
-    """Weighted approximate matches anywhere in the name; no SQL form."""
+    """Weighted approximate matches anywhere in the name."""
     names = views.read(spark, d, "part").select(F.col("p_partkey").alias("id"), F.col("p_name").alias("path"))
     return names.select("id", search.name_cost(F.col("path"), "rde bolt", 1, 1, 1, 2).alias("cost"))
 
 
+@query(f"""with {_PARTS}, w as (select unnest(['steal bult', 'steel bult']) as word), c as (select id, path, min(levenshtein(part, word)) as cost from parts, w group by id, path)
+    select id, path, cast(cost as integer) as cost from c where cost <= 4 qualify cost = min(cost) over ()""")
+def name_best_ties(spark, d):
+    """All names at the least cost of either word, which is above 0."""
+    names = views.read(spark, d, "part").select(F.col("p_partkey").alias("id"), F.col("p_name").alias("path"))
+    return search.best_matches(names, r"ste[ae]l bult", ins=1, delete=1, subst=1, most=4).select("id", "path", "cost")
+
+
 NEAR = """r as (select * from tiles where id = 313), n as (
     select t.*, r.o0 as r0, r.o1 as r1, r.o2 as r2 from tiles t, r where least(t.e0, r.e0) > greatest(t.o0, r.o0) and least(t.e1, r.e1) > greatest(t.o1, r.o1) and least(t.e2, r.e2) > greatest(t.o2, r.o2))"""
 _SIGN = " || ".join(f"case when r{k} > o{k} then ' -' when r{k} < o{k} then ' +' else '  ' end" for k in range(3))
@@ -531,12 +543,12 @@ def _kernel_sql(name: str, r: float) -> str:
         {name}1 as (select unnest(range(-r, r + 1)) as k from {name}0), {name} as (select cast(k as integer) as k, exp(-0.5 * (k / {s}::double) * (k / {s}::double)) / sum(exp(-0.5 * (k / {s}::double) * (k / {s}::double))) over () as w from {name}1)"""
 
 
-def _blur_sql(name: str, kernel: str) -> str:
+def _blur_sql(name: str, kernel: str, ends: tuple[int, int, int] = (3, 3, 3)) -> str:
     out, last = [], "voxels"
-    for axis in "xyz":
+    for axis, end in zip("xyz", ends):
         rest = [c for c in "xyz" if c != axis]
         now = f"{name}_{axis}"
-        out.append(f"{now} as (select o.vol_id, o.x, o.y, o.z, sum(s.v * w) as v from {last} o, {kernel} join {last} s on s.vol_id = o.vol_id and s.{axis} = least(greatest(o.{axis} + k, 0), 3) and " + " and ".join(f"s.{c} = o.{c}" for c in rest) + " group by 1, 2, 3, 4)")
+        out.append(f"{now} as (select o.vol_id, o.x, o.y, o.z, sum(s.v * w) as v from {last} o, {kernel} join {last} s on s.vol_id = o.vol_id and s.{axis} = least(greatest(o.{axis} + k, 0), {end}) and " + " and ".join(f"s.{c} = o.{c}" for c in rest) + " group by 1, 2, 3, 4)")
         last = now
     return ", ".join(out)
 

@@ -12,23 +12,54 @@ NAME = "*.cache.yml"
 
 
 def parse(text: str, mode: str = "PERMISSIVE") -> list[tuple]:
-    """Rows of the first document. PERMISSIVE keeps tiles with unknown keys or errors and says so; FAILFAST raises."""
-    doc = next(yaml.safe_load_all(text), None) or {}
-    root, rows = str(doc.get("path") or ""), []
-    for t in doc.get("tiles") or []:
-        error = None
+    """Rows of the first document. PERMISSIVE keeps tiles with unknown keys or fields of another form and says so, and a file that is no YAML is one row
+    that says so; FAILFAST raises."""
+    try:
+        doc = next(yaml.load_all(text, Loader=yaml.BaseLoader), None) or {}  # scalars stay as they are written: a path 00012 is no number
+        tiles = (doc.get("tiles") if isinstance(doc, dict) else None) or []
+        if not isinstance(doc, dict) or not isinstance(tiles, list):
+            raise ValueError("not a catalogue")
+    except (yaml.YAMLError, ValueError) as e:
+        if mode == "FAILFAST":
+            raise
+        return [(None, None, None, None, None, None, None, None, f"{type(e).__name__}: {' '.join(str(e).split())}")]
+    root = str(doc.get("path") or "")
+    return [_record(root, t, mode) for t in tiles]
+
+
+def _record(root: str, t, mode: str) -> tuple:
+    """A tile's row. Fields that cannot be read are null, and the first of them is named."""
+    errors: list[str] = []
+
+    def read(what: str, get):
         try:
-            unknown = set(t) - KEYS
-            if unknown:
-                raise ValueError(f"unknown keys: {', '.join(sorted(unknown))}")
-        except ValueError as e:
+            return get()
+        except (ValueError, TypeError, AttributeError) as e:
             if mode == "FAILFAST":
                 raise
-            error = str(e)
-        box, shape = t.get("aabb") or {}, t.get("shape") or {}
-        whole = lambda xs: [int(x) for x in xs] if xs else None
-        rows.append((root + str(t.get("path") or ""), len(box.get("ori") or []), whole(box.get("ori")), whole(box.get("shape")), shape.get("type"), whole(shape.get("dims")), whole(shape.get("crop")), [float(x) for x in t["transform"]] if t.get("transform") else None, error))
-    return rows
+            errors.append(f"{what}: {e}")
+            return None
+
+    def known() -> None:
+        unknown = set(t) - KEYS
+        if unknown:
+            raise ValueError(", ".join(sorted(map(str, unknown))))
+
+    def part(name: str) -> dict:
+        found = t.get(name) or {}
+        if not isinstance(found, dict):
+            raise ValueError("not a mapping")
+        return found
+
+    if not isinstance(t, dict):
+        t = read("a tile", lambda: dict(t)) or {}
+    read("unknown keys", known)
+    box, shape = read("aabb", lambda: part("aabb")) or {}, read("shape", lambda: part("shape")) or {}
+    whole = lambda name, xs: read(name, lambda: [int(x) for x in xs] if xs else None)
+    ori, extent, dims, crop = whole("ori", box.get("ori")), whole("shape", box.get("shape")), whole("dims", shape.get("dims")), whole("crop", shape.get("crop"))
+    matrix = read("transform", lambda: [float(x) for x in t["transform"]] if t.get("transform") else None)
+    kind = shape.get("type")
+    return (root + str(t.get("path") or ""), len(ori or []), ori, extent, None if kind is None else str(kind), dims, crop, matrix, errors[0] if errors else None)
 
 
 def dump(rows: list[dict], root: str) -> str:
@@ -58,7 +89,7 @@ def parsed(files: DataFrame, mode: str = "PERMISSIVE") -> DataFrame:
     def run(batches):
         for b in batches:
             for content in b["content"]:
-                yield pd.DataFrame(parse(bytes(content).decode(), mode), columns=[c.split()[0] for c in SCHEMA.split(", ")]).astype({"ndim": "int32"})
+                yield pd.DataFrame(parse(bytes(content).decode(), mode), columns=[c.split()[0] for c in SCHEMA.split(", ")]).astype({"ndim": "Int32"})
 
     return files.select("content").mapInPandas(run, SCHEMA)
 

@@ -87,7 +87,6 @@ def test_names(spark):
     cost = lambda p, **k: [r.c for r in df.select("id", search.name_cost(F.col("path"), p, **k).alias("c")).orderBy("id").collect()]
     assert cost("red b") == [0, None, None, None]
     assert cost("red bolt", ins=1, delete=1, subst=1, most=2) == [0, 1, None, None]
-    assert search.basic_to_extended(r"a\(b\)+{") == r"a(b)\+\{"
     with pytest.raises(LookupError):
         search.find_one(df, "nothing here")
 
