@@ -37,7 +37,7 @@ def rows(docs):
 
 
 def test_empty_tables(spark, docs, tmp_path):
-    docs.limit(0).write.parquet(str(tmp_path / "documents.parquet"))
+    docs.limit(0).withColumn("lang", F.lit("en")).write.parquet(str(tmp_path / "documents.parquet"))
     for name in ("labels", "benchmark", "pages", "embeddings"):
         table(spark, SF, name).limit(0).write.parquet(str(tmp_path / f"{name}.parquet"))
     for name, q in queries.QUERIES.items():
@@ -538,6 +538,69 @@ def test_probabilities_of_ids():
     assert len(np.unique(tables.near[:40], axis=0)) == 40
 
 
+def test_pairs_share_their_class():
+    """Whatever is kept, the shares of a class's ids sum to one for each id before; a frequent pair comes nearer to its share in the text."""
+    import numpy as np
+
+    ids, size, tables = small_tables(np.random.default_rng(6))
+    n, kind = 60, tables.kind
+    x = attention.before(ids, size, n - 1)
+    after = np.bincount(x * attention.CLASSES + kind[ids], minlength=n * attention.CLASSES).reshape(n, -1).astype(float)
+    keys, count = np.unique(x * n + ids, return_counts=True)
+    every = np.arange(n)
+    for most in (0, 10, 300, len(keys)):
+        kept = np.sort(np.argsort(-count, kind="stable")[:most])
+        t = attention.with_pairs(tables, after, keys[kept], count[kept])
+        for before in range(n):
+            p = np.exp(t.log_inside(np.full(n, before), every))
+            assert np.allclose(np.bincount(kind, p, attention.CLASSES)[np.unique(kind)], 1, atol=1e-4)
+        if most == 300:
+            a, b = divmod(int(keys[np.argmax(count)]), n)
+            share = count.max() / after[a, kind[b]]
+            both = [float(np.exp(m.log_inside(np.array([a]), np.array([b]))[0])) for m in (tables, t)]
+            assert abs(both[1] - share) <= abs(both[0] - share)
+
+
+def test_frequent_pairs(spark, docs):
+    import numpy as np
+
+    path, pattern = queries.tokenizer()
+    blocks = stage(attention.spelled_blocks(docs.select("doc_id", "text").repartition(3), path, pattern)).where("ids is not null")
+    n = attention.coder(path, pattern).n_vocab + 1
+    want = collections.Counter()
+    for r in blocks.collect():
+        ids, size = attention.unpacked(bytes(r.ids), np.uint16).astype(np.int64), np.array(r.sizes)
+        trains = np.repeat(~np.array(r.held), size)
+        want.update((attention.before(ids, size, n - 1) * n + ids)[trains].tolist())
+    keys, count = attention.frequent_pairs(blocks, n)
+    assert dict(zip(keys.tolist(), count.tolist())) == dict(want) and (np.diff(keys) > 0).all()
+    keys, count = attention.frequent_pairs(blocks, n, 500)
+    assert 0 < len(keys) <= 500 and all(want[k] == c for k, c in zip(keys.tolist(), count.tolist()))
+    assert min(count) > sorted(want.values(), reverse=True)[500] * 0.9  # whole size classes
+
+
+def test_scores_of_a_table(spark, docs):
+    """What scored() gives each text is the sum over its ids by the model, made again step by step."""
+    import numpy as np
+
+    path, pattern = queries.tokenizer()
+    d = stage(docs.select("doc_id", "text").where("doc_id is not null").dropDuplicates(["doc_id"]).coalesce(1))
+    got = {r.doc_id: r.score for r in attention.scored(d, path, pattern).collect()}
+    blocks = stage(attention.spelled_blocks(d, path, pattern)).where("ids is not null")
+    n = attention.coder(path, pattern).n_vocab + 1
+    counts, parts = np.zeros(n), []
+    for r in blocks.collect():
+        ids, size = attention.unpacked(bytes(r.ids), np.uint16).astype(np.int64), np.array(r.sizes)
+        counts += np.bincount(ids[np.repeat(~np.array(r.held), size)], minlength=n)
+        parts.append((r.docs, ids, size))
+    head = attention.trained(blocks, attention.tables(blocks, counts))
+    want = {}
+    for names, ids, size in parts:
+        each = attention.score(head, ids, size).astype(float)
+        want |= dict(zip(names, np.add.reduceat(each, np.cumsum(size) - size)))
+    assert set(got) == set(want) and all(abs(got[i] - want[i]) <= 1e-3 * abs(want[i]) for i in want)
+
+
 def test_gradient():
     """The step's gradient is the slope of the loss."""
     import numpy as np
