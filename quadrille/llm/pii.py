@@ -40,7 +40,7 @@ WEAK = {
     "ip": r"(?<![0-9])[0-9]{1,3}+(?:(?:\[\.\]|\(\.\)|\[dot\]|\(dot\))[0-9]{1,3}+){3}(?![0-9])|(?<![0-9A-Fa-f:])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![0-9A-Fa-f:])",
     "card": r"(?<![0-9./_])(?:[0-9]{4}[./_]){3}[0-9]{4}(?![0-9./_])",
     "phone": r"(?<![0-9+])(?<![0-9][.-])(?:\([0-9]{3}\)\x20?|[0-9]{3}[\x20.-])[0-9]{3}[\x20.-][0-9]{4}(?![0-9.-]?[0-9])",
-    "secret": rf"(?i)(?<=(?:{_NAMES})[\"']?\x20?[:=]\x20?[\"']?)(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{{8,}}+={{0,2}}|(?<![A-Za-z0-9+/_-])(?=[A-Za-z+_]{{0,40}}[0-9])(?=[0-9+_]{{0,40}}[A-Za-z])[A-Za-z0-9+_]{{20,}}+(?![/-])",
+    "secret": rf"(?i)(?<=(?:{_NAMES})[\"']?\x20?[:=]\x20?[\"']?)(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{{8,}}+={{0,2}}|(?<![A-Za-z0-9+/_-])(?=[A-Za-z+_]*+[0-9])(?=[0-9+_]*+[A-Za-z])[A-Za-z0-9+_]{{20,}}+(?![/-])",
 }
 #: Words of the gazetteer and context labelers.
 ENDINGS = "com|org|net|edu|gov|io|de|fr|es|uk|info|eu"
@@ -157,7 +157,7 @@ def candidates(docs: DataFrame) -> DataFrame:
     gates = {"email": F.contains(t, F.lit("@")), "ip": t.rlike(r"[0-9]\.[0-9]"), "card": t.rlike(r"(?:[0-9][\x20-]?){16}"), "phone": F.contains(t, F.lit("+"))}
     weak_gates = {
         "email": F.contains(t, F.lit("at)")) | F.contains(t, F.lit("at]")), "ip": t.rlike(r"[0-9][\[(](?:\.|dot)[\])][0-9]|(?:[0-9A-Fa-f]{1,4}:){7}"), "card": t.rlike("[0-9]{4}[./_][0-9]{4}[./_]"),
-        "phone": t.rlike(r"[0-9]{3}[\x20.-][0-9]{4}"), "secret": t.rlike(rf"(?i)(?:{_NAMES})[\"']?\x20?[:=]|(?<![A-Za-z0-9+_])[A-Za-z+_]{{0,40}}[0-9][A-Za-z0-9+_]{{19}}|[0-9][A-Za-z0-9+_]{{19}}"),
+        "phone": t.rlike(r"[0-9]{3}[\x20.-][0-9]{4}"), "secret": t.rlike(rf"(?i)(?:{_NAMES})[\"']?\x20?[:=]|(?<![A-Za-z0-9+/_-])(?=[A-Za-z+_]*+[0-9])(?=[0-9+_]*+[A-Za-z])[A-Za-z0-9+_]{{20}}"),
     }
     names = {f"_b{k}": (k, True) for k in BASE_KINDS} | {f"_w{k}": (k, False) for k in KINDS}
     df = df.withColumns({c: _matches(t, (BASE if base else WEAK)[k], (gates if base else weak_gates)[k]) for c, (k, base) in names.items()})
