@@ -3,6 +3,11 @@
 The last stage returns the encoded documents: their columns, the number of ids and the digests of ids and of
 the decoded bytes. A null or extra column goes through unchanged, but for `n_chars`, which follows
 a redacted text, and for a column named like one that the last stage makes, which gives way to it.
+
+Defined cases: a null text is an empty one, and both fail the quality rules (under 50 words), so neither is in the result; a null id stays, after all others
+in the choice among near copies; of rows that repeat one stays; ties among copies go to the least id, then to any one row; texts are whole in every
+stage, however long; an empty table gives an empty result. Tables that stages write on their way lie in the application's folder below
+spark.checkpoint.dir; `quadrille.llm.common.sweep` deletes it once the result has been written elsewhere.
 """
 
 from __future__ import annotations
@@ -14,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quadrille.llm import bpe, neardup, pii, quality, queries, templates
-from quadrille.llm.common import shared_dir, stage, table, whole_row
+from quadrille.llm.common import stage, table, whole_row, work_dir
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,13 +48,12 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Spans of personal data become their kind in angle brackets."""
-    model = pii.fit(stage(pii.candidates(docs.select("doc_id", "text")).select("cands")))
-    found = pii.redact(pii.spans(pii.candidates(docs.select(whole_row(docs), "text")), model))
-    row = F.col("_row").withField("text", F.col("text"))
-    if "n_chars" in docs.columns:
-        counted = F.when(F.size("spans") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("_row.n_chars"))
-        row = row.withField("n_chars", counted)
-    return found.select(row.alias("_row")).select("_row.*")
+    cands = stage(pii.candidates(docs.select(whole_row(docs.drop("text")), "text")))  # found once: the model is fitted on them, then judges them
+    found = pii.redact(pii.spans(cands, pii.fit(cands)))
+    columns = {c: F.col(f"_row.`{c}`") for c in docs.columns if c != "text"} | {"text": F.col("text")}
+    if "n_chars" in columns:
+        columns["n_chars"] = F.when(F.size("spans") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(columns["n_chars"])
+    return found.select(*[columns[c].alias(c) for c in docs.columns])
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -72,7 +76,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    folder = f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex}"
+    folder = f"{work_dir(spark)}/pipeline-{uuid.uuid4().hex}"
     for k, (name, function) in enumerate(STAGES):
         path = f"{folder}/{k}-{name}"
         function(spark, docs, sf_dir).write.parquet(path)
