@@ -39,7 +39,7 @@ LONGEST, LEAST = 5, 100  # words of a phrase at most, occurrences at least
 FILTER_BITS = 26  # 2^26 bits, 8 MB, whatever the input
 SLICE = 2 << 20  # bytes of text at a time
 HELD = 1 << 19  # phrases that a task holds before it passes them on
-BUCKET_WORDS = 20_000_000  # words of all texts for each bucket of keys and phrases
+BUCKET_WORDS = 4_000_000  # words of all texts for each bucket of keys and phrases
 
 _KIND = np.zeros(256, np.uint8)  # 0: part of a word
 _KIND[[0x20, 0x09]] = 1
