@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import kernels
-from ..operators import align, chunks
+from ..operators import align, chunks, levels
 from ..sources.tables import work_dir, written
 from . import views
 from .catalogue import _blur_sql, _kernel_sql, query
@@ -148,3 +148,37 @@ def pair_shifts(spark, d):
     boxes = tiles.select("id", *[c.cast("bigint").alias(f"o{i}") for i, c in enumerate(stated)], *[F.lit(n).cast("bigint").alias(f"s{i}") for i, n in enumerate(TILE)])
     boxes = boxes.withColumns({f"e{i}": F.col(f"o{i}") + F.col(f"s{i}") for i in range(3)})
     return align.aligned(boxes, own, SIDE, -9.0).withColumn("peak", F.round("peak", 6))
+
+
+# --- a pyramid that is kept up to date -------------------------------------------------------------------------
+
+_CUBE = "cast(vec_id % 60 % 5 as integer) as x, cast(vec_id % 60 // 5 % 4 as integer) as y, cast(vec_id % 60 // 20 as integer) as z"
+
+
+def _updated(spark, d) -> str:
+    """A pyramid of all volumes, and an update after one cube of each has changed."""
+    folder = f"{work_dir(spark)}/pyramid-{uuid.uuid4().hex}"
+    first = written(volumes(spark, d))
+    levels.update(spark, folder, first, SIDE)
+    # the cube of each volume's eighth vector: voxels (8..11, 4..7, 0..3)
+    part = chunks.voxels(first.where("cx = 1 and cy = 0 and cz = 0"), SIDE)
+    raised = F.when((F.col("x") < 12) & (F.col("y") >= 4) & (F.col("z") < 4), F.col("v") + 1).otherwise(F.col("v"))
+    rows = part.withColumn("v", raised).groupBy("vol_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("z", "y", "x", "v"))), lambda s: s["v"]).alias("new"))  # the voxels of one chunk
+    second = first.join(rows, "vol_id").withColumn("data", F.when(F.expr("cx = 1 and cy = 0 and cz = 0"), F.col("new")).otherwise(F.col("data"))).drop("new")
+    levels.update(spark, folder, second, SIDE)
+    return folder
+
+
+@query(f"""with grid as (select vol_id, cast(x as integer) as x, cast(y as integer) as y, cast(z as integer) as z from (select distinct vec_id // 60 as vol_id from embeddings), range(5) a(x), range(4) b(y), range(3) c(z)),
+    means as (select vec_id // 60 as vol_id, {_CUBE}, list_avg(list_transform(embedding, lambda v: cast(v as double))) as v from embeddings)
+    select g.vol_id, g.x, g.y, g.z, round(coalesce(v, 0) + case when g.x = 2 and g.y = 1 and g.z = 0 then 1 else 0 end, 6) + 0.0::double as v from grid g left join means m on m.vol_id = g.vol_id and m.x = g.x and m.y = g.y and m.z = g.z""")
+def pyramid_updated(spark, d):
+    """The top of each volume's pyramid after an update: a voxel for each cube."""
+    folder = _updated(spark, d)
+    return _rounded(chunks.voxels(levels.stored(spark, folder, 2), SIDE))
+
+
+@query("select vec_id // 60 as vol_id, cast(level as integer) as level, cast(case when level = 0 then 1 else 0 end as integer) as cx, 0 as cy, 0 as cz from (select distinct vec_id // 60 * 60 as vec_id from embeddings), range(3) l(level)")
+def pyramid_rendered(spark, d):
+    """What the update made: the changed chunk and its ancestors, of each volume."""
+    return levels.versions(spark, _updated(spark, d)).where("version = 2").select("vol_id", "level", *chunks.AXES)
