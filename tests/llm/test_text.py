@@ -235,6 +235,21 @@ def test_compaction(spark):
     assert {(r.unit, r.path) for r in debruijn.compacted(u).collect()} == {(1, 1), (2, 1), (3, 1)}
 
 
+def test_a_passage_is_one_path(spark, monkeypatch):
+    """A long passage is many units; compaction makes one path of it, with one span in each source. Without compaction it falls apart."""
+    rnd = random.Random(12)
+    w = lambda n: [f"w{rnd.randrange(10**6)}" for _ in range(n)]
+    passage = w(400)
+    d = spark.createDataFrame([(k, " ".join([*w(60 + k), *passage, *w(50)])) for k in range(3)], "doc_id long, text string")
+    rows = d.select("doc_id", "text", debruijn.row_key().alias("rk"), debruijn.row_key2().alias("rk2"))
+    spans = debruijn.repeated_spans(rows).collect()
+    assert len({s.path for s in spans}) == 1 and sorted((s.s, s.e) for s in spans) == [(60 + k, 60 + k + 400 - 34) for k in range(3)]
+    units = debruijn.repeated_units(rows)
+    assert units.select("unit").distinct().count() > 5
+    monkeypatch.setattr(debruijn, "compacted", lambda units: units.select("unit", F.col("unit").alias("path")).distinct())
+    assert len(debruijn.repeated_spans(rows).collect()) > 15
+
+
 # --- 4 ------------------------------------------------------------------------------------------------
 
 
