@@ -118,7 +118,7 @@ def tile_row(folder: str, files: list[str], options: dict, wanted: Wanted) -> di
                 raise FileNotFoundError("the volume has no file")
             dims, dtype = volumes.header_of(f"{folder}/{first}", first.rsplit(".", 1)[1])
         else:
-            dims = [int(x) for x in str(dims).split(",")]
+            dims = [int(x) for x in (dims.split(",") if isinstance(dims, str) else dims)]
         return row | {"dtype": dtype, "dims": dims, "crop": dims, "transform": textproto.transform(meta, dims)}
     except Exception as e:  # noqa: BLE001  (whatever a file holds, its row says so)
         row = _row(folder, meta and meta["format"], meta and meta["ori"], meta and meta["shape"], None, None, None, None, meta and meta["volume"], f"{type(e).__name__}: {e}")

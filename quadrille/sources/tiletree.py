@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import textproto, volumes, yamlcache
+from . import textproto, tilesource, volumes, yamlcache
 from .tables import written
 
 SCHEMA = "path string, format string, ndim int, ori array<bigint>, shape array<bigint>, dtype string, dims array<bigint>, crop array<bigint>, transform array<float>, volume string, error string"
@@ -60,29 +60,9 @@ def scan(spark: SparkSession, path: str, version: str | None = None, dims: list[
 
 
 def catalogue(spark: SparkSession, path: str, cache: str = "auto", **options) -> DataFrame:
-    """Tiles of the tree. With cache auto, a folder that holds a YAML catalogue is taken from it and not walked, at the root or below."""
-    scanned = scan(spark, path, **options).where("error is null")
-    if cache != "auto":
-        return scanned
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", yamlcache.NAME).load(path)
-    cached = files.select(folder(F.col("path")).alias("dir")).distinct()
-    if cached.isEmpty():
-        return scanned
-    known = yamlcache.usable(yamlcache.parsed(outermost(files)))
-    above = F.transform(F.sequence(F.lit(1), F.size(F.split("path", "/"))), lambda k: F.array_join(F.slice(F.split(F.col("path"), "/"), 1, k), "/"))
-    under = scanned.select("path", F.explode(above).alias("dir")).join(cached, "dir").select("path").distinct()
-    walked = scanned.join(under, "path", "left_anti")
-    shared = [c for c in walked.columns if c in known.columns]
-    return known.select(*shared).unionByName(walked.select(*shared))
-
-
-def outermost(files: DataFrame) -> DataFrame:
-    """Catalogue files that lie below no folder with another one."""
-    dirs = files.select(folder(F.col("path")).alias("dir")).distinct()
-    parts = F.split("dir", "/")
-    above = dirs.select("dir", F.explode(F.transform(F.sequence(F.lit(1), F.size(parts) - 1), lambda k: F.array_join(F.slice(parts, 1, k), "/"))).alias("up"))
-    inner = above.join(dirs.select(F.col("dir").alias("up")), "up").select("dir").distinct()
-    return files.withColumn("dir", folder(F.col("path"))).join(inner, "dir", "left_anti").drop("dir")
+    """Tiles of the tree that can be read, by a walk of tasks. With cache auto, a folder that holds a catalogue gives the catalogue's tiles and is not entered, at the root or below."""
+    found = tilesource.opened(spark, path, cache=cache, **options)
+    return yamlcache.usable(found).select(*[c.split()[0] for c in SCHEMA.split(", ")])
 
 
 def build(spark: SparkSession, path: str, into: str, **options) -> int:
