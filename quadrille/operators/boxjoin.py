@@ -1,4 +1,8 @@
-"""Box joins: boxes go to the grid cells that they cover, cells join by equality, each pair is kept in one cell."""
+"""Box joins: boxes go to the grid cells that they cover, cells join by equality, each pair is kept in one cell.
+
+Joins by cells are hinted to merge: a plan's size of a side does not count the rows that cells add, and a side that it takes for
+small would be broadcast through the driver.
+"""
 
 from __future__ import annotations
 
@@ -61,7 +65,7 @@ def box_join(left: DataFrame, right: DataFrame, key: str = "id", cell: tuple[int
             parts.append((_celled(left.where(F.col("level") < k), cell, [k], "a", key), _celled(right.where(F.col("level") == k), cell, [k], "b", key)))
     out = None
     for a, b in parts:
-        met = a.join(b, ["grid", "c0", "c1", "c2"])
+        met = a.join(b.hint("merge"), ["grid", "c0", "c1", "c2"])
         for d in range(3):
             size = F.lit(cell[d]) * F.pow(F.lit(4), F.col("grid")).cast("long")
             corner = F.greatest(F.col(f"ao{d}"), F.col(f"bo{d}"))
@@ -90,9 +94,9 @@ def any_hit(left: DataFrame, right: DataFrame, key: str = "id", cell: tuple[int,
             x, y = _celled(x, cell, [k], "a", key), _cut_to_cells(_celled(y, cell, [k], "b", key), cell)
             same = [x[c] == y[c] for c in ("grid", "c0", "c1", "c2")]
             meets = [(F.col(f"ae{d}") > F.col(f"bo{d}")) & (F.col(f"be{d}") > F.col(f"ao{d}")) for d in range(3)]
-            met = x.join(y, [*same, *meets], "left_semi").select(F.col(f"a{key}").alias(key))
+            met = x.join(y.hint("merge"), [*same, *meets], "left_semi").select(F.col(f"a{key}").alias(key))
             keys = met if keys is None else keys.unionByName(met)
-    return left.join(keys.distinct(), key, "left_semi")
+    return left.join(keys.distinct().hint("merge"), key, "left_semi")
 
 
 def _cut_to_cells(celled: DataFrame, cell: tuple[int, ...]) -> DataFrame:

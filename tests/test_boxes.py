@@ -111,3 +111,10 @@ def test_any_tiles_of_the_whole_table(spark):
     box = [[(r[f"o{k}"], r[f"e{k}"]) for k in range(3)] for r in t]
     hit = lambda a, b: all(x[0] < y[1] and y[0] < x[1] for x, y in zip(a, b))
     assert sorted(r.id for r in catalogue.QUERIES["any_tiles_whole"](spark, d).collect()) == sorted(r.id for r, a in zip(t, box) if any(hit(a, b) for b in box))
+
+
+def test_cells_are_not_broadcast(spark):
+    """The rows that cells add are not in a plan's sizes: small tables, too, join by a merge."""
+    t = spark.range(50).selectExpr("id", *[f"id * 10 as o{d}" for d in range(3)], *[f"15L as s{d}" for d in range(3)], *[f"id * 10 + 15 as e{d}" for d in range(3)])
+    for df in (boxjoin.any_hit(t, t), boxjoin.box_join(t, t)):
+        assert "Broadcast" not in df._jdf.queryExecution().sparkPlan().toString() and df.count() == (50 if df.columns == ["id"] else 148)
