@@ -2,17 +2,24 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import addresses
-from ..functions.aabb import child
 from ..sources.tables import written
 
 SCHEMA = "ids array<int>, addr bigint, depth int, o0 bigint, o1 bigint, o2 bigint, s0 bigint, s1 bigint, s2 bigint, e0 bigint, e1 bigint, e2 bigint, is_leaf boolean"
 
 #: Digits of an address, each 8 at most, that fit 64 bits.
 DEEPEST = 19
+#: Levels of a block: at most 8^6 cells in one array of a task.
+BLOCK = 6
+#: Parents that one task divides, and tasks of a level at most.
+PER_TASK, MOST_TASKS = 1 << 16, 512
 
 
 def leaf_test(shape: list[int], voxel: tuple[float, float, float], most: int) -> bool:
@@ -31,17 +38,13 @@ def height(shape: list[int], voxel, most: int, fan: int = 8) -> int:
     return h
 
 
-def children(level: DataFrame, fan: int, voxel, most: int) -> DataFrame:
-    box = F.struct(F.array("o0", "o1", "o2").alias("ori"), F.array("s0", "s1", "s2").alias("shape"))
-    df = level.where(~F.col("is_leaf")).select(F.col("ids").alias("above"), box.alias("box"), F.explode(F.array(*[F.lit(i) for i in range(fan)])).alias("k"))
-    df = df.select(addresses.push(F.col("above"), F.col("k")).alias("ids"), child(F.col("box"), fan, F.col("k")).alias("b"))
-    df = df.select("ids", *[F.get("b.ori", F.lit(d)).alias(f"o{d}") for d in range(3)], *[F.get("b.shape", F.lit(d)).alias(f"s{d}") for d in range(3)])
-    return _finished(df, voxel, most)
+def _finished(df: DataFrame, voxel, most: int) -> DataFrame:
+    return _sized(df.withColumns({"addr": addresses.to_int(F.col("ids")), "depth": F.size("ids")}), voxel, most)
 
 
-def _finished(df: DataFrame, voxel, most: int) -> DataFrame:
+def _sized(df: DataFrame, voxel, most: int) -> DataFrame:
     size = F.col("s0").cast("double") * F.col("s1") * F.col("s2") / float(voxel[0] * voxel[1] * voxel[2])
-    df = df.withColumns({"addr": addresses.to_int(F.col("ids")), "depth": F.size("ids")} | {f"e{d}": F.col(f"o{d}") + F.col(f"s{d}") for d in range(3)})
+    df = df.withColumns({f"e{d}": F.col(f"o{d}") + F.col(f"s{d}") for d in range(3)})
     return df.withColumn("is_leaf", F.floor(size) < most).select("ids", "addr", "depth", *[f"{c}{d}" for c in "ose" for d in range(3)], "is_leaf")
 
 
@@ -52,24 +55,44 @@ def root(spark: SparkSession, ori: list[int], shape: list[int], voxel, most: int
 
 def nodes(spark: SparkSession, ori, shape, voxel, most: int, fan: int = 8, tiles: DataFrame | None = None) -> DataFrame:
     """All nodes; with tiles only those that some tile hits, a node's children only if the node is no leaf and is hit."""
+    deep = height(shape, voxel, most, fan)
+    if deep > DEEPEST:
+        raise ValueError(f"the tree has {deep} levels, and an address holds {DEEPEST} at most: choose larger leaves or voxels")
     if tiles is not None:
         return hit_nodes(tiles, ori, shape, voxel, most, fan)
-    if height(shape, voxel, most, fan) > DEEPEST:
-        raise ValueError(f"the tree has more than {DEEPEST} levels, which an address cannot hold: choose larger leaves or voxels")
-    level = root(spark, ori, shape, voxel, most)
-    out = level
-    for _ in range(height(shape, voxel, most, fan)):
-        level = children(level, fan, voxel, most)
-        out = out.unionByName(level)
+    out = root(spark, ori, shape, voxel, most)
+    for depth in range(1, deep + 1):
+        out = out.unionByName(_level(spark, depth, ori, shape, voxel, most, fan))
     return out
 
 
+def _level(spark: SparkSession, depth: int, ori, shape, voxel, most: int, fan: int) -> DataFrame:
+    """The nodes of one depth: their parents are numbers, dealt to tasks by ranges, whose boxes follow in closed form."""
+    many, bits = fan ** (depth - 1), fan.bit_length() - 1
+    up = depth - 1
+    df = spark.range(0, many, 1, max(1, min(many // PER_TASK, MOST_TASKS)))
+    df = df.select(*[F.shiftright("id", bits * (up - 1 - j)).bitwiseAND(F.lit(fan - 1).cast("long")).cast("int").alias(f"b{j}") for j in range(up)])
+    box = _box_of(up, ori, shape, fan)
+    size = box["s0"].cast("double") * box["s1"] * box["s2"] / float(voxel[0] * voxel[1] * voxel[2])
+    above = sum(((F.col(f"b{j}") + 1).cast("long") * 10 ** (up - 1 - j) for j in range(up)), F.lit(0).cast("long"))
+    ids = F.array(*[F.col(f"b{j}") for j in range(up)]).cast("array<int>")
+    df = df.where(F.floor(size) >= most).select(ids.alias("ids"), above.alias("addr"), *[box[f"{c}{d}"].alias(f"{c}{d}") for c in "os" for d in range(3)])
+    df = df.withColumn("k", F.explode(F.array(*[F.lit(i) for i in range(fan)])))
+    half, on = [F.shiftright(f"s{d}", 1) for d in range(3)], [F.shiftright("k", d).bitwiseAND(F.lit(1)) == 1 for d in range(3)]
+    split = [bool((fan - 1) >> d & 1) for d in range(3)]
+    o = [F.when(on[d], F.col(f"o{d}") + half[d]).otherwise(F.col(f"o{d}")).alias(f"o{d}") if split[d] else F.col(f"o{d}") for d in range(3)]
+    s = [F.when(on[d], F.col(f"s{d}") - half[d]).otherwise(half[d]).alias(f"s{d}") if split[d] else F.col(f"s{d}") for d in range(3)]
+    df = df.select(addresses.push(F.col("ids"), F.col("k")).alias("ids"), (F.col("addr") * 10 + F.col("k") + 1).alias("addr"), F.lit(depth).alias("depth"), *o, *s)
+    return _sized(df, voxel, most)
+
+
 def hit_nodes(tiles: DataFrame, ori, shape, voxel, most: int, fan: int = 8) -> DataFrame:
-    """The nodes that some tile hits, from the finest level up: one scan of the tiles and no join.
+    """The nodes that some tile hits: one scan of the tiles and no join.
 
-    On each axis a tile's ends descend by halves to their cells of the finest level, as arithmetic within the scan; the cells that it
-    covers become addresses, and each level is the distinct parents of the one below. What lies below a leaf is left out.
-    A tile gives as many rows as it covers finest cells, which are all in the result (or below a leaf that is).
+    On each axis a tile's ends descend by halves to their cells of the finest level, as arithmetic within the scan. The ranges of cells are cut
+    by blocks, the subtrees of the last BLOCK levels, and equal ones are kept once; a task paints the cells of a block into one array, and
+    each level of the block follows from the one below by halving the array. Above the blocks each level is the distinct parents of the one below.
+    What lies below a leaf is left out. A tile gives as many rows as it covers blocks, which are all in the result (or below a leaf that is).
     """
     deep = height(shape, voxel, most, fan)
     if deep > DEEPEST:
@@ -90,22 +113,100 @@ def hit_nodes(tiles: DataFrame, ori, shape, voxel, most: int, fan: int = 8) -> D
         ends = [f"{w}{d}" for w in ("lo", "hi") for d in axes]
         df = df.withColumns({k: F.col(k) - F.col(f"u{k}") * half(k) for k in ends} | {f"s{k}": F.shiftright(F.col(f"s{k}") + F.col(f"u{k}"), 1) for k in ends} | {f"i{k}": F.col(f"i{k}") * 2 + F.col(f"u{k}") for k in ends})
     df = df.select(*[f"i{w}{d}" for w in ("lo", "hi") for d in axes]).distinct()  # tiles that cover the same cells are one
-    for d in axes:
-        df = df.select("*", F.explode(F.sequence(F.col(f"ilo{d}"), F.col(f"ihi{d}"))).alias(f"c{d}"))
+    low = min(BLOCK, deep)
+    for d in range(3):
+        if split[d]:
+            df = df.withColumn(f"b{d}", F.explode(F.sequence(F.shiftright(f"ilo{d}", low), F.shiftright(f"ihi{d}", low))))
+            first = F.shiftleft(f"b{d}", low)
+            df = df.withColumns({f"lo{d}": F.greatest(F.col(f"ilo{d}") - first, F.lit(0)), f"hi{d}": F.least(F.col(f"ihi{d}") - first, F.lit((1 << low) - 1))})
+        else:
+            df = df.withColumns({c: F.lit(0).cast("long") for c in (f"b{d}", f"lo{d}", f"hi{d}")})
+    blocks = written(df.select("b0", "b1", "b2", *[f"{w}{d}" for d in range(3) for w in ("lo", "hi")]).distinct())
+    places = fan ** (deep - low)
+    dealt = blocks.repartition(max(1, min(places, MOST_TASKS)), "b0", "b1", "b2").sortWithinPartitions("b0", "b1", "b2")
+    flat = [f"{c}{d}" for c in "os" for d in range(3)]
+    out = dealt.mapInArrow(_painted(deep, low, ori, shape, voxel, most, fan), "addr bigint, depth int, " + ", ".join(f"{c} bigint" for c in flat) + ", is_leaf boolean")
+    out = out.select(addresses.from_int(F.col("addr")).alias("ids"), "addr", "depth", *flat, *[(F.col(f"o{d}") + F.col(f"s{d}")).alias(f"e{d}") for d in range(3)], "is_leaf")
     addr = F.lit(0).cast("long")
-    for level in range(deep - 1, -1, -1):
+    for level in range(deep - low - 1, -1, -1):
         digit = F.lit(1).cast("long")
         for d in axes:
-            digit = digit + F.shiftright(F.col(f"c{d}"), level).bitwiseAND(F.lit(1).cast("long")) * (1 << d)
+            digit = digit + F.shiftright(F.col(f"b{d}"), level).bitwiseAND(F.lit(1).cast("long")) * (1 << d)
         addr = addr * 10 + digit
-    cells = written(df.select(addr.alias("addr")).distinct())
-    out = _kept(cells, deep, ori, shape, voxel, most, fan)
-    for depth in range(deep - 1, -1, -1):
+    cells = blocks.select("b0", "b1", "b2").distinct().select(addr.alias("addr"))
+    for depth in range(deep - low - 1, -1, -1):
         cells = cells.select(F.expr("addr div 10").alias("addr")).distinct()
         out = out.unionByName(_kept(cells, depth, ori, shape, voxel, most, fan))
     return out
 
 
+def _axis(k: int, first: int, many: int, ori: int, extent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Origins and extents on one axis of the cells first, first + 1, ... of depth k, as in _box_of."""
+    i = np.arange(first, first + many, dtype=np.int64)
+    o, turned = np.full(many, ori, np.int64), np.full(many, extent, np.int64)
+    for j in range(k):
+        up = (i >> (k - 1 - j)) & 1
+        o += up * (turned >> (j + 1))
+        turned += up << j
+    return o, turned >> k
+
+
+def _painted(deep: int, low: int, ori, shape, voxel, most: int, fan: int):
+    """The nodes of blocks, their roots included, from rows of (b0, b1, b2, lo0, hi0, ...), sorted by block."""
+    split = [bool((fan - 1) >> d & 1) for d in range(3)]
+    whole = float(voxel[0] * voxel[1] * voxel[2])
+    names = ["addr", "depth", *[f"{c}{d}" for c in "os" for d in range(3)], "is_leaf"]
+
+    def address(cells, levels: int):
+        out = np.zeros(len(cells[0]), np.int64)
+        for level in range(levels - 1, -1, -1):
+            out = out * 10 + 1 + sum(((c >> level) & 1) << d for d, c in enumerate(cells) if split[d])
+        return out
+
+    def nodes_of(block: tuple[int, ...], cells: np.ndarray):
+        root = address([np.array([b], np.int64) for b in block], deep - low)[0]
+        for k in range(low, -1, -1):  # levels of the block
+            depth = deep - low + k
+            z, y, x = np.nonzero(cells)
+            at = (x, y, z)
+            many = [1 << k if split[d] else 1 for d in range(3)]
+            axis = [_axis(depth if split[d] else 0, block[d] << k if split[d] else 0, many[d], ori[d], shape[d]) for d in range(3)]
+            s = [axis[d][1][at[d]] for d in range(3)]
+            on = None
+            if depth:  # nothing below a leaf
+                above = [_axis(depth - 1, (block[d] << k) >> 1, max(1, many[d] >> 1), ori[d], shape[d])[1] if split[d] else axis[d][1] for d in range(3)]
+                p = [above[d][at[d] >> 1] if split[d] else s[d] for d in range(3)]
+                on = np.floor(p[0].astype(np.float64) * p[1] * p[2] / whole) >= most
+                if not on.all():
+                    at, s = tuple(a[on] for a in at), [v[on] for v in s]
+            if len(at[0]):
+                leaf = np.floor(s[0].astype(np.float64) * s[1] * s[2] / whole) < most
+                columns = [root * 10**k + address(at, k), np.full(len(leaf), depth, np.int32), *[axis[d][0][at[d]] for d in range(3)], *s, leaf]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=names)
+            if k:
+                for d in range(3):
+                    if split[d]:
+                        pair = [slice(None)] * 3
+                        pair[2 - d] = slice(0, None, 2)
+                        odd = list(pair)
+                        odd[2 - d] = slice(1, None, 2)
+                        cells = cells[tuple(pair)] | cells[tuple(odd)]
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, cells = None, None
+        for b in batches:
+            for b0, b1, b2, *ends in zip(*(c.to_pylist() for c in b.columns)):
+                if (b0, b1, b2) != block:
+                    if block is not None:
+                        yield from nodes_of(block, cells)
+                    block, cells = (b0, b1, b2), np.zeros([1 << low if split[d] else 1 for d in (2, 1, 0)], bool)
+                cells[ends[4] : ends[5] + 1, ends[2] : ends[3] + 1, ends[0] : ends[1] + 1] = True
+        if block is not None:
+            yield from nodes_of(block, cells)
+
+    return task
+
+
 def _kept(cells: DataFrame, depth: int, ori, shape, voxel, most: int, fan: int) -> DataFrame:
     """The nodes with these addresses of one depth, without those below a leaf."""
     digit = lambda j: F.pmod(F.expr(f"addr div {10 ** (depth - 1 - j)}L"), F.lit(10)).cast("int") - 1

@@ -116,5 +116,14 @@ def test_any_tiles_of_the_whole_table(spark):
 def test_cells_are_not_broadcast(spark):
     """The rows that cells add are not in a plan's sizes: small tables, too, join by a merge."""
     t = spark.range(50).selectExpr("id", *[f"id * 10 as o{d}" for d in range(3)], *[f"15L as s{d}" for d in range(3)], *[f"id * 10 + 15 as e{d}" for d in range(3)])
-    for df in (boxjoin.any_hit(t, t), boxjoin.box_join(t, t)):
-        assert "Broadcast" not in df._jdf.queryExecution().sparkPlan().toString() and df.count() == (50 if df.columns == ["id"] else 148)
+    for df, n in ((boxjoin.any_hit(t, t), 50), (boxjoin.box_join(t, t), 148)):
+        assert "Broadcast" not in df._jdf.queryExecution().sparkPlan().toString() and df.count() == n
+
+
+def test_levels_are_dealt_to_tasks(spark):
+    """A level of the whole tree is made by many tasks, and a level that tiles hit needs no row for each finest cell that a tile covers."""
+    level = octree._level(spark, 8, [0, 0, 0], [1 << 12] * 3, (1.0, 1.0, 1.0), 8, 8)
+    assert level.rdd.getNumPartitions() == 8**7 // octree.PER_TASK
+    one = spark.range(40).selectExpr(*[f"0L as o{d}" for d in range(3)], *[f"1024L as e{d}" for d in range(3)])
+    hit = octree.hit_nodes(one, [0] * 3, [1024] * 3, (1.0, 1.0, 1.0), (1 << 9) + 1)
+    assert [(r.depth, r["count"]) for r in hit.groupBy("depth").count().orderBy("depth").collect()] == [(k, 8**k) for k in range(8)]
