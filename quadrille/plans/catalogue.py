@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import aabb, addresses, kernels, transforms
 from ..operators import boxjoin, catalog, octree, render, search, voxels
 from ..sources import textproto, tiletree, yamlcache
+from ..sources.tables import spread
 from ..streaming import ingest
 from . import views
 
@@ -710,7 +711,7 @@ def _records(spark, d):
 @query(f"with {TILES} select path, array_to_string([o0, o1, o2, s0, s1, s2], ',') as box, '754,1035,199,2' as dims from tiles")
 def yaml_cache_roundtrip(spark, d):
     """The tiles, written as YAML catalogues and read again."""
-    rows = _records(spark, d)
+    rows = spread(_records(spark, d))
 
     def back(batches):
         import pandas as pd
@@ -746,7 +747,7 @@ def catalog_ingest(spark, d):
                 out.append((m["path"], m["format"], m["ori"][0], m["shape"][0]))
             yield pd.DataFrame(out, columns=["path", "format", "o0", "s0"])
 
-    return views.tiles(spark, d).select("path", "o0", "o1", "o2", "s0").mapInPandas(run, "path string, format string, o0 bigint, s0 bigint")
+    return spread(views.tiles(spark, d).select("path", "o0", "o1", "o2", "s0")).mapInPandas(run, "path string, format string, o0 bigint, s0 bigint")
 
 
 #: What a scope's text has that only one version accepts, or that one first.
@@ -780,7 +781,7 @@ def metadata_versions(spark, d):
                 out.append((m["path"], m["format"], m["volume"], -m["shape"][1] if flip else 0, fits))
             yield pd.DataFrame(out, columns=["path", "format", "volume", "flip", "by_name"])
 
-    return views.tiles(spark, d).select("id", "path", "s1").mapInPandas(run, "path string, format string, volume string, flip bigint, by_name boolean")
+    return spread(views.tiles(spark, d).select("id", "path", "s1")).mapInPandas(run, "path string, format string, volume string, flip bigint, by_name boolean")
 
 
 @query(f"""with {TILES}, m as (select path, cast(cast(o0 + 1000000 as double) / 1e6 as float) * cast(1e6 as float) as o0, cast(cast(s0 * 2 as double) / 1e3 as float) * cast(1e3 as float) as s0 from tiles)
@@ -800,7 +801,7 @@ def metadata_moved(spark, d):
                 out.append((m["path"], m["ori"][0], m["shape"][0]))
             yield pd.DataFrame(out, columns=["path", "o0", "s0"])
 
-    return views.tiles(spark, d).select("path", "o0", "o1", "o2", "s0").mapInPandas(run, "path string, o0 bigint, s0 bigint")
+    return spread(views.tiles(spark, d).select("path", "o0", "o1", "o2", "s0")).mapInPandas(run, "path string, o0 bigint, s0 bigint")
 
 
 @query(f"with {TILES} select path, case when id % 5 = 0 then 'unknown keys: odd' end as error from tiles")
@@ -818,7 +819,7 @@ def yaml_errors(spark, d):
                 out += [(x[0], x[-1]) for x in yamlcache.parse(text)]
             yield pd.DataFrame(out, columns=["path", "error"])
 
-    return views.tiles(spark, d).select("id", "path").mapInPandas(run, "path string, error string")
+    return spread(views.tiles(spark, d).select("id", "path")).mapInPandas(run, "path string, error string")
 
 
 @query(f"with {TILES}, p as (select case when id % 3 = 0 then 'a' else path end as path, id, o0 from tiles) select path, max(id) as id, arg_max(o0, id) as o0 from p group by path")

@@ -19,6 +19,13 @@ def work_dir(spark) -> str:
     return f"{folder}/quadrille-{spark.sparkContext.applicationId}"
 
 
+def spread(df: DataFrame, rows: int = 5_000) -> DataFrame:
+    """df dealt to many tasks, about `rows` rows each, for work in Python that a row makes long: a file of one row group would be a single task."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    many = -(-df.count() // rows)
+    return df.repartition(max(1, min(many, 64 * cores)))
+
+
 def written(df: DataFrame) -> DataFrame:
     """df, written as a table to the shared folder and read again."""
     spark = df.sparkSession

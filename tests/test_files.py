@@ -165,3 +165,35 @@ def test_permissive_yaml(spark, tmp_path):
 def test_scopes_of_all_versions():
     for n, scope in enumerate(_SCOPES):
         assert textproto.detect(textproto.parse(scope)) == f"v{n}"
+
+
+def test_a_task_writes_bounded_files(spark, tmp_path, monkeypatch):
+    w = tilesource.CatalogueWriter(str(tmp_path / "cat"), ["path", "ori", "shape", "dtype", "dims", "transform"], False).open()
+    monkeypatch.setattr(tilesource, "PART", 15)
+    rows = [r.asDict() for r in rows_of(spark).collect()]
+    done = w.write(iter(rows))
+    assert [p["tiles"] for p in done.parts] == [15, 15, 10] and [p["first"] for p in done.parts] == [rows[k]["path"] for k in (0, 15, 30)]
+    # a task that goes on after the job was given up leaves nothing
+    w.abort([])
+    with pytest.raises(OSError):
+        w.write(iter(rows))
+    assert os.listdir(tmp_path / "cat") == []
+
+
+def test_plain_catalogues_are_read_as_yaml_reads_them(monkeypatch):
+    row = {"path": "/d/0001.x/a-b", "ori": [1, -2, 3], "shape": [4, 5, 6], "dtype": "u8", "dims": [7, 8, 9], "crop": [7, 8, 9], "transform": [1.0, -0.5]}
+    good = yamlcache.dump([row, row | {"path": "/d/2", "crop": None, "transform": []}], "/d/")
+    odd = [good.replace("- path: 2", "- path: '2'"), good.replace("  aabb", "  odd: 1\n  aabb", 1), good + "---\n", good.replace("[4, 5, 6]", "[4, 5, x]"), good.replace("path: 2", "path: 2 # x"), good.replace("path: 2", "path: é")]
+    assert yamlcache._plain(good) and not any(yamlcache._plain(t) for t in odd)
+    found = [yamlcache.parse(t) for t in (good, *odd)]
+    monkeypatch.setattr(yamlcache, "_plain", lambda text: None)
+    assert found == [yamlcache.parse(t) for t in (good, *odd)]
+
+
+def test_python_work_is_dealt(spark, tmp_path):
+    """A file of one row group is no single task."""
+    from quadrille.sources.tables import spread
+
+    spark.range(20_000).coalesce(1).write.parquet(str(tmp_path / "one"))
+    df = spread(spark.read.parquet(str(tmp_path / "one")))
+    assert df.rdd.getNumPartitions() == 4 and df.distinct().count() == 20_000
