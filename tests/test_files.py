@@ -197,3 +197,12 @@ def test_python_work_is_dealt(spark, tmp_path):
     spark.range(20_000).coalesce(1).write.parquet(str(tmp_path / "one"))
     df = spread(spark.read.parquet(str(tmp_path / "one")))
     assert df.rdd.getNumPartitions() == 4 and df.distinct().count() == 20_000
+
+
+def test_detection_is_kept_by_fields():
+    """One search of the features for all messages of one kind, and odd characters are still refused."""
+    before = textproto._features.cache_info().misses
+    assert {textproto.detect(textproto.parse(f"{_SCOPES[2]} n: {k}")) for k in range(50)} == {"v2"}
+    assert textproto._features.cache_info().misses <= before + 1
+    with pytest.raises(ValueError, match="unexpected character '@' at 5"):
+        textproto.parse("a: 1 @")
