@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources import folders, tilesource, yamlcache
-from ..sources.tables import work_dir, written
+from ..sources.tables import spread, work_dir, written
 from . import views
 from .catalogue import _SCOPES, TILES, query
 
@@ -66,7 +66,7 @@ def tree(spark, d) -> str:
         return pd.DataFrame({"n": [len(rows)]})
 
     own = placed(spark, d)
-    written(own.mapInPandas(tiles, "n bigint"))
+    written(spread(own, 1_000).mapInPandas(tiles, "n bigint"))
     written(own.where("cached").groupBy("parent").applyInPandas(catalogue, "n bigint"))
     return root
 
@@ -120,7 +120,7 @@ def catalogue_written(spark, d):
     """All tiles written as a catalogue with a commit, and a box read back: files whose bounds lie outside are not opened."""
     tilesource.register(spark)
     dims = F.array(*[F.lit(x).cast("long") for x in views.DIMS])
-    t = views.tiles(spark, d).repartitionByRange(8, "o2", "o1")
+    t = views.tiles(spark, d).repartitionByRange(8, "o2", "o1").sortWithinPartitions("o0")  # a task's files are slices along the first axis
     rows = t.select("path", F.array("o0", "o1", "o2").alias("ori"), F.array("s0", "s1", "s2").alias("shape"), F.lit("u16").alias("dtype"), dims.alias("dims"), F.array(*[F.lit(0.5).cast("float")] * 25).alias("transform"))
     folder = f"{work_dir(spark)}/catalogue-{uuid.uuid4().hex}"
     rows.write.format("tiles").mode("append").save(folder)

@@ -5,7 +5,7 @@ below its own. A folder with a catalogue gives that catalogue's tiles and is not
 other folders from being listed; filters on `format` and on the flat box columns are tested as soon as a tile's small metadata are read, so
 that no volume outside is opened; files of a written catalogue whose bounds lie outside are not read.
 
-Writing: every task writes a file under a name that no reader looks for; commit puts their names, counts, bounds and first and last paths into one index, which
+Writing: every task writes files of a bounded number of tiles to a hidden folder; commit moves them and puts their names, counts, bounds and first and last paths into one index, which
 replaces the folder's index by a rename. A job that fails leaves the folder's catalogue as it was.
 
 Options: version, dims and dtype as in tiletree.scan; cache (auto or off); tasks (64). Rows that cannot be read say why in `error`.
@@ -38,12 +38,17 @@ from pyspark.sql.datasource import (
 )
 
 from . import folders, textproto, volumes, yamlcache
+from .tables import spread
 
 _FLAT = [f"{c}{d}" for c in "ose" for d in range(3)]
 SCHEMA = (
     "path string, format string, ndim int, " + ", ".join(f"{c} bigint" for c in _FLAT)
     + ", ori array<bigint>, shape array<bigint>, dtype string, dims array<bigint>, crop array<bigint>, transform array<float>, volume string, error string"
 )
+#: Tiles of one file of a written catalogue at most.
+PART = 20_000
+#: Tiles of one frame of a task.
+FRAME = 1_000
 COLUMNS = [c.split()[0] for c in SCHEMA.split(", ")]
 _TESTS = {GreaterThan: lambda a, b: a > b, GreaterThanOrEqual: lambda a, b: a >= b, LessThan: lambda a, b: a < b, LessThanOrEqual: lambda a, b: a <= b, EqualTo: lambda a, b: a == b, In: lambda a, b: a in b, StringStartsWith: lambda a, b: a.startswith(b)}
 
@@ -200,24 +205,35 @@ class TileReader(DataSourceReader):
 
 @dataclass
 class Written(WriterCommitMessage):
-    part: dict | None
+    parts: list[dict]
 
 
 class CatalogueWriter(DataSourceWriter):
-    """Parts are invisible until the index names them."""
+    """Parts are invisible until the index names them.
+
+    Tasks write them to the job's own hidden folder, which the driver makes and commit empties: a task that is still running when the job is given up
+    finds no folder to write to, and leaves nothing. A task holds PART tiles at a time, in the order in which they come.
+    """
 
     def __init__(self, path: str, columns: list[str], overwrite: bool):
         self.path, self.columns, self.overwrite, self.job = folders.plain(path), columns, overwrite, uuid.uuid4().hex
 
     def write(self, rows: Iterator) -> Written:
-        held = [{c: r[c] if c in self.columns else None for c in ("path", "ori", "shape", "dtype", "dims", "crop", "transform")} for r in rows]
-        kept = sorted((r for r in held if r["ori"] is not None and r["dims"] is not None), key=lambda r: r["path"])
-        if not kept:
-            return Written(None)
+        parts, held = [], []
+        for r in rows:
+            row = {c: r[c] if c in self.columns else None for c in ("path", "ori", "shape", "dtype", "dims", "crop", "transform")}
+            if row["ori"] is not None and row["dims"] is not None:
+                held.append(row)
+            if len(held) == PART:
+                parts.append(self._part(held))
+                held = []
+        return Written(parts + ([self._part(held)] if held else []))
+
+    def _part(self, held: list[dict]) -> dict:
+        kept = sorted(held, key=lambda r: r["path"])
         root = kept[0]["path"].rsplit("/", 1)[0] + "/"
         name = f"part-{self.job}-{uuid.uuid4().hex}.tiles.yml"
-        store, at = folders.store_of(f"{self.path}/{name}")
-        store.create_dir(at.rsplit("/", 1)[0], recursive=True)
+        store, at = folders.store_of(f"{self.path}/.job-{self.job}/{name}")
         # each part has the longest root that all its paths share
         while root and not all(r["path"].startswith(root) for r in kept):
             root = root[:-1].rsplit("/", 1)[0] + "/" if "/" in root[:-1] else ""
@@ -226,7 +242,7 @@ class CatalogueWriter(DataSourceWriter):
         flat = all(len(r["ori"]) >= 3 for r in kept)
         low = [min(r["ori"][d] for r in kept) for d in range(3)] if flat else None
         high = [max(r["ori"][d] + r["shape"][d] for r in kept) for d in range(3)] if flat else None
-        return Written({"file": name, "tiles": len(kept), "low": low, "high": high, "first": kept[0]["path"], "last": kept[-1]["path"]})
+        return {"file": name, "tiles": len(kept), "low": low, "high": high, "first": kept[0]["path"], "last": kept[-1]["path"]}
 
     def commit(self, messages: list[Written | None]) -> None:
         store, at = folders.store_of(self.path)
@@ -236,22 +252,34 @@ class CatalogueWriter(DataSourceWriter):
             before = json.loads(folders.read_file(f"{self.path}/{folders.INDEX}"))["parts"]
         except FileNotFoundError:
             pass
-        parts = [m.part for m in messages if m and m.part]
+        parts = [p for m in messages if m for p in m.parts]
+        for p in parts:  # no reader looks for them before the index names them
+            store.move(f"{at}/.job-{self.job}/{p['file']}", f"{at}/{p['file']}")
         with store.open_output_stream(f"{at}/.index-{self.job}") as f:
             f.write(json.dumps({"parts": ([] if self.overwrite else before) + parts}).encode())
         store.move(f"{at}/.index-{self.job}", f"{at}/{folders.INDEX}")
         if self.overwrite:
             self._delete([p["file"] for p in before])
-        self._delete([n for n in self._own() if n not in {p["file"] for p in parts}])  # of tasks that ran twice
+        self._close()  # with files of tasks that ran twice
 
     def abort(self, messages: list[Written | None]) -> None:
-        self._delete(self._own())
+        self._close()
 
-    def _own(self) -> list[str]:
-        try:
-            return [f for f in folders.listing(self.path)[1] if f.startswith(f"part-{self.job}-")]
-        except FileNotFoundError:
-            return []
+    def open(self) -> CatalogueWriter:
+        """Makes the job's folder."""
+        store, at = folders.store_of(self.path)
+        store.create_dir(f"{at}/.job-{self.job}", recursive=True)
+        return self
+
+    def _close(self) -> None:
+        store, at = folders.store_of(self.path)
+        for _ in range(3):  # a task may open a file while the folder goes
+            try:
+                store.delete_dir(f"{at}/.job-{self.job}")
+            except FileNotFoundError:
+                return
+            except OSError:
+                continue
 
     def _delete(self, names: list[str]) -> None:
         store, at = folders.store_of(self.path)
@@ -271,7 +299,7 @@ class TileSource(DataSource):
         return TileReader(dict(self.options))
 
     def writer(self, schema, overwrite: bool) -> CatalogueWriter:
-        return CatalogueWriter(self.options["path"], [f.name for f in schema.fields], overwrite)
+        return CatalogueWriter(self.options["path"], [f.name for f in schema.fields], overwrite).open()
 
 
 def register(spark: SparkSession) -> None:
@@ -287,17 +315,29 @@ def opened(spark: SparkSession, path: str, save: bool = False, progress: Callabl
     def run(batches):
         import pandas as pd
 
+        def frame(rows: list[dict]) -> pd.DataFrame:
+            return pd.DataFrame(rows, columns=COLUMNS).astype({c: "Int64" for c in ["ndim", *_FLAT]})
+
+        held: list[dict] = []
         for b in batches:
             for r in b.itertuples():
                 if r.kind == "leaf":
                     row = tile_row(r.dir, list(r.files), options, Wanted())
-                    rows = [row] if row else []
+                    held += [row] if row else []
                 else:
-                    rows = [x for f in catalogue_files(r.dir, list(r.files), Wanted()) for x in cache_rows(f, Wanted())]
-                if rows:
-                    yield pd.DataFrame(rows, columns=COLUMNS).astype({c: "Int64" for c in ["ndim", *_FLAT]})
-
-    out = found.repartition("dir").mapInPandas(run, SCHEMA)
+                    for f in catalogue_files(r.dir, list(r.files), Wanted()):
+                        for row in cache_rows(f, Wanted()):
+                            held.append(row)
+                            if len(held) == FRAME:
+                                yield frame(held)
+                                held = []
+                if len(held) >= FRAME:
+                    yield frame(held)
+                    held = []
+        if held:
+            yield frame(held)
+
+    out = spread(found, 1_000).mapInPandas(run, SCHEMA)
     if save:
         register(spark)
         out.where(F.col("error").isNull()).write.format("tiles").mode("overwrite").save(path)
