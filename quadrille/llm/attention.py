@@ -12,8 +12,7 @@ probability of an id is that of its class (CLASSES classes of equal mass) times
 * One causal attention head over windows of CONTEXT inputs, each an id's embedding and a place, moves the logits of the prior.
   Its weights are fitted on every window of every training text, each block once: the first block by one task, then a quarter
   of the blocks and then the rest by all tasks, each in Adam steps of its own from the weights before, which are averaged at the
-  end of the round. A step takes BATCH windows and predicts TARGETS successive
-  places of each, in turn the first, second, ... of a window, so steps grow with the corpus.
+  end of the round. A step takes BATCH windows and predicts every place of them, so steps grow with the corpus.
 
 Blocks follow the partitions, and the head's weights are averages over tasks, so clusters of two sizes give scores that differ slightly; counts, base scores
 and tables do not depend on that.
@@ -48,7 +47,7 @@ from .common import counted_keys, drop, opened, pieces, stage, texts_of, words_o
 
 BLOCK_BYTES, SLICE = 8 << 20, 1 << 20
 CLASSES, WIDTH, CONTEXT, LEAD = 64, 16, 32, 8
-TARGETS, BATCH = 8, 128
+BATCH = 32
 #: Strength of the wider distribution in the two tables.
 PRIOR = 20
 #: Pairs that are kept, what each gives to the wider distribution, and the strength of that besides.
@@ -233,20 +232,18 @@ def before(ids: np.ndarray, size: np.ndarray, start: int) -> np.ndarray:
 
 
 def fit(head: Head, ids: np.ndarray, size: np.ndarray, state: dict, rate: float) -> list[float]:
-    """Goes once over all windows of the texts, in steps of BATCH windows; gives the steps' losses."""
+    """Goes once over all windows of the texts and every place of them, in steps of BATCH windows; gives the steps' losses."""
     x, y, ends = before(ids, size, len(head.t.kind) - 1), head.t.kind[ids], np.cumsum(size)
     text, first = laid_out(size, CONTEXT)
     order = np.random.default_rng(len(text)).permutation(len(text))
     first, last = (ends - size)[text[order]] + first[order], ends[text[order]]
     losses = []
-    for k, lo in enumerate(range(0, len(first), BATCH)):
-        low = k % (CONTEXT // TARGETS) * TARGETS
-        at = first[lo : lo + BATCH, None] + np.arange(low + TARGETS)
-        inside = at < last[lo : lo + BATCH, None]
-        some = inside[:, low]  # windows of short texts end before
-        if some.any():
-            at, inside = np.minimum(at[some], last[lo : lo + BATCH][some, None] - 1), inside[some]
-            losses.append(head.step(x[at], np.where(inside, y[at], -1)[:, low:], low, state, rate))
+    for lo in range(0, len(first), BATCH):
+        end = last[lo : lo + BATCH, None]
+        at = first[lo : lo + BATCH, None] + np.arange(min(CONTEXT, int((end[:, 0] - first[lo : lo + BATCH]).max())))
+        inside = at < end
+        at = np.minimum(at, end - 1)
+        losses.append(head.step(x[at], np.where(inside, y[at], -1), 0, state, rate))
     return losses
 
 

@@ -707,3 +707,15 @@ def test_bpe(spark, docs, rows):
     assert collections.Counter(tuple(r) for r in bpe.digest(docs, path, pattern).collect()) == want
     back = bpe.decode(bpe.encode(docs, path, pattern), path)
     assert collections.Counter((r.doc_id, r.text) for r in back.collect()) == collections.Counter(rows)
+
+
+def test_fit_looks_at_every_place(monkeypatch):
+    """Each id of each text is predicted once."""
+    import numpy as np
+
+    ids, size, tables = small_tables(np.random.default_rng(3))
+    head, seen = attention.Head(tables), []
+    real = head.step
+    monkeypatch.setattr(head, "step", lambda x, y, low, state, rate: seen.append((y >= 0).sum()) or real(x, y, low, state, rate))
+    attention.fit(head, ids, size, {}, 0.01)
+    assert sum(seen) == len(ids)
