@@ -139,19 +139,23 @@ def blocks_of(chunks: DataFrame, side: int) -> DataFrame:
     return chunks.select("vol_id", "dims", ori.cast("array<int>").alias("ori"), shape.cast("array<int>").alias("shape"), F.col("data").cast("array<double>").alias("data"))
 
 
-def exchange(blocks: DataFrame, side: int, reach: int, task: Callable[[dict, np.ndarray, list[int], list[int]], pa.Table], schema: str, fill: float = 0.0) -> DataFrame:
-    """Runs task(chunk, surroundings, voxels before, voxels behind) for every chunk that some block reaches."""
+def exchange(
+    blocks: DataFrame, side: int, reach: int, task: Callable[[dict, np.ndarray, list[int], list[int]], pa.Table], schema: str, fill: float = 0.0, first: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]] | None = None
+) -> DataFrame:
+    """Runs task(chunk, surroundings, voxels before, voxels behind) for every chunk that some block reaches. first: what is done to the blocks on the way, by the worker that hands
+    their parts on (a step of its own would hold a second worker in each task)."""
 
     def run(t: pa.Table) -> pa.Table:
         return task(*_assembled(t, side, reach, fill))
 
-    pieces = blocks.select("vol_id", "dims", "ori", "shape", "data").mapInArrow(_scattered(side, reach), PIECE)
+    dealt = _scattered(side, reach)
+    pieces = blocks.select("vol_id", "dims", "ori", "shape", "data").mapInArrow(dealt if first is None else lambda batches: dealt(first(batches)), PIECE)
     return pieces.groupBy("vol_id", *AXES).applyInArrow(run, schema)
 
 
-def chunked(blocks: DataFrame, side: int, fill: float = 0.0) -> DataFrame:
+def chunked(blocks: DataFrame, side: int, fill: float = 0.0, first: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]] | None = None) -> DataFrame:
     """Blocks anywhere in their volumes (vol_id, dims, ori, shape, data) as chunks. Voxels that no block has are fill."""
-    return exchange(blocks, side, 0, lambda c, v, _a, _b: _chunk_row(c, v), CHUNK, fill)
+    return exchange(blocks, side, 0, lambda c, v, _a, _b: _chunk_row(c, v), CHUNK, fill, first)
 
 
 def rechunked(chunks: DataFrame, side: int, to: int, fill: float = 0.0) -> DataFrame:
@@ -345,4 +349,4 @@ def halved(chunks: DataFrame, side: int, fill: float = 0.0) -> DataFrame:
             triple = pa.list_(pa.int32())
             yield pa.RecordBatch.from_arrays([*[pa.array([r[k] for r in rows], t) for k, t in enumerate([pa.int64(), triple, triple, triple])], _lists(cut, pa.float64())], names=["vol_id", "dims", "ori", "shape", "data"])
 
-    return chunked(blocks_of(chunks, side).mapInArrow(task, BLOCK), side, fill)
+    return chunked(blocks_of(chunks, side), side, fill, task)

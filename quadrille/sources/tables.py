@@ -8,6 +8,10 @@ import uuid
 from pyspark.sql import DataFrame
 
 
+_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH_BYTES = 4 << 20
+
+
 def work_dir(spark) -> str:
     """The application's own folder in the session's spark.checkpoint.dir. Where none is set, local mode (tests) has a temporary one."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
@@ -27,8 +31,13 @@ def spread(df: DataFrame, rows: int = 5_000) -> DataFrame:
 
 
 def written(df: DataFrame) -> DataFrame:
-    """df, written as a table to the shared folder and read again."""
+    """df, written as a table to the shared folder and read again. Python workers on the way get BATCH_BYTES at a time, so that rows with long arrays do not make them grow."""
     spark = df.sparkSession
     path = f"{work_dir(spark)}/table-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(_BYTES)
+    spark.conf.set(_BYTES, str(BATCH_BYTES))
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_BYTES, before)
     return spark.read.schema(df.schema).parquet(path)

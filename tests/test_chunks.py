@@ -1,11 +1,13 @@
 """Chunked volumes against whole arrays."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from quadrille.functions import kernels
 from quadrille.operators import align, chunks
+from quadrille.sources import tables
 
 SHAPES = [(17, 9, 12), (5, 3, 2), (8, 8, 8), (1, 20, 7)]  # x first
 
@@ -157,3 +159,19 @@ def test_planted_shifts(spark):
     got = align.aligned(tiles, chunks.chunked(as_blocks(spark, found), 8), 8, -4.0, 100).collect()
     assert {(r.a, r.b): (r.dx, r.dy, r.dz) for r in got} == {(k, k + 1): tuple(b - a for a, b in zip(moved[k], moved[k + 1])) for k in range(3)}
     assert all(r.peak > 0.99 for r in got)
+
+
+def test_python_workers_are_few_and_small(spark):
+    """Halving needs one worker in a task of the map side; workers under written() get a bounded number of bytes at a time."""
+    plan = chunks.halved(spark.createDataFrame([], chunks.CHUNK), 4)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.nbytes]), pa.array([b.num_rows])], names=["size", "rows"])
+
+    rows = spark.range(4000).coalesce(1).select(F.array_repeat(F.col("id").cast("double"), 512).alias("v"))  # 16 MB
+    before = spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")
+    got = tables.written(rows.mapInArrow(sizes, "size long, rows long")).collect()
+    assert sum(r.rows for r in got) == 4000 and max(r.size for r in got) < 6 << 20
+    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == before
