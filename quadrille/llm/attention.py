@@ -54,10 +54,13 @@ PRIOR = 20
 PAIRS, DISCOUNT, PAIR_PRIOR = 1 << 20, 0.7, 2.0
 #: Rates of the steps: of the first block, which one task takes; of the next quarter; of the rest.
 ROUNDS = (0.01, 0.003, 0.002)
+SHIFT = 20  # places of a run of pairs that is sorted: a key of two ids has 44 bits at most
+SORTED = 1 << SHIFT
 SLOTS = 64  # groups in which the tasks' weights are averaged
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _MASK = np.tril(np.ones((CONTEXT, CONTEXT), np.float32))
+_ONES = np.ones((max(CONTEXT, CLASSES), 1), np.float32)
 _CODERS: dict = {}
 
 
@@ -91,12 +94,19 @@ class Tables:
 
     def log_inside(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
         """log probability of ids within their classes, given the ids before."""
-        out = self.inside[y, self.kind[x]]
-        if self.pairs is not None and len(self.pairs[0]):
-            keys, logs = self.pairs
-            key = (x * len(self.kind) + y).astype(keys.dtype)
-            at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
-            out = np.where(keys[at] == key, logs[at], out + self.rest[x, self.kind[y]])
+        out = np.empty(len(x), np.float32)
+        keys, logs = self.pairs or (out[:0], out[:0])
+        for lo in range(0, len(x), SORTED):
+            a, b = x[lo : lo + SORTED], y[lo : lo + SORTED]
+            out[lo : lo + SORTED] = self.inside.take(b * CLASSES + self.kind[a])
+            if len(keys):
+                out[lo : lo + SORTED] += self.rest.take(a * CLASSES + self.kind[b])
+                # in order, so that the search goes through the kept pairs once: the key above, its place below
+                key = np.sort((a * len(self.kind) + b).astype(np.uint64) << np.uint64(SHIFT) | np.arange(len(a), dtype=np.uint64))
+                place, key = lo + (key & np.uint64(SORTED - 1)).astype(np.int64), (key >> np.uint64(SHIFT)).astype(keys.dtype)
+                at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+                met = np.flatnonzero(keys[at] == key)
+                out[place[met]] = logs[at[met]]
         return out
 
 
@@ -149,71 +159,89 @@ class Head:
         r = np.random.default_rng(7)
         n = lambda *s: (r.normal(size=s) * 0.1).astype(np.float32)
         self.t = tables
+        self.near = np.pad(tables.near, ((0, 0), (0, 1)), constant_values=1)
         self.w = weights or {"p": n(CONTEXT, WIDTH), "w": n(WIDTH, 3 * WIDTH) * 2, "o": np.zeros((WIDTH, CLASSES), np.float32), "b": np.zeros(CLASSES, np.float32)}
 
     def attend(self, x: np.ndarray, low: int = 0):
-        """Windows of inputs; queries from place `low` on. The last value: logits of the next class at each of them."""
+        """Windows of inputs; queries from place `low` on. The last value: exponentials of the logits of the next class at each of them.
+
+        Inputs, values and what is mixed of them have a last column of ones, so that sums over keys and the bias come with the products.
+        """
         w, (many, n) = self.w, x.shape
-        h = self.t.near[x]
-        h += w["p"][:n]
-        q = (np.ascontiguousarray(h[:, low:]).reshape(-1, WIDTH) @ w["w"][:, :WIDTH]).reshape(many, n - low, WIDTH)
-        kv = (h.reshape(-1, WIDTH) @ w["w"][:, WIDTH:]).reshape(many, n, 2 * WIDTH)
-        k, v = kv[..., :WIDTH], kv[..., WIDTH:]
-        a = q @ k.transpose(0, 2, 1)
+        h = self.near.take(x, 0)
+        place, to = np.zeros((n, WIDTH + 1), w["p"].dtype), np.zeros((WIDTH + 1, 3 * WIDTH + 1), w["w"].dtype)
+        place[:, :WIDTH], to[:WIDTH, :-1], to[-1, -1] = w["p"][:n], w["w"], 1
+        h = h + place
+        qkv = (h.reshape(-1, WIDTH + 1) @ to).reshape(many, n, 3 * WIDTH + 1)
+        a = qkv[:, low:, :WIDTH] @ qkv[..., WIDTH : 2 * WIDTH].transpose(0, 2, 1)
         np.clip(a, -30, 30, out=a)
         np.exp(a, out=a)
         a *= _MASK[low:n, :n]
-        total = a.sum(-1, keepdims=True)
-        mixed = a @ v
-        mixed /= total
-        m = (h[:, low:] + mixed).reshape(-1, WIDTH)
-        z = m @ w["o"]
-        z += w["b"]
+        mixed = (a @ qkv[..., 2 * WIDTH :]).reshape(-1, WIDTH + 1)
+        part = 1 / mixed[:, WIDTH:]
+        mixed *= part
+        m = (h[:, low:] + mixed.reshape(many, n - low, WIDTH + 1)).reshape(-1, WIDTH + 1)
+        z = m @ self.out()
         np.clip(z, -20, 20, out=z)
-        z += self.t.prior[x[:, low:]].reshape(-1, CLASSES)
-        return h, q, k, v, a, total, mixed, m, z
+        z += self.t.prior.take(x[:, low:].ravel(), 0)
+        np.exp(z, out=z)
+        return h, qkv, a, part, mixed, m, z
+
+    def out(self) -> np.ndarray:
+        """Output and bias, which meets the ones of h and of what is mixed."""
+        return np.concatenate([self.w["o"], self.w["b"][None] / 2])
 
     def step(self, x: np.ndarray, y: np.ndarray, low: int, state: dict, rate: float) -> float:
         """One Adam step on the mean negative log-likelihood of the classes y behind the queries; y < 0 is not counted."""
         w, (many, n) = self.w, x.shape
-        h, q, k, v, a, total, mixed, m, z = self.attend(x, low)
+        h, qkv, a, part, mixed, m, z = self.attend(x, low)
+        q, k, v = qkv[:, low:, :WIDTH], qkv[..., WIDTH : 2 * WIDTH], qkv[..., 2 * WIDTH :]
         y = y.ravel()
-        on = y >= 0
-        rows, pick = np.arange(len(y)), np.where(on, y, 0)
-        np.exp(z, out=z)
-        s = z.sum(1, keepdims=True)
-        z /= s
-        loss = -float(np.log(z[rows, pick] + 1e-30)[on].mean())
-        z[rows, pick] -= 1
-        z *= (on / on.sum()).astype(np.float32)[:, None]
-        g = {"o": m.T @ z, "b": z.sum(0)}
-        dm = (z @ w["o"].T).reshape(many, n - low, WIDTH)
-        a /= total
-        dv = a.transpose(0, 2, 1) @ dm
-        da = dm @ v.transpose(0, 2, 1)
-        da -= np.einsum("btd,btd->bt", mixed, dm)[..., None]
+        on = (y >= 0).astype(z.dtype)
+        total, pick = np.count_nonzero(on), np.arange(0, z.size, CLASSES) + np.maximum(y, 0)
+        s, at = (z @ _ONES[:CLASSES])[:, 0], z.take(pick)
+        loss = -float(np.log(at / s + 1e-30) @ on) / total
+        # the slopes by logits are z with s taken off where y is, in shares of s: what follows from z is multiplied, not z
+        z.put(pick, at - s)
+        share = (on / total / s)[:, None]
+        runs = next(r for r in (4, 2, 1) if len(z) % r == 0)  # shorter sums stay in the cache
+        g = {"o": ((m[:, :WIDTH] * share).reshape(runs, -1, WIDTH).transpose(0, 2, 1) @ z.reshape(runs, -1, CLASSES)).sum(0), "b": share[:, 0] @ z}
+        dm = z @ self.out().T
+        dm *= share
+        # the slopes by attention's weights are in shares of their sums; v's ones take the mean slope off
+        dp = dm * part
+        dp[:, WIDTH] = 0
+        dp[:, WIDTH] = -((mixed * dp) @ _ONES[: WIDTH + 1])[:, 0]
+        dp = dp.reshape(many, n - low, WIDTH + 1)
+        da = dp @ v.transpose(0, 2, 1)
         da *= a
-        dq, dk = (da @ k).reshape(-1, WIDTH), da.transpose(0, 2, 1) @ q
-        dkv = np.concatenate([dk, dv], -1).reshape(-1, 2 * WIDTH)
-        g["w"] = np.concatenate([np.ascontiguousarray(h[:, low:]).reshape(-1, WIDTH).T @ dq, h.reshape(-1, WIDTH).T @ dkv], 1)
-        dh = (dkv @ w["w"][:, WIDTH:].T).reshape(many, n, WIDTH)
-        dh[:, low:] += dm + (dq @ w["w"][:, :WIDTH].T).reshape(dm.shape)
+        d = np.zeros((many, n, 3 * WIDTH), z.dtype) if low else np.empty((many, n, 3 * WIDTH), z.dtype)
+        np.matmul(da, k, out=d[:, low:, :WIDTH])
+        np.matmul(da.transpose(0, 2, 1), q, out=d[..., WIDTH : 2 * WIDTH])
+        np.matmul(a.transpose(0, 2, 1), dp[..., :WIDTH], out=d[..., 2 * WIDTH :])
+        g["w"] = (d.reshape(-1, 3 * WIDTH).T @ h.reshape(-1, WIDTH + 1)).T[:WIDTH]
+        one = np.ones(many, z.dtype)
         g["p"] = np.zeros_like(w["p"])
-        g["p"][:n] = dh.sum(0)
+        g["p"][:n] = (one @ d.reshape(many, -1)).reshape(n, -1) @ w["w"].T
+        g["p"][low:n] += (one @ dm.reshape(many, -1)).reshape(n - low, -1)[:, :WIDTH]
         t = state["t"] = state.get("t", 0) + 1
-        for name in w:
-            m1, m2 = state.get(name, (0.0, 0.0))
-            m1, m2 = 0.9 * m1 + 0.1 * g[name], 0.99 * m2 + 0.01 * g[name] ** 2
-            state[name] = (m1, m2)
-            w[name] = (w[name] - rate * (m1 / (1 - 0.9**t)) / (np.sqrt(m2 / (1 - 0.99**t)) + 1e-8)).astype(np.float32)
+        m1, m2 = state.get("all", (0.0, 0.0))
+        flat = np.concatenate([g[name].ravel() for name in w])
+        m1, m2 = 0.9 * m1 + 0.1 * flat, 0.99 * m2 + 0.01 * flat**2
+        state["all"] = m1, m2
+        flat = rate * (m1 / (1 - 0.9**t)) / (np.sqrt(m2 / (1 - 0.99**t)) + 1e-8)
+        at = 0
+        for name, was in w.items():
+            to = at + was.size
+            state[name] = m1[at:to].reshape(was.shape), m2[at:to].reshape(was.shape)
+            w[name] = (was - flat[at:to].reshape(was.shape)).astype(np.float32)
+            at = to
         return loss
 
     def log_class(self, x: np.ndarray, y: np.ndarray, low: int = 0) -> np.ndarray:
         """log probability of the class y behind each query."""
         z = self.attend(x, low)[-1]
-        at = z[np.arange(len(z)), y.ravel()].copy()
-        np.exp(z, out=z)
-        return (at - np.log(z.sum(1))).reshape(y.shape)
+        return np.log(z.take(np.arange(0, z.size, CLASSES) + y.ravel()) / (z @ _ONES[:CLASSES])[:, 0]).reshape(y.shape)
 
 
 def laid_out(size: np.ndarray, step: int = CONTEXT - LEAD) -> tuple[np.ndarray, np.ndarray]:
@@ -413,8 +441,7 @@ def _training(b: pa.RecordBatch, small):
     """Ids and sizes of the training texts of each block of a batch with held, sizes and ids."""
     for held, sizes, ids in zip(*(b.column(b.schema.get_field_index(c)) for c in ("held", "sizes", "ids"))):
         size, trains = sizes.values.to_numpy().astype(np.int64), ~held.values.to_numpy(zero_copy_only=False)
-        ids = unpacked(ids.as_py(), small).astype(np.int64)
-        yield ids[np.repeat(trains, size)], size[trains]
+        yield unpacked(ids.as_py(), small)[np.repeat(trains, size)].astype(np.int64), size[trains]
 
 
 def _size_class(n: np.ndarray) -> np.ndarray:

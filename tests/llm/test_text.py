@@ -719,3 +719,28 @@ def test_fit_looks_at_every_place(monkeypatch):
     monkeypatch.setattr(head, "step", lambda x, y, low, state, rate: seen.append((y >= 0).sum()) or real(x, y, low, state, rate))
     attention.fit(head, ids, size, {}, 0.01)
     assert sum(seen) == len(ids)
+
+
+def test_pairs_are_found_in_runs(monkeypatch):
+    """Pairs are sorted in runs before they are looked up, and no array is as long as the text in 64 bits; the result is that of a search for each."""
+    import tracemalloc
+
+    import numpy as np
+
+    r = np.random.default_rng(8)
+    n, many = 60, 1 << 20
+    counts = r.integers(1, 50, n).astype(float)
+    after = r.integers(0, 9, (n, attention.CLASSES)).astype(float)
+    keys = np.sort(r.choice(n * n, 900, replace=False))
+    t = attention.with_pairs(attention.tables_of(counts, after, after), after, keys, r.integers(1, 9, 900))
+    x, y = r.integers(0, n, many), r.integers(0, n, many)
+    monkeypatch.setattr(attention, "SORTED", 1 << 14, raising=False)
+    tracemalloc.start()
+    got = t.log_inside(x, y)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    kept = {int(k): v for k, v in zip(*t.pairs)}
+    for i in range(0, many, 501):
+        want = kept.get(int(x[i] * n + y[i]), t.inside[y[i], t.kind[x[i]]] + t.rest[x[i], t.kind[y[i]]])
+        assert got[i] == want
+    assert peak < 8 * many
