@@ -1,6 +1,6 @@
 """Byte-level BPE encoding and decoding by corpus-level merge replay.
 
-The distinct pieces of a block of texts are laid end to end as byte tokens. An inverted index holds, for every
+The distinct pieces of a block of texts (for digests, those that are not yet known to the task, which keeps a bounded number) are laid end to end as byte tokens. An inverted index holds, for every
 pair that a rank merges, the positions where that pair stands; a heap gives the ranks in order. Each step takes
 the lowest rank, merges its positions at once, and enters only the pairs of the touched neighbours anew. If the new
 token is part of a pair of a lower rank, which would go first, only the leftmost position within a piece merges in a step. Pieces of
@@ -17,6 +17,7 @@ import base64
 import hashlib
 from collections.abc import Iterator
 from heapq import heapify, heappop, heappush
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -25,9 +26,10 @@ from pyspark.sql import DataFrame
 
 from .common import pieces
 
-BLOCK_BYTES = 24 << 20
+#: Bytes of text whose new pieces are encoded together; bytes of pieces that one replay takes; distinct pieces that a task keeps, and their characters.
+BLOCK_BYTES, REPLAYED, KEPT, KEPT_CHARS = 2 << 20, 1 << 20, 1 << 18, 8 << 20
 LONG = 256
-_KEPT: dict[str, "MergeTable"] = {}
+_TABLES: dict[str, "MergeTable"] = {}
 
 
 class MergeTable:
@@ -38,7 +40,7 @@ class MergeTable:
             self.ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
         self.size = max(self.ranks.values()) + 1
         self.bytes_of = {v: k for k, v in self.ranks.items()}
-        self.single = np.array([self.ranks[bytes([b])] for b in range(256)], np.int64)
+        self.single = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
         keys, to = [], []
         for token, rank in self.ranks.items():
             for cut in range(1, len(token)):
@@ -48,7 +50,7 @@ class MergeTable:
                     to.append(rank)
         keys = np.array(keys, np.int64)
         order = np.argsort(keys)
-        self.keys, self.to = keys[order], np.array(to, np.int64)[order]
+        self.keys, self.to = keys[order], np.array(to, np.int32)[order]
         least = np.full(self.size, np.iinfo(np.int64).max)
         np.minimum.at(least, self.keys // self.size, self.to)
         np.minimum.at(least, self.keys % self.size, self.to)
@@ -57,17 +59,17 @@ class MergeTable:
 
     @classmethod
     def of(cls, path: str) -> "MergeTable":
-        if path not in _KEPT:
-            _KEPT[path] = cls(path)
-        return _KEPT[path]
+        if path not in _TABLES:
+            _TABLES[path] = cls(path)
+        return _TABLES[path]
 
     def rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """The rank that merges each pair, -1 if none does."""
         if not len(self.keys):
-            return np.full(len(left), -1, np.int64)
-        key = left * self.size + right
+            return np.full(len(left), -1, np.int32)
+        key = left * np.int64(self.size) + right
         at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-        return np.where(self.keys[at] == key, self.to[at], -1)
+        return np.where(self.keys[at] == key, self.to[at], np.int32(-1))
 
     def encode(self, words: list[bytes]) -> list[list[int]]:
         """Token ids of every word."""
@@ -76,13 +78,14 @@ class MergeTable:
             if out[i] is None and len(w) > LONG:
                 out[i] = self._long(w)
         rest = [i for i, x in enumerate(out) if x is None and words[i]]
-        data = np.frombuffer(b"".join(words[i] for i in rest), np.uint8)
-        size = np.array([len(words[i]) for i in rest], np.int64)
-        token, bounds = self._replay(data, size)
-        alive = token >= 0
-        kept, count = token[alive].tolist(), np.concatenate([[0], np.cumsum(alive)])[bounds].tolist()
-        for k, i in enumerate(rest):
-            out[i] = kept[count[k] : count[k + 1]]
+        ends = np.cumsum([len(words[i]) for i in rest]) if rest else []
+        for run in np.split(np.array(rest, np.int64), np.searchsorted(ends, np.arange(REPLAYED, ends[-1], REPLAYED)) if rest else []):
+            run = run.tolist()
+            token, bounds = self._replay(np.frombuffer(b"".join([words[i] for i in run]), np.uint8), np.array([len(words[i]) for i in run], np.int64))
+            alive = token >= 0
+            kept, count = token[alive].tolist(), np.concatenate([[0], np.cumsum(alive)])[bounds].tolist()
+            for k, i in enumerate(run):
+                out[i] = kept[count[k] : count[k + 1]]
         return [x or [] for x in out]
 
     def _long(self, word: bytes) -> list[int]:
@@ -120,11 +123,11 @@ class MergeTable:
         n = len(data)
         bounds = np.concatenate([[0], np.cumsum(size)])
         token = self.single[data]
-        word = np.repeat(np.arange(len(size)), size)
-        nxt, prv = np.arange(1, n + 1), np.arange(-1, n - 1)
+        word = np.repeat(np.arange(len(size), dtype=np.int32), size)
+        nxt, prv = np.arange(1, n + 1, dtype=np.int32), np.arange(-1, n - 1, dtype=np.int32)
         nxt[bounds[1:] - 1] = -1
         prv[bounds[:-1]] = -1
-        pair = np.full(n, -1, np.int64)
+        pair = np.full(n, -1, np.int32)
         index: dict[int, list[np.ndarray]] = {}
 
         def enter(at: np.ndarray, rank: np.ndarray) -> list[int]:
@@ -150,7 +153,7 @@ class MergeTable:
                     new.append(r)
             return new
 
-        at = np.flatnonzero(nxt >= 0)
+        at = np.flatnonzero(nxt >= 0).astype(np.int32)
         pair[at] = self.rank(token[at], token[at + 1])
         heap = enter(at, pair[at])
         heapify(heap)
@@ -217,16 +220,30 @@ class Codec:
         return b"".join([self.table.bytes_of[i] for i in ids])
 
 
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held, size = [], 0
-    for b in pieces(batches, most=BLOCK_BYTES // 4):
-        held.append(b)
-        size += b.nbytes
-        if size >= BLOCK_BYTES:
-            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
-            held, size = [], 0
-    if held:
-        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+class Spelled:
+    """Distinct pieces, each with its number of ids, these in decimals, and the bytes that they spell. Beyond KEPT pieces or KEPT_CHARS it starts anew."""
+
+    def __init__(self, codec: Codec):
+        self.codec = codec
+        self._clear()
+
+    def _clear(self) -> None:
+        self.known: dict[str, int] = {}
+        self.many, self.digits, self.back, self.chars = [], [], [], 0
+
+    def rows(self, texts: pa.Array) -> list[np.ndarray]:
+        """Numbers of the pieces of each text, which hold until the next call."""
+        if len(self.known) > KEPT or self.chars > KEPT_CHARS:
+            self._clear()
+        known, rows, old = self.known, [], len(self.known)
+        for t in texts:
+            rows.append(np.array([known.setdefault(w, len(known)) for w in self.codec.find(t.as_py() or "")], np.int32))
+        for ids in self.codec.table.encode([w.encode() for w in islice(known, old, None)]):
+            self.many.append(len(ids))
+            self.digits.append(",".join(map(str, ids)))
+            self.back.append(self.codec.decode(ids))
+            self.chars += len(self.back[-1])
+        return rows
 
 
 def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
@@ -257,25 +274,22 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     return encoded.mapInArrow(run, f"doc_id {encoded.schema['doc_id'].dataType.simpleString()}, text string")
 
 
-def digest(docs: DataFrame, path: str, pattern: str, extra: tuple[str, ...] = ()) -> DataFrame:
-    """Counts and digests of the ids and of the decoded bytes, after the given other columns."""
+def digests(batches: Iterator[pa.RecordBatch], path: str, pattern: str) -> Iterator[pa.RecordBatch]:
+    """Batches of texts and other columns: these, and the counts and digests of the texts."""
+    spelled = Spelled(Codec(path, pattern))
+    for b in pieces(batches, most=BLOCK_BYTES):
+        n, a, z = [], [], []
+        for row in spelled.rows(b.column(0)):
+            words = row.tolist()
+            n.append(sum([spelled.many[w] for w in words]))
+            a.append(hashlib.sha256(",".join([spelled.digits[w] for w in words]).encode()).hexdigest())
+            z.append(hashlib.sha256(b"".join([spelled.back[w] for w in words])).hexdigest())
+        yield pa.RecordBatch.from_arrays([*b.columns[1:], pa.array(n, pa.int64()), pa.array(a, pa.string()), pa.array(z, pa.string())], names=[*b.schema.names[1:], "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    def run(batches):
-        codec = Codec(path, pattern)
-        for b in _blocks(batches):
-            rows, ids = codec.block(b.column(0).to_pylist())
-            size = np.array([len(x) for x in ids], np.int64)
-            spelled = [",".join(map(str, x)) for x in ids]
-            back = [codec.decode(x) for x in ids]
-            n, a, z = [], [], []
-            for row in rows:
-                n.append(int(size[row].sum()))
-                words = row.tolist()
-                a.append(hashlib.sha256(",".join([spelled[w] for w in words]).encode()).hexdigest())
-                z.append(hashlib.sha256(b"".join([back[w] for w in words])).hexdigest())
-            yield pa.RecordBatch.from_arrays([*b.columns[1:], pa.array(n, pa.int64()), pa.array(a, pa.string()), pa.array(z, pa.string())], names=[*b.schema.names[1:], "n_tokens", "ids_sha256", "decoded_sha256"])
 
+def digest(docs: DataFrame, path: str, pattern: str, extra: tuple[str, ...] = ()) -> DataFrame:
+    """Counts and digests of the ids and of the decoded bytes, after the given other columns."""
     kept = ["doc_id", *extra]
     docs = docs.select(docs["text"].cast("string").alias("text"), *kept)
     schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in kept)
-    return docs.mapInArrow(run, f"{schema}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return docs.mapInArrow(lambda batches: digests(batches, path, pattern), f"{schema}, n_tokens long, ids_sha256 string, decoded_sha256 string")

@@ -709,6 +709,44 @@ def test_bpe(spark, docs, rows):
     assert collections.Counter((r.doc_id, r.text) for r in back.collect()) == collections.Counter(rows)
 
 
+def _digested(texts, size=1 << 30):
+    """What a task makes of texts, in batches of so many."""
+    import pyarrow as pa
+
+    ids = list(range(len(texts)))
+    batches = [pa.record_batch({"text": pa.array(texts[k : k + size], pa.string()), "doc_id": pa.array(ids[k : k + size])}) for k in range(0, len(texts), size)]
+    return [tuple(r.values()) for b in bpe.digests(iter(batches), *queries.tokenizer()) for r in b.to_pylist()]
+
+
+def test_digests_do_not_depend_on_what_a_task_keeps(monkeypatch, rows):
+    """Small blocks and replays, pieces forgotten after a few: the same ids."""
+    texts = [t for _, t in rows] + ["x" * 5000 + " y", None]
+    codec = bpe.Codec(*queries.tokenizer())
+    want = [(k, len(x), hashlib.sha256(",".join(map(str, x)).encode()).hexdigest(), hashlib.sha256((t or "").encode()).hexdigest()) for k, (t, x) in enumerate(zip(texts, codec.encode(texts)))]
+    assert _digested(texts) == want
+    for name, value in {"BLOCK_BYTES": 3000, "REPLAYED": 50, "KEPT": 100, "KEPT_CHARS": 1000}.items():
+        monkeypatch.setattr(bpe, name, value)
+    assert _digested(texts, 7) == want
+
+
+def test_digests_in_bounded_memory(monkeypatch):
+    """What a task holds follows its bounds, not the number of distinct pieces that it gets (before: those of 24 MB at once)."""
+    import tracemalloc
+
+    rnd = random.Random(11)
+    texts = [" ".join("".join(rnd.choices("aeinrstlo", k=8)) for _ in range(100)) for _ in range(2000)]
+    bpe.Codec(*queries.tokenizer())
+    for name, value in {"BLOCK_BYTES": 1 << 16, "REPLAYED": 1 << 15, "KEPT": 1 << 13}.items():
+        monkeypatch.setattr(bpe, name, value, raising=False)
+    peaks = []
+    for many in (texts[:500], texts):
+        tracemalloc.start()
+        _digested(many)
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+    assert peaks[1] < 1.3 * peaks[0], peaks
+
+
 def test_fit_looks_at_every_place(monkeypatch):
     """Each id of each text is predicted once."""
     import numpy as np
