@@ -21,7 +21,8 @@ Scoring windows overlap by LEAD inputs: each id is scored once, with at least LE
 windows are batched and masked causally. A text trains if crc32(id) mod 10 is not 0.
 
 Texts are spelled once, in blocks of about BLOCK_BYTES, and kept as compressed ids. A block's distinct words meet the counts of
-the whole corpus through a shuffle keyed by their 64-bit hash, and come back to the block: no vocabulary of words is broadcast.
+the whole corpus through a shuffle by ranges of their 64-bit hash, packed by block and range, and come back to the block: no
+vocabulary of words is broadcast, and no word is a row.
 
 Defined cases: null and empty texts have the end token alone; a null id counts as the empty text and is held
 out; repeated rows count and are scored one by one; a very long text is a block of its own (about 60 bytes of memory for each of
@@ -43,11 +44,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import counted_keys, drop, opened, pieces, stage, texts_of, words_of
+from .common import counted_keys, drop, opened, pieces, pressed, stage, texts_of, words_of
 
 BLOCK_BYTES, SLICE = 8 << 20, 1 << 20
 CLASSES, WIDTH, CONTEXT, LEAD = 64, 16, 32, 8
-BATCH = 32
+BATCH, RUN = 32, 16
+ROWS = 1024  # places whose logits are held at once, so that they stay in the cache
 #: Strength of the wider distribution in the two tables.
 PRIOR = 20
 #: Pairs that are kept, what each gives to the wider distribution, and the strength of that besides.
@@ -56,11 +58,14 @@ PAIRS, DISCOUNT, PAIR_PRIOR = 1 << 20, 0.7, 2.0
 ROUNDS = (0.01, 0.003, 0.002)
 SHIFT = 20  # places of a run of pairs that is sorted: a key of two ids has 44 bits at most
 SORTED = 1 << SHIFT
+BUCKET = 2 << 20  # words of blocks that meet in a task to be counted
 SLOTS = 64  # groups in which the tasks' weights are averaged
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _MASK = np.tril(np.ones((CONTEXT, CONTEXT), np.float32))
-_ONES = np.ones((max(CONTEXT, CLASSES), 1), np.float32)
+_ONES = np.ones((CLASSES, 1), np.float32)
+_TWICE = np.full((WIDTH + 1, 1), -2, np.float32)
+_TWICE[WIDTH] = 0
 _CODERS: dict = {}
 
 
@@ -153,95 +158,156 @@ def with_pairs(t: Tables, after: np.ndarray, keys: np.ndarray, n: np.ndarray) ->
 
 
 class Head:
-    """One causal attention head: places, queries with keys and values, output and its bias."""
+    """One causal attention head: places p, queries with keys and values w, output o and its bias b.
+
+    The weights lie end to end in one array, which a step moves as a whole; `w` has views of it. Inputs, values and what is mixed of them have a last
+    column of halves, so that sums over keys and the bias come with the products; what the weights hold for it never moves.
+    """
 
     def __init__(self, tables: Tables, weights: dict[str, np.ndarray] | None = None):
         r = np.random.default_rng(7)
         n = lambda *s: (r.normal(size=s) * 0.1).astype(np.float32)
         self.t = tables
-        self.near = np.pad(tables.near, ((0, 0), (0, 1)), constant_values=1)
+        self.near = np.pad(tables.near, ((0, 0), (0, 1)), constant_values=0.5)
         self.w = weights or {"p": n(CONTEXT, WIDTH), "w": n(WIDTH, 3 * WIDTH) * 2, "o": np.zeros((WIDTH, CLASSES), np.float32), "b": np.zeros(CLASSES, np.float32)}
 
-    def attend(self, x: np.ndarray, low: int = 0):
-        """Windows of inputs; queries from place `low` on. The last value: exponentials of the logits of the next class at each of them.
+    @property
+    def w(self) -> dict[str, np.ndarray]:
+        return self.views
+
+    @w.setter
+    def w(self, weights: dict[str, np.ndarray]) -> None:
+        self.flat = np.zeros(_PARTS[-1], weights["p"].dtype)
+        self.views = _named(self.flat)
+        for name, v in weights.items():
+            self.views[name][...] = v
+        _parts(self.flat)[1][-1, -1] = 1
 
-        Inputs, values and what is mixed of them have a last column of ones, so that sums over keys and the bias come with the products.
+    def attend(self, x: np.ndarray, low: int = 0, known: np.ndarray | None = None):
+        """Windows of inputs; queries from place `low` on. The last value: what the logits of the next class at each of them follow from.
+
+        known: of each id what it gives to queries, keys and values, where the weights no longer move; then the first value begins at `low`.
         """
-        w, (many, n) = self.w, x.shape
-        h = self.near.take(x, 0)
-        place, to = np.zeros((n, WIDTH + 1), w["p"].dtype), np.zeros((WIDTH + 1, 3 * WIDTH + 1), w["w"].dtype)
-        place[:, :WIDTH], to[:WIDTH, :-1], to[-1, -1] = w["p"][:n], w["w"], 1
-        h = h + place
-        qkv = (h.reshape(-1, WIDTH + 1) @ to).reshape(many, n, 3 * WIDTH + 1)
+        many, n = x.shape
+        place, to, _ = _parts(self.flat)
+        h = self.near.take(x if known is None else x[:, low:], 0)
+        at = place[:n] if known is None else place[low:n]
+        h = np.add(h, at, out=h if h.dtype == at.dtype else None)
+        if known is None:
+            qkv = (h.reshape(-1, WIDTH + 1) @ to.T).reshape(many, n, 3 * WIDTH + 1)
+        else:
+            qkv = known.take(x, 0)
+            qkv += place[:n] @ to.T
         a = qkv[:, low:, :WIDTH] @ qkv[..., WIDTH : 2 * WIDTH].transpose(0, 2, 1)
         np.clip(a, -30, 30, out=a)
         np.exp(a, out=a)
         a *= _MASK[low:n, :n]
         mixed = (a @ qkv[..., 2 * WIDTH :]).reshape(-1, WIDTH + 1)
-        part = 1 / mixed[:, WIDTH:]
+        part = 0.5 / mixed[:, WIDTH:]
         mixed *= part
-        m = (h[:, low:] + mixed.reshape(many, n - low, WIDTH + 1)).reshape(-1, WIDTH + 1)
-        z = m @ self.out()
-        np.clip(z, -20, 20, out=z)
-        z += self.t.prior.take(x[:, low:].ravel(), 0)
-        np.exp(z, out=z)
-        return h, qkv, a, part, mixed, m, z
+        return h, qkv, a, part, mixed, (h[:, low - n :] + mixed.reshape(many, n - low, WIDTH + 1)).reshape(-1, WIDTH + 1)
 
-    def out(self) -> np.ndarray:
-        """Output and bias, which meets the ones of h and of what is mixed."""
-        return np.concatenate([self.w["o"], self.w["b"][None] / 2])
+    def mass(self, m: np.ndarray, x: np.ndarray) -> np.ndarray:
+        """Exponentials of the logits of the next class, behind inputs x."""
+        out = _parts(self.flat)[2]
+        z = m @ out.T
+        if max(m.max(), -m.min()) * np.abs(out).sum(1).max() > 20:  # else no logit is
+            np.clip(z, -20, 20, out=z)
+        z += self.t.prior.take(x, 0)
+        return np.exp(z, out=z)
 
     def step(self, x: np.ndarray, y: np.ndarray, low: int, state: dict, rate: float) -> float:
         """One Adam step on the mean negative log-likelihood of the classes y behind the queries; y < 0 is not counted."""
-        w, (many, n) = self.w, x.shape
-        h, qkv, a, part, mixed, m, z = self.attend(x, low)
-        q, k, v = qkv[:, low:, :WIDTH], qkv[..., WIDTH : 2 * WIDTH], qkv[..., 2 * WIDTH :]
-        y = y.ravel()
-        on = (y >= 0).astype(z.dtype)
-        total, pick = np.count_nonzero(on), np.arange(0, z.size, CLASSES) + np.maximum(y, 0)
-        s, at = (z @ _ONES[:CLASSES])[:, 0], z.take(pick)
-        loss = -float(np.log(at / s + 1e-30) @ on) / total
+        many, n = x.shape
+        h, qkv, a, part, mixed, m = self.attend(x, low)
+        _, to, out = _parts(self.flat)
+        grown = np.empty_like(self.flat)
+        by_place, by_to, by_out = _parts(grown)
+        x, y = x[:, low:].ravel(), y.ravel()
+        on = y >= 0
+        total = np.count_nonzero(on)
+        z = self.mass(m, x)
+        pick = np.arange(0, z.size, CLASSES)
+        pick += y if total == len(y) else np.maximum(y, 0)
+        s, at = (z @ _ONES)[:, 0], z.take(pick)
+        loss = -float(np.log(at / s + 1e-30) @ on.astype(z.dtype)) / total
         # the slopes by logits are z with s taken off where y is, in shares of s: what follows from z is multiplied, not z
         z.put(pick, at - s)
-        share = (on / total / s)[:, None]
-        runs = next(r for r in (4, 2, 1) if len(z) % r == 0)  # shorter sums stay in the cache
-        g = {"o": ((m[:, :WIDTH] * share).reshape(runs, -1, WIDTH).transpose(0, 2, 1) @ z.reshape(runs, -1, CLASSES)).sum(0), "b": share[:, 0] @ z}
-        dm = z @ self.out().T
+        s *= total
+        share = (on / s).astype(z.dtype, copy=False)[:, None]
+        np.matmul(z.T, m * share, out=by_out)
+        dm = z @ out
         dm *= share
-        # the slopes by attention's weights are in shares of their sums; v's ones take the mean slope off
+        # the slopes by attention's weights are in shares of their sums; the values' halves take the mean slope off
         dp = dm * part
-        dp[:, WIDTH] = 0
-        dp[:, WIDTH] = -((mixed * dp) @ _ONES[: WIDTH + 1])[:, 0]
+        np.matmul(mixed * dp, _TWICE, out=dp[:, WIDTH:])
         dp = dp.reshape(many, n - low, WIDTH + 1)
-        da = dp @ v.transpose(0, 2, 1)
+        da = dp @ qkv[..., 2 * WIDTH :].transpose(0, 2, 1)
         da *= a
-        d = np.zeros((many, n, 3 * WIDTH), z.dtype) if low else np.empty((many, n, 3 * WIDTH), z.dtype)
-        np.matmul(da, k, out=d[:, low:, :WIDTH])
-        np.matmul(da.transpose(0, 2, 1), q, out=d[..., WIDTH : 2 * WIDTH])
-        np.matmul(a.transpose(0, 2, 1), dp[..., :WIDTH], out=d[..., 2 * WIDTH :])
-        g["w"] = (d.reshape(-1, 3 * WIDTH).T @ h.reshape(-1, WIDTH + 1)).T[:WIDTH]
-        one = np.ones(many, z.dtype)
-        g["p"] = np.zeros_like(w["p"])
-        g["p"][:n] = (one @ d.reshape(many, -1)).reshape(n, -1) @ w["w"].T
-        g["p"][low:n] += (one @ dm.reshape(many, -1)).reshape(n - low, -1)[:, :WIDTH]
-        t = state["t"] = state.get("t", 0) + 1
-        m1, m2 = state.get("all", (0.0, 0.0))
-        flat = np.concatenate([g[name].ravel() for name in w])
-        m1, m2 = 0.9 * m1 + 0.1 * flat, 0.99 * m2 + 0.01 * flat**2
-        state["all"] = m1, m2
-        flat = rate * (m1 / (1 - 0.9**t)) / (np.sqrt(m2 / (1 - 0.99**t)) + 1e-8)
-        at = 0
-        for name, was in w.items():
-            to = at + was.size
-            state[name] = m1[at:to].reshape(was.shape), m2[at:to].reshape(was.shape)
-            w[name] = (was - flat[at:to].reshape(was.shape)).astype(np.float32)
-            at = to
+        d = np.zeros_like(qkv) if low else np.empty_like(qkv)
+        np.matmul(da, qkv[..., WIDTH : 2 * WIDTH], out=d[:, low:, :WIDTH])
+        np.matmul(da.transpose(0, 2, 1), qkv[:, low:, :WIDTH], out=d[..., WIDTH : 2 * WIDTH])
+        np.matmul(a.transpose(0, 2, 1), dp, out=d[..., 2 * WIDTH :])
+        np.matmul(d.reshape(-1, 3 * WIDTH + 1).T, h.reshape(-1, WIDTH + 1), out=by_to)
+        one = np.ones(many, d.dtype)
+        np.matmul((one @ d.reshape(many, -1)).reshape(n, -1), to, out=by_place[:n])
+        by_place[low:n] += (one @ dm.reshape(many, -1)).reshape(n - low, -1)
+        by_place[n:] = 0
+        self.move(grown, state, rate)
         return loss
 
-    def log_class(self, x: np.ndarray, y: np.ndarray, low: int = 0) -> np.ndarray:
+    def move(self, grown: np.ndarray, state: dict, rate: float) -> None:
+        """Adam on all weights at once, in place; state has the two means by the names of the weights."""
+        if "all" not in state:
+            state["t"], state["all"] = 0, (np.zeros_like(grown), np.zeros_like(grown))
+            state |= {name: tuple(_named(x)[name] for x in state["all"]) for name in self.views}
+        t = state["t"] = state["t"] + 1
+        m1, m2 = state["all"]
+        m1 *= 0.9
+        m1 += 0.1 * grown
+        grown *= grown
+        grown *= 0.01
+        m2 *= 0.99
+        m2 += grown
+        np.sqrt(m2, out=grown)
+        grown *= (1 - 0.99**t) ** -0.5
+        grown += 1e-8
+        np.divide(m1, grown, out=grown)
+        grown *= _MOVES
+        grown *= rate / (1 - 0.9**t)
+        self.flat -= grown
+
+    def known(self) -> np.ndarray:
+        """See attend."""
+        return self.near @ _parts(self.flat)[1].T
+
+    def log_class(self, x: np.ndarray, y: np.ndarray, low: int = 0, known: np.ndarray | None = None) -> np.ndarray:
         """log probability of the class y behind each query."""
-        z = self.attend(x, low)[-1]
-        return np.log(z.take(np.arange(0, z.size, CLASSES) + y.ravel()) / (z @ _ONES[:CLASSES])[:, 0]).reshape(y.shape)
+        m, of, y = self.attend(x, low, known)[-1], x[:, low:].ravel(), y.ravel()
+        got = np.empty(len(y), m.dtype)
+        for lo in range(0, len(y), ROWS):
+            z = self.mass(m[lo : lo + ROWS], of[lo : lo + ROWS])
+            np.divide(z.take(np.arange(0, z.size, CLASSES) + y[lo : lo + ROWS]), (z @ _ONES)[:, 0], out=got[lo : lo + ROWS])
+        return np.log(got, out=got).reshape(len(x), -1)
+
+
+#: Where the places, the rows of w (turned, with a row for the values' halves) and of o (turned, with b behind) end among the weights.
+_PARTS = tuple(np.cumsum([n * (WIDTH + 1) for n in (CONTEXT, 3 * WIDTH + 1, CLASSES)]).tolist())
+
+
+def _parts(flat: np.ndarray) -> list[np.ndarray]:
+    return [flat[a:z].reshape(-1, WIDTH + 1) for a, z in zip((0, *_PARTS), _PARTS)]
+
+
+def _named(flat: np.ndarray) -> dict[str, np.ndarray]:
+    place, to, out = _parts(flat)
+    return {"p": place[:, :WIDTH], "w": to[:-1, :WIDTH].T, "o": out[:, :WIDTH].T, "b": out[:, WIDTH]}
+
+
+#: 1 for weights that steps move, 0 for what stands beside them.
+_MOVES = np.zeros(_PARTS[-1], np.float32)
+for _v in _named(_MOVES).values():
+    _v[...] = 1
 
 
 def laid_out(size: np.ndarray, step: int = CONTEXT - LEAD) -> tuple[np.ndarray, np.ndarray]:
@@ -266,19 +332,23 @@ def fit(head: Head, ids: np.ndarray, size: np.ndarray, state: dict, rate: float)
     order = np.random.default_rng(len(text)).permutation(len(text))
     first, last = (ends - size)[text[order]] + first[order], ends[text[order]]
     losses = []
-    for lo in range(0, len(first), BATCH):
-        end = last[lo : lo + BATCH, None]
-        at = first[lo : lo + BATCH, None] + np.arange(min(CONTEXT, int((end[:, 0] - first[lo : lo + BATCH]).max())))
+    for lo in range(0, len(first), RUN * BATCH):  # windows of RUN steps are laid out at once
+        start, end = first[lo : lo + RUN * BATCH, None], last[lo : lo + RUN * BATCH, None]
+        at = start + np.arange(CONTEXT)
         inside = at < end
-        at = np.minimum(at, end - 1)
-        losses.append(head.step(x[at], np.where(inside, y[at], -1), 0, state, rate))
+        np.minimum(at, end - 1, out=at)
+        xs, ys = x[at], np.where(inside, y[at], -1)
+        widest = np.maximum.reduceat((end - start)[:, 0], np.arange(0, len(start), BATCH))
+        for k, n in enumerate(np.minimum(widest, CONTEXT).tolist()):
+            these = slice(k * BATCH, (k + 1) * BATCH)
+            losses.append(head.step(xs[these, :n], ys[these, :n], 0, state, rate))
     return losses
 
 
 def score(head: Head, ids: np.ndarray, size: np.ndarray, batch: int = 256) -> np.ndarray:
     """log10 probability of every id of texts end to end, each with its end."""
     x, kind, ends = before(ids, size, len(head.t.kind) - 1), head.t.kind, np.cumsum(size)
-    y, out = kind[ids], np.empty(len(ids), np.float32)
+    y, out, known = kind[ids], np.empty(len(ids), np.float32), head.known()
     text, inner = laid_out(size)
     for low, which in ((0, np.flatnonzero(inner == 0)), (LEAD, np.flatnonzero(inner > 0))):
         first, last = (ends - size)[text[which]] + inner[which], ends[text[which]]
@@ -288,9 +358,13 @@ def score(head: Head, ids: np.ndarray, size: np.ndarray, batch: int = 256) -> np
         for lo in range(0, len(first), batch):
             end = last[lo : lo + batch, None]
             at = first[lo : lo + batch, None] + np.arange(min(CONTEXT, int((end[:, 0] - first[lo : lo + batch]).max())))
-            inside = (at < end)[:, low:]
-            at = np.minimum(at, end - 1)
-            out[at[:, low:][inside]] = head.log_class(x[at], y[at[:, low:]], low)[inside]
+            if (last[lo : lo + batch] - first[lo : lo + batch]).min() >= at.shape[1]:
+                to = at[:, low:]
+                out[to] = head.log_class(x.take(at), y.take(to), low, known)
+            else:
+                inside = (at < end)[:, low:]
+                at = np.minimum(at, end - 1)
+                out[at[:, low:][inside]] = head.log_class(x[at], y[at[:, low:]], low, known)[inside]
     return (out + head.t.log_inside(x, ids)) * np.float32(1 / np.log(10))
 
 
@@ -343,19 +417,22 @@ class Block:
         self.many += len(first)
 
     def closed(self, encoding) -> dict:
-        """Everything about the block: hashes of its words (frequent ones first) and their training counts, ids and sizes of texts."""
+        """Everything about the block: hashes of its words (sorted) and their training counts, the order of their frequency, ids and sizes of texts.
+
+        Words of texts (of) are places in that order, so that their upper bytes are mostly 0.
+        """
         hashes, first, back = np.unique(np.concatenate(self.hash), return_index=True, return_inverse=True)
         of = back[np.concatenate([p[0] for p in self.parts])].astype(np.uint32)
         words, held = (np.concatenate([p[k] for p in self.parts]) for k in (1, 3))
         trains = ~np.repeat(held, words)
-        order = np.argsort(-np.bincount(of, minlength=len(hashes)), kind="stable")
+        count = np.bincount(of[trains], minlength=len(hashes))
+        order = np.argsort(-np.bincount(of, minlength=len(hashes)), kind="stable").astype(np.uint32)
         rank = np.empty(len(order), np.uint32)
         rank[order] = np.arange(len(order))
         of = rank[of]
         flat, size = spelled([self.words[i] for i in first[order].tolist()], encoding)
         ids = stream(flat, size, of, words, self.end)
-        count = np.bincount(of[trains], minlength=len(hashes))
-        return {"hash": hashes[order], "count": count, "of": of, "words": words, "held": held, "docs": pa.concat_arrays([p[2] for p in self.parts]), "ids": ids[0], "sizes": ids[1]}
+        return {"hash": hashes, "count": count, "order": order, "of": of, "words": words, "held": held, "docs": pa.concat_arrays([p[2] for p in self.parts]), "ids": ids[0], "sizes": ids[1]}
 
 
 def stream(flat: np.ndarray, size: np.ndarray, of: np.ndarray, words: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
@@ -394,16 +471,16 @@ def _held_out():
 
 
 def spelled_blocks(docs: DataFrame, path: str, pattern: str) -> DataFrame:
-    """Three kinds of rows: blocks (texts' ids, words' places in the block's list, both packed, and how many of each a text has);
-    words of blocks (idx, h, how often in training texts); ids (block null, idx, how often in training texts)."""
+    """Two kinds of rows: blocks (texts' ids, words' places in the block's list, both packed, and how many of each a text has; the list's hashes with
+    their counts in training texts, packed, and the order of the list); ids (block null, idx, how often in training texts)."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    names = ["block", "turn", "idx", "h", "c", "docs", "held", "words", "sizes", "ids", "of"]
+    names = ["block", "turn", "idx", "c", "docs", "held", "words", "sizes", "ids", "of", "many", "h", "n", "order"]
 
     def run(batches):
         encoding, types = coder(path, pattern), {}
         end, per_id = encoding.n_vocab, np.zeros(encoding.n_vocab + 1, np.int64)
 
-        def rows(n, **columns):
+        def rows(n, /, **columns):
             return pa.RecordBatch.from_arrays([columns.get(x) if x in columns else pa.nulls(n, t) for x, t in types.items()], names=names)
 
         def closed(held: Block):
@@ -412,16 +489,13 @@ def spelled_blocks(docs: DataFrame, path: str, pattern: str) -> DataFrame:
             one = lambda v, t=None: pa.ListArray.from_arrays(pa.array([0, len(v)], pa.int32()), v if t is None else pa.array(v, t))
             ids = packed(x["ids"])
             mine = {"docs": one(x["docs"]), "held": one(x["held"], pa.bool_()), "words": one(x["words"], pa.int32()), "sizes": one(x["sizes"], pa.int32())}
-            yield rows(1, block=pa.array([block]), turn=pa.array([zlib.crc32(ids) >> 1], pa.int32()), **mine, ids=pa.array([ids], pa.binary()), of=pa.array([packed(x["of"], True)], pa.binary()))
-            for at in range(0, len(x["hash"]), 1 << 16):
-                h = x["hash"][at : at + (1 << 16)]
-                idx = np.arange(at, at + len(h), dtype=np.int32)
-                yield rows(len(h), block=pa.array(np.full(len(h), block)), idx=pa.array(idx), h=pa.array(h.view(np.int64)), c=pa.array(x["count"][idx]))
+            mine |= {k: pa.array([v], pa.binary()) for k, v in zip(("ids", "of", "h", "n", "order"), (ids, packed(x["of"], True), *pressed(x["hash"], x["count"]), packed(x["order"], True)))}
+            yield rows(1, block=pa.array([block]), turn=pa.array([zlib.crc32(ids) >> 1], pa.int32()), many=pa.array([len(x["hash"])], pa.int64()), **mine)
 
         held, size = Block(end), 0
         for b in pieces(batches, most=SLICE):
             if not types:
-                types = dict(zip(names, [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.list_(b.column(0).type), pa.list_(pa.bool_()), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.binary(), pa.binary()]))
+                types = dict(zip(names, [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.list_(b.column(0).type), pa.list_(pa.bool_()), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.binary(), pa.binary(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]))
             held.add(b.column(2), b.column(0), b.column(1).to_numpy(zero_copy_only=False))
             size += b.column(2).nbytes
             if size >= BLOCK_BYTES:
@@ -434,7 +508,39 @@ def spelled_blocks(docs: DataFrame, path: str, pattern: str) -> DataFrame:
             yield rows(len(k), idx=pa.array(k.astype(np.int32)), c=pa.array(per_id[k]))
 
     docs = docs.select("doc_id", _held_out().alias("held"), F.col("text").cast("string").alias("text"))
-    return docs.mapInArrow(run, f"block long, turn int, idx int, h long, c long, docs array<{kind}>, held array<boolean>, words array<int>, sizes array<int>, ids binary, of binary")
+    return docs.mapInArrow(run, f"block long, turn int, idx int, c long, docs array<{kind}>, held array<boolean>, words array<int>, sizes array<int>, ids binary, of binary, many long, h binary, n binary, order binary")
+
+
+def counted_words(blocks: DataFrame, most: int = BUCKET) -> DataFrame:
+    """How often the words of each block stand in all training texts: a written table of block, bucket and c, counts packed in the order of the words' hashes.
+
+    A bucket is a range of hashes with about `most` words of all blocks. Rows without a block have a bucket's sums: n (occurrences) and v (distinct words).
+    """
+    total = blocks.agg(F.sum("many")).head()[0] or 0
+    buckets = max(64, -(-total // most))
+
+    def dealt(batches):
+        for b in batches:
+            for block, h, n in zip(*b.columns):
+                keys, n = opened(h.as_py(), n.as_py())
+                bucket = ((keys >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+                first = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])) if len(keys) else bucket
+                packs = [pressed(keys[a:z], n[a:z]) for a, z in zip(first.tolist(), [*first[1:].tolist(), len(keys)])]
+                yield pa.RecordBatch.from_arrays([pa.array([block.as_py()] * len(first), pa.int64()), pa.array(bucket[first]), *[pa.array([p[k] for p in packs], pa.binary()) for k in (0, 1)]], names=["block", "bucket", "h", "n"])
+
+    def met(t: pa.Table) -> pa.Table:
+        parts = [opened(h.as_py(), n.as_py()) for h, n in zip(t.column("h"), t.column("n"))]
+        keys, which = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
+        sums = np.zeros(len(keys), np.int64)
+        ends = np.cumsum([len(p[0]) for p in parts])
+        for (_, n), z in zip(parts, ends.tolist()):
+            sums[which[z - len(n) : z]] += n  # a block has a word once
+        each = [packed(sums[which[z - len(n) : z]], True) for (_, n), z in zip(parts, ends.tolist())]
+        none, bucket = [None] * len(parts), t.column("bucket")[0].as_py()
+        return pa.table({"of_block": pa.array([*t.column("block").to_pylist(), None], pa.int64()), "bucket": pa.array([bucket] * (len(parts) + 1), pa.int64()), "c": pa.array([*each, None], pa.binary()),
+                         "n": pa.array([*none, int(sums.sum())], pa.int64()), "v": pa.array([*none, np.count_nonzero(sums)], pa.int64())})
+
+    return stage(blocks.select("block", "h", "n").mapInArrow(dealt, "block long, bucket long, h binary, n binary").groupBy("bucket").applyInArrow(met, "of_block long, bucket long, c binary, n long, v long"))
 
 
 def _training(b: pa.RecordBatch, small):
@@ -449,8 +555,8 @@ def _size_class(n: np.ndarray) -> np.ndarray:
     return np.floor(np.log2(n) * 16).astype(np.int64)
 
 
-def frequent_pairs(blocks: DataFrame, many: int, most: int = PAIRS) -> tuple[np.ndarray, np.ndarray]:
-    """Keys and counts of the most frequent pairs of successive ids in training texts, `most` at most; pairs of one size class are kept or left together."""
+def counted_pairs(blocks: DataFrame, many: int) -> DataFrame:
+    """Every pair of successive ids in training texts (id before * many + id) and its count, as counted_keys writes them."""
     small = np.uint16 if many <= 1 << 16 else np.uint32
 
     def keys_of(batches):
@@ -459,6 +565,18 @@ def frequent_pairs(blocks: DataFrame, many: int, most: int = PAIRS) -> tuple[np.
                 if len(ids):
                     yield (before(ids, size, many - 1) * many + ids).astype(np.uint64)
 
+    return counted_keys(blocks.select("held", "sizes", "ids"), keys_of, max(16, blocks.count()))
+
+
+def frequent_pairs(blocks: DataFrame, many: int, most: int = PAIRS) -> tuple[np.ndarray, np.ndarray]:
+    """Keys and counts of the most frequent pairs of successive ids in training texts, `most` at most; pairs of one size class are kept or left together."""
+    counted = counted_pairs(blocks, many)
+    out = _most_frequent(counted, most)
+    drop(counted)
+    return out
+
+
+def _most_frequent(counted: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray]:
     def sizes_of(batches):
         total = np.zeros(1024, np.int64)
         for b in batches:
@@ -467,7 +585,6 @@ def frequent_pairs(blocks: DataFrame, many: int, most: int = PAIRS) -> tuple[np.
         s = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(s), pa.array(total[s])], names=["s", "n"])
 
-    counted = counted_keys(blocks.select("held", "sizes", "ids"), keys_of, max(16, blocks.count()))
     sizes = np.zeros(1024, np.int64)
     for r in counted.mapInArrow(sizes_of, "s long, n long").groupBy("s").agg(F.sum("n").alias("n")).collect():  # 1,024 rows at most
         sizes[r["s"]] = r["n"]
@@ -481,33 +598,35 @@ def frequent_pairs(blocks: DataFrame, many: int, most: int = PAIRS) -> tuple[np.
                 yield pa.RecordBatch.from_arrays([pa.array(keys[on].astype(np.int64)), pa.array(n[on])], names=["key", "n"])
 
     got = counted.mapInArrow(chosen, "key long, n long").toArrow()  # `most` rows at most
-    drop(counted)
     keys, n = got.column("key").to_numpy(), got.column("n").to_numpy()
     order = np.argsort(keys)
     return keys[order], n[order]
 
 
 def tables(blocks: DataFrame, counts: np.ndarray) -> Tables:
-    """Counted over the training texts of all blocks; as many numbers as ids times classes, whatever the input."""
+    """Summed over the counted pairs of all blocks; as many numbers as ids times classes, whatever the input."""
     kind, n = classes_of(counts)[0], len(counts)
-    small = np.uint16 if n <= 1 << 16 else np.uint32  # as in stream
+    counted = counted_pairs(blocks, n)
 
     def run(batches):
         both = np.zeros((2, n * CLASSES), np.int64)
         for b in batches:
-            for ids, size in _training(b, small):
-                x = before(ids, size, n - 1)
-                both[0] += np.bincount(x * CLASSES + kind[ids], minlength=n * CLASSES)
-                both[1] += np.bincount(ids * CLASSES + kind[x], minlength=n * CLASSES)
+            for keys, times in zip(*b.columns):
+                keys, times = opened(keys.as_py(), times.as_py())
+                x, y = np.divmod(keys.astype(np.int64), n)
+                np.add.at(both[0], x * CLASSES + kind[y], times)
+                np.add.at(both[1], y * CLASSES + kind[x], times)
         k = np.flatnonzero(both.any(0))
         yield pa.RecordBatch.from_arrays([pa.array(x) for x in (k, both[0][k], both[1][k])], names=["k", "after", "ahead"])
 
-    got = blocks.select("held", "sizes", "ids").mapInArrow(run, "k long, after long, ahead long").groupBy("k").agg(F.sum("after").alias("after"), F.sum("ahead").alias("ahead")).toArrow()
+    got = counted.mapInArrow(run, "k long, after long, ahead long").groupBy("k").agg(F.sum("after").alias("after"), F.sum("ahead").alias("ahead")).toArrow()
     out = np.zeros((2, n * CLASSES))
     for i, c in enumerate(("after", "ahead")):
         out[i][got.column("k").to_numpy()] = got.column(c).to_numpy()
     out = out.reshape(2, n, CLASSES)
-    return with_pairs(tables_of(counts, *out), out[0], *frequent_pairs(blocks, n))
+    pairs = _most_frequent(counted, PAIRS)
+    drop(counted)
+    return with_pairs(tables_of(counts, *out), out[0], *pairs)
 
 
 def trained(blocks: DataFrame, table: Tables) -> Head:
@@ -565,12 +684,11 @@ def scored(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     counts = np.zeros(n_ids)
     for r in every.where("block is null").groupBy("idx").agg(F.sum("c").alias("c")).collect():  # as many rows as the vocabulary of ids, at most
         counts[r["idx"]] = r["c"]
-    words, blocks = every.where("h is not null").select("block", "idx", "h", "c"), every.where("ids is not null")
-    sums = stage(words.groupBy("h").agg(F.sum("c").alias("c")))
-    met = stage(words.drop("c").join(sums, "h").select(F.col("block").alias("of_block"), "idx", "c"))
-    total = sums.agg(F.sum("c").alias("n"), F.count(F.when(F.col("c") > 0, 1)).alias("v")).head()
+    blocks = every.where("ids is not null")
+    met = counted_words(blocks)
+    total = met.agg(F.sum("n").alias("n"), F.sum("v").alias("v")).head()
     ends = int(counts[-1])
-    n, v = (total["n"] or 0) + ends, total["v"] + (ends > 0)
+    n, v = (total["n"] or 0) + ends, (total["v"] or 0) + (ends > 0)
     table = tables(blocks, counts)
     head = trained(blocks, table)
     # about 800 bytes for each id of the vocabulary and 8 for each kept pair, whatever the input
@@ -584,18 +702,18 @@ def scored(docs: DataFrame, path: str, pattern: str) -> DataFrame:
         for b in batches:
             for k in range(b.num_rows):
                 one = b.slice(k, 1)
-                ids, size = unpacked(one.column(5)[0].as_py(), small).astype(np.int64), one.column(6)[0].values.to_numpy().astype(np.int64)
+                ids, size = unpacked(one.column(6)[0].as_py(), small).astype(np.int64), one.column(7)[0].values.to_numpy().astype(np.int64)
                 each = np.add.reduceat(score(head, ids, size).astype(np.float64), np.cumsum(size) - size)
-                yield pa.RecordBatch.from_arrays([*one.columns[:5], pa.ListArray.from_arrays(pa.array([0, len(each)], pa.int32()), pa.array(each))], names=["block", "docs", "held", "words", "of", "score"])
+                yield pa.RecordBatch.from_arrays([*one.columns[:6], pa.ListArray.from_arrays(pa.array([0, len(each)], pa.int32()), pa.array(each))], names=["block", "docs", "held", "words", "of", "order", "score"])
 
     def by_words(left, right):
         """A row for each text of a block, with what the counts of its words give."""
         out = []
-        count = np.zeros(len(right), np.int64)
-        count[right.column("idx").to_numpy()] = right.column("c").to_numpy()
-        per, known = np.log10(count + 0.1) - floor, count > 0
-        for r in range(len(left)):
+        each = sorted(zip(right.column("bucket").to_pylist(), right.column("c").to_pylist()))
+        for r in range(len(left)):  # one
             get = lambda c: left.column(c)[r]
+            count = np.concatenate([np.zeros(0, np.int64), *[unpacked(c, np.int64) for _, c in each]])[unpacked(get("order").as_py(), np.uint32)]
+            per, known = np.log10(count + 0.1) - floor, count > 0
             words, of = get("words").values.to_numpy().astype(np.int64), unpacked(get("of").as_py(), np.uint32)
             doc, m = np.repeat(np.arange(len(words)), words), len(words)
             base = np.bincount(doc, per[of], m) + (np.log10(ends + 0.1) - floor)
@@ -604,5 +722,5 @@ def scored(docs: DataFrame, path: str, pattern: str) -> DataFrame:
         return pa.concat_tables(out)
 
     schema = f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    own = blocks.select("block", "docs", "held", "words", "of", "ids", "sizes").mapInArrow(by_head, f"block long, docs array<{kind}>, held array<boolean>, words array<int>, of binary, score array<double>")
-    return own.groupBy("block").cogroup(met.groupBy("of_block")).applyInArrow(by_words, schema)
+    own = blocks.select("block", "docs", "held", "words", "of", "order", "ids", "sizes").mapInArrow(by_head, f"block long, docs array<{kind}>, held array<boolean>, words array<int>, of binary, order binary, score array<double>")
+    return own.groupBy("block").cogroup(met.where("of_block is not null").select("of_block", "bucket", "c").groupBy("of_block")).applyInArrow(by_words, schema)

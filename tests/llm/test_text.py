@@ -782,3 +782,71 @@ def test_pairs_are_found_in_runs(monkeypatch):
         want = kept.get(int(x[i] * n + y[i]), t.inside[y[i], t.kind[x[i]]] + t.rest[x[i], t.kind[y[i]]])
         assert got[i] == want
     assert peak < 8 * many
+
+
+def test_words_meet_their_counts_packed(spark, docs, rows):
+    """No word is a row: a block's list comes packed and meets the counts of the training texts by ranges of hashes."""
+    import numpy as np
+
+    path, pattern = queries.tokenizer()
+    every = stage(attention.spelled_blocks(docs.select("doc_id", "text").repartition(5), path, pattern))
+    blocks = every.where("ids is not null").collect()
+    assert len(blocks) > 3 and every.count() == len(blocks) + every.where("block is null").count()
+    met = attention.counted_words(every.where("ids is not null"), most=500).collect()
+    out = lambda i: zlib.crc32(b"" if i is None else str(i).encode()) % 10 == 0
+    words = lambda t: WORD.findall(re.sub("[A-Z]", lambda m: m.group().lower(), t))
+    c = collections.Counter(w for i, t in rows if not out(i) for w in words(t))
+    assert sum(r.n for r in met if r.of_block is None) == sum(c.values()) and sum(r.v for r in met if r.of_block is None) == len(c)
+    assert len({r.bucket for r in met}) == 64
+    got = collections.Counter()
+    for r in blocks:
+        parts = sorted((x.bucket, bytes(x.c)) for x in met if x.of_block == r.block)
+        n = np.concatenate([attention.unpacked(p, np.int64) for _, p in parts])[attention.unpacked(bytes(r.order), np.uint32)]
+        got.update(n[attention.unpacked(bytes(r.of), np.uint32)].tolist())
+    assert got == collections.Counter(c[w] for _, t in rows for w in words(t))
+
+
+def test_tables_come_from_pairs(spark, docs, monkeypatch):
+    """The texts are gone through once for pairs and tables; the tables are those counted from the ids."""
+    import numpy as np
+
+    path, pattern = queries.tokenizer()
+    blocks = stage(attention.spelled_blocks(docs.select("doc_id", "text").repartition(3), path, pattern)).where("ids is not null")
+    n = attention.coder(path, pattern).n_vocab + 1
+    parts = []
+    for r in blocks.collect():
+        ids, size = attention.unpacked(bytes(r.ids), np.uint16).astype(np.int64), np.array(r.sizes)
+        trains = ~np.array(r.held)
+        parts.append((ids[np.repeat(trains, size)], size[trains]))
+    ids, size = (np.concatenate([p[k] for p in parts]) for k in (0, 1))
+    counts = np.bincount(ids, minlength=n).astype(float)
+    kind, x = attention.classes_of(counts)[0], attention.before(ids, size, n - 1)
+    flat = lambda a, b: np.bincount(a * attention.CLASSES + kind[b], minlength=n * attention.CLASSES).reshape(n, -1).astype(float)
+    want = attention.tables_of(counts, flat(x, ids), flat(ids, x))
+    seen = []
+    monkeypatch.setattr(attention, "counted_pairs", lambda b, many, f=attention.counted_pairs: seen.append(many) or f(b, many))
+    got = attention.tables(blocks, counts)
+    assert seen == [n]
+    assert np.array_equal(got.prior, want.prior) and np.array_equal(got.inside, want.inside) and np.array_equal(got.kind, want.kind)
+
+
+def test_steps_move_one_array():
+    """A step moves all weights in place; what stands beside them stays; scoring by what is known of each id gives the same."""
+    import numpy as np
+
+    ids, size, tables = small_tables(np.random.default_rng(4))
+    head = attention.Head(tables)
+    flat, was = head.flat, head.flat.copy()
+    attention.fit(head, ids, size, {}, 0.01)
+    still = np.ones(len(flat), bool)
+    for v in attention._named(still).values():
+        v[...] = False
+    assert head.flat is flat and (flat[still] == was[still]).all() and (flat[~still] != was[~still]).mean() > 0.9
+    x, y = attention.before(ids, size, 59)[:960].reshape(30, 32), tables.kind[ids][:960].reshape(30, 32)
+    for low in (0, 8):
+        assert np.allclose(head.log_class(x, y[:, low:], low), head.log_class(x, y[:, low:], low, head.known()), atol=1e-5)
+    head.w = {k: v * 40 for k, v in head.w.items()}  # logits that are clipped
+    out = attention._parts(head.flat)[2]
+    m = head.attend(x)[-1]
+    want = np.exp(np.clip(m @ out.T, -20, 20) + tables.prior[x.ravel()])
+    assert np.abs(m @ out.T).max() > 20 and np.allclose(head.mass(m, x.ravel()), want, rtol=1e-4)
