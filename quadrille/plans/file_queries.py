@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import io
+import os
 import uuid
 
 from pyspark.sql import DataFrame
@@ -39,24 +40,50 @@ def _put(path: str, data: bytes) -> None:
         f.write(data)
 
 
+def _links(store):
+    """Writes files by store. One that is equal to an earlier file of the same task is a link to it where the file system has links, so it takes no inode and no block."""
+    from pyarrow import fs
+
+    first: dict[bytes, str] = {}
+
+    def put(at: str, data: bytes) -> None:
+        if data in first:
+            try:
+                return os.link(first[data], at)
+            except OSError:  # a file has links enough, or a task that ran before wrote this one
+                pass
+        with store.open_output_stream(at) as f:
+            f.write(data)
+        if isinstance(store, fs.LocalFileSystem):
+            first[data] = at
+
+    return put
+
+
 def tree(spark, d) -> str:
-    """Writes the tree by tasks; gives its root."""
+    """Writes the tree by tasks; gives its root. Stacks and volumes of tiles are of few kinds, so a tile takes little more than the inodes of its folder and its position."""
     import numpy as np
     import pandas as pd
 
     root = folders.plain(f"{work_dir(spark)}/tree-{uuid.uuid4().hex}")
 
     def tiles(batches):
+        store, base = folders.store_of(root)
+        put, volumes = _links(store), []
+        for n in range(2, 5):
+            volume = io.BytesIO()
+            np.save(volume, np.zeros((n, 5, 6), np.uint16))
+            volumes.append(volume.getvalue())
         for b in batches:
             for r in b.itertuples():
-                at = f"{root}{r.parent}/{r.name}"
+                at = f"{base}{r.parent}/{r.name}"
                 stack = f"x_mm: {r.o0 / 1e6!r}\ny_mm: {r.o1 / 1e6!r}\nz_mm: {r.o2 / 1e6!r}\n"
                 fov = f"fov {{ x_size_um: {r.s0 / 1e3!r} y_size_um: {r.s1 / 1e3!r} z_size_um: {r.s2 / 1e3!r} rotation_radians: 0 }}"
-                _put(f"{at}/a.acquisition", stack.encode())
-                _put(f"{at}/a.microscope", b"fov {" if r.cached else f'{fov} file_prefix: "vol" stack_extension: ".npy" {_SCOPES[r.id % 10]}'.encode())
-                volume = io.BytesIO()
-                np.save(volume, np.zeros((2 + r.id % 3, 5, 6), np.uint16))
-                _put(f"{at}/{r.name}-vol.0.npy", volume.getvalue())
+                store.create_dir(at, recursive=True)
+                with store.open_output_stream(f"{at}/a.acquisition") as f:
+                    f.write(stack.encode())
+                put(f"{at}/a.microscope", b"fov {" if r.cached else f'{fov} file_prefix: "vol" stack_extension: ".npy" {_SCOPES[r.id % 10]}'.encode())
+                put(f"{at}/{r.name}-vol.0.npy", volumes[r.id % 3])
             yield pd.DataFrame({"n": [len(b)]})
 
     def catalogue(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -66,7 +93,7 @@ def tree(spark, d) -> str:
         return pd.DataFrame({"n": [len(rows)]})
 
     own = placed(spark, d)
-    written(spread(own, 1_000).mapInPandas(tiles, "n bigint"))
+    written(spread(own).mapInPandas(tiles, "n bigint"))
     written(own.where("cached").groupBy("parent").applyInPandas(catalogue, "n bigint"))
     return root
 

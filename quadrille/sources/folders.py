@@ -13,8 +13,8 @@ from .tables import written
 
 LISTED = "dir string, kind string, children array<string>, files array<string>"
 CACHES, INDEX = "*.cache.yml", "tiles.index.json"
-#: Folders that one task lists.
-PER_TASK = 256
+#: Folders that one task lists, and names that it holds at a time.
+PER_TASK, NAMES = 2_048, 50_000
 
 
 def store_of(path: str):
@@ -56,18 +56,27 @@ def kind_of(children: list[str], files: list[str], cached: bool = True) -> str:
 
 def _listed(cached: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, held = [], 0
         for b in batches:
-            rows = []
             for folder in b.column("dir").to_pylist():
                 children, files = listing(folder)
                 kind = kind_of(children, files, cached)
                 rows.append((folder, kind, children if kind == "inner" else [], files))
-            kinds = [pa.string(), pa.string(), pa.list_(pa.string()), pa.list_(pa.string())]
-            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)], names=["dir", "kind", "children", "files"])
+                held += 1 + len(children) + len(files)
+                if held >= NAMES:
+                    yield _rows(rows)
+                    rows, held = [], 0
+        if rows:
+            yield _rows(rows)
 
     return task
 
 
+def _rows(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = [pa.string(), pa.string(), pa.list_(pa.string()), pa.list_(pa.string())]
+    return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)], names=["dir", "kind", "children", "files"])
+
+
 def walk(spark: SparkSession, root: str, cached: bool = True, progress: Callable[[int, int, int], None] | None = None) -> DataFrame:
     """dir, kind, children, files of every folder from the root on, without those below a catalogue.
 
@@ -75,9 +84,10 @@ def walk(spark: SparkSession, root: str, cached: bool = True, progress: Callable
     progress is told the level, its folders and how many of them are leaves or catalogues.
     """
     frontier, level, out = spark.createDataFrame([(plain(root),)], "dir string"), 0, None
-    size = 1
+    size, cores = 1, spark.sparkContext.defaultParallelism
     while size:
-        here = written(frontier.repartition(-(-size // PER_TASK), "dir").mapInArrow(_listed(cached), LISTED))
+        tasks = max(-(-size // PER_TASK), min(size, cores))  # few folders can have many names
+        here = written(frontier.repartition(tasks, "dir").mapInArrow(_listed(cached), LISTED))
         out = here if out is None else out.unionByName(here)
         ends, size = here.agg(F.count_if(F.col("kind") != "inner"), F.coalesce(F.sum(F.size("children")), F.lit(0))).head()
         if progress:

@@ -206,3 +206,61 @@ def test_detection_is_kept_by_fields():
     assert textproto._features.cache_info().misses <= before + 1
     with pytest.raises(ValueError, match="unexpected character '@' at 5"):
         textproto.parse("a: 1 @")
+
+
+def test_equal_files_of_a_tree_are_links(spark, tmp_path):
+    """A tile takes little more than its folder and its position (before: four inodes)."""
+    import io
+
+    from quadrille.plans import file_queries, views
+
+    root, sf = tmp_path / "sf", "/root/testdata/sf0.001"
+    root.mkdir()
+    views.read(spark, sf, "customer").selectExpr("explode(sequence(0, 9)) as i", "*").selectExpr("c_custkey + 910 * i as c_custkey", "c_nationkey", "c_mktsegment").coalesce(1).write.parquet(str(root / "customer.parquet"))
+    own = {f"{r.parent}/{r.name}": r for r in file_queries.placed(spark, str(root)).collect()}
+    at = file_queries.tree(spark, str(root))
+    inodes = {os.stat(p).st_ino for d, _, files in os.walk(at) for p in (d, *(f"{d}/{f}" for f in files))}
+    assert len(own) == 1500 and len(inodes) < 2.2 * len(own)
+    for folder, r in own.items():
+        files = sorted(os.listdir(f"{at}{folder}"))
+        assert files == sorted(["a.acquisition", "a.microscope", f"{r.name}-vol.0.npy"])
+        text = {k: open(f"{at}{folder}/a.{k}").read() for k in ("acquisition", "microscope")}
+        assert text["acquisition"] == f"x_mm: {r.o0 / 1e6!r}\ny_mm: {r.o1 / 1e6!r}\nz_mm: {r.o2 / 1e6!r}\n"
+        assert text["microscope"] == "fov {" if r.cached else text["microscope"].startswith(f"fov {{ x_size_um: {r.s0 / 1e3!r} y_size_um: {r.s1 / 1e3!r} ") and text["microscope"].endswith(_SCOPES[r.id % 10])
+        assert np.load(io.BytesIO(open(f"{at}{folder}/{r.name}-vol.0.npy", "rb").read())).shape == (2 + r.id % 3, 5, 6)
+
+
+def test_files_are_whole_where_links_fail(tmp_path, monkeypatch):
+    """No links left, a file of a task that ran before, or a store without links."""
+    from pyarrow import fs
+
+    from quadrille.plans import file_queries
+
+    monkeypatch.chdir(tmp_path)
+    put = file_queries._links(fs.LocalFileSystem())
+    for name in "abc":
+        put(str(tmp_path / name), b"same")
+    put(str(tmp_path / "d"), b"other")
+    assert os.stat("a").st_ino == os.stat("b").st_ino == os.stat("c").st_ino != os.stat("d").st_ino
+    put(str(tmp_path / "d"), b"same")
+    monkeypatch.setattr(os, "link", lambda a, b: (_ for _ in ()).throw(OSError(31, "Too many links")))
+    put(str(tmp_path / "e"), b"same")
+    put = file_queries._links(fs.SubTreeFileSystem(str(tmp_path), fs.LocalFileSystem()))
+    put("f", b"same")
+    put("g", b"same")
+    assert [open(n).read() for n in "abcdefg"] == ["same"] * 7 and len({os.stat(n).st_ino for n in "adefg"}) == 5
+
+
+def test_a_walk_deals_few_folders_with_many_names(spark, tmp_path, monkeypatch):
+    """A level of few folders is listed by more than one task, and a task holds a bounded number of names."""
+    import pyarrow as pa
+
+    for k in range(16):
+        os.makedirs(tmp_path / "root" / str(k) / "x")
+    level = folders.walk(spark, str(tmp_path / "root")).where("dir like '%/root/%' and dir not like '%/x'").selectExpr("dir", "input_file_name() as f").collect()
+    assert len(level) == 16 and len({r.f for r in level}) > 1
+    monkeypatch.setattr(folders, "NAMES", 4)
+    dirs = pa.RecordBatch.from_pydict({"dir": [str(tmp_path / "root" / str(k)) for k in range(5)]})
+    out = list(folders._listed(True)(iter([dirs])))
+    assert [b.num_rows for b in out] == [2, 2, 1] and sum((b.column("dir").to_pylist() for b in out), []) == dirs.column("dir").to_pylist()
+    assert list(folders._listed(True)(iter([]))) == []
