@@ -18,6 +18,7 @@ import uuid
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import (
@@ -47,9 +48,13 @@ SCHEMA = (
 )
 #: Tiles of one file of a written catalogue at most.
 PART = 20_000
-#: Tiles of one frame of a task.
+#: Tiles of one batch of a task.
 FRAME = 1_000
 COLUMNS = [c.split()[0] for c in SCHEMA.split(", ")]
+#: Columns that a written catalogue keeps.
+SAVED = ["path", "ori", "shape", "dtype", "dims", "crop", "transform"]
+_TYPES = {"string": pa.string(), "int": pa.int32(), "bigint": pa.int64(), "array<bigint>": pa.list_(pa.int64()), "array<float>": pa.list_(pa.float32())}
+ARROW = pa.schema([(c.split()[0], _TYPES[c.split()[1]]) for c in SCHEMA.split(", ")])
 _TESTS = {GreaterThan: lambda a, b: a > b, GreaterThanOrEqual: lambda a, b: a >= b, LessThan: lambda a, b: a < b, LessThanOrEqual: lambda a, b: a <= b, EqualTo: lambda a, b: a == b, In: lambda a, b: a in b, StringStartsWith: lambda a, b: a.startswith(b)}
 
 
@@ -221,7 +226,7 @@ class CatalogueWriter(DataSourceWriter):
     def write(self, rows: Iterator) -> Written:
         parts, held = [], []
         for r in rows:
-            row = {c: r[c] if c in self.columns else None for c in ("path", "ori", "shape", "dtype", "dims", "crop", "transform")}
+            row = {c: r[c] if c in self.columns else None for c in SAVED}
             if row["ori"] is not None and row["dims"] is not None:
                 held.append(row)
             if len(held) == PART:
@@ -313,33 +318,28 @@ def opened(spark: SparkSession, path: str, save: bool = False, progress: Callabl
     found = folders.walk(spark, path, options.get("cache", "auto") == "auto", progress).where("kind <> 'inner'")
 
     def run(batches):
-        import pandas as pd
-
-        def frame(rows: list[dict]) -> pd.DataFrame:
-            return pd.DataFrame(rows, columns=COLUMNS).astype({c: "Int64" for c in ["ndim", *_FLAT]})
-
         held: list[dict] = []
         for b in batches:
-            for r in b.itertuples():
-                if r.kind == "leaf":
-                    row = tile_row(r.dir, list(r.files), options, Wanted())
+            for folder, kind, files in zip(*[b.column(c).to_pylist() for c in ("dir", "kind", "files")]):
+                if kind == "leaf":
+                    row = tile_row(folder, files, options, Wanted())
                     held += [row] if row else []
                 else:
-                    for f in catalogue_files(r.dir, list(r.files), Wanted()):
+                    for f in catalogue_files(folder, files, Wanted()):
                         for row in cache_rows(f, Wanted()):
                             held.append(row)
                             if len(held) == FRAME:
-                                yield frame(held)
+                                yield pa.RecordBatch.from_pylist(held, schema=ARROW)
                                 held = []
                 if len(held) >= FRAME:
-                    yield frame(held)
+                    yield pa.RecordBatch.from_pylist(held, schema=ARROW)
                     held = []
         if held:
-            yield frame(held)
+            yield pa.RecordBatch.from_pylist(held, schema=ARROW)
 
-    out = spread(found, 1_000).mapInPandas(run, SCHEMA)
+    out = spread(found, 1_000).mapInArrow(run, SCHEMA)
     if save:
         register(spark)
-        out.where(F.col("error").isNull()).write.format("tiles").mode("overwrite").save(path)
+        out.where(F.col("error").isNull()).select(*SAVED).write.format("tiles").mode("overwrite").save(path)  # the writer gets its rows one by one, so columns cost
         out = spark.read.format("tiles").load(path)
     return out

@@ -264,3 +264,30 @@ def test_a_walk_deals_few_folders_with_many_names(spark, tmp_path, monkeypatch):
     out = list(folders._listed(True)(iter([dirs])))
     assert [b.num_rows for b in out] == [2, 2, 1] and sum((b.column("dir").to_pylist() for b in out), []) == dirs.column("dir").to_pylist()
     assert list(folders._listed(True)(iter([]))) == []
+
+
+def test_a_scope_of_many_tiles_is_parsed_once(monkeypatch):
+    """However many scopes and stacks come between two tiles of one scope."""
+    parsed, real = [], textproto.parse
+    monkeypatch.setattr(textproto, "parse", lambda text: parsed.append(text) or real(text))
+    scopes = [SCOPE.format(7000 + k) for k in range(200)]
+    for turn in range(3):
+        for k, scope in enumerate(scopes):
+            meta = textproto.tile(scope, f"x_mm: {turn} y_mm: {k} z_mm: 3", f"/d/{k}")
+            assert (meta["format"], meta["ori"], meta["shape"]) == ("v6", [turn * 1_000_000, k * 1_000_000, 3_000_000], [(7000 + k) * 1000, 20_000, 30_000])
+    assert sum(t in scopes for t in parsed) == 200
+    with pytest.raises(ValueError, match="does not fit v8"):
+        textproto.tile(scopes[0], "x_mm: 1 y_mm: 2 z_mm: 3", "/d", "v8")
+
+
+def test_a_saved_tree_has_what_the_open_one_had(spark, tree, monkeypatch):
+    """The writer gets the columns that a catalogue keeps, and no others."""
+    from pyspark.sql.readwriter import DataFrameWriter
+
+    seen, real = [], DataFrameWriter.save
+    monkeypatch.setattr(DataFrameWriter, "save", lambda self, *a, **k: seen.append(self._df.columns) or real(self, *a, **k))
+    kept = [c for c in tilesource.COLUMNS if c not in ("format", "volume")]
+    before = names(tilesource.opened(spark, tree).where("error is null").select(*kept).collect(), tree)
+    after = names(tilesource.opened(spark, tree, save=True).select(*kept).collect(), tree)
+    rounded = lambda rows: {p: [[round(x, 6) for x in v] if c == "transform" else v for c, v in r.asDict().items()] for p, r in rows.items()}
+    assert rounded(after) == rounded(before) and len(after) == 3 and seen == [["path", "ori", "shape", "dtype", "dims", "crop", "transform"]]
